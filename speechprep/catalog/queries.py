@@ -256,21 +256,19 @@ def q_vocab_json(spark, sf):
 @query
 def q_label_encode(spark, sf):
     # the vocabulary of one half leaves unknown characters in the other texts
-    encoder = vc.Encoder(vc.vocabulary(_corpora(spark, sf)[0]))
-    texts = a.raw_texts(spark, sf)
-    return texts.select(
-        "doc_id", F.array_join(encoder.labels(F.col("text")).cast("array<string>"), " ").alias("labels")
+    vocab = vc.vocabulary(_corpora(spark, sf)[0])
+    rows = vc.encode_labels(a.raw_texts(spark, sf), vocab, "text")
+    return rows.select(
+        "doc_id", F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels")
     )
 
 
 @query
 def q_label_decode(spark, sf):
     vocab = vc.vocabulary(_corpora(spark, sf)[0])
-    encoder = vc.Encoder(vocab)
-    padded = F.concat(encoder.labels(F.col("sentence")), F.array_repeat(F.lit(-100), 5))
-    return a.clips(spark, sf).select(
-        "path", vc.decode_labels(padded, vocab).alias("sentence")
-    )
+    rows = vc.encode_labels(a.clips(spark, sf), vocab)
+    padded = rows.withColumn("labels", F.concat("labels", F.array_repeat(F.lit(-100), 5)))
+    return vc.decode_labels(padded, vocab).select("path", "sentence")
 
 
 @query

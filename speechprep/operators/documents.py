@@ -18,7 +18,7 @@ from ..functions import values as v
 from . import running
 from .timeline import non_empty
 
-PART = 4_096  # chunk numbers per document part
+PART = running.BLOCK  # chunk numbers per document part
 
 # ---------------------------------------------------------------- fixed values
 XML_DECLARATION = "<?xml version='1.0' encoding='utf-8'?>\n"
@@ -50,10 +50,10 @@ def _text(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
 
 
-def _parts(pieces: DataFrame, section: int, body: str) -> DataFrame:
+def _parts(pieces: DataFrame, section: int, body: str, part: int) -> DataFrame:
     """Concatenate one text column in chunk order, one row per part."""
     joined = F.expr(f"listagg(`{body}`, '') within group (order by chunk_no)")
-    return pieces.groupBy("recording", F.col(running.BLOCK_COL).alias("part_no")).agg(
+    return pieces.groupBy("recording", F.col(running.block_col(part)).alias("part_no")).agg(
         joined.alias("body")
     ).select("recording", F.lit(section).alias("section"), "part_no", "body")
 
@@ -74,7 +74,7 @@ def _edge(facts: DataFrame, section: int, body: Column) -> DataFrame:
 def plain_text(predictions: DataFrame, part: int = PART) -> DataFrame:
     """Texts in order, a space before each."""
     pieces = running.with_block(non_empty(predictions), "chunk_no", part)
-    return _parts(pieces.withColumn("_body", _text(" ", F.col("prediction"))), 0, "_body")
+    return _parts(pieces.withColumn("_body", _text(" ", F.col("prediction"))), 0, "_body", part)
 
 
 # -------------------------------------------------------------- annotation XML
@@ -137,7 +137,7 @@ def annotation_xml(
     """Annotation documents as parts. ``recordings`` lists every recording that
     gets a document, also those without any text."""
     numbered = sentences(predictions, part)
-    body = _parts(numbered.withColumn("_body", sentence_element(numbered)), 1, "_body")
+    body = _parts(numbered.withColumn("_body", sentence_element(numbered)), 1, "_body", part)
     counts = numbered.groupBy("recording").agg(F.count("*").alias("n"))
     facts = recordings.select("recording").join(counts, "recording", "left")
     tag = _text(
@@ -278,7 +278,7 @@ def tier_xml(
     )
     # one pass builds the three bodies of a part; it needs no further shuffle
     listed = lambda c: F.expr(f"listagg({c}, '') within group (order by chunk_no)")
-    bodies = pieces.groupBy("recording", running.BLOCK_COL).agg(
+    bodies = pieces.groupBy("recording", running.block_col(part)).agg(
         listed("_slots").alias("_slots"), listed("_tx").alias("_tx"), listed("_word").alias("_word")
     )
     sections = F.array(
@@ -288,7 +288,7 @@ def tier_xml(
         ]
     )
     body = (
-        bodies.select("recording", F.col(running.BLOCK_COL).alias("part_no"), F.inline(sections))
+        bodies.select("recording", F.col(running.block_col(part)).alias("part_no"), F.inline(sections))
         .filter(F.col("body") != "")
         .select("recording", "section", "part_no", "body")
     )

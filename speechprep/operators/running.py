@@ -15,8 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 65_536
-BLOCK_COL = "_block"
+BLOCK = 4_096
 
 _REDUCE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -28,8 +27,15 @@ def _combine(kind: str, carried: Column, local: Column) -> Column:
     return (F.least if kind == "min" else F.greatest)(carried, local)
 
 
+def block_col(block: int = BLOCK) -> str:
+    return f"_block_{block}"
+
+
 def with_block(df: DataFrame, pos: str, block: int = BLOCK) -> DataFrame:
-    return df.withColumn(BLOCK_COL, F.floor(F.col(pos) / block).cast("bigint"))
+    """Add the block of each position, unless it is there already."""
+    if block_col(block) in df.columns:
+        return df
+    return df.withColumn(block_col(block), F.floor(F.col(pos) / block).cast("bigint"))
 
 
 def before(
@@ -43,18 +49,18 @@ def before(
 
     ``outputs`` maps a new column to ``(kind, expression)`` with kind ``sum``,
     ``min`` or ``max``. The first row of a group gets 0 for sums and null
-    otherwise. The block column stays in the result: grouping by it afterwards
-    needs no further shuffle.
+    otherwise. The block column stays in the result: another running aggregate,
+    or a grouping, by the same block needs no further shuffle.
     """
-    blocked = df if BLOCK_COL in df.columns else with_block(df, pos, block)
-    block_keys = [*keys, BLOCK_COL]
+    blocked = with_block(df, pos, block)
+    block_keys = [*keys, block_col(block)]
 
     totals = blocked.groupBy(*block_keys).agg(
         *[_REDUCE[kind](expr).alias(name) for name, (kind, expr) in outputs.items()]
     )
     earlier = (
         Window.partitionBy(*keys)
-        .orderBy(BLOCK_COL)
+        .orderBy(block_col(block))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     carried = totals.select(

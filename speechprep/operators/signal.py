@@ -32,6 +32,8 @@ FILTER_ROLLOFF = 0.99
 # -----------------------------------------------------------------------------
 
 TILE_MS = 60_000
+# silences and cuts are numbered in blocks of about an hour
+EDGE_BLOCK_MS = 1 << 22
 
 
 # ------------------------------------------------------------------- channels
@@ -226,7 +228,7 @@ def _join_across_tiles(runs: DataFrame, min_silence: int, tile_ms: int) -> DataF
         "opens", F.when(near, 0).otherwise(1)
     )
     numbered = running.before(
-        flagged, ["recording"], "lo", {"_opened": ("sum", F.col("opens"))}, running.BLOCK * 64
+        flagged, ["recording"], "lo", {"_opened": ("sum", F.col("opens"))}, EDGE_BLOCK_MS
     )
     return (
         numbered.groupBy("recording", (F.col("_opened") + F.col("opens")).alias("range_no"))
@@ -252,7 +254,7 @@ def chunks(ranges: DataFrame, recordings: DataFrame) -> DataFrame:
         "recording", "length_ms", F.floor((start + end) / 2).cast("bigint").alias("cut")
     )
     numbered = running.before(
-        cuts, ["recording"], "cut", {"_earlier": ("sum", F.lit(1))}, running.BLOCK * 64
+        cuts, ["recording"], "cut", {"_earlier": ("sum", F.lit(1))}, EDGE_BLOCK_MS
     )
     # each cut ends one chunk and starts the next
     sides = F.array(

@@ -53,67 +53,73 @@ def vocabulary_json(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.to_json(F.map_from_entries(pairs)).alias("json"))
 
 
-class Encoder:
-    """Looks characters up in a vocabulary table, without joins.
-
-    The vocabulary enters the plan as one scalar subquery. Every known character
-    is translated to a private code point holding its id, which costs one hash
-    lookup per character whatever the size of the vocabulary; other characters
-    are unknown. Texts that hold such private code points themselves, and
-    vocabularies too large for the range, take a slower exact path.
-    """
-
-    def __init__(self, vocab: DataFrame):
-        ordered = F.array_sort(F.collect_list(F.struct("id", "char")))
-        regular = F.filter(ordered, lambda e: ~e["char"].isin(UNKNOWN, PAD))
-        code = lambda e: F.lpad(F.hex(e["id"] + F.lit(_FIRST_CODE)), 8, "0")
-        id_of = lambda name: F.max(F.when(F.col("char") == name, F.col("id")))
-        codes = F.array_join(F.transform(F.slice(regular, 1, _CODES), code), "")
-        self._table = vocab.agg(
-            F.struct(
-                F.transform(regular, lambda e: e["char"]).alias("chars"),
-                F.array_join(F.transform(regular, lambda e: e["char"]), "").alias("known"),
-                F.decode(F.unhex(codes), "UTF-32").alias("codes"),
-                id_of(UNKNOWN).alias("unknown"),
-                id_of(PAD).alias("pad"),
-            ).alias("v")
+_VOCAB = "_vocab"
+
+
+def _attach(df: DataFrame, vocab: DataFrame) -> DataFrame:
+    """Add the vocabulary to every row as one struct: a scalar subquery, so it is
+    computed once and no join is needed."""
+    ordered = F.array_sort(F.collect_list(F.struct("id", "char")))
+    regular = F.filter(ordered, lambda e: ~e["char"].isin(UNKNOWN, PAD))
+    code = lambda e: F.lpad(F.hex(e["id"] + F.lit(_FIRST_CODE)), 8, "0")
+    id_of = lambda name: F.max(F.when(F.col("char") == name, F.col("id")))
+    codes = F.array_join(F.transform(F.slice(regular, 1, _CODES), code), "")
+    one = vocab.agg(
+        F.struct(
+            F.transform(ordered, lambda e: e["char"]).alias("all_chars"),
+            F.transform(regular, lambda e: e["char"]).alias("chars"),
+            F.array_join(F.transform(regular, lambda e: e["char"]), "").alias("known"),
+            F.decode(F.unhex(codes), "UTF-32").alias("codes"),
+            id_of(UNKNOWN).alias("unknown"),
+            id_of(PAD).alias("pad"),
         )
+    )
+    return df.withColumn(_VOCAB, one.scalar())
 
-    def pad_id(self) -> Column:
-        return self._table.scalar()["pad"]
-
-    def labels(self, text: Column) -> Column:
-        """Ids of the characters of a text; spaces count as the separator."""
-        v = self._table.scalar()
-        spaced = F.replace(text, F.lit(" "), F.lit(SEPARATOR))
-        split = lambda t: F.filter(F.split(t, ""), lambda c: c != "")
-        fast = F.transform(
-            split(F.call_function("translate", spaced, v["known"], v["codes"])),
-            lambda c: F.ascii(c) - F.lit(_FIRST_CODE),
-        )
-        exact = F.transform(
-            split(spaced), lambda c: (F.array_position(v["chars"], c) - 1).cast("int")
-        )
-        private = rf"[\x{{{_FIRST_CODE:X}}}-\x{{{_FIRST_CODE + _CODES:X}}}]"
-        ids = F.when(
-            text.rlike(private) | (F.size(v["chars"]) > _CODES), exact
-        ).otherwise(fast)
-        return F.transform(
-            ids, lambda i: F.when((i >= 0) & (i < F.size(v["chars"])), i).otherwise(v["unknown"])
-        )
 
+def encode_labels(
+    df: DataFrame, vocab: DataFrame, text: str = "sentence", output: str = "labels"
+) -> DataFrame:
+    """Add the ids of the characters of a text; spaces count as the separator.
 
-def decode_labels(labels: Column, vocab: DataFrame, ignore: int = -100) -> Column:
-    """Reference text of label ids: padding is undone and dropped, repeats stay."""
-    entries = vocab.agg(F.array_sort(F.collect_list(F.struct("id", "char"))).alias("e"))
-    chars = entries.select(F.transform("e", lambda e: e["char"]).alias("chars")).scalar()
-    pad = vocab.filter(F.col("char") == PAD).select("id").scalar()
-    real = F.filter(
-        F.transform(labels, lambda i: F.when(i == ignore, pad).otherwise(i)),
-        lambda i: i != pad,
+    Every known character is translated to a private code point holding its id,
+    which costs one hash lookup per character whatever the size of the
+    vocabulary; other characters are unknown. Texts that hold such private code
+    points themselves, and vocabularies too large for the range, take a slower
+    way that looks each character up in the vocabulary array.
+    """
+    v = F.col(_VOCAB)
+    spaced = F.replace(F.col(text), F.lit(" "), F.lit(SEPARATOR))
+    split = lambda t: F.filter(F.split(t, ""), lambda c: c != "")
+    fast = F.transform(
+        split(F.call_function("translate", spaced, v["known"], v["codes"])),
+        lambda c: F.ascii(c) - F.lit(_FIRST_CODE),
+    )
+    slow = F.transform(
+        split(spaced), lambda c: (F.array_position(v["chars"], c) - 1).cast("int")
     )
-    text = F.array_join(F.transform(real, lambda i: F.get(chars, i)), "")
-    return strip_separator(text)
+    private = rf"[\x{{{_FIRST_CODE:X}}}-\x{{{_FIRST_CODE + _CODES:X}}}]"
+    ids = F.when(
+        F.col(text).rlike(private) | (F.size(v["chars"]) > _CODES), slow
+    ).otherwise(fast)
+    known = lambda i: (i >= 0) & (i < F.size(v["chars"]))
+    labels = F.transform(ids, lambda i: F.when(known(i), i).otherwise(v["unknown"]))
+    return _attach(df, vocab).withColumn(output, labels).drop(_VOCAB)
+
+
+def decode_labels(
+    df: DataFrame,
+    vocab: DataFrame,
+    labels: str = "labels",
+    output: str = "sentence",
+    ignore: int = -100,
+) -> DataFrame:
+    """Add the reference text of label ids: padding is undone and dropped,
+    repeated characters stay."""
+    v = F.col(_VOCAB)
+    real = F.filter(labels, lambda i: (i != ignore) & (i != v["pad"]))
+    text = F.array_join(F.transform(real, lambda i: F.get(v["all_chars"], i)), "")
+    return _attach(df, vocab).withColumn(output, strip_separator(text)).drop(_VOCAB)
 
 
 def strip_separator(text: Column) -> Column:
