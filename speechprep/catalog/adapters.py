@@ -198,12 +198,14 @@ def block_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reference and hypothesis: a turn and the turn after it, whole texts."""
+    """Reference and hypothesis: a turn and the turn after it, whole texts. Both
+    sides are the whole table, so this is a shuffled join; scoring is the heavy
+    part, and runs in parallel after the shuffle."""
     turns = table(spark, sf_dir, "conversations")
     after = turns.selectExpr("conv_id", "turn - 1 as turn", "text as hypothesis")
     return (
         turns.selectExpr("conv_id", "turn", "role", "text as reference")
-        .join(after, ["conv_id", "turn"])
+        .join(after.hint("merge"), ["conv_id", "turn"])
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import values as v
-from ..operators import batches, ctc, documents, history, infer, manifest, metrics, signal, split
+from ..operators import batches, ctc, documents, history, infer, manifest, metrics, signal, silence, split
 from ..operators import timeline as tl
 from ..operators import vocab as vc
 from ..sources import annotations, files
@@ -256,19 +256,18 @@ def q_vocab_json(spark, sf):
 @query
 def q_label_encode(spark, sf):
     # the vocabulary of one half leaves unknown characters in the other texts
-    vocab = vc.vocabulary(_corpora(spark, sf)[0])
-    rows = vc.encode_labels(a.raw_texts(spark, sf), vocab, "text")
-    return rows.select(
-        "doc_id", F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels")
+    alphabet = vc.Alphabet.load(vc.vocabulary(_corpora(spark, sf)[0]))
+    labels = alphabet.encode(F.col("text"))
+    return a.raw_texts(spark, sf).select(
+        "doc_id", F.array_join(labels.cast("array<string>"), " ").alias("labels")
     )
 
 
 @query
 def q_label_decode(spark, sf):
-    vocab = vc.vocabulary(_corpora(spark, sf)[0])
-    rows = vc.encode_labels(a.clips(spark, sf), vocab)
-    padded = rows.withColumn("labels", F.concat("labels", F.array_repeat(F.lit(-100), 5)))
-    return vc.decode_labels(padded, vocab).select("path", "sentence")
+    alphabet = vc.Alphabet.load(vc.vocabulary(_corpora(spark, sf)[0]))
+    padded = F.concat(alphabet.encode(F.col("sentence")), F.array_repeat(F.lit(-100), 5))
+    return a.clips(spark, sf).select("path", alphabet.decode(padded).alias("sentence"))
 
 
 @query
@@ -406,7 +405,7 @@ def q_dbfs(spark, sf):
 @query
 def q_silence_ranges(spark, sf):
     energy = signal.energy_blocks(a.blocks(spark, sf))
-    found = signal.silence_ranges(
+    found = silence.silence_ranges(
         energy, a.BLOCK_MS, MIN_SILENCE, OFFSET_DB, tile_ms=TILE_MS
     )
     return found.select("recording", "start_ms", "end_ms")
@@ -415,7 +414,7 @@ def q_silence_ranges(spark, sf):
 @query
 def q_chunks(spark, sf):
     energy = signal.energy_blocks(a.blocks(spark, sf))
-    made = signal.segment(energy, a.BLOCK_MS, MIN_SILENCE, OFFSET_DB, tile_ms=TILE_MS)
+    made = silence.segment(energy, a.BLOCK_MS, MIN_SILENCE, OFFSET_DB, tile_ms=TILE_MS)
     return made.select(
         "recording", "chunk_no", tl.chunk_file(F.col("chunk_no")).alias("chunk"), "start_ms", "end_ms"
     )
@@ -485,7 +484,7 @@ def q_timeline(spark, sf):
 @query
 def q_source_times(spark, sf):
     energy = signal.energy_blocks(a.blocks(spark, sf))
-    made = signal.segment(energy, a.BLOCK_MS, MIN_SILENCE, OFFSET_DB, tile_ms=TILE_MS)
+    made = silence.segment(energy, a.BLOCK_MS, MIN_SILENCE, OFFSET_DB, tile_ms=TILE_MS)
     return tl.source_times(made).select("recording", "chunk_no", "start_s", "end_s", "duration_s")
 
 

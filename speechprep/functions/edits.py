@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .text import WS
+from .values import once
 
 # First code point used for word codes: one code point per distinct word.
 _FIRST_CODE = 0x10000
@@ -37,9 +38,18 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
     gets its own character first. Words only the hypothesis has can never match
     and share one.
     """
-    ref, hyp = scoring_words(reference), scoring_words(hypothesis)
-    known = F.array_distinct(ref)
-    return F.levenshtein(_as_code_points(ref, known), _as_code_points(hyp, known))
+
+    def edits(texts: Column) -> Column:
+        ref, hyp = texts["ref"], texts["hyp"]
+        return once(
+            F.array_distinct(ref),
+            lambda known: F.levenshtein(_as_code_points(ref, known), _as_code_points(hyp, known)),
+        )
+
+    words = F.struct(
+        scoring_words(reference).alias("ref"), scoring_words(hypothesis).alias("hyp")
+    )
+    return once(words, edits)
 
 
 def word_count(text: Column) -> Column:

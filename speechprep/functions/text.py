@@ -2,16 +2,19 @@
 
 Every language is a pair of native steps around one shared cleanup: ``before``
 rewrites the raw transcript, then markup is removed, the text is composed (NFC)
-and white space is collapsed, then ``after`` may finish the text. Keeping the
-shared part in one place means a table that mixes languages still makes a
-single trip to Python, and only for the few values that can need composing.
+and white space is collapsed, then ``after`` may finish the text. Spark has no
+function for NFC, so that step is an Arrow UDF; keeping it in the shared part
+means a table that mixes languages makes one trip to Python.
 
 White space and digits are spelled out as code point classes, because the
-``\\s`` of the JVM knows fewer characters than Unicode white space does.
+``\\s`` of the JVM knows fewer characters than Unicode white space does. In
+classes, single Latin characters and one outer range for all the others keep the
+test that almost every character fails down to one comparison.
 """
 
 from __future__ import annotations
 
+import re
 import unicodedata
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -45,30 +48,36 @@ JYA_BRACKETS = "()[]{}"
 JYA_APOSTROPHE = "\ue000"
 # Raw nru transcripts holding one of these are not used.
 NRU_SKIPPED = ("fin peu audible", "BEGAIEMENT")
-# No code point below U+0300 changes under NFC, alone or in any sequence.
-MAY_NEED_NFC = r"[^\x{00}-\x{2FF}]"
 # -----------------------------------------------------------------------------
 
-SPACES = f"[{WS}]+"
+# The same white space for the JVM only: Latin members, then the rest in a range.
+SPACES = (
+    rf"[\t\n\x0B\f\r\x1C\x1D\x1E\x1F \x85\xA0[\x{{1680}}-\x{{3000}}&&[{WS}]]]+"
+)
 
 
-@F.arrow_udf(T.StringType())
-def _nfc(texts: pa.Array) -> pa.Array:
+def _compose_and_collapse(texts: pa.Array) -> pa.Array:
     normalize = unicodedata.normalize
     return pa.array(
-        [None if t is None else normalize("NFC", t) for t in texts.to_pylist()],
+        [None if t is None else " ".join(normalize("NFC", t).split()) for t in texts.to_pylist()],
         pa.string(),
     )
 
 
-def nfc(text: Column) -> Column:
-    """Canonical composition; texts that cannot change never reach Python."""
-    suspect = F.when(text.rlike(MAY_NEED_NFC), text)
-    return F.coalesce(_nfc(suspect), text)
+# Declared non-deterministic so that Catalyst neither copies the call into filters
+# on its result nor runs the steps before it twice.
+_composed = F.arrow_udf(_compose_and_collapse, T.StringType()).asNondeterministic()
 
 
 def delete_chars(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+    """Delete every one of ``chars``."""
+    escape = lambda cs: "".join(rf"\x{{{ord(c):X}}}" for c in cs)
+    latin = [c for c in chars if ord(c) < 0x100]
+    other = [c for c in chars if ord(c) >= 0x100]
+    members = re.sub(r"([^\w\s])", r"\\\1", "".join(latin))
+    if other:
+        members += rf"[\x{{{ord(min(other)):X}}}-\x{{{ord(max(other)):X}}}&&[{escape(other)}]]"
+    return F.regexp_replace(text, f"[{members}]", "")
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -86,45 +95,54 @@ def strip_markup(text: Column) -> Column:
 def clean_markup(text: Column, compose: bool = True) -> Column:
     """The cleanup every language shares. Not idempotent: apply it once."""
     text = strip_markup(text)
-    return collapse_spaces(nfc(text) if compose else text)
+    return _composed(text) if compose else collapse_spaces(text)
+
+
+def _replace(text: Column, old: str, new: str = "") -> Column:
+    return F.replace(text, F.lit(old), F.lit(new))
 
 
 def _before_tdh(text: Column) -> Column:
     text = F.regexp_replace(text, "--+", " ")
-    text = F.translate(text, "-", "")
-    text = F.regexp_replace(text, "…+", " ")
-    text = F.regexp_replace(text, r"\.+", " ")
-    # colon -> length mark, U+1DC9 -> U+0303, U+0335 and signs deleted
-    return F.translate(text, ":\u1dc9\u0335" + TDH_DELETED, "\u02d0\u0303")
+    text = _replace(text, "-")
+    text = F.regexp_replace(text, "[.…]+", " ")
+    text = _replace(text, ":", "\u02d0")
+    text = _replace(text, "\u1dc9", "\u0303")
+    text = _replace(text, "\u0335")
+    return delete_chars(text, TDH_DELETED)
 
 
 def _before_nru(text: Column) -> Column:
-    text = F.replace(text, F.lit("..."), F.lit("…"))
-    text = F.translate(text, "◊" + NRU_DELETED, "|")
+    text = _replace(text, "...", "…")
+    text = _replace(text, "◊", "|")
+    text = delete_chars(text, NRU_DELETED)
     text = F.regexp_replace(text, "m+…", "mmm…")
     return F.regexp_replace(text, "ʰ+", "ʰ")
 
 
 def _before_jya(text: Column) -> Column:
+    ideographs = rf"[\x{{3400}}-\x{{2FA1F}}&&[{HAN}]]+"
     # an apostrophe inside an @word is kept, any other one is deleted below
     text = F.regexp_replace(
         text, rf"((?:@|\G(?!\A))[^{WS}']*)'", f"$1{JYA_APOSTROPHE}"
     )
     # @word followed by its gloss in ideographs: keep the word only
-    text = F.regexp_replace(text, rf"@([^{WS}]+)[{WS}]*[{HAN}]+", "$1")
-    text = F.regexp_replace(text, f"[{HAN}]+", "")
-    text = F.translate(text, "@X", "")
+    text = F.regexp_replace(text, rf"@([^{WS}]+)[{WS}]*{ideographs}", "$1")
+    text = F.regexp_replace(text, ideographs, "")
+    text = delete_chars(text, "@X")
     text = F.regexp_replace(text, "-{2,}", " ")
-    text = F.translate(text, "-", "")
+    text = _replace(text, "-")
     text = F.regexp_replace(text, "[.…]+", " ")
-    text = F.translate(text, "\u0261" + JYA_DELETED, "g")
+    text = _replace(text, "\u0261", "g")
+    text = delete_chars(text, JYA_DELETED)
     text = F.regexp_replace(text, r"\p{Nd}+", "")
     return F.lower(text)
 
 
 def _after_jya(text: Column) -> Column:
-    text = delete_chars(text, JYA_BRACKETS)
-    return collapse_spaces(F.translate(text, JYA_APOSTROPHE, "'"))
+    # the text has no white space but single spaces here
+    text = _replace(delete_chars(text, JYA_BRACKETS), JYA_APOSTROPHE, "'")
+    return F.trim(F.regexp_replace(text, "  +", " "))
 
 
 @dataclass(frozen=True)
@@ -177,7 +195,7 @@ def _by_language(language, table: dict[str, ColumnFn], value: Column, default: C
 def normalize(text: Column, language: str | Column | None = None, compose: bool = True) -> Column:
     """Normalise a transcript for a language; unknown codes get the shared
     cleanup only. ``compose=False`` leaves NFC out, which keeps the expression
-    native: use it to test for emptiness, since NFC never blanks a text."""
+    native."""
     before = {code: lang.before for code, lang in _NORMALIZERS.items()}
     after = {code: lang.after for code, lang in _NORMALIZERS.items() if lang.after}
     text = clean_markup(_by_language(language, before, text, text), compose)
@@ -185,7 +203,8 @@ def normalize(text: Column, language: str | Column | None = None, compose: bool
 
 
 def is_blank(text: Column, language: str | Column | None = None) -> Column:
-    """True where :func:`normalize` gives the empty string."""
+    """True where :func:`normalize` gives the empty string. NFC never blanks a
+    text, so this stays native."""
     return normalize(text, language, compose=False) == ""
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,17 @@ NUMBER = (
 # -----------------------------------------------------------------------------
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time per row. An expression
+    named inside a lambda is otherwise computed again for every element."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def div(value: Column, by: int) -> Column:
+    """Whole-number division, exact for all 64-bit values."""
+    return F.call_function("div", value.cast("bigint"), F.lit(by).cast("bigint"))
+
+
 def parse_seconds(text: Column) -> Column:
     """Seconds from text, null where the text is not a number. Accepts what a
     time code may hold: padding, exponents, digit grouping, infinities."""

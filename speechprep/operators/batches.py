@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import values as v
+from ..functions.values import once
+from .vocab import IGNORED_LABEL
+
 # ---------------------------------------------------------------- fixed values
 VARIANCE_FLOOR = 1e-7
 BATCH_SIZE = 8
 MEGABATCH = 50  # batches sorted by length together
-IGNORED_LABEL = -100
 # -----------------------------------------------------------------------------
 
 
@@ -18,23 +21,15 @@ def scale_features(values: Column) -> Column:
     n = F.size(values)
     add = lambda acc, x: acc + x.cast("double")
     mean = F.aggregate(values, F.lit(0.0), add) / n
-    # the mean is carried in the accumulator, so it is computed once per row
-    moments = F.aggregate(
-        values,
-        F.struct(mean.alias("mean"), F.lit(0.0).alias("sq")),
-        lambda acc, x: F.struct(
-            acc["mean"].alias("mean"),
-            (acc["sq"] + (x - acc["mean"]) * (x - acc["mean"])).alias("sq"),
-        ),
-        lambda acc: F.struct(
-            acc["mean"].alias("mean"), F.sqrt(acc["sq"] / n + VARIANCE_FLOOR).alias("sd")
-        ),
+    spread = lambda m: F.sqrt(
+        F.aggregate(values, F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m)) / n
+        + VARIANCE_FLOOR
     )
-    # a one-element array binds the moments to a name for the whole row
-    scaled = F.transform(
-        F.array(moments), lambda m: F.transform(values, lambda x: (x - m["mean"]) / m["sd"])
+    scaled = once(
+        mean,
+        lambda m: once(spread(m), lambda sd: F.transform(values, lambda x: (x - m) / sd)),
     )
-    return F.when(n > 0, F.get(scaled, F.lit(0))).otherwise(values.cast("array<double>"))
+    return F.when(n > 0, scaled).otherwise(values.cast("array<double>"))
 
 
 def length_batches(
@@ -55,7 +50,7 @@ def length_batches(
     in_shard = Window.partitionBy("shard").orderBy(F.col("_length").desc(), F.col(id_col))
     return (
         rows.withColumns({"shard": hashed % shards, "_length": length})
-        .withColumn("batch_no", F.floor((F.row_number().over(in_shard) - 1) / batch_size))
+        .withColumn("batch_no", v.div(F.row_number().over(in_shard) - 1, batch_size))
         .drop("_length")
     )
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .vocab import strip_separator
+from ..functions.values import once
+from .vocab import ids_to_text
 
 
 def best_classes(frames: Column) -> Column:
@@ -18,23 +19,14 @@ def best_classes(frames: Column) -> Column:
 def collapse(ids: Column, blank: Column | int) -> Column:
     """Runs of one id become one, then blanks go. Order matters: a blank between
     two equal ids keeps them apart."""
-    starts = F.filter(
-        F.transform(
-            ids,
-            lambda x, i: F.struct(
-                x.alias("id"), ((i > 0) & F.get(ids, i - 1).eqNullSafe(x)).alias("repeat")
-            ),
-        ),
-        lambda e: ~e["repeat"] & (e["id"] != blank),
+    kept = lambda all_ids: F.filter(
+        all_ids,
+        lambda x, i: (x != blank) & ((i == 0) | (F.get(all_ids, i - 1) != x)),
     )
-    return F.transform(starts, lambda e: e["id"])
-
-
-def ids_to_text(ids: Column, chars: Column) -> Column:
-    """Text of decoded ids; ``chars`` is the vocabulary in id order."""
-    return strip_separator(F.array_join(F.transform(ids, lambda i: F.get(chars, i)), ""))
+    return once(ids, kept)
 
 
 def decode(frames: Column, chars: Column, blank: Column | int) -> Column:
-    """Frame scores (one array per frame) to text."""
+    """Frame scores (one array per frame) to text; ``chars`` is the vocabulary in
+    id order."""
     return ids_to_text(collapse(best_classes(frames), blank), chars)

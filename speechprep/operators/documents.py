@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import values as v
 from . import running
-from .timeline import non_empty
+from .timeline import chunk_file, non_empty
 
 PART = running.BLOCK  # chunk numbers per document part
 
@@ -50,6 +50,11 @@ def _text(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
 
 
+def _corpus() -> Column:
+    """A document is named after its recording, without folders."""
+    return v.file_name(F.col("recording"))
+
+
 def _parts(pieces: DataFrame, section: int, body: str, part: int) -> DataFrame:
     """Concatenate one text column in chunk order, one row per part."""
     joined = F.expr(f"listagg(`{body}`, '') within group (order by chunk_no)")
@@ -77,6 +82,29 @@ def plain_text(predictions: DataFrame, part: int = PART) -> DataFrame:
     return _parts(pieces.withColumn("_body", _text(" ", F.col("prediction"))), 0, "_body", part)
 
 
+# ------------------------------------------------------------ prediction table
+
+TABLE_COLUMNS = ("Chunk", "Prediction", "Start", "End", "Duration")
+
+
+def _csv_field(value: Column) -> Column:
+    quoted = _text('"', F.replace(value, F.lit('"'), F.lit('""')), '"')
+    return F.when(value.rlike('[",\\r\\n]'), quoted).otherwise(value)
+
+
+def prediction_csv(predictions: DataFrame, recordings: DataFrame, part: int = PART) -> DataFrame:
+    """Prediction tables as comma separated documents, header first."""
+    table = running.with_block(predictions, "chunk_no", part)
+    cells = [
+        chunk_file(F.col("chunk_no")),
+        F.coalesce("prediction", F.lit("")),
+        *[F.col(c).cast("string") for c in ("start_s", "end_s", "duration_s")],
+    ]
+    line = _text(F.concat_ws(",", *map(_csv_field, cells)), "\n")
+    header = _edge(recordings, 0, F.lit(",".join(TABLE_COLUMNS) + "\n"))
+    return header.unionByName(_parts(table.withColumn("_body", line), 1, "_body", part))
+
+
 # -------------------------------------------------------------- annotation XML
 
 
@@ -88,7 +116,7 @@ def sentences(predictions: DataFrame, part: int = PART) -> DataFrame:
     )
     return (
         numbered.withColumn("sentence_no", F.col("_earlier") + 1)
-        .withColumn("sentence_id", v.numbered("%s_S%03d", F.col("recording"), F.col("sentence_no")))
+        .withColumn("sentence_id", v.numbered("%s_S%03d", _corpus(), F.col("sentence_no")))
         .drop("_earlier")
     )
 
@@ -141,7 +169,7 @@ def annotation_xml(
     counts = numbered.groupBy("recording").agg(F.count("*").alias("n"))
     facts = recordings.select("recording").join(counts, "recording", "left")
     tag = _text(
-        '<TEXT id="', _xml_attribute(F.col("recording")),
+        '<TEXT id="', _xml_attribute(_corpus()),
         '" xml:lang="', _xml_attribute(F.lit(language)), '"',
     )
     empty = F.col("n").isNull()

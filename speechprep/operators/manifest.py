@@ -85,18 +85,17 @@ def build_manifest(
 ) -> DataFrame:
     """Kept sentences with their cleaned text, clip name and duration.
 
-    All filters are native and the cheap ones come first; text is composed only
-    for the sentences that stay.
+    The cheap native filters come first; text is normalised once, and only for
+    sentences of a fitting length.
     """
-    text = F.col("text")
-    kept = (
-        with_times(nodes.filter(F.col("reason").isNull()))
-        .filter(duration_kept(F.col("duration_s")))
-        .filter(~tx.is_skipped(text, language) & ~tx.is_blank(text, language))
+    timed = with_times(nodes.filter(F.col("reason").isNull()))
+    fitting = timed.filter(
+        duration_kept(F.col("duration_s")) & ~tx.is_skipped(F.col("text"), language)
     )
-    return kept.select(
+    cleaned = fitting.withColumn("sentence", tx.normalize(F.col("text"), language))
+    return cleaned.filter(F.col("sentence") != "").select(
         clip_name(F.col("recording"), F.col("sent_id")).alias("path"),
-        tx.normalize(F.col("text"), language).alias("sentence"),
+        "sentence",
         v.format_seconds(F.col("duration_s"), 3).alias("duration"),
         "recording",
         "start_s",
@@ -124,6 +123,21 @@ def empty_annotations(paired: DataFrame, nodes: DataFrame) -> DataFrame:
     return paired.filter(F.col("annotation").isNotNull()).join(spans, "stem", "left_anti")
 
 
+def within_recordings(
+    manifest: DataFrame, lengths: DataFrame
+) -> tuple[DataFrame, DataFrame]:
+    """Split a manifest into sentences that start inside their recording, and
+    rejects for those that start past its end. ``lengths`` is ``recording,
+    seconds``; sentences of recordings without a length are left out."""
+    timed = manifest.join(lengths, "recording")
+    inside = F.col("start_s") < F.col("seconds")
+    kept = timed.filter(inside).select(*manifest.columns)
+    past = timed.filter(~inside).select(
+        "recording", "path", F.lit("empty clip").alias("reason")
+    )
+    return kept, past
+
+
 def total_minutes(manifest: DataFrame) -> DataFrame:
     """Minutes of speech kept. Adds up exactly, so the order of rows is no matter."""
     seconds = F.sum(F.col("duration_s").cast("decimal(28,6)")).cast("double")

@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import values as v
+
 BLOCK = 4_096
 
 _REDUCE = {"sum": F.sum, "min": F.min, "max": F.max}
@@ -35,7 +37,7 @@ def with_block(df: DataFrame, pos: str, block: int = BLOCK) -> DataFrame:
     """Add the block of each position, unless it is there already."""
     if block_col(block) in df.columns:
         return df
-    return df.withColumn(block_col(block), F.floor(F.col(pos) / block).cast("bigint"))
+    return df.withColumn(block_col(block), v.div(F.col(pos), block))
 
 
 def before(

@@ -5,6 +5,10 @@ A recording is a set of rows ``recording, block_no, samples``: equal blocks of
 recording together. Work that looks past a block (rolling loudness, resampling)
 runs on tiles that carry a short overlap with their neighbours, and what spans
 tiles is joined up afterwards from a few small rows.
+
+UDFs here are declared non-deterministic although they are not: Catalyst would
+otherwise copy a call into the filter it infers below an explode, and run it
+twice.
 """
 
 from __future__ import annotations
@@ -18,24 +22,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import running
+from ..functions import values as v
 from .manifest import SAMPLE_RATE, clip_windows
 
 # ---------------------------------------------------------------- fixed values
 FULL_SCALE = 32_768
-MIN_SILENCE_MS = 500
-SILENCE_OFFSET_DB = 10
 CHUNK_SECONDS = 25
 # band-limited interpolation: zero crossings each side, and roll-off
 FILTER_ZEROS = 6
 FILTER_ROLLOFF = 0.99
 # -----------------------------------------------------------------------------
 
-TILE_MS = 60_000
-# silences and cuts are numbered in blocks of about an hour
-EDGE_BLOCK_MS = 1 << 22
-
-
 # ------------------------------------------------------------------- channels
 
 
@@ -65,33 +62,34 @@ def seconds_of(samples: Column, rate: int = SAMPLE_RATE) -> Column:
 # -------------------------------------------------------------------- loudness
 
 
-def _millisecond_energies(per_ms: int):
-    """UDF: sum of squares of every ``per_ms`` samples of a block."""
-
-    @F.arrow_udf(T.ArrayType(T.LongType()))
-    def energies(blocks: pa.Array) -> pa.Array:
-        values = blocks.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-        lengths = blocks.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        counts = -(-lengths // per_ms)
-        offsets = np.concatenate([[0], np.cumsum(counts)])
-        starts = np.repeat(np.cumsum(lengths) - lengths, counts) + per_ms * (
-            np.arange(offsets[-1]) - np.repeat(offsets[:-1], counts)
-        )
-        sums = np.add.reduceat(values * values, starts) if len(starts) else values[:0]
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(sums, pa.int64()))
-
-    return energies
+def millisecond_energies(samples: np.ndarray, per_ms: int) -> np.ndarray:
+    """Sum of squares of every ``per_ms`` samples; the last may have fewer."""
+    if not len(samples):
+        return np.zeros(0, np.int64)
+    wide = samples.astype(np.int64)
+    return np.add.reduceat(wide * wide, np.arange(0, len(wide), per_ms))
 
 
 def energy_blocks(blocks: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
     """Blocks of 1 ms energies. Sixteen times fewer values than samples; write
     this relation out when several silence settings are to be tried."""
-    energies = _millisecond_energies(rate // 1000)
+    per_ms = rate // 1000
+
+    @F.arrow_udf(T.ArrayType(T.LongType()))
+    def energies(samples: pa.Array) -> pa.Array:
+        arrays = [
+            millisecond_energies(s.values.to_numpy(zero_copy_only=False), per_ms)
+            if s.is_valid
+            else None
+            for s in samples
+        ]
+        return pa.array(arrays, pa.list_(pa.int64()))
+
     return blocks.select(
         "recording",
         "block_no",
         F.size("samples").alias("n_samples"),
-        energies(F.col("samples")).alias("energy"),
+        energies.asNondeterministic()(F.col("samples")).alias("energy"),
     )
 
 
@@ -106,10 +104,15 @@ def frame_energy(energy: DataFrame, block_ms: int) -> DataFrame:
 def loudness(energy: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
     """Per recording: length, whole-number RMS and loudness relative to full
     scale (null for digital silence). Sums are exact."""
-    block_sum = F.aggregate("energy", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
-    sums = energy.groupBy("recording").agg(
+    total = F.aggregate("energy", F.lit(0).cast("bigint"), lambda acc, x: acc + x)
+    return loudness_of(energy.select("recording", "n_samples", total.alias("squares")), rate)
+
+
+def loudness_of(sums: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
+    """The same from partial sums ``recording, n_samples, squares``."""
+    sums = sums.groupBy("recording").agg(
         F.sum("n_samples").alias("n_samples"),
-        F.sum(block_sum.cast("decimal(28,0)")).alias("squares"),
+        F.sum(F.col("squares").cast("decimal(28,0)")).alias("squares"),
     )
     rms = F.floor(F.sqrt(F.col("squares").cast("double") / F.col("n_samples")))
     return sums.withColumn("rms", rms).select(
@@ -121,198 +124,13 @@ def loudness(energy: DataFrame, rate: int = SAMPLE_RATE) -> DataFrame:
     )
 
 
-# --------------------------------------------------------------------- silence
-
-
-def _silent_runs(min_silence: int, per_ms: int, tile_ms: int):
-    """UDF over the energy blocks of one tile (its own and the overlap): runs of
-    window starts that are silent, as ``[{lo, hi}]``."""
-    kind = T.ArrayType(
-        T.StructType([T.StructField("lo", T.LongType()), T.StructField("hi", T.LongType())])
-    )
-
-    def runs_of(tile: int, blocks: pa.StructArray, length: int, threshold: float) -> list:
-        begin = tile * tile_ms
-        last_start = min(begin + tile_ms - 1, length - min_silence)
-        if last_start < begin:
-            return []
-        energy = np.zeros(last_start - begin + min_silence, np.int64)
-        places = blocks.field("ms").to_numpy(zero_copy_only=False)
-        for at, block in zip(places - begin, blocks.field("energy")):
-            piece = block.values.to_numpy(zero_copy_only=False)[: max(len(energy) - at, 0)]
-            energy[at : at + len(piece)] = piece
-        total = np.concatenate([[0], np.cumsum(energy)])
-        window = total[min_silence:] - total[:-min_silence]
-        rms = np.floor(np.sqrt(window / (min_silence * per_ms)))
-        starts = np.flatnonzero(rms <= threshold) + begin
-        if not len(starts):
-            return []
-        # starts further apart than the minimum belong to different silences
-        new = np.flatnonzero(np.diff(starts) > min_silence)
-        los = starts[np.concatenate([[0], new + 1])]
-        his = starts[np.concatenate([new, [len(starts) - 1]])]
-        return [{"lo": int(lo), "hi": int(hi)} for lo, hi in zip(los, his)]
-
-    @F.arrow_udf(kind)
-    def silent_runs(
-        tile: pa.Array, blocks: pa.Array, length: pa.Array, threshold: pa.Array
-    ) -> pa.Array:
-        rows = zip(tile, blocks, length, threshold)
-        found = [runs_of(t.as_py(), b.values, n.as_py(), x.as_py()) for t, b, n, x in rows]
-        element = pa.struct([("lo", pa.int64()), ("hi", pa.int64())])
-        return pa.array(found, pa.list_(element))
-
-    return silent_runs
-
-
-def silence_ranges(
-    energy: DataFrame,
-    block_ms: int,
-    min_silence: int = MIN_SILENCE_MS,
-    offset_db: float = SILENCE_OFFSET_DB,
-    rate: int = SAMPLE_RATE,
-    tile_ms: int = TILE_MS,
-) -> DataFrame:
-    """Silent ranges ``recording, length_ms, start_ms, end_ms``.
-
-    A window of ``min_silence`` is silent when its whole-number RMS is at most
-    the recording's RMS lowered by ``offset_db``; windows whose starts are no
-    further apart than ``min_silence`` form one range.
-    """
-    tile_ms = block_ms * max(ceil(tile_ms / block_ms), ceil(min_silence / block_ms))
-    keys = ["recording", "tile"]
-
-    # the recording's threshold is spread over its tiles, so it meets them on a
-    # key that no single recording can dominate
-    limits = loudness(energy, rate).select(
-        "recording",
-        "length_ms",
-        (F.col("rms") * F.lit(10.0 ** (-offset_db / 20.0))).alias("threshold"),
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("length_ms") - 1) / tile_ms))
-        ).alias("tile"),
-    )
-
-    # a block belongs to its tile, and to the one before if that looks into it
-    ms = F.col("block_no") * block_ms
-    own = F.floor(ms / tile_ms)
-    into = (own > 0) & (F.pmod(ms, F.lit(tile_ms)) < min_silence)
-    tiles = F.when(into, F.array(own, own - 1)).otherwise(F.array(own))
-    tiled = energy.select(
-        "recording", ms.alias("ms"), "energy", F.explode(tiles).alias("tile")
-    )
-    assembled = tiled.groupBy(*keys).agg(F.collect_list(F.struct("ms", "energy")).alias("blocks"))
-
-    find = _silent_runs(min_silence, rate // 1000, tile_ms)
-    runs = (
-        assembled.join(limits, keys)
-        .withColumn(
-            "runs",
-            find(F.col("tile"), F.col("blocks"), F.col("length_ms"), F.col("threshold")),
-        )
-        .filter(F.size("runs") > 0)
-        .select(*keys, "length_ms", F.posexplode("runs").alias("no", "run"))
-        .select(*keys, "length_ms", "no", "run.lo", "run.hi")
-    )
-    return _join_across_tiles(runs, min_silence, tile_ms)
-
-
-def _join_across_tiles(runs: DataFrame, min_silence: int, tile_ms: int) -> DataFrame:
-    """Merge runs that meet at tile edges. A tile is at least as long as the
-    minimum silence, so only a neighbour's last run can be close enough."""
-    previous = runs.groupBy("recording", (F.col("tile") + 1).alias("tile")).agg(
-        F.max("hi").alias("previous_hi")
-    )
-    near = (F.col("no") == 0) & (F.col("lo") - F.col("previous_hi") <= min_silence)
-    flagged = runs.join(previous, ["recording", "tile"], "left").withColumn(
-        "opens", F.when(near, 0).otherwise(1)
-    )
-    numbered = running.before(
-        flagged, ["recording"], "lo", {"_opened": ("sum", F.col("opens"))}, EDGE_BLOCK_MS
-    )
-    return (
-        numbered.groupBy("recording", (F.col("_opened") + F.col("opens")).alias("range_no"))
-        .agg(
-            F.max("length_ms").alias("length_ms"),
-            F.min("lo").alias("start_ms"),
-            (F.max("hi") + min_silence).alias("end_ms"),
-        )
-        .drop("range_no")
-    )
-
-
-def chunks(ranges: DataFrame, recordings: DataFrame) -> DataFrame:
-    """Chunks ``recording, chunk_no, start_ms, end_ms`` that tile a recording.
-
-    Every silence inside a recording is cut in its middle; silence at either end
-    stays with its chunk. A recording that is one silence has no chunk.
-    ``recordings`` lists ``recording, length_ms`` (see :func:`loudness`).
-    """
-    start, end, length = F.col("start_ms"), F.col("end_ms"), F.col("length_ms")
-    inner = ranges.filter((start > 0) & (end < length))
-    cuts = inner.select(
-        "recording", "length_ms", F.floor((start + end) / 2).cast("bigint").alias("cut")
-    )
-    numbered = running.before(
-        cuts, ["recording"], "cut", {"_earlier": ("sum", F.lit(1))}, EDGE_BLOCK_MS
-    )
-    # each cut ends one chunk and starts the next
-    sides = F.array(
-        F.struct(
-            F.col("_earlier").cast("bigint").alias("chunk_no"),
-            F.lit(None).cast("bigint").alias("start_ms"),
-            F.col("cut").alias("end_ms"),
-        ),
-        F.struct(
-            (F.col("_earlier") + 1).cast("bigint").alias("chunk_no"),
-            F.col("cut").alias("start_ms"),
-            F.lit(None).cast("bigint").alias("end_ms"),
-        ),
-    )
-    bounds = numbered.select("recording", "length_ms", F.inline(sides))
-
-    silent = ranges.filter((start == 0) & (end == length)).select("recording")
-    first = (
-        recordings.join(silent, "recording", "left_anti")
-        .filter(length > 0)
-        .select(
-            "recording",
-            "length_ms",
-            F.lit(0).cast("bigint").alias("chunk_no"),
-            F.lit(0).cast("bigint").alias("start_ms"),
-            F.lit(None).cast("bigint").alias("end_ms"),
-        )
-    )
-    return (
-        first.unionByName(bounds)
-        .groupBy("recording", "chunk_no")
-        .agg(
-            F.max("start_ms").alias("start_ms"),
-            F.coalesce(F.min("end_ms"), F.max("length_ms")).alias("end_ms"),
-        )
-    )
-
-
-def segment(
-    energy: DataFrame,
-    block_ms: int,
-    min_silence: int = MIN_SILENCE_MS,
-    offset_db: float = SILENCE_OFFSET_DB,
-    rate: int = SAMPLE_RATE,
-    tile_ms: int = TILE_MS,
-) -> DataFrame:
-    """Energies to chunks in one call."""
-    ranges = silence_ranges(energy, block_ms, min_silence, offset_db, rate, tile_ms)
-    return chunks(ranges, loudness(energy, rate).select("recording", "length_ms"))
-
-
 # --------------------------------------------------------------------- slicing
 
 
 def cut_samples(
     windows: DataFrame, blocks: DataFrame, block_samples: int, key: str = "path"
 ) -> DataFrame:
-    """Samples of ``recording, start_sample, end_sample`` windows.
+    """Samples of ``recording, start_sample, end_sample`` windows of a block table.
 
     A window asks for the blocks it covers and meets them on (recording,
     block_no); only the pieces it needs are shuffled again. Windows are seconds
@@ -321,23 +139,23 @@ def cut_samples(
     """
     start, end = F.col("start_sample"), F.col("end_sample")
     wanted = windows.filter(end > start).select(
-        key,
         "recording",
+        key,
         "start_sample",
         "end_sample",
         F.explode(
-            F.sequence(F.floor(start / block_samples), F.floor((end - 1) / block_samples))
+            F.sequence(v.div(start, block_samples), v.div(end - 1, block_samples))
         ).alias("block_no"),
     )
     begin = F.col("block_no") * block_samples
     skip = F.greatest(start - begin, F.lit(0)).cast("int")
     take = (F.least(end - begin, F.lit(block_samples)) - skip).cast("int")
     pieces = wanted.join(blocks, ["recording", "block_no"]).select(
-        key, "recording", "block_no", F.slice("samples", skip + 1, take).alias("piece")
+        "recording", key, "block_no", F.slice("samples", skip + 1, take).alias("piece")
     )
     ordered = F.array_sort(F.collect_list(F.struct("block_no", "piece")))
     return (
-        pieces.groupBy(key, "recording")
+        pieces.groupBy("recording", key)
         .agg(F.flatten(F.transform(ordered, lambda p: p["piece"])).alias("samples"))
         .filter(F.size("samples") > 0)
     )
@@ -350,27 +168,19 @@ def cut_clips(
     return cut_samples(clip_windows(manifest, rate, **window), blocks, block_samples)
 
 
-def cut_chunks(
-    segmented: DataFrame,
-    blocks: DataFrame,
-    block_samples: int,
-    rate: int = SAMPLE_RATE,
-    seconds: int = CHUNK_SECONDS,
+def chunk_windows(
+    segmented: DataFrame, rate: int = SAMPLE_RATE, seconds: int = CHUNK_SECONDS
 ) -> DataFrame:
-    """Samples of chunks, cut to the scored length *before* blocks are joined,
-    so an hour without a pause is never assembled."""
-    per_ms = rate // 1000
-    start = F.col("start_ms") * per_ms
-    windows = segmented.select(
+    """Sample bounds of chunks, cut to the scored length: an hour without a pause
+    is never brought together."""
+    start = F.col("start_ms") * (rate // 1000)
+    end = F.col("end_ms") * (rate // 1000)
+    return segmented.select(
         "recording",
         "chunk_no",
-        F.concat_ws("/", "recording", F.col("chunk_no").cast("string")).alias("_key"),
         start.alias("start_sample"),
-        F.least(F.col("end_ms") * per_ms, start + rate * seconds).alias("end_sample"),
+        F.least(end, start + rate * seconds).alias("end_sample"),
     )
-    cut = cut_samples(windows, blocks, block_samples, "_key")
-    number = F.substring_index("_key", "/", -1).cast("bigint")
-    return cut.select("recording", number.alias("chunk_no"), "samples")
 
 
 # ------------------------------------------------------------------ resampling
@@ -452,8 +262,5 @@ def resample(
         ]
         return pa.array(out, pa.list_(pa.float64()))
 
-    return neighbours.select(
-        "recording",
-        "block_no",
-        filtered(F.col("left"), F.col("own"), F.col("right")).alias("samples"),
-    )
+    resampled = filtered.asNondeterministic()(F.col("left"), F.col("own"), F.col("right"))
+    return neighbours.select("recording", "block_no", resampled.alias("samples"))

@@ -2,21 +2,25 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as tx
 
 # ---------------------------------------------------------------- fixed values
 SEPARATOR = "|"
 UNKNOWN, PAD = "[UNK]", "[PAD]"
+IGNORED_LABEL = -100
 # -----------------------------------------------------------------------------
 
-# Encoded characters are carried through translate() as code points from here on.
-_FIRST_CODE = 0xF0000
-_CODES = 0xFFFD
+_CODE_POINTS = 0x110000
 
 
 def corpus_characters(sentences: DataFrame) -> DataFrame:
@@ -53,75 +57,68 @@ def vocabulary_json(vocab: DataFrame) -> DataFrame:
     return vocab.agg(F.to_json(F.map_from_entries(pairs)).alias("json"))
 
 
-_VOCAB = "_vocab"
-
-
-def _attach(df: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Add the vocabulary to every row as one struct: a scalar subquery, so it is
-    computed once and no join is needed."""
-    ordered = F.array_sort(F.collect_list(F.struct("id", "char")))
-    regular = F.filter(ordered, lambda e: ~e["char"].isin(UNKNOWN, PAD))
-    code = lambda e: F.lpad(F.hex(e["id"] + F.lit(_FIRST_CODE)), 8, "0")
-    id_of = lambda name: F.max(F.when(F.col("char") == name, F.col("id")))
-    codes = F.array_join(F.transform(F.slice(regular, 1, _CODES), code), "")
-    one = vocab.agg(
-        F.struct(
-            F.transform(ordered, lambda e: e["char"]).alias("all_chars"),
-            F.transform(regular, lambda e: e["char"]).alias("chars"),
-            F.array_join(F.transform(regular, lambda e: e["char"]), "").alias("known"),
-            F.decode(F.unhex(codes), "UTF-32").alias("codes"),
-            id_of(UNKNOWN).alias("unknown"),
-            id_of(PAD).alias("pad"),
-        )
-    )
-    return df.withColumn(_VOCAB, one.scalar())
-
-
-def encode_labels(
-    df: DataFrame, vocab: DataFrame, text: str = "sentence", output: str = "labels"
-) -> DataFrame:
-    """Add the ids of the characters of a text; spaces count as the separator.
-
-    Every known character is translated to a private code point holding its id,
-    which costs one hash lookup per character whatever the size of the
-    vocabulary; other characters are unknown. Texts that hold such private code
-    points themselves, and vocabularies too large for the range, take a slower
-    way that looks each character up in the vocabulary array.
-    """
-    v = F.col(_VOCAB)
-    spaced = F.replace(F.col(text), F.lit(" "), F.lit(SEPARATOR))
-    split = lambda t: F.filter(F.split(t, ""), lambda c: c != "")
-    fast = F.transform(
-        split(F.call_function("translate", spaced, v["known"], v["codes"])),
-        lambda c: F.ascii(c) - F.lit(_FIRST_CODE),
-    )
-    slow = F.transform(
-        split(spaced), lambda c: (F.array_position(v["chars"], c) - 1).cast("int")
-    )
-    private = rf"[\x{{{_FIRST_CODE:X}}}-\x{{{_FIRST_CODE + _CODES:X}}}]"
-    ids = F.when(
-        F.col(text).rlike(private) | (F.size(v["chars"]) > _CODES), slow
-    ).otherwise(fast)
-    known = lambda i: (i >= 0) & (i < F.size(v["chars"]))
-    labels = F.transform(ids, lambda i: F.when(known(i), i).otherwise(v["unknown"]))
-    return _attach(df, vocab).withColumn(output, labels).drop(_VOCAB)
-
-
-def decode_labels(
-    df: DataFrame,
-    vocab: DataFrame,
-    labels: str = "labels",
-    output: str = "sentence",
-    ignore: int = -100,
-) -> DataFrame:
-    """Add the reference text of label ids: padding is undone and dropped,
-    repeated characters stay."""
-    v = F.col(_VOCAB)
-    real = F.filter(labels, lambda i: (i != ignore) & (i != v["pad"]))
-    text = F.array_join(F.transform(real, lambda i: F.get(v["all_chars"], i)), "")
-    return _attach(df, vocab).withColumn(output, strip_separator(text)).drop(_VOCAB)
-
-
-def strip_separator(text: Column) -> Column:
+@dataclass(frozen=True)
+class Alphabet:
+    """A vocabulary brought to the driver, to encode and decode with. It holds at
+    most one entry per code point, whatever the size of the corpus."""
+
+    chars: tuple[str, ...]
+
+    @classmethod
+    def load(cls, vocab: DataFrame) -> Alphabet:
+        """Run the vocabulary query (or read a stored vocabulary table)."""
+        entries = F.array_sort(F.collect_list(F.struct("id", "char")))
+        row = vocab.agg(F.transform(entries, lambda e: e["char"]).alias("chars")).first()
+        return cls(tuple(row["chars"]))
+
+    @property
+    def unknown_id(self) -> int:
+        return self.chars.index(UNKNOWN)
+
+    @property
+    def pad_id(self) -> int:
+        return self.chars.index(PAD)
+
+    def column(self) -> Column:
+        """All entries in id order, as a literal array."""
+        return F.lit(list(self.chars))
+
+    def encode(self, text: Column) -> Column:
+        """Ids of the characters of a text; spaces count as the separator and
+        characters outside the vocabulary are unknown.
+
+        Arrow UDF: a batch of texts is one table lookup. The native form, a
+        transform over split characters, costs several times as much.
+        """
+        chars, unknown = self.chars, self.unknown_id
+
+        @F.arrow_udf(T.ArrayType(T.IntegerType()))
+        def labels(texts: pa.Array) -> pa.Array:
+            table = np.full(_CODE_POINTS, unknown, np.int32)
+            for i, char in enumerate(chars):
+                if len(char) == 1:
+                    table[ord(char)] = i
+            table[ord(" ")] = table[ord(SEPARATOR)]
+            joined = "".join(t for t in texts.to_pylist() if t is not None)
+            ids = table[np.frombuffer(joined.encode("utf-32-le"), np.uint32)]
+            lengths = pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False)
+            offsets = np.concatenate([[0], np.cumsum(lengths)])
+            return pa.ListArray.from_arrays(
+                pa.array(offsets, pa.int32()), pa.array(ids), mask=texts.is_null()
+            )
+
+        return labels.asNondeterministic()(text)
+
+    def decode(self, labels: Column) -> Column:
+        """Reference text of label ids: padding is undone and dropped, repeated
+        characters stay."""
+        pad = self.pad_id
+        real = F.filter(labels, lambda i: (i != IGNORED_LABEL) & (i != pad))
+        return ids_to_text(real, self.column())
+
+
+def ids_to_text(ids: Column, chars: Column) -> Column:
+    """Text of ids; ``chars`` is the vocabulary in id order."""
+    text = F.array_join(F.transform(ids, lambda i: F.get(chars, i)), "")
     spaced = F.replace(text, F.lit(SEPARATOR), F.lit(" "))
     return F.regexp_replace(spaced, f"^[{tx.WS}]+|[{tx.WS}]+$", "")

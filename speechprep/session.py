@@ -1,4 +1,4 @@
-"""Session settings for local runs and tests.
+"""Session settings for local runs and tests, and materialisation.
 
 On a cluster the session comes from the platform; nothing in the library needs
 settings beyond Spark's defaults, except a bound on Arrow batches of samples.
@@ -6,7 +6,9 @@ settings beyond Spark's defaults, except a bound on Arrow batches of samples.
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSession:
@@ -18,6 +20,8 @@ def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSessio
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.sql.adaptive.enabled", "true")
+        # small tables, heavy expressions: keep all cores busy after a shuffle
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
         # sample arrays are wide: cut Arrow batches by size, not only by rows
         .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
@@ -26,3 +30,21 @@ def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSessio
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def settle(df: DataFrame) -> DataFrame:
+    """Materialise a relation that is costly to make and read by several branches.
+
+    A reliable checkpoint: it survives lost executors and cuts the lineage. The
+    folder is the one the platform names in ``spark.checkpoint.dir``; only a
+    local session without one gets a temporary folder.
+    """
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        shared = context.getConf().get("spark.checkpoint.dir")
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all nodes can reach")
+            shared = tempfile.mkdtemp(prefix="speechprep-")
+        context.setCheckpointDir(shared)
+    return df.checkpoint()

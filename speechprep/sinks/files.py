@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import settle
 from ..sources.storage import resolve
 
 SINGLE_FILE_PARTS = 64
@@ -51,13 +52,14 @@ def _write_texts(texts: DataFrame) -> DataFrame:
 def write_documents(
     parts: DataFrame, targets: DataFrame, single_file_parts: int = SINGLE_FILE_PARTS
 ) -> DataFrame:
-    """Write documents given as parts; returns ``file, bytes`` rows. Lazy: the
-    files are there once the result has been consumed.
+    """Write documents given as parts; returns ``file, bytes`` rows. The files are
+    there once the result has been consumed.
 
     ``targets`` maps ``recording`` to ``file``. A document of up to
     ``single_file_parts`` parts becomes that file. A longer one is written as
     ``<file>.part-<n>``, in order, by as many tasks as there are parts.
     """
+    parts = settle(parts)  # read once for sizes, once for each kind of document
     sizes = parts.groupBy("recording").agg(F.count("*").alias("n_parts"))
     placed = sizes.join(targets.select("recording", "file"), "recording")
 
@@ -98,7 +100,7 @@ def wav_bytes(samples: np.ndarray, rate: int) -> bytes:
 
 def write_clips(clips: DataFrame, directory: str | Column, rate: int) -> DataFrame:
     """Write ``path, samples`` rows as wav files; returns ``file, bytes`` rows.
-    Lazy, like :func:`write_documents`."""
+    The files are there once the result has been consumed."""
     folder = directory if isinstance(directory, Column) else F.lit(directory.rstrip("/"))
     named = clips.select(F.concat(folder, F.lit("/"), F.col("path")).alias("file"), "samples")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import xml.etree.ElementTree as ElementTree
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,7 +13,10 @@ from .. import schemas
 from ..functions import values as v
 
 
-def _nodes(document: str) -> Iterator[tuple]:
+ROWS_PER_BATCH = 10_000
+
+
+def _nodes(document: str | bytes) -> Iterator[tuple]:
     """``pos, sent_id, text, start, end, reason`` of every sentence node.
 
     Sentences are the S children of the root, or its W children where it has no
@@ -53,12 +56,24 @@ def parse_annotations(documents: DataFrame) -> DataFrame:
 
     def parse(batches):
         for batch in batches:
-            for recording, document in zip(batch["recording"], batch["xml"]):
-                rows = [(recording, *row) for row in _nodes(document)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=schemas.NODES.names)
+            rows = []
+            for recording, document in zip(
+                batch["recording"].to_pylist(), batch["xml"].to_pylist()
+            ):
+                rows += [(recording, *row) for row in _nodes(document)]
+                if len(rows) >= ROWS_PER_BATCH:
+                    yield _to_batch(rows)
+                    rows = []
+            if rows:
+                yield _to_batch(rows)
+
+    return documents.select("recording", "xml").mapInArrow(parse, schemas.NODES)
+
 
-    return documents.select("recording", "xml").mapInPandas(parse, schemas.NODES)
+def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string(), pa.int64(), *[pa.string()] * 5]
+    columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), types)]
+    return pa.RecordBatch.from_arrays(columns, schemas.NODES.names)
 
 
 def spans(nodes: DataFrame) -> DataFrame:

@@ -1,22 +1,34 @@
-"""PCM wav files to sample blocks.
+"""PCM wav files, read window by window.
 
-Files are never loaded whole. One pass reads headers; each recording is then cut
-into byte ranges that are spread over the cluster, and a task seeks to its range.
-An hour-long file is hundreds of small reads, so one long recording does not hold
-a task, or a row, to itself.
+Files are never loaded whole. One pass reads headers; after that, work on audio
+is a table of windows (recording and sample bounds) spread evenly over the
+cluster, and a task seeks to the bytes of its windows. An hour-long file is many
+small reads, so one long recording does not hold a task, or a row, to itself, and
+audio is not shuffled.
 """
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
-from ..operators.signal import resample_piece, resampling_kernel
+from ..functions import values as v
+from ..operators import silence
+from ..operators.signal import (
+    loudness_of,
+    millisecond_energies,
+    resample_piece,
+    resampling_kernel,
+)
+from ..session import settle
 from .storage import resolve
 
 # ---------------------------------------------------------------- fixed values
@@ -24,7 +36,8 @@ TARGET_RATE = 16_000
 _PCM, _EXTENSIBLE = 1, 0xFFFE
 # -----------------------------------------------------------------------------
 
-RANGE_BLOCKS = 60  # blocks per read
+RANGE_BLOCKS = 60  # seconds per read
+SAMPLES_PER_BATCH = 4 << 20  # what Python holds back before sending results on
 
 
 def _header(stream, size: int) -> tuple[int, int, int, int, int]:
@@ -100,74 +113,188 @@ def floats_to_pcm16(values: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(values * 32_768), -32_768, 32_767).astype(np.int16)
 
 
-def read_blocks(
+def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
+    """16-bit mono samples ``first .. last - 1`` of a recording at ``rate``. At
+    another rate, a few more frames are read on either side and filtered."""
+    sr, channels, width, frames = row["sr"], row["channels"], row["sample_width"], row["frames"]
+    step, phases, halo = 1, 1, 0
+    if sr != rate:
+        kernel, half, step, phases = resampling_kernel(sr, rate)
+        halo = half + step
+    last = min(last, -(-phases * frames // step))
+    if last <= first:
+        return np.zeros(0, np.int16)
+    group = first // phases
+    begin, end = group * step, min(-(-last // phases) * step, frames)
+    low, high = max(begin - halo, 0), min(end + halo, frames)
+    files, name = resolve(row["path"])
+    with files.open_input_file(name) as stream:
+        stream.seek(row["data_offset"] + low * channels * width)
+        data = stream.read((high - low) * channels * width)
+    values = pcm_to_floats(data, width, channels)
+    mono = values[:, 0] if mode == "first" else values.mean(axis=1)
+    own = mono[begin - low : end - low]
+    if sr != rate:
+        own = resample_piece(mono[: begin - low], own, mono[end - low :], sr, rate)
+    return floats_to_pcm16(own[first - group * phases : last - group * phases])
+
+
+_HEADER_FIELDS = ["path", "sr", "channels", "sample_width", "data_offset", "frames"]
+
+
+def map_windows(
     headers: DataFrame,
+    windows: DataFrame,
+    reduce: Callable[[np.ndarray, dict], Iterable[tuple]],
+    schema: T.StructType,
     mode: str = "mean",
     rate: int = TARGET_RATE,
-    partitions: int | None = None,
 ) -> DataFrame:
-    """One-second blocks of 16-bit mono samples at ``rate``.
+    """Read ``recording, start_sample, end_sample`` windows straight from the
+    files and give ``reduce(samples, window)`` rows.
 
-    Channels are averaged, or the first is taken with ``mode="first"``. Files at
-    another rate are resampled as they are read: a range is read with the few
-    frames its filter looks at on either side.
+    Only bounds are shuffled, never audio: windows of one recording are spread
+    over all tasks, and each reads its own bytes. Results leave Python in small
+    batches.
     """
+    good = headers.filter(F.col("error").isNull()).select(
+        F.col("stem").alias("recording"), *_HEADER_FIELDS
+    )
+    placed = windows.withColumnRenamed("path", "_key") if "path" in windows.columns else windows
+    spread = placed.join(good, "recording").repartition("recording", "start_sample")
+    to_arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            rows, weight = [], 0
+            for window in batch.to_pylist():
+                samples = _read(
+                    window, window["start_sample"], window["end_sample"], mode, rate
+                )
+                rows += reduce(samples, window)
+                weight += len(samples)
+                if weight >= SAMPLES_PER_BATCH:
+                    yield _batch(rows, to_arrow)
+                    rows, weight = [], 0
+            if rows:
+                yield _batch(rows, to_arrow)
+
+    return spread.mapInArrow(run, schema)
+
+
+def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    columns = zip(*rows) if rows else [[] for _ in schema]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), f.type) for c, f in zip(columns, schema)], schema=schema
+    )
+
+
+def _ranges(headers: DataFrame, rate: int, samples: int, overlap: int = 0) -> DataFrame:
+    """Windows of a fixed length that cover every recording: ``tile`` and bounds."""
     good = headers.filter(F.col("error").isNull() & (F.col("frames") > 0))
     seconds = F.ceil(F.col("frames") / F.col("sr"))
-    ranges = good.select(
-        "path", "stem", "sr", "channels", "sample_width", "data_offset", "frames",
-        F.explode(
-            F.sequence(F.lit(0).cast("bigint"), seconds - 1, F.lit(RANGE_BLOCKS).cast("bigint"))
-        ).alias("first_block"),
-    )
-    # ranges of one long file must not stay in the task that listed the file
-    spread = (
-        ranges.repartition(partitions, "path", "first_block")
-        if partitions
-        else ranges.repartition("path", "first_block")
+    last = v.div(seconds * rate - 1, samples)
+    tile = F.col("tile")
+    return good.select(
+        F.col("stem").alias("recording"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("tile"),
+    ).select(
+        "recording",
+        "tile",
+        (tile * samples).alias("start_sample"),
+        ((tile + 1) * samples + overlap).alias("end_sample"),
     )
 
-    def read(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                yield from _read_range(row, mode, rate)
 
-    return spread.mapInArrow(read, schemas.BLOCKS)
+def read_blocks(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) -> DataFrame:
+    """One-second blocks of 16-bit mono samples at ``rate``. Channels are averaged,
+    or the first is taken with ``mode="first"``."""
 
+    def blocks(samples: np.ndarray, window: dict):
+        first = window["start_sample"] // rate
+        for i in range(0, len(samples), rate):
+            yield window["recording"], first + i // rate, rate, samples[i : i + rate]
 
-def _read_range(row: dict, mode: str, rate: int):
-    sr, channels, width, frames = (
-        row["sr"], row["channels"], row["sample_width"], row["frames"],
+    windows = _ranges(headers, rate, RANGE_BLOCKS * rate)
+    return map_windows(headers, windows, blocks, schemas.BLOCKS, mode, rate)
+
+
+def read_windows(
+    headers: DataFrame, windows: DataFrame, key: str, mode: str = "mean", rate: int = TARGET_RATE
+) -> DataFrame:
+    """Samples of windows (clips or chunks): ``recording, <key>, samples``. Windows
+    past the end of a recording give no row."""
+    field = windows.schema[key]
+    renamed = "_key" if key == "path" else key
+
+    def whole(samples: np.ndarray, window: dict):
+        if len(samples):
+            yield window["recording"], window[renamed], samples
+
+    schema = T.StructType([_TEXT_RECORDING, field, _SAMPLES])
+    return map_windows(headers, windows, whole, schema, mode, rate)
+
+
+def measure(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) -> DataFrame:
+    """Length and loudness per recording, see :func:`loudness_of`."""
+
+    def sums(samples: np.ndarray, window: dict):
+        wide = samples.astype(np.int64)
+        yield window["recording"], len(samples), int(wide @ wide)
+
+    schema = T.StructType(
+        [
+            _TEXT_RECORDING,
+            T.StructField("n_samples", T.LongType()),
+            T.StructField("squares", T.LongType()),
+        ]
     )
-    resampled = sr != rate
-    halo = 0
-    if resampled:
-        _, reach, step, _ = resampling_kernel(sr, rate)
-        halo = reach + step
-    begin = row["first_block"] * sr
-    end = min(begin + RANGE_BLOCKS * sr, frames)
-    low, high = max(begin - halo, 0), min(end + halo, frames)
-    files, name = resolve(row["path"])
-    with files.open_input_file(name) as stream:
-        stream.seek(row["data_offset"] + low * channels * width)
-        data = stream.read((high - low) * channels * width)
-    values = pcm_to_floats(data, width, channels)
-    mono = values[:, 0] if mode == "first" else values.mean(axis=1)
-    own = mono[begin - low : end - low]
-    if resampled:
-        own = resample_piece(mono[: begin - low], own, mono[end - low :], sr, rate)
-    samples = floats_to_pcm16(own)
-    blocks = [samples[i : i + rate] for i in range(0, len(samples), rate)]
-    for i, block in enumerate(blocks):
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([row["stem"]], pa.string()),
-                pa.array([row["first_block"] + i], pa.int64()),
-                pa.array([rate], pa.int32()),
-                pa.array([block], pa.list_(pa.int16())),
-            ],
-            schemas.BLOCKS.names,
+    windows = _ranges(headers, rate, RANGE_BLOCKS * rate)
+    return loudness_of(map_windows(headers, windows, sums, schema, mode, rate), rate)
+
+
+def segment(
+    headers: DataFrame,
+    min_silence: int = silence.MIN_SILENCE_MS,
+    offset_db: float = silence.SILENCE_OFFSET_DB,
+    mode: str = "mean",
+    rate: int = TARGET_RATE,
+    tile_ms: int = silence.TILE_MS,
+) -> DataFrame:
+    """Chunks of recordings, cut on silence: ``recording, chunk_no, start_ms,
+    end_ms``. Two passes over the files, and no audio leaves the tasks that read
+    it: the first gives loudness, the second the silent runs of every tile."""
+    tile_ms = silence.tile_length(min_silence, 1, tile_ms)
+    per_ms = rate // 1000
+    loud = settle(measure(headers, mode, rate))
+    limits = silence.thresholds(loud, offset_db, tile_ms)
+    tile = F.col("tile")
+    windows = limits.withColumns(
+        {
+            "start_sample": tile * (tile_ms * per_ms),
+            "end_sample": ((tile + 1) * tile_ms + min_silence) * per_ms,
+        }
+    )
+
+    def runs(samples: np.ndarray, w: dict):
+        energy = millisecond_energies(samples, per_ms)
+        found = silence.silent_runs(
+            energy, w["tile"] * tile_ms, tile_ms, w["length_ms"], min_silence, per_ms,
+            w["threshold"],
         )
+        for no, run in enumerate(found):
+            yield w["recording"], w["tile"], w["length_ms"], no, run["lo"], run["hi"]
+
+    schema = T.StructType(
+        [_TEXT_RECORDING]
+        + [T.StructField(c, T.LongType()) for c in ("tile", "length_ms", "no", "lo", "hi")]
+    )
+    found = map_windows(headers, windows, runs, schema, mode, rate)
+    return silence.chunks(silence.merge_runs(found, min_silence), loud)
+
+
+_TEXT_RECORDING = T.StructField("recording", T.StringType())
+_SAMPLES = T.StructField("samples", T.ArrayType(T.ShortType(), False))
 
 
 def write_block_table(blocks: DataFrame, table: str, buckets: int) -> None:
