@@ -39,8 +39,28 @@ def parse_seconds(text: Column) -> Column:
 
 
 def format_seconds(seconds: Column, digits: int) -> Column:
-    """Fixed-point text, rounding the binary value half to even."""
-    return F.call_function("format_number", seconds, F.lit("0." + "0" * digits))
+    """Fixed-point text, correctly rounded (ties of the binary value to even).
+
+    The JVM's formatters round the shortest decimal form of a double instead,
+    which differs at apparent ties. Here the value is compared exactly with the
+    middle between its two neighbours: both halves of the split double times
+    ``2 * 10 ** digits`` are exact.
+    """
+    unit = 10**digits
+    size = F.abs(seconds)
+    below = F.floor(size * unit).cast("bigint")
+    large = size * 134_217_729.0
+    high = large - (large - size)
+    middle = (2 * below + 1).cast("double")
+    beyond = (high * (2.0 * unit) - middle) + (size - high) * (2.0 * unit)
+    up = (beyond > 0) | ((beyond == 0) & (F.pmod(below, F.lit(2)) == 1))
+    whole = below + up.cast("bigint")
+    return F.concat(
+        F.when(seconds < 0, "-").otherwise(""),
+        div(whole, unit).cast("string"),
+        F.lit("."),
+        F.lpad(F.pmod(whole, F.lit(unit)).cast("string"), digits, "0"),
+    )
 
 
 def to_millis(seconds: Column) -> Column:

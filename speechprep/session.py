@@ -1,7 +1,7 @@
 """Session settings for local runs and tests, and materialisation.
 
 On a cluster the session comes from the platform; nothing in the library needs
-settings beyond Spark's defaults, except a bound on Arrow batches of samples.
+settings beyond Spark's defaults and a ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
@@ -23,8 +23,6 @@ def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSessio
         # small tables, heavy expressions: keep all cores busy after a shuffle
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.sql.session.timeZone", "UTC")
-        # sample arrays are wide: cut Arrow batches by size, not only by rows
-        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
