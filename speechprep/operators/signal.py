@@ -208,6 +208,7 @@ def resample_piece(
     kernel, width, step, phases = resampling_kernel(source, target)
     groups = -(-len(own) // step)
     padded = np.zeros(2 * width + (groups + 1) * step)
+    left = left[-width:]
     padded[width - len(left) : width] = left
     padded[width : width + len(own)] = own
     after = right[: len(padded) - width - len(own)]

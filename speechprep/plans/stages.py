@@ -45,12 +45,7 @@ def prepare(
     recordings = files.scan_recordings(spark, wav_dir)
     listed = files.scan_annotations(spark, xml_dir)
     paired = manifest.pair_annotations(recordings, listed)
-    texts = annotations.read_annotations(spark, xml_dir).select(
-        F.col("path").alias("annotation"), "xml"
-    )
-    nodes = annotations.parse_annotations(
-        paired.join(texts, "annotation").select(F.col("stem").alias("recording"), "xml")
-    )
+    nodes = annotations.parse_annotations(annotations.read_documents(paired))
     headers = audio.read_headers(recordings)
     kept, past_end = manifest.within_recordings(
         manifest.build_manifest(nodes, language),
@@ -105,11 +100,9 @@ def split_corpus(rows: DataFrame, seed: int = split.SEED) -> DataFrame:
 def find_recordings(spark: SparkSession, directory: str) -> DataFrame:
     """``path, stem`` of all recordings below a directory. The stem is the path
     within the directory, since names may repeat in its folders."""
-    path = F.regexp_replace("path", "^file:/+", "/")
-    root = directory.rstrip("/") + "/"
-    inside = F.substr(path, F.lit(len(root) + 1))
+    inside = F.substr("path", F.lit(len(directory.rstrip("/")) + 2))
     return files.scan_recordings(spark, directory, recursive=True).select(
-        path.alias("path"), F.regexp_replace(inside, r"\.[^.]+$", "").alias("stem")
+        "path", F.regexp_replace(inside, r"\.[^.]+$", "").alias("stem")
     )
 
 

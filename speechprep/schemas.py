@@ -11,6 +11,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
+LISTING = _schema(("path", _S), ("directory", T.BooleanType()), ("length", _L))
 # One row per node of an annotation document; ``reason`` is null for spans.
 NODES = _schema(
     ("recording", _S), ("pos", _L), ("sent_id", _S), ("text", _S),

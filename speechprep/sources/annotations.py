@@ -6,11 +6,11 @@ import xml.etree.ElementTree as ElementTree
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions import values as v
+from .storage import read_bytes
 
 
 ROWS_PER_BATCH = 10_000
@@ -80,12 +80,18 @@ def spans(nodes: DataFrame) -> DataFrame:
     return nodes.filter(F.col("reason").isNull()).drop("reason")
 
 
-def read_annotations(spark: SparkSession, directory: str) -> DataFrame:
-    """Annotation documents of a directory as ``path, recording, xml``."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(directory)
-    )
-    # bytes, not text: the parser obeys the document's own encoding declaration
-    return files.select(
-        "path", v.stem(F.col("path")).alias("recording"), F.col("content").alias("xml")
-    )
+def read_documents(paired: DataFrame) -> DataFrame:
+    """``recording, xml`` of paired recordings (``stem, annotation``). Bytes, not
+    text: the parser obeys the document's own encoding declaration."""
+
+    def read(batches):
+        for batch in batches:
+            for stem, path in zip(batch["stem"].to_pylist(), batch["annotation"].to_pylist()):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([stem], pa.string()), pa.array([read_bytes(path)], pa.binary())],
+                    ["recording", "xml"],
+                )
+
+    wanted = paired.filter(F.col("annotation").isNotNull()).select("stem", "annotation")
+    # listings are narrow: spread the reading over the cluster
+    return wanted.repartition("annotation").mapInArrow(read, "recording string, xml binary")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions import values as v
+from .storage import list_directory
 
 # Strings that some CSV readers take for a missing value.
 NA_STRINGS = (
@@ -23,27 +26,52 @@ def is_recording(path, recursive: bool):
     return (F.lower(v.suffix(path)) == ".wav") & ~F.startswith(v.file_name(path), F.lit("_tmp"))
 
 
-def _listing(spark: SparkSession, directory: str, glob: str, recursive: bool) -> DataFrame:
-    # only path and length are selected, so no file is read
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", str(recursive).lower())
-        .load(directory)
-    )
-    return files.select("path", v.stem(F.col("path")).alias("stem"), "length")
+def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
+    """``path, length`` of the files of a directory, hidden ones included (Spark's
+    file sources skip names that start with ``_`` or ``.``). A recursive listing
+    walks the folders of the first level in parallel."""
+
+    def walk(folders: list[str], deep: bool):
+        while folders:
+            entries = list(list_directory(folders.pop()))
+            if entries:
+                columns = [pa.array(c, f.type) for c, f in zip(zip(*entries), _LISTING)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_LISTING)
+            if deep:
+                folders += [path for path, is_folder, _ in entries if is_folder]
+
+    def top(batches):
+        for batch in batches:
+            yield from walk(batch[0].to_pylist(), False)
+
+    def below(batches):
+        for batch in batches:
+            yield from walk(batch[0].to_pylist(), True)
+
+    root = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
+    found = root.mapInArrow(top, schemas.LISTING)
+    if recursive:
+        folders = found.filter("directory").select("path").repartition("path")
+        found = found.unionByName(folders.mapInArrow(below, schemas.LISTING))
+    return found.filter("not directory").select("path", "length")
+
+
+_LISTING = to_arrow_schema(schemas.LISTING)
 
 
 def scan_recordings(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """``path, stem, length`` of the recordings in a directory."""
-    glob = "*.wav" if recursive else "*.[wW][aA][vV]"
-    listed = _listing(spark, directory, glob, recursive)
-    return listed.filter(is_recording(F.col("path"), recursive))
+    listed = list_files(spark, directory, recursive)
+    return _with_stem(listed.filter(is_recording(F.col("path"), recursive)))
 
 
 def scan_annotations(spark: SparkSession, directory: str) -> DataFrame:
     """``path, stem, length`` of the annotation documents in a directory."""
-    return _listing(spark, directory, "*.xml", False)
+    return _with_stem(list_files(spark, directory).filter(F.endswith("path", F.lit(".xml"))))
+
+
+def _with_stem(listed: DataFrame) -> DataFrame:
+    return listed.select("path", v.stem(F.col("path")).alias("stem"), "length")
 
 
 def _read_table(spark: SparkSession, path: str, schema, sep: str, na_values: str | None) -> DataFrame:
@@ -83,12 +111,16 @@ def read_predictions(spark: SparkSession, path: str, na_values: str | None = Non
 
 
 def list_checkpoints(spark: SparkSession, directory: str, run: str = "run") -> DataFrame:
-    """``run, name`` of the checkpoint folders under a training output folder,
-    read off the files inside them."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(f"{directory.rstrip('/')}/checkpoint-*")
+    """``run, name`` of the checkpoint folders of a training output folder."""
+
+    def folders(batches):
+        for batch in batches:
+            for path in batch[0].to_pylist():
+                names = [p.rsplit("/", 1)[1] for p, is_folder, _ in list_directory(path) if is_folder]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
+
+    root = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
+    names = root.mapInArrow(folders, "name string")
+    return names.filter(F.startswith("name", F.lit("checkpoint-"))).select(
+        F.lit(run).alias("run"), "name"
     )
-    name = F.regexp_extract("path", r"/(checkpoint-[^/]+)/", 1)
-    return files.select(F.lit(run).alias("run"), name.alias("name")).distinct()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 from pyarrow import fs
 
@@ -15,3 +16,19 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     if "://" in path:
         return fs.FileSystem.from_uri(path)
     return fs.LocalFileSystem(), path
+
+
+def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
+    """``path, is directory, size`` of the entries of a directory, named the way
+    the directory itself was named."""
+    files, name = resolve(path.rstrip("/"))
+    clean = re.sub(r"^file:/+", "/", path.rstrip("/"))
+    prefix = clean[: -len(name)] if clean.endswith(name) else ""
+    for entry in files.get_file_info(fs.FileSelector(name)):
+        yield prefix + entry.path, entry.type == fs.FileType.Directory, entry.size or 0
+
+
+def read_bytes(path: str) -> bytes:
+    files, name = resolve(path)
+    with files.open_input_stream(name) as stream:
+        return stream.read()
