@@ -13,7 +13,6 @@ twice.
 
 from __future__ import annotations
 
-from functools import lru_cache
 from math import ceil, gcd
 
 import numpy as np
@@ -186,10 +185,18 @@ def chunk_windows(
 # ------------------------------------------------------------------ resampling
 
 
-@lru_cache(maxsize=16)
+_KERNELS: dict[tuple[int, int], tuple] = {}
+
+
 def resampling_kernel(source: int, target: int) -> tuple[np.ndarray, int, int, int]:
     """Polyphase windowed-sinc kernel ``[phases, taps]`` with its half width and
-    the reduced rates."""
+    the reduced rates. Kept for the life of a task."""
+    if (source, target) not in _KERNELS:
+        _KERNELS[source, target] = _make_kernel(source, target)
+    return _KERNELS[source, target]
+
+
+def _make_kernel(source: int, target: int) -> tuple[np.ndarray, int, int, int]:
     common = gcd(source, target)
     source, target = source // common, target // common
     base = min(source, target) * FILTER_ROLLOFF
