@@ -468,8 +468,9 @@ def q_resample(spark, sf):
 
 
 def _timed(spark, sf):
+    # timed in blocks of document parts, which the exports then share
     capped = tl.cap_length(a.chunk_lengths(spark, sf), "length_ms", 1000)
-    return tl.timeline(capped, "length_ms", 1000)
+    return tl.timeline(capped, "length_ms", 1000, documents.PART)
 
 
 def _recordings(spark, sf):
@@ -478,7 +479,9 @@ def _recordings(spark, sf):
 
 @query
 def q_timeline(spark, sf):
-    return _timed(spark, sf).select("recording", "chunk_no", "start_s", "end_s", "duration_s")
+    capped = tl.cap_length(a.chunk_lengths(spark, sf), "length_ms", 1000)
+    timed = tl.timeline(capped, "length_ms", 1000)
+    return timed.select("recording", "chunk_no", "start_s", "end_s", "duration_s")
 
 
 @query

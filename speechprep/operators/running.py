@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as v
 
-BLOCK = 4_096
+BLOCK = 65_536
 
 _REDUCE = {"sum": F.sum, "min": F.min, "max": F.max}
 

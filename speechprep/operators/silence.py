@@ -69,11 +69,12 @@ def tile_length(min_silence: int, block_ms: int, tile_ms: int) -> int:
 
 def thresholds(loud: DataFrame, offset_db: float, tile_ms: int) -> DataFrame:
     """``recording, tile, length_ms, threshold``: a recording's limit, spread over
-    its tiles so that it meets them on a key no single recording can dominate."""
+    its tiles so that it meets them on a key no single recording can dominate.
+    Further columns of ``loud`` are carried along."""
     last = v.div(F.col("length_ms") - 1, tile_ms)
+    kept = [c for c in loud.columns if c not in ("n_samples", "rms", "dbfs")]
     return loud.filter(F.col("length_ms") > 0).select(
-        "recording",
-        "length_ms",
+        *kept,
         (F.col("rms") * F.lit(10.0 ** (-offset_db / 20.0))).alias("threshold"),
         F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("tile"),
     )

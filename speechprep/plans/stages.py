@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import batches, documents, infer, manifest, signal, silence, split, timeline
 from ..operators.vocab import Alphabet
@@ -79,15 +80,21 @@ def clips(prepared: Prepared) -> DataFrame:
 def training_rows(
     rows: DataFrame, clip_samples: DataFrame, alphabet: Alphabet, batch_size: int = batches.BATCH_SIZE
 ) -> DataFrame:
-    """Manifest rows and clips to padded batches of scaled features and labels."""
+    """Manifest rows and clips to padded batches of scaled features and labels.
+
+    Rows are grouped into batches as 16-bit samples; they are scaled after that
+    shuffle, and padded without another one.
+    """
     joined = manifest.join_clips(rows.select("path", "sentence"), clip_samples)
-    encoded = joined.select(
+    batched = batches.length_batches(joined, "path", F.size("samples"), batch_size)
+    encoded = batched.select(
         "path",
-        batches.scale_features(F.col("samples")).alias("input_values"),
+        "shard",
+        "batch_no",
+        batches.scale_features(F.col("samples"), T.FloatType()).alias("input_values"),
         alphabet.encode(F.col("sentence")).alias("labels"),
     )
-    batched = batches.length_batches(encoded, "path", F.size("input_values"), batch_size)
-    return batches.pad_batches(batched, ["shard", "batch_no"])
+    return batches.pad_batches(encoded, ["shard", "batch_no"])
 
 
 def split_corpus(rows: DataFrame, seed: int = split.SEED) -> DataFrame:
@@ -116,6 +123,7 @@ def transcribe(
     times: str = "reference",
 ) -> DataFrame:
     """Segment on silence, score and decode every chunk, and time the results.
+    The result is lazy: store it before exporting, or chunks are scored again.
 
     ``times="reference"`` adds up the scored lengths, ``times="source"`` uses the
     bounds of the chunk in its recording; they differ after a chunk that was too

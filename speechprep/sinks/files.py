@@ -19,7 +19,7 @@ from .. import schemas
 from ..session import settle
 from ..sources.storage import resolve
 
-SINGLE_FILE_PARTS = 64
+SINGLE_FILE_BYTES = 64 << 20
 
 
 def _store(path: str, data: bytes) -> int:
@@ -50,39 +50,38 @@ def _write_texts(texts: DataFrame) -> DataFrame:
 
 
 def write_documents(
-    parts: DataFrame, targets: DataFrame, single_file_parts: int = SINGLE_FILE_PARTS
+    parts: DataFrame, targets: DataFrame, single_file_bytes: int = SINGLE_FILE_BYTES
 ) -> DataFrame:
     """Write documents given as parts; returns ``file, bytes`` rows. The files are
     there once the result has been consumed.
 
     ``targets`` maps ``recording`` to ``file``. A document of up to
-    ``single_file_parts`` parts becomes that file. A longer one is written as
-    ``<file>.part-<n>``, in order, by as many tasks as there are parts.
+    ``single_file_bytes`` becomes that file. A longer one is written as
+    ``<file>.part-<n>``, in order, a file per part.
     """
     parts = settle(parts)  # read once for sizes, once for each kind of document
-    sizes = parts.groupBy("recording").agg(F.count("*").alias("n_parts"))
+    sizes = parts.groupBy("recording").agg(F.sum(F.octet_length("body")).alias("size"))
     placed = sizes.join(targets.select("recording", "file"), "recording")
 
-    small = placed.filter(F.col("n_parts") <= single_file_parts)
+    small = placed.filter(F.col("size") <= single_file_bytes)
     pieces = F.array_sort(F.collect_list(F.struct("section", "part_no", "body")))
     whole = (
-        parts.join(small, "recording", "left_semi")
-        .groupBy("recording")
+        parts.join(small, "recording")
+        .groupBy("recording", "file")
         .agg(F.array_join(F.transform(pieces, lambda p: p["body"]), "").alias("body"))
-        .join(small, "recording")
         .select("file", "body")
     )
 
-    large = placed.filter(F.col("n_parts") > single_file_parts)
+    large = placed.filter(F.col("size") > single_file_bytes)
     # only the order of parts is windowed, not their text
     order = Window.partitionBy("recording").orderBy("section", "part_no")
-    numbers = parts.select(
-        "recording", "section", "part_no", F.row_number().over(order).alias("n")
+    numbers = (
+        parts.join(large, "recording")
+        .select("recording", "file", "section", "part_no")
+        .withColumn("n", F.row_number().over(order))
     )
-    split = (
-        parts.join(numbers, ["recording", "section", "part_no"])
-        .join(large, "recording")
-        .select(F.format_string("%s.part-%06d", "file", "n").alias("file"), "body")
+    split = parts.join(numbers, ["recording", "section", "part_no"]).select(
+        F.format_string("%s.part-%06d", "file", "n").alias("file"), "body"
     )
     return _write_texts(whole.unionByName(split))
 

@@ -36,7 +36,7 @@ TARGET_RATE = 16_000
 _PCM, _EXTENSIBLE = 1, 0xFFFE
 # -----------------------------------------------------------------------------
 
-RANGE_BLOCKS = 60  # seconds per read
+RANGE_SECONDS = 60  # audio per read
 SAMPLES_PER_BATCH = 4 << 20  # what Python holds back before sending results on
 
 
@@ -142,26 +142,27 @@ def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
 _HEADER_FIELDS = ["path", "sr", "channels", "sample_width", "data_offset", "frames"]
 
 
+def _readable(headers: DataFrame) -> DataFrame:
+    good = headers.filter(F.col("error").isNull() & (F.col("frames") > 0))
+    return good.select(F.col("stem").alias("recording"), *_HEADER_FIELDS)
+
+
 def map_windows(
-    headers: DataFrame,
     windows: DataFrame,
     reduce: Callable[[np.ndarray, dict], Iterable[tuple]],
     schema: T.StructType,
     mode: str = "mean",
     rate: int = TARGET_RATE,
 ) -> DataFrame:
-    """Read ``recording, start_sample, end_sample`` windows straight from the
-    files and give ``reduce(samples, window)`` rows.
+    """Read windows straight from the files and give ``reduce(samples, window)``
+    rows. A window has ``recording, start_sample, end_sample`` and the header
+    fields of its recording.
 
     Only bounds are shuffled, never audio: windows of one recording are spread
     over all tasks, and each reads its own bytes. Results leave Python in small
     batches.
     """
-    good = headers.filter(F.col("error").isNull()).select(
-        F.col("stem").alias("recording"), *_HEADER_FIELDS
-    )
-    placed = windows.withColumnRenamed("path", "_key") if "path" in windows.columns else windows
-    spread = placed.join(good, "recording").repartition("recording", "start_sample")
+    spread = windows.repartition("recording", "start_sample")
     to_arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -189,20 +190,13 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     )
 
 
-def _ranges(headers: DataFrame, rate: int, samples: int, overlap: int = 0) -> DataFrame:
-    """Windows of a fixed length that cover every recording: ``tile`` and bounds."""
-    good = headers.filter(F.col("error").isNull() & (F.col("frames") > 0))
+def _ranges(headers: DataFrame, rate: int) -> DataFrame:
+    """Windows of a fixed length that cover every recording."""
+    samples = RANGE_SECONDS * rate
     seconds = F.ceil(F.col("frames") / F.col("sr"))
-    last = v.div(seconds * rate - 1, samples)
-    tile = F.col("tile")
-    return good.select(
-        F.col("stem").alias("recording"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), last)).alias("tile"),
-    ).select(
-        "recording",
-        "tile",
-        (tile * samples).alias("start_sample"),
-        ((tile + 1) * samples + overlap).alias("end_sample"),
+    starts = F.sequence(F.lit(0).cast("bigint"), seconds * rate - 1, F.lit(samples).cast("bigint"))
+    return _readable(headers).select("*", F.explode(starts).alias("start_sample")).withColumn(
+        "end_sample", F.col("start_sample") + samples
     )
 
 
@@ -215,8 +209,7 @@ def read_blocks(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE)
         for i in range(0, len(samples), rate):
             yield window["recording"], first + i // rate, rate, samples[i : i + rate]
 
-    windows = _ranges(headers, rate, RANGE_BLOCKS * rate)
-    return map_windows(headers, windows, blocks, schemas.BLOCKS, mode, rate)
+    return map_windows(_ranges(headers, rate), blocks, schemas.BLOCKS, mode, rate)
 
 
 def read_windows(
@@ -232,7 +225,10 @@ def read_windows(
             yield window["recording"], window[renamed], samples
 
     schema = T.StructType([_TEXT_RECORDING, field, _SAMPLES])
-    return map_windows(headers, windows, whole, schema, mode, rate)
+    placed = windows.select(
+        "recording", F.col(key).alias(renamed), "start_sample", "end_sample"
+    ).join(_readable(headers), "recording")
+    return map_windows(placed, whole, schema, mode, rate)
 
 
 def measure(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) -> DataFrame:
@@ -249,8 +245,7 @@ def measure(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) ->
             T.StructField("squares", T.LongType()),
         ]
     )
-    windows = _ranges(headers, rate, RANGE_BLOCKS * rate)
-    return loudness_of(map_windows(headers, windows, sums, schema, mode, rate), rate)
+    return loudness_of(map_windows(_ranges(headers, rate), sums, schema, mode, rate), rate)
 
 
 def segment(
@@ -267,7 +262,8 @@ def segment(
     tile_ms = silence.tile_length(min_silence, 1, tile_ms)
     per_ms = rate // 1000
     loud = settle(measure(headers, mode, rate))
-    limits = silence.thresholds(loud, offset_db, tile_ms)
+    # one row per recording on both sides; tiles are spread out after the join
+    limits = silence.thresholds(loud.join(_readable(headers), "recording"), offset_db, tile_ms)
     tile = F.col("tile")
     windows = limits.withColumns(
         {
@@ -289,7 +285,7 @@ def segment(
         [_TEXT_RECORDING]
         + [T.StructField(c, T.LongType()) for c in ("tile", "length_ms", "no", "lo", "hi")]
     )
-    found = map_windows(headers, windows, runs, schema, mode, rate)
+    found = map_windows(windows, runs, schema, mode, rate)
     return silence.chunks(silence.merge_runs(found, min_silence), loud)
 
 

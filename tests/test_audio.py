@@ -44,7 +44,7 @@ def test_long_file_is_read_by_many_tasks(spark, tmp_path):
     rows = blocks.orderBy("block_no").collect()
     assert [r.block_no for r in rows] == list(range(200))
     np.testing.assert_array_equal(np.concatenate([r.samples for r in rows]) / 32_768, x)
-    ranges = audio._ranges(headers, 8_000, audio.RANGE_BLOCKS * 8_000)
+    ranges = audio._ranges(headers, 8_000)
     assert ranges.count() == 4
 
 

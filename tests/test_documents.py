@@ -169,11 +169,11 @@ def test_documents_are_written_whole_or_in_ordered_parts(spark, tmp_path):
         "/in_result/R.txt", "/in_result/sub/Q&A.txt", "/in_result/silent.txt",
     ]
     local = targets.withColumn("file", F.concat(F.lit(str(tmp_path)), "file"))
-    for limit in (64, 3):
+    for limit in (1 << 20, 40):
         written = file_sinks.write_documents(parts, local, limit).collect()
         for name, file in (("R", "in_result/R.txt"), ("sub/Q", "in_result/sub/Q&A.txt")):
             mine = sorted(r.file for r in written if f"/{file}" in r.file)
-            assert (len(mine) == 1) == (limit == 64)
+            assert (len(mine) == 1) == (limit > 40)
             assert "".join(open(f, encoding="utf-8").read() for f in mine) == whole[name]
 
 

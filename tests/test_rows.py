@@ -134,7 +134,7 @@ def test_windows_over_rows_are_bounded_by_blocks(spark):
     plan = running.before(df, ["k"], "p", {"s": ("sum", F.col("x"))})
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     row_windows = [line for line in text.splitlines() if "Window [sum(x" in line]
-    assert row_windows and all("_block_4096" in line for line in row_windows)
+    assert row_windows and all("_block_65536" in line for line in row_windows)
 
 
 def stop_by_loop(scores, patience):
