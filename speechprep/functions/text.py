@@ -69,14 +69,14 @@ def _compose_and_collapse(texts: pa.Array) -> pa.Array:
 _composed = F.arrow_udf(_compose_and_collapse, T.StringType()).asNondeterministic()
 
 
-def delete_chars(text: Column, chars: str) -> Column:
-    """Delete every one of ``chars``."""
-    escape = lambda cs: "".join(rf"\x{{{ord(c):X}}}" for c in cs)
+def delete_chars(text: Column, chars: str, more: str = "") -> Column:
+    """Delete every one of ``chars``, and what the class members ``more`` match."""
     latin = [c for c in chars if ord(c) < 0x100]
     other = [c for c in chars if ord(c) >= 0x100]
-    members = re.sub(r"([^\w\s])", r"\\\1", "".join(latin))
+    members = re.sub(r"([^\w\s])", r"\\\1", "".join(latin)) + more
     if other:
-        members += rf"[\x{{{ord(min(other)):X}}}-\x{{{ord(max(other)):X}}}&&[{escape(other)}]]"
+        listed = "".join(rf"\x{{{ord(c):X}}}" for c in other)
+        members += rf"[\x{{{ord(min(other)):X}}}-\x{{{ord(max(other)):X}}}&&[{listed}]]"
     return F.regexp_replace(text, f"[{members}]", "")
 
 
@@ -103,13 +103,12 @@ def _replace(text: Column, old: str, new: str = "") -> Column:
 
 
 def _before_tdh(text: Column) -> Column:
-    text = F.regexp_replace(text, "--+", " ")
+    # dashes and dots leave white space, which is collapsed later
+    text = F.regexp_replace(text, "--+|[.…]+", " ")
     text = _replace(text, "-")
-    text = F.regexp_replace(text, "[.…]+", " ")
     text = _replace(text, ":", "\u02d0")
     text = _replace(text, "\u1dc9", "\u0303")
-    text = _replace(text, "\u0335")
-    return delete_chars(text, TDH_DELETED)
+    return delete_chars(text, "\u0335" + TDH_DELETED)
 
 
 def _before_nru(text: Column) -> Column:
@@ -121,21 +120,17 @@ def _before_nru(text: Column) -> Column:
 
 
 def _before_jya(text: Column) -> Column:
-    ideographs = rf"[\x{{3400}}-\x{{2FA1F}}&&[{HAN}]]+"
+    ideograph = rf"[\x{{3400}}-\x{{2FA1F}}&&[{HAN}]]"
     # an apostrophe inside an @word is kept, any other one is deleted below
-    text = F.regexp_replace(
-        text, rf"((?:@|\G(?!\A))[^{WS}']*)'", f"$1{JYA_APOSTROPHE}"
-    )
+    kept = F.regexp_replace(text, rf"((?:@|\G(?!\A))[^{WS}']*)'", f"$1{JYA_APOSTROPHE}")
     # @word followed by its gloss in ideographs: keep the word only
-    text = F.regexp_replace(text, rf"@([^{WS}]+)[{WS}]*{ideographs}", "$1")
-    text = F.regexp_replace(text, ideographs, "")
-    text = delete_chars(text, "@X")
-    text = F.regexp_replace(text, "-{2,}", " ")
+    word = F.regexp_replace(kept, rf"@([^{WS}]+)[{WS}]*{ideograph}+", "$1")
+    text = F.when(F.contains(text, F.lit("@")), word).otherwise(text)
+    text = delete_chars(text, "@X", ideograph)
+    text = F.regexp_replace(text, "--+|[.…]+", " ")
     text = _replace(text, "-")
-    text = F.regexp_replace(text, "[.…]+", " ")
     text = _replace(text, "\u0261", "g")
-    text = delete_chars(text, JYA_DELETED)
-    text = F.regexp_replace(text, r"\p{Nd}+", "")
+    text = delete_chars(text, JYA_DELETED, r"\p{Nd}")
     return F.lower(text)
 
 
