@@ -166,7 +166,7 @@ def annotation_xml(
     gets a document, also those without any text."""
     numbered = sentences(predictions, part)
     body = _parts(numbered.withColumn("_body", sentence_element(numbered)), 1, "_body", part)
-    counts = numbered.groupBy("recording").agg(F.count("*").alias("n"))
+    counts = non_empty(predictions).groupBy("recording").agg(F.count("*").alias("n"))
     facts = recordings.select("recording").join(counts, "recording", "left")
     tag = _text(
         '<TEXT id="', _xml_attribute(_corpus()),
@@ -181,16 +181,19 @@ def annotation_xml(
 # -------------------------------------------------------------------- tier XML
 
 
+def _with_words(predictions: DataFrame, words: bool) -> DataFrame:
+    split = tx.split_words(F.col("prediction")) if words else F.array().cast("array<string>")
+    return non_empty(predictions).withColumn(_WORDS, split)
+
+
 def annotations(predictions: DataFrame, words: bool = True, part: int = PART) -> DataFrame:
     """Number sentences, their annotations and time slots.
 
     Sentences and words share one counter: a sentence comes first, then its
     words. Adds ``sentence_no``, ``ann_no`` and the word list.
     """
-    word_list = tx.split_words(F.col("prediction")) if words else F.array().cast("array<string>")
-    kept = non_empty(predictions).withColumn(_WORDS, word_list)
     return running.before(
-        kept,
+        _with_words(predictions, words),
         ["recording"],
         "chunk_no",
         {
@@ -321,8 +324,9 @@ def tier_xml(
         .select("recording", "section", "part_no", "body")
     )
 
-    counts = numbered.groupBy("recording").agg(
-        F.max(F.col("ann_no") + F.size(_WORDS)).alias("last_id"),
+    # ids run from 1 without gaps, so the last one is their number
+    counts = _with_words(predictions, words).groupBy("recording").agg(
+        F.sum(F.size(_WORDS) + 1).alias("last_id"),
         F.max(F.size(_WORDS)).alias("most_words"),
     )
     media = "media" in recordings.columns

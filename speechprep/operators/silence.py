@@ -11,7 +11,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,7 +135,8 @@ def silence_ranges(
     tile_ms: int = TILE_MS,
     loud: DataFrame | None = None,
 ) -> DataFrame:
-    """Silent ranges ``recording, length_ms, start_ms, end_ms``.
+    """Silent ranges ``recording, range_no, length_ms, start_ms, end_ms``. Numbers
+    count from 1 in order; a range at the very start of a recording is number 0.
 
     A window of ``min_silence`` is silent when its whole-number RMS is at most
     the recording's RMS lowered by ``offset_db``; windows whose starts are no
@@ -157,20 +158,19 @@ def merge_runs(runs: DataFrame, min_silence: int) -> DataFrame:
         F.max("hi").alias("previous_hi")
     )
     near = (F.col("no") == 0) & (F.col("lo") - F.col("previous_hi") <= min_silence)
+    # a range at the very start opens nothing, so ranges after it count from 1
     flagged = runs.join(previous, ["recording", "tile"], "left").withColumn(
-        "opens", F.when(near, 0).otherwise(1)
+        "opens", F.when(near | (F.col("lo") == 0), 0).otherwise(1)
     )
     numbered = running.before(
         flagged, ["recording"], "lo", {"_opened": ("sum", F.col("opens"))}, EDGE_BLOCK_MS
     )
-    return (
-        numbered.groupBy("recording", (F.col("_opened") + F.col("opens")).alias("range_no"))
-        .agg(
-            F.max("length_ms").alias("length_ms"),
-            F.min("lo").alias("start_ms"),
-            (F.max("hi") + min_silence).alias("end_ms"),
-        )
-        .drop("range_no")
+    return numbered.groupBy(
+        "recording", (F.col("_opened") + F.col("opens")).cast("bigint").alias("range_no")
+    ).agg(
+        F.max("length_ms").alias("length_ms"),
+        F.min("lo").alias("start_ms"),
+        (F.max("hi") + min_silence).alias("end_ms"),
     )
 
 
@@ -182,47 +182,37 @@ def chunks(ranges: DataFrame, recordings: DataFrame) -> DataFrame:
     ``recordings`` lists ``recording, length_ms`` (see :func:`loudness`).
     """
     start, end, length = F.col("start_ms"), F.col("end_ms"), F.col("length_ms")
-    inner = ranges.filter((start > 0) & (end < length))
-    cuts = inner.select(
-        "recording", "length_ms", v.div(start + end, 2).alias("cut")
-    )
-    numbered = running.before(
-        cuts, ["recording"], "cut", {"_earlier": ("sum", F.lit(1))}, EDGE_BLOCK_MS
-    )
-    # each cut ends one chunk and starts the next
-    sides = F.array(
-        F.struct(
-            F.col("_earlier").cast("bigint").alias("chunk_no"),
-            F.lit(None).cast("bigint").alias("start_ms"),
-            F.col("cut").alias("end_ms"),
-        ),
-        F.struct(
-            (F.col("_earlier") + 1).cast("bigint").alias("chunk_no"),
-            F.col("cut").alias("start_ms"),
-            F.lit(None).cast("bigint").alias("end_ms"),
-        ),
-    )
-    bounds = numbered.select("recording", "length_ms", F.inline(sides))
-
-    silent = ranges.filter((start == 0) & (end == length)).select("recording")
-    first = (
-        recordings.join(silent, "recording", "left_anti")
-        .filter(length > 0)
-        .select(
-            "recording",
-            "length_ms",
-            F.lit(0).cast("bigint").alias("chunk_no"),
-            F.lit(0).cast("bigint").alias("start_ms"),
-            F.lit(None).cast("bigint").alias("end_ms"),
+    number, cut = F.col("range_no"), v.div(start + end, 2)
+    nothing = F.lit(None).cast("bigint")
+
+    def bound(chunk_no: Column, begins: Column, ends: Column, silent: bool = False) -> Column:
+        return F.struct(
+            chunk_no.cast("bigint").alias("chunk_no"),
+            begins.cast("bigint").alias("start_ms"),
+            ends.cast("bigint").alias("end_ms"),
+            F.lit(silent).alias("silent"),
         )
+
+    # a cut ends one chunk and starts the next; silence throughout voids the first
+    bounds = F.when(
+        (start > 0) & (end < length),
+        F.array(bound(number - 1, nothing, cut), bound(number, cut, nothing)),
+    ).when(
+        (start == 0) & (end == length), F.array(bound(number, nothing, nothing, True))
+    )
+    first = F.array(bound(F.lit(0), F.lit(0), nothing))
+    rows = ranges.select("recording", "length_ms", F.inline(bounds)).unionByName(
+        recordings.filter(length > 0).select("recording", "length_ms", F.inline(first))
     )
     return (
-        first.unionByName(bounds)
-        .groupBy("recording", "chunk_no")
+        rows.groupBy("recording", "chunk_no")
         .agg(
             F.max("start_ms").alias("start_ms"),
             F.coalesce(F.min("end_ms"), F.max("length_ms")).alias("end_ms"),
+            F.bool_or("silent").alias("silent"),
         )
+        .filter(~F.col("silent"))
+        .drop("silent")
     )
 
 
