@@ -563,7 +563,7 @@ def all_oracles() -> dict[str, str]:
             FROM timed""",
         "q_nonempty": f"""WITH {EVENTS} SELECT recording, chunk_no, prediction FROM chunks
             WHERE prediction <> ''""",
-        "q_plain_text": f"""WITH {EVENTS} SELECT recording, 0 AS section, chunk_no // {PART} AS part_no,
+        "q_plain_text": f"""WITH {EVENTS} SELECT recording, 1 AS section, chunk_no // {PART} AS part_no,
             string_agg(' ' || prediction, '' ORDER BY chunk_no) AS body FROM kept
             GROUP BY recording, chunk_no // {PART}""",
         "q_pangloss_rows": f"""WITH {EVENTS} SELECT recording, chunk_no, recording || '_S'

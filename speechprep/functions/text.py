@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -24,6 +25,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .values import once
+
 ColumnFn = Callable[[Column], Column]
 
 # ---------------------------------------------------------------- fixed values
@@ -191,10 +194,15 @@ def normalize(text: Column, language: str | Column | None = None, compose: bool
     """Normalise a transcript for a language; unknown codes get the shared
     cleanup only. ``compose=False`` leaves NFC out, which keeps the expression
     native."""
+    if isinstance(language, str) and language not in _NORMALIZERS:
+        warnings.warn(f"no normalizer for {language!r}: shared cleanup only", stacklevel=2)
     before = {code: lang.before for code, lang in _NORMALIZERS.items()}
     after = {code: lang.after for code, lang in _NORMALIZERS.items() if lang.after}
     text = clean_markup(_by_language(language, before, text, text), compose)
-    return _by_language(language, after, text, text)
+    if not isinstance(language, Column):
+        return _by_language(language, after, text, text)
+    # the branches share one cleaned text
+    return once(text, lambda t: _by_language(language, after, t, t))
 
 
 def is_blank(text: Column, language: str | Column | None = None) -> Column:

@@ -76,10 +76,16 @@ def _edge(facts: DataFrame, section: int, body: Column) -> DataFrame:
 # ------------------------------------------------------------------ plain text
 
 
-def plain_text(predictions: DataFrame, part: int = PART) -> DataFrame:
-    """Texts in order, a space before each."""
+def plain_text(
+    predictions: DataFrame, recordings: DataFrame | None = None, part: int = PART
+) -> DataFrame:
+    """Texts in order, a space before each. With ``recordings``, those without any
+    text get an empty document."""
     pieces = running.with_block(non_empty(predictions), "chunk_no", part)
-    return _parts(pieces.withColumn("_body", _text(" ", F.col("prediction"))), 0, "_body", part)
+    body = _parts(pieces.withColumn("_body", _text(" ", F.col("prediction"))), 1, "_body", part)
+    if recordings is None:
+        return body
+    return _edge(recordings, 0, F.lit("")).unionByName(body)
 
 
 # ------------------------------------------------------------ prediction table

@@ -157,7 +157,7 @@ def export(
         "tsv": documents.prediction_csv(predictions, listed),
         "xml": documents.annotation_xml(predictions, listed, language),
         "eaf": documents.tier_xml(predictions, listed, language, date, words),
-        "txt": documents.plain_text(predictions),
+        "txt": documents.plain_text(predictions, listed),
     }
     written = None
     for extension, parts in kinds.items():

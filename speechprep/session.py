@@ -30,6 +30,15 @@ def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSessio
     return spark
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Spread narrow rows that stand for heavy work (a file to open, a stretch of
+    audio to read) over all tasks. The number is fixed, because adaptive execution
+    would judge by the size of the rows and put them all into one task."""
+    spark = df.sparkSession
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Materialise a relation that is costly to make and read by several branches.
 

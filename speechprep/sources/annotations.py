@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..session import spread
 from .storage import read_bytes
 
 
@@ -93,5 +94,4 @@ def read_documents(paired: DataFrame) -> DataFrame:
                 )
 
     wanted = paired.filter(F.col("annotation").isNotNull()).select("stem", "annotation")
-    # listings are narrow: spread the reading over the cluster
-    return wanted.repartition("annotation").mapInArrow(read, "recording string, xml binary")
+    return spread(wanted, "annotation").mapInArrow(read, "recording string, xml binary")

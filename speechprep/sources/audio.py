@@ -28,7 +28,7 @@ from ..operators.signal import (
     resample_piece,
     resampling_kernel,
 )
-from ..session import settle
+from ..session import settle, spread
 from .storage import resolve
 
 # ---------------------------------------------------------------- fixed values
@@ -87,7 +87,7 @@ def read_headers(recordings: DataFrame) -> DataFrame:
                 schemas.WAV_HEADERS.names,
             )
 
-    return recordings.select("path", "stem").mapInArrow(read, schemas.WAV_HEADERS)
+    return spread(recordings.select("path", "stem"), "path").mapInArrow(read, schemas.WAV_HEADERS)
 
 
 _HEADER_TYPES = [
@@ -162,7 +162,6 @@ def map_windows(
     over all tasks, and each reads its own bytes. Results leave Python in small
     batches.
     """
-    spread = windows.repartition("recording", "start_sample")
     to_arrow = to_arrow_schema(schema)
 
     def run(batches):
@@ -180,7 +179,7 @@ def map_windows(
             if rows:
                 yield _batch(rows, to_arrow)
 
-    return spread.mapInArrow(run, schema)
+    return spread(windows, "recording", "start_sample").mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:

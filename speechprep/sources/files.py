@@ -9,6 +9,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions import values as v
+from ..session import spread
 from .storage import list_directory
 
 # Strings that some CSV readers take for a missing value.
@@ -51,7 +52,7 @@ def list_files(spark: SparkSession, directory: str, recursive: bool = False) ->
     root = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
     found = root.mapInArrow(top, schemas.LISTING)
     if recursive:
-        folders = found.filter("directory").select("path").repartition("path")
+        folders = spread(found.filter("directory").select("path"), "path")
         found = found.unionByName(folders.mapInArrow(below, schemas.LISTING))
     return found.filter("not directory").select("path", "length")
 

@@ -65,9 +65,9 @@ def test_timeline(spark):
 @pytest.mark.parametrize("part", [5, 64, 4096])
 def test_plain_text(spark, part):
     timed = predictions(spark)
-    got = assemble(documents.plain_text(timed, part))
-    want = {k: "".join(" " + r.prediction for r in v) for k, v in kept_rows(timed).items() if v}
-    assert got == want
+    want = {k: "".join(" " + r.prediction for r in v) for k, v in kept_rows(timed).items()}
+    assert assemble(documents.plain_text(timed, recordings(spark), part)) == want
+    assert assemble(documents.plain_text(timed, part=part)) == {k: t for k, t in want.items() if t}
 
 
 @pytest.mark.parametrize("part", [5, 4096])
@@ -160,7 +160,7 @@ def test_prediction_csv_reads_back(spark, tmp_path):
 
 def test_documents_are_written_whole_or_in_ordered_parts(spark, tmp_path):
     timed = predictions(spark)
-    parts = documents.plain_text(timed, 8)
+    parts = documents.plain_text(timed, part=8)
     whole = assemble(parts)
     targets = recordings(spark).select(
         "recording", timeline.result_path(F.col("media"), "/in", "txt").alias("file")

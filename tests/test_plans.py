@@ -134,7 +134,7 @@ def test_transcription_and_exports(spark, tmp_path):
     written = stages.export(predictions, recordings, str(audio_dir), "tdh", "2024-01-01T00:00:00+00:00")
     names = {r.file[len(str(tmp_path)) + 1 :] for r in written.collect()}
     folder = tmp_path / "new_result"
-    assert names >= {f"new_result/{s}.{e}" for s in ("A", "sub/A", "long") for e in ("tsv", "xml", "eaf", "txt")}
+    assert names >= {f"new_result/{s}.{e}" for s in ("A", "sub/A", "sub/quiet", "long") for e in ("tsv", "xml", "eaf", "txt")}
     assert (folder / "sub" / "quiet.tsv").read_text().startswith("Chunk,Prediction,Start,End,Duration\n")
     assert (folder / "A.txt").read_text() == " a b a"
     root = ET.parse(folder / "sub" / "A.xml").getroot()

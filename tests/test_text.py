@@ -118,3 +118,12 @@ def test_paths(spark):
     assert apply(spark, paths, v.stem) == ["b.c", "x", ".hidden", "A B"]
     assert apply(spark, paths, v.suffix) == [".wav", "", "", ".WAV"]
     assert apply(spark, paths, v.parent) == ["/a", "", "/d", "file:/q"]
+
+
+@pytest.mark.parametrize("language", [None, "jya", F.col])
+def test_text_goes_to_python_once(spark, language):
+    df = spark.createDataFrame([("a", "jya")], "t string, language string")
+    code = language("language") if callable(language) else language
+    cleaned = df.withColumn("r", tx.normalize(F.col("t"), code)).filter("r != ''")
+    plan = cleaned._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_compose_and_collapse(") == 1
