@@ -239,27 +239,26 @@ def resample(
     if size % step or size < reach:
         raise ValueError(f"blocks of {size} samples do not fit a {source}->{target} filter")
     samples = F.col("samples")
-    n = F.size(samples)
-    pieces = F.array(
-        F.struct(F.col("block_no").alias("block_no"), F.lit(0).alias("side"), samples.alias("piece")),
+    none = F.lit(None).cast(blocks.schema["samples"].dataType)
+    tail = F.slice(samples, F.greatest(F.size(samples) - width + 1, F.lit(1)), width)
+    edges = F.array(
         F.struct(
-            (F.col("block_no") + 1).alias("block_no"),
-            F.lit(-1).alias("side"),
-            F.slice(samples, F.greatest(n - width + 1, F.lit(1)), width).alias("piece"),
+            (F.col("block_no") + 1).alias("block_no"), tail.alias("left"), none.alias("right")
         ),
         F.struct(
             (F.col("block_no") - 1).alias("block_no"),
-            F.lit(1).alias("side"),
-            F.slice(samples, 1, reach).alias("piece"),
+            none.alias("left"),
+            F.slice(samples, 1, reach).alias("right"),
         ),
     )
-    side = lambda s: F.max(F.when(F.col("side") == s, F.col("piece")))
-    neighbours = (
-        blocks.select("recording", F.inline(pieces))
-        .groupBy("recording", "block_no")
-        .agg(side(-1).alias("left"), side(0).alias("own"), side(1).alias("right"))
-        .filter(F.col("own").isNotNull())
+    keys = ["recording", "block_no"]
+    # only edges are grouped; a block table bucketed by the keys stays in place
+    sides = (
+        blocks.select("recording", F.inline(edges))
+        .groupBy(*keys)
+        .agg(F.max("left").alias("left"), F.max("right").alias("right"))
     )
+    neighbours = blocks.withColumnRenamed("samples", "own").join(sides, keys, "left")
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def filtered(left: pa.Array, own: pa.Array, right: pa.Array) -> pa.Array:

@@ -28,7 +28,7 @@ RATE = audio.TARGET_RATE
 
 @dataclass(frozen=True)
 class Prepared:
-    """Relations of a prepared corpus; all lazy."""
+    """Relations of a prepared corpus, lazy views on what ``prepare`` read."""
 
     manifest: DataFrame  # path, sentence, duration, recording, start_s, end_s, duration_s
     rejects: DataFrame  # recording, pos, sent_id, reason
@@ -42,12 +42,16 @@ def prepare(
     spark: SparkSession, wav_dir: str, xml_dir: str, language: str | None = None
 ) -> Prepared:
     """Pair, parse, filter and normalise. No audio is decoded for this: only wav
-    headers are read, to tell which sentences start after the recording ends."""
-    recordings = files.scan_recordings(spark, wav_dir)
-    listed = files.scan_annotations(spark, xml_dir)
+    headers are read, to tell which sentences start after the recording ends.
+
+    Directories, documents and headers are read here, once; the relations that
+    come out are computed from checkpoints of them.
+    """
+    recordings = settle(files.scan_recordings(spark, wav_dir))
+    listed = settle(files.scan_annotations(spark, xml_dir))
     paired = manifest.pair_annotations(recordings, listed)
-    nodes = annotations.parse_annotations(annotations.read_documents(paired))
-    headers = audio.read_headers(recordings)
+    nodes = settle(annotations.parse_annotations(annotations.read_documents(paired)))
+    headers = settle(audio.read_headers(recordings))
     kept, past_end = manifest.within_recordings(
         manifest.build_manifest(nodes, language),
         headers.filter(F.col("error").isNull()).select(
@@ -120,12 +124,12 @@ def transcribe(
     blank: int,
     min_silence: int = silence.MIN_SILENCE_MS,
     offset_db: float = silence.SILENCE_OFFSET_DB,
-    times: str = "reference",
+    times: str = "scored",
 ) -> DataFrame:
     """Segment on silence, score and decode every chunk, and time the results.
     The result is lazy: store it before exporting, or chunks are scored again.
 
-    ``times="reference"`` adds up the scored lengths, ``times="source"`` uses the
+    ``times="scored"`` adds up the scored lengths, ``times="source"`` uses the
     bounds of the chunk in its recording; they differ after a chunk that was too
     long to be scored whole.
     """
@@ -133,7 +137,7 @@ def transcribe(
     segments = settle(audio.segment(headers, min_silence, offset_db))
     samples = audio.read_windows(headers, signal.chunk_windows(segments), "chunk_no")
     scored = infer.transcribe(samples, make_scorer, chars, blank)
-    if times == "reference":
+    if times == "scored":
         return timeline.timeline(scored, "n_samples", RATE)
     return timeline.source_times(scored.join(segments, ["recording", "chunk_no"]))
 
