@@ -459,7 +459,7 @@ def all_oracles() -> dict[str, str]:
             trunc((end_s + 0.2::double) * 16000)::bigint AS end_sample FROM kept""",
         "q_clip_join": f"""WITH {CLIPS}, {NODES}, stored AS (SELECT recording || '_' || sent_id
             || '.wav' AS path, length(text) AS n_chars FROM nodes WHERE reason IS NULL)
-            SELECT c.path, s.n_chars FROM clips c LEFT JOIN stored s ON c.path = s.path""",
+            SELECT c.path, coalesce(s.n_chars, -1) AS n_chars FROM clips c LEFT JOIN stored s ON c.path = s.path""",
         "q_audio_contract": """SELECT c_name || '.wav' AS path, CASE WHEN c_custkey % 9 = 0
             THEN 'not mono' ELSE 'wrong rate' END AS reason FROM customer
             WHERE c_custkey % 9 = 0 OR c_nationkey % 5 = 0""",
@@ -502,7 +502,7 @@ def all_oracles() -> dict[str, str]:
             coalesce(trim(replace(t, '|', ' ')), '') AS prediction FROM texts""",
         "q_transcribe": f"""WITH {WAVE}, src AS (SELECT * FROM blocks),
             {_ctc('samples', 'recording, block_no, samples')} SELECT recording,
-            block_no AS chunk_no, 64 AS n_samples, coalesce(trim(replace(t, '|', ' ')), '')
+            block_no AS chunk_no, 64::bigint AS n_samples, coalesce(trim(replace(t, '|', ' ')), '')
             AS prediction FROM texts""",
         "q_wer": f"""{WORD_PAIRS} SELECT count(*) AS n_pairs, sum(edits)::bigint AS edits,
             sum(ref_words)::bigint AS ref_words, round(sum(edits) / sum(ref_words), 6) AS wer
@@ -525,7 +525,8 @@ def all_oracles() -> dict[str, str]:
             WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
             i AS (SELECT *, max(CASE WHEN best IS NULL OR wer < best THEN n END) OVER
             (PARTITION BY run ORDER BY step) AS improved FROM h)
-            SELECT run, count(*) AS n_evals, min(step) FILTER (WHERE n - improved >= 10) AS stop_step
+            SELECT run, count(*) AS n_evals, coalesce(min(step) FILTER (WHERE n - improved >= 10), -1)
+            AS stop_step
             FROM i GROUP BY run""",
         "q_latest_checkpoint": """SELECT user_id AS run, max(event_id) AS number,
             'checkpoint-' || max(event_id) AS checkpoint FROM events GROUP BY user_id""",

@@ -190,7 +190,7 @@ def q_clip_join(spark, sf):
     )
     found = manifest.join_clips(rows, stored).select("path", "n_chars")
     lost = manifest.missing_clips(rows, stored).select(
-        "path", F.lit(None).cast("bigint").alias("n_chars")
+        "path", F.lit(-1).cast("bigint").alias("n_chars")
     )
     return found.unionByName(lost)
 
@@ -356,7 +356,8 @@ def q_best_step(spark, sf):
 
 @query
 def q_early_stop(spark, sf):
-    return history.early_stop(a.history(spark, sf))
+    # -1 for runs that never stop
+    return history.early_stop(a.history(spark, sf)).fillna(-1, "stop_step")
 
 
 @query
