@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import values as v
+from .lookup import lookup
 
 # ---------------------------------------------------------------- fixed values
 MIN_SECONDS = 1.0  # exclusive
@@ -22,29 +23,26 @@ def pair_annotations(recordings: DataFrame, annotations: DataFrame) -> DataFrame
     ``recordings`` and ``annotations`` have ``path`` and ``stem``. A document of
     the same stem wins over one that differs in case; among several the lowest
     path wins. Documents are reduced to one per spelling and one per folded
-    spelling first, so neither join multiplies rows, whatever stems repeat.
+    spelling first, so neither lookup multiplies rows, whatever stems repeat.
     """
     exact = annotations.groupBy("stem").agg(F.min("path").alias("_exact"))
     folded = annotations.groupBy(F.lower("stem").alias("_folded")).agg(
         F.min("path").alias("_loose")
     )
-    return (
-        recordings.join(exact, "stem", "left")
-        .withColumn("_folded", F.lower("stem"))
-        .join(folded, "_folded", "left")
-        .withColumn("annotation", F.coalesce("_exact", "_loose"))
-        .select(*recordings.columns, "annotation")
+    found = lookup(recordings, exact, "stem", ["path"], "left")
+    found = lookup(
+        found.withColumn("_folded", F.lower("stem")), folded, "_folded", ["path"], "left"
+    )
+    return found.withColumn("annotation", F.coalesce("_exact", "_loose")).select(
+        *recordings.columns, "annotation"
     )
 
 
 def missing_annotations(recordings: DataFrame, annotations: DataFrame) -> DataFrame:
     """Recordings that have no annotation document."""
     stems = annotations.select(F.lower("stem").alias("_folded")).distinct()
-    return (
-        recordings.withColumn("_folded", F.lower("stem"))
-        .join(stems, "_folded", "left_anti")
-        .select(*recordings.columns)
-    )
+    folded = recordings.withColumn("_folded", F.lower("stem"))
+    return lookup(folded, stems, "_folded", ["path"], "left_anti").select(*recordings.columns)
 
 
 def duration_kept(seconds: Column) -> Column:
@@ -129,7 +127,7 @@ def within_recordings(
     """Split a manifest into sentences that start inside their recording, and
     rejects for those that start past its end. ``lengths`` is ``recording,
     seconds``; sentences of recordings without a length are left out."""
-    timed = manifest.join(lengths, "recording")
+    timed = lookup(manifest, lengths, "recording", ["path"])
     inside = F.col("start_s") < F.col("seconds")
     kept = timed.filter(inside).select(*manifest.columns)
     past = timed.filter(~inside).select(

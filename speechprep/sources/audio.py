@@ -22,6 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .. import schemas
 from ..functions import values as v
 from ..operators import silence
+from ..operators.lookup import lookup
 from ..operators.signal import (
     loudness_of,
     millisecond_energies,
@@ -224,9 +225,10 @@ def read_windows(
             yield window["recording"], window[renamed], samples
 
     schema = T.StructType([_TEXT_RECORDING, field, _SAMPLES])
-    placed = windows.select(
+    bounds = windows.select(
         "recording", F.col(key).alias(renamed), "start_sample", "end_sample"
-    ).join(_readable(headers), "recording")
+    )
+    placed = lookup(bounds, _readable(headers), "recording", [renamed])
     return map_windows(placed, whole, schema, mode, rate)
 
 
