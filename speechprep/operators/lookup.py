@@ -14,10 +14,16 @@ SALTS = 32
 
 
 def lookup(
-    rows: DataFrame, table: DataFrame, key: str, by: list[str], how: str = "inner"
+    rows: DataFrame,
+    table: DataFrame,
+    key: str,
+    by: list[str],
+    how: str = "inner",
+    salts: int = SALTS,
 ) -> DataFrame:
     """Join ``rows`` to ``table`` on ``key``. ``by`` names columns that tell rows
-    of one key apart; ``how`` is ``inner``, ``left`` or ``left_anti``."""
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(SALTS)).cast("int"))
-    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    of one key apart; ``how`` is ``inner``, ``left`` or ``left_anti``. Fewer salts
+    suit tables about as large as the rows."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    repeated = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -16,6 +16,9 @@ TAIL_SECONDS = 0.2  # kept after the end of a sentence
 SAMPLE_RATE = 16_000
 # -----------------------------------------------------------------------------
 
+# names seldom repeat, and there are about as many documents as recordings
+NAME_SALTS = 4
+
 
 def pair_annotations(recordings: DataFrame, annotations: DataFrame) -> DataFrame:
     """Add ``annotation``, the path of a recording's annotation document, or null.
@@ -29,10 +32,9 @@ def pair_annotations(recordings: DataFrame, annotations: DataFrame) -> DataFrame
     folded = annotations.groupBy(F.lower("stem").alias("_folded")).agg(
         F.min("path").alias("_loose")
     )
-    found = lookup(recordings, exact, "stem", ["path"], "left")
-    found = lookup(
-        found.withColumn("_folded", F.lower("stem")), folded, "_folded", ["path"], "left"
-    )
+    found = lookup(recordings, exact, "stem", ["path"], "left", NAME_SALTS)
+    found = found.withColumn("_folded", F.lower("stem"))
+    found = lookup(found, folded, "_folded", ["path"], "left", NAME_SALTS)
     return found.withColumn("annotation", F.coalesce("_exact", "_loose")).select(
         *recordings.columns, "annotation"
     )
@@ -42,7 +44,8 @@ def missing_annotations(recordings: DataFrame, annotations: DataFrame) -> DataFr
     """Recordings that have no annotation document."""
     stems = annotations.select(F.lower("stem").alias("_folded")).distinct()
     folded = recordings.withColumn("_folded", F.lower("stem"))
-    return lookup(folded, stems, "_folded", ["path"], "left_anti").select(*recordings.columns)
+    missing = lookup(folded, stems, "_folded", ["path"], "left_anti", NAME_SALTS)
+    return missing.select(*recordings.columns)
 
 
 def duration_kept(seconds: Column) -> Column:
