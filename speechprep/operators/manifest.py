@@ -67,13 +67,14 @@ def with_times(nodes: DataFrame) -> DataFrame:
 def classify_spans(
     nodes: DataFrame, language: str | Column | None = None
 ) -> DataFrame:
-    """Add ``why`` a node gives no clip: the first rule that drops it, or null."""
+    """Add ``sentence`` and ``why`` a node gives no clip: the first rule that drops
+    it, or null."""
     text, duration = F.col("text"), F.col("duration_s")
-    typed = with_times(nodes)
+    typed = with_times(nodes).withColumn("sentence", tx.normalize(text, language))
     why = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(tx.is_skipped(text, language), "skip marker")
-        .when(tx.is_blank(text, language), "empty after cleanup")
+        .when(F.col("sentence") == "", "empty after cleanup")
         .when(duration.isNull() | F.isnan(duration), "bad timecode")
         .when(duration <= MIN_SECONDS, "too short")
         .when(duration > MAX_SECONDS, "too long")

@@ -21,19 +21,35 @@ IGNORED_LABEL = -100
 # -----------------------------------------------------------------------------
 
 _CODE_POINTS = 0x110000
+_SPACE = ord(" ")
 
 
 def corpus_characters(sentences: DataFrame) -> DataFrame:
     """One row: the set of characters of one corpus (column ``sentence``).
 
     The separator stands for spaces and also joins sentences, so a second
-    sentence is enough for it. One pass over the text; what leaves a task is
-    bounded by the number of code points, not by the text.
+    sentence is enough for it. One pass over the text, marking code points in a
+    table per task; what leaves a task is bounded by the number of code points.
     """
-    per_row = F.array_distinct(tx.characters(F.col("sentence")))
-    exploded = sentences.select(F.posexplode_outer(per_row).alias("pos", "char"))
-    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    found = exploded.agg(F.collect_set("char").alias("chars"), F.count_if(first).alias("n"))
+
+    def characters(batches):
+        seen, n = np.zeros(_CODE_POINTS, bool), 0
+        for batch in batches:
+            texts = batch[0].drop_null().to_pylist()
+            seen[np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32)] = True
+            n += len(texts)
+        chars = [SEPARATOR if p == _SPACE else chr(p) for p in np.flatnonzero(seen)]
+        # the number of sentences travels on a row of its own
+        counts = [n] + [0] * len(chars)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([None, *chars], pa.string()), pa.array(counts, pa.int64())], ["char", "n"]
+        )
+
+    found = (
+        sentences.select("sentence")
+        .mapInArrow(characters, "char string, n bigint")
+        .agg(F.collect_set("char").alias("chars"), F.sum("n").alias("n"))
+    )
     joined = F.when(F.col("n") >= 2, F.array(F.lit(SEPARATOR))).otherwise(
         F.array().cast("array<string>")
     )

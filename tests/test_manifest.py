@@ -130,4 +130,5 @@ def test_normalisation_runs_once_per_sentence(spark):
     plan = mf.build_manifest(df, "jya")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     counted = mf.rejects(df, "jya").groupBy("reason").agg(F.count("*"))
-    assert "Python" not in counted._jdf.queryExecution().executedPlan().toString()
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_compose_and_collapse(") == 1
