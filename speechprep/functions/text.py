@@ -19,6 +19,8 @@ import unicodedata
 import warnings
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column
@@ -88,10 +90,21 @@ def collapse_spaces(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, SPACES, " "))
 
 
+def _where_any(text: Column, marks: tuple[str, ...], fix: ColumnFn) -> Column:
+    """``fix(text)`` where the text holds one of the marks. Looking for a mark is
+    far cheaper than a regex pass, and most texts hold none."""
+
+    def guarded(t: Column) -> Column:
+        found = reduce(or_, [F.contains(t, F.lit(m)) for m in marks])
+        return F.when(found, fix(t)).otherwise(t)
+
+    return once(text, guarded)
+
+
 def strip_markup(text: Column) -> Column:
     """Remove bracketed notes (within one line) and punctuation."""
-    text = F.regexp_replace(text, r"\[[^\n]*?\]", "")
-    text = F.regexp_replace(text, r"\([^\n]*?\)", "")
+    text = _where_any(text, ("]",), lambda t: F.regexp_replace(t, r"\[[^\n]*?\]", ""))
+    text = _where_any(text, (")",), lambda t: F.regexp_replace(t, r"\([^\n]*?\)", ""))
     return delete_chars(text, PUNCTUATION)
 
 
@@ -118,8 +131,8 @@ def _before_nru(text: Column) -> Column:
     text = _replace(text, "...", "…")
     text = _replace(text, "◊", "|")
     text = delete_chars(text, NRU_DELETED)
-    text = F.regexp_replace(text, "m+…", "mmm…")
-    return F.regexp_replace(text, "ʰ+", "ʰ")
+    text = _where_any(text, ("m…",), lambda t: F.regexp_replace(t, "m+…", "mmm…"))
+    return _where_any(text, ("ʰʰ",), lambda t: F.regexp_replace(t, "ʰ+", "ʰ"))
 
 
 def _before_jya(text: Column) -> Column:
@@ -140,7 +153,7 @@ def _before_jya(text: Column) -> Column:
 def _after_jya(text: Column) -> Column:
     # the text has no white space but single spaces here
     text = _replace(delete_chars(text, JYA_BRACKETS), JYA_APOSTROPHE, "'")
-    return F.trim(F.regexp_replace(text, "  +", " "))
+    return F.trim(_where_any(text, ("  ",), lambda t: F.regexp_replace(t, "  +", " ")))
 
 
 @dataclass(frozen=True)
@@ -237,8 +250,3 @@ def split_words(text: Column) -> Column:
     """Words between white-space runs; no empty words."""
     return F.filter(F.split(text, SPACES), lambda w: w != "")
 
-
-def characters(text: Column) -> Column:
-    """The code points of a text, with the word separator for spaces."""
-    chars = F.split(F.replace(text, F.lit(" "), F.lit("|")), "")
-    return F.filter(chars, lambda c: c != "")
