@@ -40,17 +40,25 @@ def scale_features(values: Column, element: T.DataType | None = None) -> Column:
 
 
 def length_batches(
-    rows: DataFrame, id_col: str, length: Column, batch_size: int = BATCH_SIZE
+    rows: DataFrame,
+    id_col: str,
+    length: Column,
+    batch_size: int = BATCH_SIZE,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Group rows of similar length: add ``shard`` and ``batch_no``.
 
     Rows fall at random (by hash of their unique id) into shards of about
     ``MEGABATCH`` batches; inside a shard they are sorted by length, longest
     first, and cut. No window sees more than one shard.
+    The number of shards comes from a count of the rows, or of ``counted``, a
+    cheaper relation of about as many.
     """
     shard_rows = batch_size * MEGABATCH
     shards = (
-        rows.agg(F.greatest(F.ceil(F.count("*") / shard_rows), F.lit(1)).alias("n")).scalar()
+        (rows if counted is None else counted)
+        .agg(F.greatest(F.ceil(F.count("*") / shard_rows), F.lit(1)).alias("n"))
+        .scalar()
     )
     digest = F.md5(F.col(id_col).cast("string").cast("binary"))
     hashed = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")

@@ -19,6 +19,7 @@ from ..operators.vocab import Alphabet
 from ..session import settle
 from ..sinks import files as file_sinks
 from ..sources import annotations, audio, files
+from ..sources.storage import plain_path
 
 RATE = audio.TARGET_RATE
 
@@ -90,7 +91,8 @@ def training_rows(
     shuffle, and padded without another one.
     """
     joined = manifest.join_clips(rows.select("path", "sentence"), clip_samples)
-    batched = batches.length_batches(joined, "path", F.size("samples"), batch_size)
+    # counting the manifest spares a pass over the audio
+    batched = batches.length_batches(joined, "path", F.size("samples"), batch_size, rows)
     encoded = batched.select(
         "path",
         "shard",
@@ -111,7 +113,7 @@ def split_corpus(rows: DataFrame, seed: int = split.SEED) -> DataFrame:
 def find_recordings(spark: SparkSession, directory: str) -> DataFrame:
     """``path, stem`` of all recordings below a directory. The stem is the path
     within the directory, since names may repeat in its folders."""
-    inside = F.substr("path", F.lit(len(directory.rstrip("/")) + 2))
+    inside = F.substr("path", F.lit(len(plain_path(directory)) + 2))
     return files.scan_recordings(spark, directory, recursive=True).select(
         "path", F.regexp_replace(inside, r"\.[^.]+$", "").alias("stem")
     )
@@ -166,7 +168,8 @@ def export(
     written = None
     for extension, parts in kinds.items():
         targets = listed.select(
-            "recording", timeline.result_path(F.col("media"), root, extension).alias("file")
+            "recording",
+            timeline.result_path(F.col("media"), plain_path(root), extension).alias("file"),
         )
         result = file_sinks.write_documents(parts, targets)
         written = result if written is None else written.unionByName(result)

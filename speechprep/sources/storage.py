@@ -18,11 +18,17 @@ def resolve(path: str) -> tuple[fs.FileSystem, str]:
     return fs.LocalFileSystem(), path
 
 
+def plain_path(path: str) -> str:
+    """A directory the way listings name it: local paths without a scheme, no
+    slash at the end."""
+    return re.sub(r"^file:/+", "/", path.rstrip("/"))
+
+
 def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
     """``path, is directory, size`` of the entries of a directory, named the way
     the directory itself was named."""
     files, name = resolve(path.rstrip("/"))
-    clean = re.sub(r"^file:/+", "/", path.rstrip("/"))
+    clean = plain_path(path)
     prefix = clean[: -len(name)] if clean.endswith(name) else ""
     for entry in files.get_file_info(fs.FileSelector(name)):
         yield prefix + entry.path, entry.type == fs.FileType.Directory, entry.size or 0

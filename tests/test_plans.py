@@ -114,7 +114,7 @@ def test_transcription_and_exports(spark, tmp_path):
     write_wav(audio_dir / "sub" / "quiet.wav", [np.zeros(16_000)], 16_000)
     write_wav(audio_dir / "long.wav", [np.full(16_000 * 30, 0.5)], 16_000)
 
-    recordings = stages.find_recordings(spark, str(audio_dir))
+    recordings = stages.find_recordings(spark, f"file://{audio_dir}/")
     assert {r.stem for r in recordings.collect()} == {"A", "sub/A", "sub/quiet", "long"}
     chars = F.array(*map(F.lit, CHARS))
     lazy = stages.transcribe(recordings, scorer_factory(), chars, CHARS.index("[PAD]"))
@@ -131,7 +131,7 @@ def test_transcription_and_exports(spark, tmp_path):
     assert got["A"][-1][2] == pytest.approx(6.6) and got["long"][0][2] == 25.0
     assert all(a[2] == b[1] for a, b in zip(got["A"], got["A"][1:]))
 
-    written = stages.export(predictions, recordings, str(audio_dir), "tdh", "2024-01-01T00:00:00+00:00")
+    written = stages.export(predictions, recordings, f"file:{audio_dir}", "tdh", "2024-01-01T00:00:00+00:00")
     names = {r.file[len(str(tmp_path)) + 1 :] for r in written.collect()}
     folder = tmp_path / "new_result"
     assert names >= {f"new_result/{s}.{e}" for s in ("A", "sub/A", "sub/quiet", "long") for e in ("tsv", "xml", "eaf", "txt")}
