@@ -1,0 +1,8 @@
+import pytest
+
+
+@pytest.fixture(scope="session", autouse=True)
+def shared(spark, tmp_path_factory):
+    """The tests' folder in place of a cluster's shared one."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("shared")))
