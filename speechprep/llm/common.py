@@ -45,7 +45,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
     ``count`` is the column of ``facts`` with the key's number of rows in ``rows``
     and ``total`` their sum. Keys with more than ``total / HEAVY_KEYS`` rows, of
     which there are at most ``HEAVY_KEYS``, are looked up in a broadcast table and
-    then dealt out evenly; the others meet by shuffle.
+    then dealt out evenly; the others meet by shuffle. Rows without a key get nulls.
     """
     names = [c for c in facts.columns if c != key]
     least = max(total // HEAVY_KEYS, HEAVY_ROWS)
@@ -53,7 +53,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
         F.col(key).alias("_heavy"), F.struct(*names).alias("_known")
     )
     spread = F.when(
-        F.col("_heavy").isNotNull(), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))
+        F.col("_heavy").isNotNull() | F.col(key).isNull(), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))
     ).otherwise(0)
     left = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left").withColumn(
         "_spread", spread

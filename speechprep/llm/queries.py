@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechprep.llm import bpe, quality, tokencount
+from speechprep.llm import bpe, neardup, quality, tokencount
 from speechprep.llm.common import digest
 
 
@@ -38,12 +38,17 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), path, limit=2048)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    how = neardup.Similarity(words=2, percent=80)
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), how=how)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op6_token_counts, op8_quality)}
+    return {f.__name__: f for f in (op1_bpe, op6_token_counts, op7_near_duplicates, op8_quality)}
 
 
 def llm_oracles() -> dict[str, str]:
