@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechprep.llm import bpe, neardup, quality, tokencount
+from speechprep.llm import bpe, decontam, linededup, neardup, quality, tokencount
 from speechprep.llm.common import digest
 
 
@@ -33,6 +33,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.deduplicate(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), path, limit=2048)
@@ -47,9 +51,24 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return decontam.with_digest(found)
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe, op6_token_counts, op7_near_duplicates, op8_quality)}
+    every = (
+        op1_bpe,
+        op4_line_dedup,
+        op6_token_counts,
+        op7_near_duplicates,
+        op8_quality,
+        op10_decontamination,
+    )
+    return {f.__name__: f for f in every}
 
 
 def llm_oracles() -> dict[str, str]:
-    return {}
+    return {"op4_line_dedup": linededup.ORACLE, "op10_decontamination": decontam.ORACLE}
