@@ -7,7 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechprep.llm import bpe, decontam, linededup, neardup, quality, tokencount
+from speechprep.llm import (
+    bpe,
+    decontam,
+    linededup,
+    neardup,
+    quality,
+    tokencount,
+    urlrules,
+    warc,
+)
 from speechprep.llm.common import digest
 
 
@@ -33,6 +42,10 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.deduplicate(_table(spark, sf_dir, "documents"))
 
@@ -51,6 +64,26 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(_table(spark, sf_dir, "documents"))
 
 
+#: The url rules of the contract (fixed values).
+URL_RULES = [
+    urlrules.Rule("allow", "com", "/"),
+    urlrules.Rule("block", "example.com", "/en/"),
+    urlrules.Rule("allow", "www.example.com", "/en/"),
+    urlrules.Rule("block", "net", "/es/"),
+    urlrules.Rule("block", "net", "/fr/"),
+]
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A label with the id of a page is that page's; bad quality and toxic are bad."""
+    pages, labels = _table(spark, sf_dir, "pages"), _table(spark, sf_dir, "labels")
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labelled = pages.join(
+        labels.select(F.col("doc_id").alias("page_id"), bad.alias("_bad")), "page_id"
+    ).select(F.col("url").alias("_url"), "_bad")
+    return urlrules.judge(pages, labelled, URL_RULES)
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(
         _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
@@ -61,10 +94,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_bpe,
+        op2_warc,
         op4_line_dedup,
         op6_token_counts,
         op7_near_duplicates,
         op8_quality,
+        op9_url_filters,
         op10_decontamination,
     )
     return {f.__name__: f for f in every}
