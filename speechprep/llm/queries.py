@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from speechprep.llm import (
     bpe,
+    chat,
     decontam,
     linededup,
     neardup,
@@ -50,6 +51,26 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.deduplicate(_table(spark, sf_dir, "documents"))
 
 
+def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame(
+        [(-7, 0, "user", said), (-7, 1, "assistant", said)],
+        "conv_id long, turn long, role string, text string",
+    )
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    formatted = chat.read_back(chat.format_conversations(rows.union(own)))
+    turns = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
+    learnt = F.array_join("learnt", "")
+    return formatted.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        digest(F.array_join(turns, "")).alias("turns_sha256"),
+        F.char_length(learnt).cast("long").alias("loss_chars"),
+        digest(learnt).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     return tokencount.token_counts(_table(spark, sf_dir, "documents"), path, limit=2048)
@@ -96,6 +117,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_bpe,
         op2_warc,
         op4_line_dedup,
+        op5_chat,
         op6_token_counts,
         op7_near_duplicates,
         op8_quality,
