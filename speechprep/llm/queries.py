@@ -12,6 +12,7 @@ from speechprep.llm import (
     chat,
     decontam,
     linededup,
+    lm,
     neardup,
     quality,
     tokencount,
@@ -47,6 +48,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = lm.crc_fold(F.col("doc_id"), 7, 2)
+    return lm.score_texts(_table(spark, sf_dir, "documents"), held_out)
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.deduplicate(_table(spark, sf_dir, "documents"))
 
@@ -116,6 +122,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_bpe,
         op2_warc,
+        op3_lm_scores,
         op4_line_dedup,
         op5_chat,
         op6_token_counts,
