@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 #: At most this many keys can hold more than one of this many parts of all rows,
 #: which is what bounds the broadcast of the heavy keys.
 HEAVY_KEYS = 1024
+#: Keys, of at most some ten bytes, that are broadcast at once.
+BROADCAST_KEYS = 1_000_000
 #: Below this many rows a key is no burden for one task.
 HEAVY_ROWS = 2000
 
@@ -66,6 +68,15 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
     return joined.select(*rows.columns, *(fact[n].alias(n) for n in names))
 
 
+def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` is not in the one column of ``gone``; nulls are equal.
+    Up to ``BROADCAST_KEYS`` keys are broadcast, more meet by shuffle."""
+    gone = settled(gone.distinct().toDF("_gone"))
+    if gone.count() <= BROADCAST_KEYS:
+        gone = F.broadcast(gone)
+    return rows.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+
+
 def digest(text: Column) -> Column:
     return F.sha2(text.cast("binary"), 256)
 

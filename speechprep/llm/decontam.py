@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from speechprep.llm.common import digest, join_facts, lower_az, settled
+from speechprep.llm.common import digest, join_facts, lower_az, settled, without
 
 WINDOW = 10
 SHINGLE = 3
@@ -217,13 +217,8 @@ def drop_contaminated(
 ) -> DataFrame:
     """The rows of ``documents`` without a contaminated word, with all their columns.
     Rows with the same id stay or go together."""
-    bad = (
-        contamination(documents, items, id_col, text_col)
-        .filter("n_hit > 0")
-        .select(F.col(id_col).alias("_bad"))
-        .distinct()
-    )
-    return documents.join(bad, F.col(id_col).eqNullSafe(F.col("_bad")), "left_anti")
+    bad = contamination(documents, items, id_col, text_col).filter("n_hit > 0")
+    return without(documents, id_col, bad.select(id_col))
 
 
 ORACLE = r"""

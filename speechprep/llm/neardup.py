@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from speechprep.llm.common import components, join_facts, settled
+from speechprep.llm.common import components, join_facts, settled, without
 from speechprep.llm.spans import Texts, grams, mix, pieces
 
 #: Lists up to this length give their pairs.
@@ -475,8 +475,10 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``documents`` that are kept, with all their columns. Rows with the
     same id stay or go together."""
-    verdict = near_duplicates(documents, id_col, text_col, how)
-    gone = verdict.filter("not kept").select(F.col(id_col).alias("_gone")).distinct()
-    stays = verdict.filter("kept").select(F.col(id_col).alias("_stays")).distinct()
-    gone = gone.join(stays, F.col("_gone").eqNullSafe(F.col("_stays")), "left_anti")
-    return documents.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")), "left_anti")
+    gone = (
+        near_duplicates(documents, id_col, text_col, how)
+        .groupBy(id_col)
+        .agg(F.max("kept").alias("kept"))
+        .filter("not kept")
+    )
+    return without(documents, id_col, gone.select(id_col))
