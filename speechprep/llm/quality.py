@@ -30,7 +30,8 @@ class Limits:
     """Largest shares that a kept text may have.
 
     ``ngram_chars``: by n-gram length, the share of a text's word characters inside
-    n-grams found twice or more. ``line_chars``, ``lines``: the share of characters
+    n-grams found twice or more; all occurrences count, the first too, so the limits
+    are twice those used where only later ones count. ``line_chars``, ``lines``: the share of characters
     and of lines (with a word) in lines equal to an earlier one.
     """
 
@@ -39,7 +40,7 @@ class Limits:
     lines: float = 0.3
     line_chars: float = 0.2
     ngram_chars: dict[int, float] = field(
-        default_factory=lambda: {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
+        default_factory=lambda: {5: 0.30, 6: 0.28, 7: 0.26, 8: 0.24, 9: 0.22, 10: 0.20}
     )
 
 
