@@ -36,7 +36,8 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
 
     Spark's ``levenshtein`` counts characters, so each distinct reference word
     gets its own character first. Words only the hypothesis has can never match
-    and share one.
+    and share one. Unicode has 1 048 576 such characters: a single reference with
+    more distinct words than that fails the query.
     """
 
     def edits(texts: Column) -> Column:

@@ -19,24 +19,35 @@ MEGABATCH = 50  # batches sorted by length together
 # -----------------------------------------------------------------------------
 
 
+def unit_range(values: np.ndarray) -> np.ndarray:
+    """Samples as doubles; 16-bit ones are brought to -1..1."""
+    if values.dtype == np.int16:
+        return values / 32_768
+    return values.astype(np.float64)
+
+
+def scaled(values: np.ndarray) -> np.ndarray:
+    """Zero mean and unit (population) variance, of samples in -1..1."""
+    x = unit_range(values)
+    return (x - x.mean()) / np.sqrt(x.var() + VARIANCE_FLOOR) if len(x) else x
+
+
 def scale_features(values: Column, element: T.DataType | None = None) -> Column:
     """Zero mean and unit (population) variance per row, as doubles or another
-    floating ``element`` type. Arrow UDF: on rows of audio length, a transform over
-    the array takes about ten times as long."""
+    floating ``element`` type; 16-bit samples are brought to -1..1 first. Arrow UDF: on
+    rows of audio length, a transform over the array takes about ten times as long."""
     kind = T.ArrayType(element or T.DoubleType())
     arrow = to_arrow_type(kind)
 
     @F.arrow_udf(kind)
-    def scaled(rows: pa.Array) -> pa.Array:
-        out = []
-        for row in rows:
-            x = row.values.to_numpy(zero_copy_only=False).astype(np.float64) if row.is_valid else None
-            if x is not None and len(x):
-                x = (x - x.mean()) / np.sqrt(x.var() + VARIANCE_FLOOR)
-            out.append(x)
+    def scale(rows: pa.Array) -> pa.Array:
+        out = [
+            scaled(row.values.to_numpy(zero_copy_only=False)) if row.is_valid else None
+            for row in rows
+        ]
         return pa.array(out, arrow)
 
-    return scaled.asNondeterministic()(values)
+    return scale.asNondeterministic()(values)
 
 
 def length_batches(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import ctc
+from .batches import scaled
 
 Scorer = Callable[[np.ndarray], np.ndarray]
 
@@ -20,12 +21,14 @@ def score(
     make_scorer: Callable[[], Scorer],
     samples: str = "samples",
     best_only: bool = False,
+    scale: bool = True,
 ) -> DataFrame:
     """Add the model's scores for a chunk: ``frames``, one array per frame, or with
     ``best_only`` just ``ids``, the best class of each frame.
 
-    ``make_scorer`` builds the model once per task, on the worker; the scorer
-    maps samples to a ``[frames, classes]`` array. Chunks are one row each and
+    ``make_scorer`` builds the model once per task, on the worker; the scorer maps
+    samples to a ``[frames, classes]`` array. It gets them scaled the way training rows
+    are, or with ``scale=False`` as they are. Chunks are one row each and
     seconds long, so a batch stays small.
     """
     kept = [f for f in chunks.schema if f.name != samples]
@@ -35,10 +38,10 @@ def score(
         added = T.StructField("frames", T.ArrayType(T.ArrayType(T.FloatType())))
 
     def run(batches):
-        scorer = make_scorer()
+        scorer, prepare = make_scorer(), scaled if scale else np.asarray
         for batch in batches:
             scored = [
-                np.asarray(scorer(s.values.to_numpy(zero_copy_only=False)), np.float32)
+                np.asarray(scorer(prepare(s.values.to_numpy(zero_copy_only=False))), np.float32)
                 for s in batch[samples]
             ]
             if best_only:
@@ -64,11 +67,15 @@ def _nested(matrices: list[np.ndarray]) -> pa.Array:
 
 
 def transcribe(
-    chunks: DataFrame, make_scorer: Callable[[], Scorer], chars: Column, blank: Column | int
+    chunks: DataFrame,
+    make_scorer: Callable[[], Scorer],
+    chars: Column,
+    blank: Column | int,
+    scale: bool = True,
 ) -> DataFrame:
     """Score chunks and decode the scores: adds ``prediction`` and ``n_samples``.
     Only the best class of each frame leaves the scoring task."""
     sized = chunks.withColumn("n_samples", F.size("samples").cast("bigint"))
-    scored = score(sized, make_scorer, best_only=True)
+    scored = score(sized, make_scorer, best_only=True, scale=scale)
     text = ctc.ids_to_text(ctc.collapse(F.col("ids"), blank), chars)
     return scored.withColumn("prediction", text).drop("ids")

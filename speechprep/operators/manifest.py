@@ -70,7 +70,8 @@ def classify_spans(
     """Add ``sentence`` and ``why`` a node gives no clip: the first rule that drops
     it, or null."""
     text, duration = F.col("text"), F.col("duration_s")
-    typed = with_times(nodes).withColumn("sentence", tx.normalize(text, language))
+    usable = F.when(F.col("reason").isNull(), text)  # no others are normalised
+    typed = with_times(nodes).withColumn("sentence", tx.normalize(usable, language))
     why = (
         F.when(F.col("reason").isNotNull(), F.col("reason"))
         .when(tx.is_skipped(text, language), "skip marker")
@@ -128,16 +129,27 @@ def empty_annotations(paired: DataFrame, nodes: DataFrame) -> DataFrame:
 def within_recordings(
     manifest: DataFrame, lengths: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
-    """Split a manifest into sentences that start inside their recording, and
-    rejects for those that start past its end. ``lengths`` is ``recording,
-    seconds``; sentences of recordings without a length are left out."""
-    timed = lookup(manifest, lengths, "recording", ["path"])
+    """Split a manifest into sentences that start inside their recording, and rejects
+    for those that start past its end or whose recording has no length. ``lengths`` is
+    ``recording, seconds``."""
+    timed = lookup(manifest, lengths, "recording", ["path"], "left")
     inside = F.col("start_s") < F.col("seconds")
     kept = timed.filter(inside).select(*manifest.columns)
-    past = timed.filter(~inside).select(
-        "recording", "path", F.lit("empty clip").alias("reason")
+    why = F.when(F.col("seconds").isNull(), "unreadable audio").otherwise("empty clip")
+    lost = timed.filter(~F.coalesce(inside, F.lit(False)))
+    return kept, lost.select("recording", "path", why.alias("reason"))
+
+
+def unique_names(recordings: DataFrame) -> DataFrame:
+    """``recordings`` with stems that are unique: of equal ones (``A.wav`` and
+    ``A.WAV``) the first by path keeps it, and the others get a mark of their path."""
+    first = recordings.groupBy("stem").agg(F.min("path").alias("_first"))
+    known = lookup(recordings, first, "stem", ["path"], salts=NAME_SALTS)
+    mark = F.substring(F.md5(F.col("path").cast("binary")), 1, 8)
+    name = F.when(F.col("path") == F.col("_first"), F.col("stem")).otherwise(
+        F.concat("stem", F.lit("~"), mark)
     )
-    return kept, past
+    return known.withColumn("stem", name).select(*recordings.columns)
 
 
 def total_minutes(manifest: DataFrame) -> DataFrame:

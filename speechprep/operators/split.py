@@ -87,51 +87,6 @@ def assign_splits(clips: DataFrame, seed: int = SEED, key: str = "path") -> Data
     return keyed.withColumn("split", split)
 
 
-def assign_splits_by_generator(
-    clips: DataFrame, seed: int = SEED, max_recordings: int = 1_000_000
-) -> DataFrame:
-    """The split of a seeded numpy generator over the sorted recordings.
-
-    Gives the membership a single-machine script would get from numpy. Such a
-    shuffle is one sequential pass over all recordings, so it is refused above
-    ``max_recordings``; :func:`assign_splits` has no such limit.
-    """
-    keyed = clips.withColumn("split_recording", recording_key(F.col("path")))
-    recordings = keyed.select("split_recording").distinct()
-    n = recordings.count()
-    if n > max_recordings:
-        raise ValueError(
-            f"{n} recordings: use assign_splits, which ranks by hash, above {max_recordings}"
-        )
-    held = int(n * HELD_OUT)
-
-    def shuffled(batches):
-        import numpy as np
-        import pandas as pd
-
-        for _ in batches:
-            order = list(range(n))
-            np.random.default_rng(seed=seed).shuffle(order)
-            yield pd.DataFrame({"position": order, "rank": range(n)})
-
-    one = clips.sparkSession.range(0, 1, 1, 1)
-    ranks = one.mapInPandas(shuffled, "position bigint, rank bigint")
-    members = (
-        recordings.withColumn(
-            "position", F.row_number().over(Window.orderBy("split_recording")).cast("bigint") - 1
-        )
-        .join(ranks, "position")
-        .select(
-            "split_recording",
-            F.when(F.col("rank") < n - 2 * held, "train")
-            .when(F.col("rank") < n - held, "valid")
-            .otherwise("test")
-            .alias("split"),
-        )
-    )
-    return keyed.join(members, "split_recording").select(*keyed.columns, "split")
-
-
 def split_summary(assigned: DataFrame) -> DataFrame:
     """Recordings and clips per split; a split without rows is listed with 0."""
     spark = assigned.sparkSession

@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from .. import schemas
 from ..operators import batches, documents, infer, manifest, signal, silence, split, timeline
-from ..operators.vocab import Alphabet
+from ..operators.vocab import IGNORED_LABEL, Alphabet
 from ..session import settle
 from ..sinks import files as file_sinks
 from ..sources import annotations, audio, files
@@ -27,6 +28,14 @@ RATE = audio.TARGET_RATE
 # ------------------------------------------------------------------ preparation
 
 
+@dataclass(frozen=True)
+class Transcribed:
+    """Timed predictions, and the recordings that could not be read."""
+
+    predictions: DataFrame
+    failures: DataFrame  # path, recording, error
+
+
 @dataclass(frozen=True)
 class Prepared:
     """Relations of a prepared corpus, lazy views on what ``prepare`` read."""
@@ -48,9 +57,11 @@ def prepare(
     Directories, documents and headers are read here, once; the relations that
     come out are computed from checkpoints of them.
     """
-    recordings = settle(files.scan_recordings(spark, wav_dir))
+    found = settle(files.scan_recordings(spark, wav_dir))
     listed = settle(files.scan_annotations(spark, xml_dir))
-    paired = manifest.pair_annotations(recordings, listed)
+    # from here on a recording is known by a name of its own
+    paired = settle(manifest.unique_names(manifest.pair_annotations(found, listed)))
+    recordings = paired.drop("annotation")
     nodes = settle(annotations.parse_annotations(annotations.read_documents(paired)))
     headers = settle(audio.read_headers(recordings))
     kept, past_end = manifest.within_recordings(
@@ -63,7 +74,7 @@ def prepare(
     return Prepared(
         manifest=kept,
         rejects=manifest.rejects(nodes, language).unionByName(past_end, allowMissingColumns=True),
-        missing=manifest.missing_annotations(recordings, listed),
+        missing=paired.filter(F.col("annotation").isNull()).drop("annotation"),
         empty=manifest.empty_annotations(paired, nodes),
         unreadable=headers.filter(F.col("error").isNotNull()).select("path", "error"),
         headers=headers.join(used, "stem", "left_semi"),
@@ -83,24 +94,38 @@ def clips(prepared: Prepared) -> DataFrame:
 
 
 def training_rows(
-    rows: DataFrame, clip_samples: DataFrame, alphabet: Alphabet, batch_size: int = batches.BATCH_SIZE
+    rows: DataFrame, prepared: Prepared, alphabet: Alphabet, batch_size: int = batches.BATCH_SIZE
 ) -> DataFrame:
-    """Manifest rows and clips to padded batches of scaled features and labels.
+    """Manifest rows to padded batches of scaled features and labels.
 
-    Rows are grouped into batches as 16-bit samples; they are scaled after that
-    shuffle, and padded without another one.
+    Batches are made from the bounds of the clips, which are narrow rows; the task that
+    gets a batch reads the audio of its clips, scales and pads it. Audio is not
+    shuffled.
     """
-    joined = manifest.join_clips(rows.select("path", "sentence"), clip_samples)
-    # counting the manifest spares a pass over the audio
-    batched = batches.length_batches(joined, "path", F.size("samples"), batch_size, rows)
-    encoded = batched.select(
-        "path",
-        "shard",
-        "batch_no",
-        batches.scale_features(F.col("samples"), T.FloatType()).alias("input_values"),
-        alphabet.encode(F.col("sentence")).alias("labels"),
+    windows = manifest.clip_windows(prepared.manifest).select(
+        "recording", "path", "start_sample", "end_sample"
+    )
+    joined = manifest.join_clips(rows.select("path", "sentence"), windows)
+    batched = batches.length_batches(
+        joined, "path", F.col("end_sample") - F.col("start_sample"), batch_size, rows
+    ).withColumn("labels", alphabet.encode(F.col("sentence")))
+
+    def make(clips_: list[dict], samples: list[np.ndarray]):
+        longest = max(map(len, samples), default=0)
+        most_labels = max((len(c["labels"]) for c in clips_), default=0)
+        for clip, own in zip(clips_, samples):
+            inputs, mask = np.zeros(longest, np.float32), np.zeros(longest, np.int32)
+            inputs[: len(own)], mask[: len(own)] = batches.scaled(own), 1
+            labels = clip["labels"] + [IGNORED_LABEL] * (most_labels - len(clip["labels"]))
+            yield clip["clip"], clip["shard"], clip["batch_no"], inputs, labels, mask
+
+    return audio.read_batches(
+        prepared.headers,
+        batched.withColumnRenamed("path", "clip"),  # the path read is the recording's
+        ["shard", "batch_no"],
+        make,
+        schemas.TRAINING_ROWS,
     )
-    return batches.pad_batches(encoded, ["shard", "batch_no"])
 
 
 def split_corpus(rows: DataFrame, seed: int = split.SEED) -> DataFrame:
@@ -127,9 +152,11 @@ def transcribe(
     min_silence: int = silence.MIN_SILENCE_MS,
     offset_db: float = silence.SILENCE_OFFSET_DB,
     times: str = "scored",
-) -> DataFrame:
+    scale: bool = True,
+) -> Transcribed:
     """Segment on silence, score and decode every chunk, and time the results.
-    The result is lazy: store it before exporting, or chunks are scored again.
+    Predictions are lazy: store them before exporting, or chunks are scored again.
+    ``scale=False`` gives the scorer the 16-bit samples as they are.
 
     ``times="scored"`` adds up the scored lengths, ``times="source"`` uses the
     bounds of the chunk in its recording; they differ after a chunk that was too
@@ -138,10 +165,13 @@ def transcribe(
     headers = settle(audio.read_headers(recordings))
     segments = settle(audio.segment(headers, min_silence, offset_db))
     samples = audio.read_windows(headers, signal.chunk_windows(segments), "chunk_no")
-    scored = infer.transcribe(samples, make_scorer, chars, blank)
+    scored = infer.transcribe(samples, make_scorer, chars, blank, scale)
     if times == "scored":
-        return timeline.timeline(scored, "n_samples", RATE)
-    return timeline.source_times(scored.join(segments, ["recording", "chunk_no"]))
+        timed = timeline.timeline(scored, "n_samples", RATE)
+    else:
+        timed = timeline.source_times(scored.join(segments, ["recording", "chunk_no"]))
+    failed = headers.filter(F.col("error").isNotNull())
+    return Transcribed(timed, failed.select("path", F.col("stem").alias("recording"), "error"))
 
 
 def export(
@@ -151,13 +181,17 @@ def export(
     language: str,
     date: str,
     words: bool = True,
+    failures: DataFrame | None = None,
 ) -> DataFrame:
     """Write every recording's table, annotation XML, tier XML and text next to
-    each other under ``<root>_result``; returns ``file, bytes`` rows.
+    each other under ``<root>_result``; returns ``file, bytes`` rows. Recordings in
+    ``failures`` get no files.
 
     ``predictions`` is read once per format: pass a stored table, not the lazy
     result of a scoring run.
     """
+    if failures is not None:
+        recordings = recordings.join(failures.select("path"), "path", "left_anti")
     listed = recordings.select(F.col("stem").alias("recording"), F.col("path").alias("media"))
     kinds = {
         "tsv": documents.prediction_csv(predictions, listed),

@@ -24,10 +24,19 @@ PREDICTIONS = _schema(
 )
 WAV_HEADERS = _schema(
     ("path", _S), ("stem", _S), ("sr", _I), ("channels", _I), ("sample_width", _I),
-    ("data_offset", _L), ("frames", _L), ("error", _S),
+    ("floating", T.BooleanType()), ("data_offset", _L), ("frames", _L), ("error", _S),
 )
 # 16-bit samples in rows of a fixed length, so no recording is ever one row.
 BLOCKS = _schema(
     ("recording", _S), ("block_no", _L), ("sr", _I), ("samples", T.ArrayType(T.ShortType(), False)),
 )
+# Parts of a document in the shared folder, before they are put together.
+PART_FILES = _schema(("file", _S), ("section", _I), ("part_no", _L), ("part", _S))
+ENERGIES = _schema(
+    ("recording", _S), ("block_no", _L), ("n_samples", _L), ("energy", T.ArrayType(_L, False)),
+)
+TRAINING_ROWS = _schema(
+    ("path", _S), ("shard", _L), ("batch_no", _L), ("input_values", T.ArrayType(T.FloatType(), False)),
+    ("labels", T.ArrayType(_I, False)), ("attention_mask", T.ArrayType(_I, False)),
+)
 WRITTEN = _schema(("file", _S), ("bytes", _L))

@@ -6,6 +6,9 @@ settings beyond Spark's defaults and a ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,28 +33,39 @@ def local_session(cpus: int | str = "*", app: str = "speechprep") -> SparkSessio
     return spark
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, per_task: int | None = None) -> DataFrame:
     """Spread narrow rows that stand for heavy work (a file to open, a stretch of
     audio to read) over all tasks. The number is fixed, because adaptive execution
-    would judge by the size of the rows and put them all into one task."""
+    would judge by the size of the rows and put them all into one task; with
+    ``per_task`` it grows with the rows, which are counted for it."""
     spark = df.sparkSession
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(max(wanted, spark.sparkContext.defaultParallelism), *keys)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tasks = max(least, spark.sparkContext.defaultParallelism)
+    if per_task:
+        tasks = max(tasks, -(-df.count() // per_task))
+    return df.repartition(tasks, *keys)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all nodes reach, named by ``spark.checkpoint.dir``. Only a local
+    session without one gets a folder of its own, which goes when Python ends."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all nodes can reach")
+        folder = tempfile.mkdtemp(prefix="speechprep-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
 
 
 def settle(df: DataFrame) -> DataFrame:
     """Materialise a relation that is costly to make and read by several branches.
 
-    A reliable checkpoint: it survives lost executors and cuts the lineage. The
-    folder is the one the platform names in ``spark.checkpoint.dir``; only a
-    local session without one gets a temporary folder.
+    A reliable checkpoint in the shared folder: it survives lost executors and cuts
+    the lineage.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir")
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all nodes can reach")
-            shared = tempfile.mkdtemp(prefix="speechprep-")
-        context.setCheckpointDir(shared)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

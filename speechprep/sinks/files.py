@@ -12,14 +12,15 @@ import wave
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..session import settle
+from ..operators.lookup import lookup
+from ..session import settle, shared_folder, spread
 from ..sources.storage import resolve
 
-SINGLE_FILE_BYTES = 64 << 20
+COPY_BYTES = 4 << 20  # read at once when parts are put together
 
 
 def _store(path: str, data: bytes) -> int:
@@ -40,50 +41,56 @@ def _written(rows: list[tuple[str, int]]) -> pa.RecordBatch:
     )
 
 
-def _write_texts(texts: DataFrame) -> DataFrame:
-    def write(batches):
-        for batch in batches:
-            rows = zip(batch["file"].to_pylist(), batch["body"].to_pylist())
-            yield _written([(f, _store(f, body.encode("utf-8"))) for f, body in rows])
-
-    return texts.select("file", "body").mapInArrow(write, schemas.WRITTEN)
+def _put_together(parts: list[str], path: str) -> int:
+    """Stream part files, in order, into one file."""
+    files, name = resolve(path)
+    folder, _, base = name.rpartition("/")
+    files.create_dir(folder, recursive=True)
+    temporary, size = f"{folder}/_{uuid.uuid4().hex}.{base}", 0
+    with files.open_output_stream(temporary) as out:
+        for part in parts:
+            store, source = resolve(part)
+            with store.open_input_stream(source) as stream:
+                while data := stream.read(COPY_BYTES):
+                    out.write(data)
+                    size += len(data)
+    files.move(temporary, name)
+    return size
 
 
-def write_documents(
-    parts: DataFrame, targets: DataFrame, single_file_bytes: int = SINGLE_FILE_BYTES
-) -> DataFrame:
-    """Write documents given as parts; returns ``file, bytes`` rows. The files are
-    there once the result has been consumed.
+def write_documents(parts: DataFrame, targets: DataFrame) -> DataFrame:
+    """Write documents given as parts, each as one file; returns ``file, bytes``
+    rows. The files are there once the result has been consumed.
 
-    ``targets`` maps ``recording`` to ``file``. A document of up to
-    ``single_file_bytes`` becomes that file. A longer one is written as
-    ``<file>.part-<n>``, in order, a file per part.
+    ``targets`` maps ``recording`` to ``file``. The parts are written in parallel to
+    the shared folder, wherever they are; then one task per file, which gets their
+    names only, streams them together. So text is never gathered in a row or a task,
+    whatever the length of a document, and every document has the same layout.
     """
-    parts = settle(parts)  # read once for sizes, once for each kind of document
-    sizes = parts.groupBy("recording").agg(F.sum(F.octet_length("body")).alias("size"))
-    placed = sizes.join(targets.select("recording", "file"), "recording")
-
-    small = placed.filter(F.col("size") <= single_file_bytes)
-    pieces = F.array_sort(F.collect_list(F.struct("section", "part_no", "body")))
-    whole = (
-        parts.join(small, "recording")
-        .groupBy("recording", "file")
-        .agg(F.array_join(F.transform(pieces, lambda p: p["body"]), "").alias("body"))
-        .select("file", "body")
-    )
+    folder = f"{shared_folder(parts.sparkSession)}/documents-{uuid.uuid4().hex}"
+    placed = lookup(parts, targets.select("recording", "file"), "recording", ["section", "part_no"])
 
-    large = placed.filter(F.col("size") > single_file_bytes)
-    # only the order of parts is windowed, not their text
-    order = Window.partitionBy("recording").orderBy("section", "part_no")
-    numbers = (
-        parts.join(large, "recording")
-        .select("recording", "file", "section", "part_no")
-        .withColumn("n", F.row_number().over(order))
-    )
-    split = parts.join(numbers, ["recording", "section", "part_no"]).select(
-        F.format_string("%s.part-%06d", "file", "n").alias("file"), "body"
-    )
-    return _write_texts(whole.unionByName(split))
+    def write(batches):
+        for batch in batches:
+            names = [f"{folder}/{uuid.uuid4().hex}" for _ in range(batch.num_rows)]
+            for name, body in zip(names, batch["body"].to_pylist()):
+                _store(name, body.encode("utf-8"))
+            yield pa.RecordBatch.from_arrays(
+                [batch["file"], batch["section"], batch["part_no"], pa.array(names, pa.string())],
+                schemas.PART_FILES.names,
+            )
+
+    bodies = placed.select("file", "section", "part_no", "body")
+    stored = settle(bodies.mapInArrow(write, schemas.PART_FILES))
+    order = F.array_sort(F.collect_list(F.struct("section", "part_no", "part")))
+    listed = stored.groupBy("file").agg(F.transform(order, lambda p: p["part"]).alias("parts"))
+
+    def join(batches):
+        for batch in batches:
+            rows = zip(batch["file"].to_pylist(), batch["parts"].to_pylist())
+            yield _written([(file, _put_together(names, file)) for file, names in rows])
+
+    return spread(listed, "file").mapInArrow(join, schemas.WRITTEN)
 
 
 def wav_bytes(samples: np.ndarray, rate: int) -> bytes:

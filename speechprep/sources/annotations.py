@@ -6,54 +6,52 @@ import xml.etree.ElementTree as ElementTree
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..session import spread
 from .storage import read_bytes
 
-
 ROWS_PER_BATCH = 10_000
+DOCUMENTS_PER_TASK = 500
+
 
+def _why_unusable(text: str | None, audio: dict | None) -> str | None:
+    if text is None:
+        return "no text"
+    if audio is None:
+        return "no audio"
+    return None if {"start", "end"} <= audio.keys() else "no timecode"
 
-def _nodes(document: str | bytes) -> Iterator[tuple]:
-    """``pos, sent_id, text, start, end, reason`` of every sentence node.
 
-    Sentences are the S children of the root, or its W children where it has no
-    S. Of usable nodes with one id, the last gives the values and the first the
-    position; the others are listed as replaced.
+def _nodes(document: str | bytes | None) -> Iterator[tuple]:
+    """``pos, sent_id, text, start, end, reason`` of every sentence node, as written.
+
+    Sentences are the S children of the root, or its W children where it has no S.
     """
+    if document is None:
+        yield 0, None, None, None, None, "unreadable document"
+        return
     try:
         root = ElementTree.fromstring(document)
     except ElementTree.ParseError:
         yield 0, None, None, None, None, "bad document"
         return
-    nodes = root.findall("S") or root.findall("W")
-    kept: dict = {}
-    for pos, node in enumerate(nodes):
-        sent_id, form, audio = node.get("id"), node.find("FORM"), node.find("AUDIO")
+    tag = "W" if root.find("S") is None else "S"
+    for pos, node in enumerate(root.iterfind(tag)):
+        form, audio = node.find("FORM"), node.find("AUDIO")
         text = None if form is None else form.text
-        start = None if audio is None else audio.get("start")
-        end = None if audio is None else audio.get("end")
-        if text is None or audio is None:
-            reason = "no text" if text is None else "no audio"
-            yield pos, sent_id, text, start, end, reason
-        elif start is None or end is None:
-            yield pos, sent_id, text, start, end, "no timecode"
-        else:
-            first = pos
-            if sent_id in kept:
-                first, *replaced = kept[sent_id]
-                yield (first, sent_id, *replaced, "replaced")
-            kept[sent_id] = (first, text, start, end)
-    for sent_id, (pos, text, start, end) in kept.items():
-        yield pos, sent_id, text, start, end, None
+        times = {} if audio is None else audio.attrib
+        why = _why_unusable(text, None if audio is None else times)
+        yield pos, node.get("id"), text, times.get("start"), times.get("end"), why
 
 
 def parse_annotations(documents: DataFrame) -> DataFrame:
-    """``recording, xml`` rows to one row per sentence node. Rows with a
-    ``reason`` are unusable; the others are spans."""
+    """``recording, xml`` rows to one row per sentence node. Rows with a ``reason``
+    are unusable; the others are spans. Of usable nodes of one recording and id, the
+    last one gives the values and the first one the position; the others are listed
+    as replaced. A null document gives one row with a reason."""
 
     def parse(batches):
         for batch in batches:
@@ -61,14 +59,27 @@ def parse_annotations(documents: DataFrame) -> DataFrame:
             for recording, document in zip(
                 batch["recording"].to_pylist(), batch["xml"].to_pylist()
             ):
-                rows += [(recording, *row) for row in _nodes(document)]
-                if len(rows) >= ROWS_PER_BATCH:
-                    yield _to_batch(rows)
-                    rows = []
+                for row in _nodes(document):
+                    rows.append((recording, *row))
+                    if len(rows) >= ROWS_PER_BATCH:
+                        yield _to_batch(rows)
+                        rows = []
             if rows:
                 yield _to_batch(rows)
 
-    return documents.select("recording", "xml").mapInArrow(parse, schemas.NODES)
+    nodes = documents.select("recording", "xml").mapInArrow(parse, schemas.NODES)
+    usable = F.col("reason").isNull()
+    # nodes of one document, which one task has parsed
+    same = Window.partitionBy("recording", "sent_id", usable)
+    pos = F.col("pos")
+    placed = nodes.withColumns({"_first": F.min("pos").over(same), "_last": F.max("pos").over(same)})
+    kept = usable & (pos == F.col("_last"))
+    return placed.withColumns(
+        {
+            "reason": F.when(usable & ~kept, "replaced").otherwise(F.col("reason")),
+            "pos": F.when(kept, F.col("_first")).otherwise(pos),
+        }
+    ).drop("_first", "_last")
 
 
 def _to_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -83,15 +94,21 @@ def spans(nodes: DataFrame) -> DataFrame:
 
 def read_documents(paired: DataFrame) -> DataFrame:
     """``recording, xml`` of paired recordings (``stem, annotation``). Bytes, not
-    text: the parser obeys the document's own encoding declaration."""
+    text: the parser obeys the document's own encoding declaration. A document that
+    cannot be read is null."""
 
     def read(batches):
         for batch in batches:
             for stem, path in zip(batch["stem"].to_pylist(), batch["annotation"].to_pylist()):
+                try:
+                    data = read_bytes(path)
+                except OSError:
+                    data = None
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([stem], pa.string()), pa.array([read_bytes(path)], pa.binary())],
+                    [pa.array([stem], pa.string()), pa.array([data], pa.binary())],
                     ["recording", "xml"],
                 )
 
     wanted = paired.filter(F.col("annotation").isNotNull()).select("stem", "annotation")
-    return spread(wanted, "annotation").mapInArrow(read, "recording string, xml binary")
+    placed = spread(wanted, "annotation", per_task=DOCUMENTS_PER_TASK)
+    return placed.mapInArrow(read, "recording string, xml binary")

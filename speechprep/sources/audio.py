@@ -34,35 +34,53 @@ from .storage import resolve
 
 # ---------------------------------------------------------------- fixed values
 TARGET_RATE = 16_000
-_PCM, _EXTENSIBLE = 1, 0xFFFE
+_PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
+_WIDTHS = {_PCM: (1, 2, 3, 4), _FLOAT: (4, 8)}  # bytes per sample
+_SUBFORMAT_TAIL = bytes.fromhex("000000001000800000aa00389b71")  # after the format code
 # -----------------------------------------------------------------------------
 
 RANGE_SECONDS = 60  # audio per read
+HEADERS_PER_TASK = 500
+WINDOWS_PER_TASK = 60  # of up to that length: an hour of audio
 SAMPLES_PER_BATCH = 4 << 20  # what Python holds back before sending results on
 
 
-def _header(stream, size: int) -> tuple[int, int, int, int, int]:
-    """Rate, channels, sample width, data offset and frames of a RIFF file."""
+def _format(chunk: bytes) -> tuple[int, int, int, bool, int]:
+    """Rate, channels, bytes per sample, whether they are floating point, and bytes
+    per frame, from a format chunk that makes sense."""
+    code, channels, rate, _, frame_bytes, bits = struct.unpack("<HHIIHH", chunk[:16])
+    if code == _EXTENSIBLE:
+        if len(chunk) < 40 or chunk[26:40] != _SUBFORMAT_TAIL:
+            raise ValueError("unknown extensible format")
+        code = struct.unpack("<H", chunk[24:26])[0]
+    width = bits // 8
+    if code not in _WIDTHS or bits % 8 or width not in _WIDTHS[code]:
+        raise ValueError(f"not PCM or float: format {code}, {bits} bits")
+    if not rate or not channels or frame_bytes != channels * width:
+        raise ValueError(f"bad format: rate {rate}, {channels} channels, {frame_bytes} bytes a frame")
+    return rate, channels, width, code == _FLOAT, frame_bytes
+
+
+def _header(stream, size: int) -> tuple[int, int, int, bool, int, int]:
+    """Rate, channels, sample width, floating, data offset and frames of a RIFF file."""
     riff = stream.read(12)
     if riff[:4] != b"RIFF" or riff[8:12] != b"WAVE":
         raise ValueError("not a RIFF/WAVE file")
-    fmt = None
+    known = None
     while True:
         head = stream.read(8)
         if len(head) < 8:
             raise ValueError("no data chunk")
         name, length = head[:4], struct.unpack("<I", head[4:])[0]
         if name == b"fmt ":
-            fmt = struct.unpack("<HHIIHH", stream.read(length)[:16])
-            stream.seek(stream.tell() + (length & 1))
+            known = _format(stream.read(min(length, 64)))
+            stream.seek(stream.tell() - min(length, 64) + length + (length & 1))
         elif name == b"data":
-            if fmt is None:
+            if known is None:
                 raise ValueError("data before format")
-            code, channels, rate, _, frame_bytes, bits = fmt
-            if code not in (_PCM, _EXTENSIBLE) or bits not in (8, 16, 24, 32) or not channels:
-                raise ValueError(f"not PCM: format {code}, {bits} bits")
+            *described, frame_bytes = known
             offset = stream.tell()
-            return rate, channels, bits // 8, offset, min(length, size - offset) // frame_bytes
+            return *described, offset, min(length, size - offset) // frame_bytes
         else:
             stream.seek(stream.tell() + length + (length & 1))
 
@@ -81,25 +99,29 @@ def read_headers(recordings: DataFrame) -> DataFrame:
                     with files.open_input_file(name) as stream:
                         rows.append((path, stem, *_header(stream, size), None))
                 except (OSError, ValueError, struct.error) as e:
-                    rows.append((path, stem, None, None, None, None, None, str(e)))
+                    rows.append((path, stem, *[None] * 6, str(e)))
             columns = [list(c) for c in zip(*rows)] or [[] for _ in schemas.WAV_HEADERS]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, _HEADER_TYPES)],
                 schemas.WAV_HEADERS.names,
             )
 
-    return spread(recordings.select("path", "stem"), "path").mapInArrow(read, schemas.WAV_HEADERS)
+    listed = spread(recordings.select("path", "stem"), "path", per_task=HEADERS_PER_TASK)
+    return listed.mapInArrow(read, schemas.WAV_HEADERS)
 
 
 _HEADER_TYPES = [
-    pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(),
+    pa.string(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(),
     pa.int64(), pa.int64(), pa.string(),
 ]
 
 
-def pcm_to_floats(data: bytes, width: int, channels: int) -> np.ndarray:
-    """PCM bytes to ``[frames, channels]`` in -1..1."""
-    if width == 1:  # the only unsigned width
+def pcm_to_floats(data: bytes, width: int, channels: int, floating: bool = False) -> np.ndarray:
+    """Sample bytes to ``[frames, channels]`` in -1..1. Of floating point samples,
+    those that are no number become 0."""
+    if floating:
+        values = np.nan_to_num(np.frombuffer(data, f"<f{width}").astype(np.float64))
+    elif width == 1:  # the only unsigned width
         values = (np.frombuffer(data, np.uint8).astype(np.float64) - 128) / 128
     elif width == 3:
         raw = np.frombuffer(data, np.uint8).reshape(-1, 3).astype(np.int32)
@@ -132,7 +154,7 @@ def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
     with files.open_input_file(name) as stream:
         stream.seek(row["data_offset"] + low * channels * width)
         data = stream.read((high - low) * channels * width)
-    values = pcm_to_floats(data, width, channels)
+    values = pcm_to_floats(data, width, channels, row["floating"])
     mono = values[:, 0] if mode == "first" else values.mean(axis=1)
     own = mono[begin - low : end - low]
     if sr != rate:
@@ -140,7 +162,7 @@ def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
     return floats_to_pcm16(own[first - group * phases : last - group * phases])
 
 
-_HEADER_FIELDS = ["path", "sr", "channels", "sample_width", "data_offset", "frames"]
+_HEADER_FIELDS = ["path", "sr", "channels", "sample_width", "floating", "data_offset", "frames"]
 
 
 def _readable(headers: DataFrame) -> DataFrame:
@@ -180,7 +202,8 @@ def map_windows(
             if rows:
                 yield _batch(rows, to_arrow)
 
-    return spread(windows, "recording", "start_sample").mapInArrow(run, schema)
+    spaced = spread(windows, "recording", "start_sample", per_task=WINDOWS_PER_TASK)
+    return spaced.mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -232,21 +255,54 @@ def read_windows(
     return map_windows(placed, whole, schema, mode, rate)
 
 
-def measure(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) -> DataFrame:
-    """Length and loudness per recording, see :func:`loudness_of`."""
+def read_batches(
+    headers: DataFrame,
+    windows: DataFrame,
+    batch: list[str],
+    make: Callable[[list[dict], list[np.ndarray]], Iterable[tuple]],
+    schema: T.StructType,
+    mode: str = "mean",
+    rate: int = TARGET_RATE,
+) -> DataFrame:
+    """``make(windows, samples)`` rows of every batch of windows (rows with equal
+    ``batch`` columns, few enough for one task). Only the bounds are shuffled: the
+    task that gets a batch reads its samples. Windows past the end of their recording
+    are left out."""
+    placed = lookup(windows, _readable(headers), "recording", ["start_sample"])
+    tasks = spread(placed, *batch, per_task=WINDOWS_PER_TASK)
+    to_arrow = to_arrow_schema(schema)
 
-    def sums(samples: np.ndarray, window: dict):
-        wide = samples.astype(np.int64)
-        yield window["recording"], len(samples), int(wide @ wide)
+    def whole(rows: list[dict]) -> pa.RecordBatch:
+        samples = [_read(w, w["start_sample"], w["end_sample"], mode, rate) for w in rows]
+        full = [i for i, s in enumerate(samples) if len(s)]
+        return _batch(list(make([rows[i] for i in full], [samples[i] for i in full])), to_arrow)
 
-    schema = T.StructType(
-        [
-            _TEXT_RECORDING,
-            T.StructField("n_samples", T.LongType()),
-            T.StructField("squares", T.LongType()),
-        ]
-    )
-    return loudness_of(map_windows(_ranges(headers, rate), sums, schema, mode, rate), rate)
+    def run(batches):
+        held: list[dict] = []
+        for rows in batches:
+            for window in rows.to_pylist():
+                if held and any(window[k] != held[0][k] for k in batch):
+                    yield whole(held)
+                    held = []
+                held.append(window)
+        if held:
+            yield whole(held)
+
+    return tasks.sortWithinPartitions(*batch).mapInArrow(run, schema)
+
+
+def energies(headers: DataFrame, mode: str = "mean", rate: int = TARGET_RATE) -> DataFrame:
+    """Energy per millisecond in one-second blocks ``recording, block_no, energy``:
+    all that loudness and silence need to know of the audio."""
+    per_ms = rate // 1000
+
+    def seconds(samples: np.ndarray, window: dict):
+        first = window["start_sample"] // rate
+        for i in range(0, len(samples), rate):
+            energy = millisecond_energies(samples[i : i + rate], per_ms)
+            yield window["recording"], first + i // rate, len(samples[i : i + rate]), energy
+
+    return map_windows(_ranges(headers, rate), seconds, schemas.ENERGIES, mode, rate)
 
 
 def segment(
@@ -258,36 +314,9 @@ def segment(
     tile_ms: int = silence.TILE_MS,
 ) -> DataFrame:
     """Chunks of recordings, cut on silence: ``recording, chunk_no, start_ms,
-    end_ms``. Two passes over the files, and no audio leaves the tasks that read
-    it: the first gives loudness, the second the silent runs of every tile."""
-    tile_ms = silence.tile_length(min_silence, 1, tile_ms)
-    per_ms = rate // 1000
-    loud = settle(measure(headers, mode, rate))
-    # one row per recording on both sides; tiles are spread out after the join
-    limits = silence.thresholds(loud.join(_readable(headers), "recording"), offset_db, tile_ms)
-    tile = F.col("tile")
-    windows = limits.withColumns(
-        {
-            "start_sample": tile * (tile_ms * per_ms),
-            "end_sample": ((tile + 1) * tile_ms + min_silence) * per_ms,
-        }
-    )
-
-    def runs(samples: np.ndarray, w: dict):
-        energy = millisecond_energies(samples, per_ms)
-        found = silence.silent_runs(
-            energy, w["tile"] * tile_ms, tile_ms, w["length_ms"], min_silence, per_ms,
-            w["threshold"],
-        )
-        for no, run in enumerate(found):
-            yield w["recording"], w["tile"], w["length_ms"], no, run["lo"], run["hi"]
-
-    schema = T.StructType(
-        [_TEXT_RECORDING]
-        + [T.StructField(c, T.LongType()) for c in ("tile", "length_ms", "no", "lo", "hi")]
-    )
-    found = map_windows(windows, runs, schema, mode, rate)
-    return silence.chunks(silence.merge_runs(found, min_silence), loud)
+    end_ms``. The files are read once, for their energies; the rest works on those."""
+    stored = settle(energies(headers, mode, rate))
+    return silence.segment(stored, 1000, min_silence, offset_db, rate, tile_ms)
 
 
 _TEXT_RECORDING = T.StructField("recording", T.StringType())

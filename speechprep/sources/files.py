@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import islice
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions import values as v
-from ..session import spread
+from ..session import settle, spread
 from .storage import list_directory
 
 # Strings that some CSV readers take for a missing value.
@@ -29,33 +32,32 @@ def is_recording(path, recursive: bool):
 
 def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """``path, length`` of the files of a directory, hidden ones included (Spark's
-    file sources skip names that start with ``_`` or ``.``). A recursive listing
-    walks the folders of the first level in parallel."""
-
-    def walk(folders: list[str], deep: bool):
-        while folders:
-            entries = list(list_directory(folders.pop()))
-            if entries:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*entries), _LISTING)]
-                yield pa.RecordBatch.from_arrays(columns, schema=_LISTING)
-            if deep:
-                folders += [path for path, is_folder, _ in entries if is_folder]
-
-    def top(batches):
-        for batch in batches:
-            yield from walk(batch[0].to_pylist(), False)
+    file sources skip names that start with ``_`` or ``.``). A recursive listing goes
+    level by level: every folder of a level is listed in parallel, once."""
 
-    def below(batches):
+    def entries(batches):
         for batch in batches:
-            yield from walk(batch[0].to_pylist(), True)
-
-    root = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
-    found = root.mapInArrow(top, schemas.LISTING)
-    if recursive:
-        folders = spread(found.filter("directory").select("path"), "path")
-        found = found.unionByName(folders.mapInArrow(below, schemas.LISTING))
-    return found.filter("not directory").select("path", "length")
-
+            for folder in batch[0].to_pylist():
+                listed = list_directory(folder)
+                while rows := list(islice(listed, ENTRIES_PER_BATCH)):
+                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _LISTING)]
+                    yield pa.RecordBatch.from_arrays(columns, schema=_LISTING)
+
+    level = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
+    if not recursive:
+        found = level.mapInArrow(entries, schemas.LISTING)
+        return found.filter("not directory").select("path", "length")
+    levels = []
+    while True:
+        found = settle(spread(level, "path", per_task=FOLDERS_PER_TASK).mapInArrow(entries, schemas.LISTING))
+        levels.append(found.filter("not directory").select("path", "length"))
+        level = found.filter("directory").select("path")
+        if level.isEmpty():
+            return reduce(DataFrame.union, levels)
+
+
+ENTRIES_PER_BATCH = 10_000
+FOLDERS_PER_TASK = 100
 
 _LISTING = to_arrow_schema(schemas.LISTING)
 

@@ -4,18 +4,37 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 from pyarrow import fs
 
+# the names Spark users write, and the scheme of the file system that serves them
+_SCHEMES = {
+    "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs",
+    "abfs": "abfs", "abfss": "abfss",
+}
+_URI = re.compile(r"^([A-Za-z][A-Za-z0-9+.-]*):(?://([^/]*))?(/.*)?$", re.S)
+
+
+@lru_cache(maxsize=64)
+def _connect(scheme: str, authority: str) -> tuple[fs.FileSystem, str]:
+    """File system of a store and the path of its root, once per process."""
+    files, root = fs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    return files, root.rstrip("/")
+
 
 def resolve(path: str) -> tuple[fs.FileSystem, str]:
     """File system and path within it. ``file:/x`` is what Spark calls a local file."""
-    local = re.match(r"^file:/+", path)
-    if local:
-        return fs.LocalFileSystem(), "/" + path[local.end() :]
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    return fs.LocalFileSystem(), path
+    uri = _URI.match(path)
+    if path.startswith("/") or not uri:
+        return fs.LocalFileSystem(), path
+    scheme, authority, name = uri[1].lower(), uri[2] or "", uri[3] or "/"
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + name.lstrip("/")
+    if scheme not in _SCHEMES:
+        raise ValueError(f"no file system for {scheme}: in {path}")
+    files, root = _connect(_SCHEMES[scheme], authority)
+    return files, root + name
 
 
 def plain_path(path: str) -> str:
@@ -29,9 +48,8 @@ def list_directory(path: str) -> Iterator[tuple[str, bool, int]]:
     the directory itself was named."""
     files, name = resolve(path.rstrip("/"))
     clean = plain_path(path)
-    prefix = clean[: -len(name)] if clean.endswith(name) else ""
     for entry in files.get_file_info(fs.FileSelector(name)):
-        yield prefix + entry.path, entry.type == fs.FileType.Directory, entry.size or 0
+        yield f"{clean}/{entry.base_name}", entry.type == fs.FileType.Directory, entry.size or 0
 
 
 def read_bytes(path: str) -> bytes:

@@ -15,7 +15,7 @@ from speechprep.operators import vocab as vc
 from speechprep.plans import stages
 from speechprep.sinks import files as file_sinks
 from speechprep.sinks import tables
-from speechprep.sources import files
+from speechprep.sources import annotations, files
 
 
 @pytest.fixture
@@ -79,12 +79,63 @@ def test_preparation_to_training_rows(spark, corpus):
     stored = json.loads("".join(p.read_text("utf-8") for p in (corpus / "vocab").glob("part-*")))
     alphabet = vc.Alphabet.load(vocab)
     assert list(stored) == list(alphabet.chars) and "|" in stored and "ó" in stored
-    batched = stages.training_rows(manifest, clips, alphabet).collect()
+    made = stages.training_rows(manifest, prepared, alphabet)
+    assert_no_exchange_carries(made, "samples")
+    batched = made.collect()
+    assert len(batched) == len(rows)
     assert {len(r.input_values) for r in batched} == {max(lengths.values())}
     for r in batched:
         assert sum(r.attention_mask) == lengths[r.path]
         n = len(rows[r.path].sentence)
         assert all(i >= 0 for i in r.labels[:n]) and set(r.labels[n:]) <= {-100}
+        own = np.array(r.input_values[: lengths[r.path]])
+        if r.path != "B_B_S001.wav":  # that one is silent
+            assert abs(own.mean()) < 1e-4 and own.std() == pytest.approx(1, abs=1e-3)
+        assert not any(r.input_values[lengths[r.path] :])
+
+
+def assert_no_exchange_carries(df, column):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert exchanges and not any(column in line for line in exchanges)
+    todo, seen = [df._jdf.queryExecution().optimizedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if "Repartition" in node.nodeName():
+            seen += 1
+            names = [node.output().apply(i).name() for i in range(node.output().size())]
+            assert column not in names and "input_values" not in names
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    assert seen
+
+
+def test_vanished_annotations_are_listed(spark, tmp_path):
+    paired = spark.createDataFrame(
+        [("a", str(tmp_path / "none.xml")), ("b", None)], "stem string, annotation string"
+    )
+    nodes = annotations.parse_annotations(annotations.read_documents(paired))
+    assert [(r.recording, r.reason) for r in nodes.collect()] == [("a", "unreadable document")]
+
+
+def test_equal_stems_and_lost_files(spark, tmp_path):
+    """``A.wav`` and ``A.WAV`` share an annotation; nothing is multiplied or lost."""
+    wavs, xmls = tmp_path / "wav", tmp_path / "xml"
+    wavs.mkdir(), xmls.mkdir()
+    span = '<S id="{0}"><AUDIO start="{1}" end="{2}"/><FORM>word {0}</FORM></S>'
+    two = span.format("S001", 0, 1.5) + span.format("S002", 2, 4)
+    for seed, name in enumerate(("A.wav", "A.WAV")):
+        write_wav(wavs / name, [speech_like([(5, 0.5)], 16_000, seed)], 16_000)
+    (wavs / "junk.wav").write_bytes(b"junk")
+    for name in ("A", "junk"):
+        (xmls / f"{name}.xml").write_text(f"<TEXT>{two}</TEXT>")
+    prepared = stages.prepare(spark, str(wavs), str(xmls))
+    kept = prepared.manifest.collect()
+    assert len(kept) == len({r.path for r in kept}) == 4
+    clips = {r.path: r.samples for r in stages.clips(prepared).collect()}
+    assert set(clips) == {r.path for r in kept} and len({tuple(s) for s in clips.values()}) == 4
+    reasons = sorted((r.recording, r.reason) for r in prepared.rejects.collect())
+    assert reasons == [("junk", "unreadable audio")] * 2
+    assert [r.path.rsplit("/", 1)[1] for r in prepared.unreadable.collect()] == ["junk.wav"]
 
 
 CHARS = ["a", "b", "|", "[UNK]", "[PAD]"]
@@ -117,8 +168,13 @@ def test_transcription_and_exports(spark, tmp_path):
     recordings = stages.find_recordings(spark, f"file://{audio_dir}/")
     assert {r.stem for r in recordings.collect()} == {"A", "sub/A", "sub/quiet", "long"}
     chars = F.array(*map(F.lit, CHARS))
-    lazy = stages.transcribe(recordings, scorer_factory(), chars, CHARS.index("[PAD]"))
-    lazy.write.parquet(str(tmp_path / "predictions"))
+    (audio_dir / "junk.wav").write_bytes(b"RIFF")
+    recordings = stages.find_recordings(spark, f"file://{audio_dir}/")
+    done = stages.transcribe(
+        recordings, scorer_factory(), chars, CHARS.index("[PAD]"), scale=False
+    )
+    assert [r.recording for r in done.failures.collect()] == ["junk"]
+    done.predictions.write.parquet(str(tmp_path / "predictions"))
     predictions = spark.read.parquet(str(tmp_path / "predictions"))
     got = {}
     for r in predictions.orderBy("recording", "chunk_no").collect():
@@ -131,9 +187,10 @@ def test_transcription_and_exports(spark, tmp_path):
     assert got["A"][-1][2] == pytest.approx(6.6) and got["long"][0][2] == 25.0
     assert all(a[2] == b[1] for a, b in zip(got["A"], got["A"][1:]))
 
-    written = stages.export(predictions, recordings, f"file:{audio_dir}", "tdh", "2024-01-01T00:00:00+00:00")
+    written = stages.export(predictions, recordings, f"file:{audio_dir}", "tdh", "2024-01-01T00:00:00+00:00", failures=done.failures)
     names = {r.file[len(str(tmp_path)) + 1 :] for r in written.collect()}
     folder = tmp_path / "new_result"
+    assert not any("junk" in n for n in names)
     assert names >= {f"new_result/{s}.{e}" for s in ("A", "sub/A", "sub/quiet", "long") for e in ("tsv", "xml", "eaf", "txt")}
     assert (folder / "sub" / "quiet.tsv").read_text().startswith("Chunk,Prediction,Start,End,Duration\n")
     assert (folder / "A.txt").read_text() == " a b a"
@@ -150,7 +207,8 @@ def test_source_times_do_not_drift(spark, tmp_path):
     recordings = stages.find_recordings(spark, str(tmp_path))
     chars = F.array(*map(F.lit, CHARS))
     by = {
-        times: stages.transcribe(recordings, scorer_factory(), chars, 4, times=times).orderBy("chunk_no").collect()
+        times: stages.transcribe(recordings, scorer_factory(), chars, 4, times=times, scale=False)
+        .predictions.orderBy("chunk_no").collect()
         for times in ("scored", "source")
     }
     assert by["scored"][1].start_s == 25.0

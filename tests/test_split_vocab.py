@@ -54,19 +54,6 @@ def test_one_recording_with_most_clips_is_not_shuffled(spark):
     assert split.leaked_recordings(assigned, "recording").count() == 0
 
 
-def test_generator_split_matches_numpy(spark):
-    rows = clips(spark, 47)
-    names = sorted({r.recording for r in rows.collect()})
-    np.random.default_rng(seed=42).shuffle(names)
-    expected = dict.fromkeys(names[:39], "train")
-    expected |= dict.fromkeys(names[39:43], "valid") | dict.fromkeys(names[43:], "test")
-    got = split.assign_splits_by_generator(rows)
-    assert {r.split_recording: r.split for r in got.collect()} == expected
-    assert got.count() == rows.count()
-    with pytest.raises(ValueError):
-        split.assign_splits_by_generator(rows, max_recordings=10)
-
-
 def test_recording_key(spark):
     names = ["A_S001.wav", "A_B_S12_x.wav", "A_A_S001.wav", "A_w1.wav", "a_S1_S2.wav"]
     df = spark.createDataFrame([(n,) for n in names], "p string")
