@@ -94,7 +94,9 @@ def raw_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def annotation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Annotation XML written from the paragraphs (or list items) of web pages."""
+    """Annotation XML written from the paragraphs (or list items) of web pages. The
+    sentences of every ninth page have no audio, so its document has no span."""
+    void = F.col("page_id") % 9 == 4
     para = F.regexp_extract_all("html", F.lit("<p>([^<]+)</p>"), F.lit(1))
     items = F.regexp_extract_all("html", F.lit("<li>(?:<a[^>]*>)?([^<]+)"), F.lit(1))
 
@@ -102,7 +104,7 @@ def annotation_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         def element(text, i):
             start, end = i * 10, i * 10 + 5
             audio = (
-                F.when(i % 7 == 3, F.lit(""))
+                F.when((i % 7 == 3) | void, F.lit(""))
                 .when(i % 5 == 4, F.concat(F.lit('<AUDIO start="'), start.cast("string"), F.lit('"/>')))
                 .otherwise(
                     F.concat(
@@ -236,6 +238,17 @@ def checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pcm_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sample blocks as little-endian 16-bit PCM bytes."""
+    swapped = "transform(samples, x -> lpad(hex(pmod(int(x), 65536)), 4, '0'))"
+    return blocks(spark, sf_dir).selectExpr(
+        "recording",
+        "block_no",
+        f"""unhex(array_join(transform({swapped}, h -> concat(substr(h, 3, 2), substr(h, 1, 2))), ''))
+             as data""",
+    )
+
+
 def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded rows: a value per character as input, a label per word."""
     return table(spark, sf_dir, "conversations").selectExpr(

@@ -155,14 +155,15 @@ members AS (SELECT rec, CASE WHEN rank <= n - 2 * (n // 10) THEN 'train'
 assigned AS (SELECT r.*, m.rec, m.split FROM rows_ r JOIN members m
   ON regexp_replace(r.path, '_S[0-9]+.*\\.wav$', '') = m.rec)"""
 
-ELEMENTS = """found AS (SELECT printf('page%06d', page_id) AS recording,
+ELEMENTS = """found AS (SELECT printf('page%06d', page_id) AS recording, page_id % 9 = 4 AS void,
   regexp_extract_all(html, '<p>([^<]+)</p>', 1) AS p,
   regexp_extract_all(html, '<li>(?:<a[^>]*>)?([^<]+)', 1) AS li FROM pages),
-chosen AS (SELECT recording, CASE WHEN len(p) > 0 THEN p ELSE li END AS texts FROM found),
-elements AS (SELECT recording, unnest(range(len(texts))) AS i, unnest(texts) AS body FROM chosen),
+chosen AS (SELECT recording, void, CASE WHEN len(p) > 0 THEN p ELSE li END AS texts FROM found),
+elements AS (SELECT recording, void, unnest(range(len(texts))) AS i, unnest(texts) AS body
+  FROM chosen),
 nodes AS (SELECT recording, i, 'N' || (CASE WHEN i % 6 = 5 THEN i - 1 ELSE i END) AS sent_id,
   CASE WHEN i % 11 <> 6 THEN body END AS text, i * 10 AS t0, i * 10 + 5 AS t1,
-  CASE WHEN i % 11 = 6 THEN 'no text' WHEN i % 7 = 3 THEN 'no audio'
+  CASE WHEN i % 11 = 6 THEN 'no text' WHEN i % 7 = 3 OR void THEN 'no audio'
     WHEN i % 5 = 4 THEN 'no timecode' END AS reason FROM elements),
 spans AS (SELECT recording, min(i) AS pos, sent_id, max_by(text, i) AS text, max(t0) AS t0,
   max(t1) AS t1, count(*) AS n FROM nodes WHERE reason IS NULL GROUP BY recording, sent_id)"""
@@ -273,9 +274,6 @@ FULL_VOCAB = _vocab(
     """(SELECT count(*) FROM conversations WHERE turn % 2 = 0) >= 2
     OR (SELECT count(*) FROM conversations WHERE turn % 2 = 1) >= 2""",
 )
-HALF_VOCAB = _vocab(
-    "WHERE turn % 2 = 0", "(SELECT count(*) FROM conversations WHERE turn % 2 = 0) >= 2"
-)
 
 ENCODED = """encoded AS (SELECT conv_id * 100000 + turn AS utt, text, length(text) AS n,
   list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''), lambda w: length(w))
@@ -423,6 +421,10 @@ def all_oracles() -> dict[str, str]:
         "q_normalize_dispatch": f"""WITH {TEXTS} SELECT doc_id, language,
             CASE language WHEN 'tdh' THEN {tdh('text')} WHEN 'nru' THEN {nru('text')}
             WHEN 'jya' THEN {jya('text')} ELSE {clean('text')} END AS sentence FROM texts""",
+        "q_registered_language": f"""WITH {TEXTS} SELECT doc_id,
+            '<' || {clean("replace(text, 'e', '3')")} || '>' AS sentence FROM texts
+            WHERE NOT contains(text, 'peu')""",
+        "q_csv_round_trip": f"""WITH {CLIPS} SELECT path, sentence, recording, turn FROM clips""",
         "q_skip_filter": f"""WITH {TEXTS} SELECT doc_id, language FROM texts
             WHERE NOT (coalesce(language, '') = 'nru' AND {skipped('text')})""",
         "q_xml_escape": f"""SELECT page_id, {esc('html')} AS content, {esc_attr('html')} AS attribute
@@ -476,12 +478,12 @@ def all_oracles() -> dict[str, str]:
         "q_vocab": f"WITH {FULL_VOCAB} SELECT char, id FROM vocab",
         "q_vocab_json": f"""WITH {FULL_VOCAB} SELECT '{{' || string_agg(to_json(char)::varchar || ':'
             || id, ',' ORDER BY id) || '}}' AS json FROM vocab""",
-        "q_label_encode": f"""WITH {HALF_VOCAB}, {TEXTS}, m AS (SELECT map(list(char), list(id)) AS m
+        "q_label_encode": f"""WITH {FULL_VOCAB}, {TEXTS}, m AS (SELECT map(list(char), list(id)) AS m
             FROM vocab) SELECT doc_id, array_to_string(list_transform(list_filter(string_split(
             replace(text, ' ', '|'), ''), lambda c: c <> ''), lambda c:
             coalesce(m[c], m['[UNK]'])), ' ') AS labels FROM texts, m""",
-        "q_label_decode": f"""WITH {HALF_VOCAB}, {CLIPS}, m AS (SELECT list(char) AS known FROM chars)
-            SELECT path, trim(array_to_string(list_transform(string_split(sentence, ''), lambda c:
+        "q_label_decode": f"""WITH {FULL_VOCAB}, {CLIPS}, m AS (SELECT list(char) AS known FROM chars)
+            SELECT path, trim(array_to_string(list_transform(string_split(sentence || '漢 @', ''), lambda c:
             CASE WHEN c IN (' ', '|') THEN ' ' WHEN list_contains(known, c) THEN c ELSE '[UNK]' END),
             ''), {_ENDS}) AS sentence FROM clips, m""",
         "q_feature_scale": """WITH e AS (SELECT vec_id, unnest(range(64)) AS pos,
@@ -497,6 +499,13 @@ def all_oracles() -> dict[str, str]:
             lambda c: unicode(c) / 128)), 4) AS sum_values, n_in AS n_mask, n AS sum_mask,
             array_to_string(list_concat(labels, list_transform(range(n_lab - len(labels)),
             lambda i: -100)), ' ') AS labels FROM longest""",
+        "q_padding_options": f"""WITH {ENCODED}, longest AS (SELECT *,
+            greatest(max(n) OVER w, 300) AS n_in,
+            ((greatest(max(len(labels)) OVER w, 40) + 7) // 8) * 8 AS n_lab
+            FROM batched WINDOW w AS (PARTITION BY shard, batch_no))
+            SELECT utt, n_in AS n_values, n AS sum_mask, n_lab AS n_labels,
+            n_lab - len(labels) AS n_ignored FROM longest""",
+        "q_pcm_decode": f"""WITH {WAVE} SELECT recording, pos, x / 32768 AS x FROM points""",
         "q_ctc_decode": f"""WITH src AS (SELECT vec_id AS utt, embedding FROM embeddings),
             {_ctc('embedding', 'utt, embedding')} SELECT utt,
             coalesce(trim(replace(t, '|', ' ')), '') AS prediction FROM texts""",
@@ -567,6 +576,23 @@ def all_oracles() -> dict[str, str]:
         "q_plain_text": f"""WITH {EVENTS} SELECT recording, 1 AS section, chunk_no // {PART} AS part_no,
             string_agg(' ' || prediction, '' ORDER BY chunk_no) AS body FROM kept
             GROUP BY recording, chunk_no // {PART}""",
+        "q_document_files": f"""WITH {EVENTS}, parts AS (SELECT recording, chunk_no // {PART} AS part_no,
+            string_agg(' ' || prediction, '' ORDER BY chunk_no) AS body FROM kept
+            GROUP BY recording, chunk_no // {PART})
+            SELECT '{AUDIO_ROOT}_result/' || recording || '.txt' AS file, part_no,
+            octet_length(encode(body))::bigint AS bytes, md5(body) AS md5 FROM parts""",
+        "q_prediction_csv": f"""WITH {EVENTS}, fields AS (SELECT recording, chunk_no,
+            coalesce(prediction, '') AS p, (t1 - capped) / 1000 AS a, t1 / 1000 AS b,
+            capped / 1000 AS d FROM timed),
+            lines AS (SELECT recording, chunk_no, printf('chunk_%06d.wav', chunk_no) || ','
+              || CASE WHEN regexp_matches(p, '[",\r\n]')
+                 THEN '"' || replace(p, '"', '""') || '"' ELSE p END
+              || ',' || a || ',' || b || ',' || d || chr(10) AS line FROM fields)
+            SELECT recording, 1 AS section, chunk_no // {PART} AS part_no,
+            string_agg(line, '' ORDER BY chunk_no) AS body FROM lines
+            GROUP BY recording, chunk_no // {PART}
+            UNION ALL SELECT DISTINCT recording, 0, 0, 'Chunk,Prediction,Start,End,Duration' || chr(10)
+            FROM chunks""",
         "q_pangloss_rows": f"""WITH {EVENTS} SELECT recording, chunk_no, recording || '_S'
             || printf('%03d', k) AS sentence_id, printf('%.1f', start_s) AS t_start,
             printf('%.1f', end_s) AS t_end, prediction FROM kept""",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from ..functions import values as v
 from ..operators import batches, ctc, documents, history, infer, manifest, metrics, signal, silence, split
 from ..operators import timeline as tl
 from ..operators import vocab as vc
-from ..sources import annotations, files
+from ..sources import annotations, audio, files
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,6 +71,28 @@ def q_normalize_dispatch(spark, sf):
     )
 
 
+@query
+def q_registered_language(spark, sf):
+    code = "catalog"
+    tx.register_normalizer(
+        code,
+        lambda text: F.replace(text, F.lit("e"), F.lit("3")),
+        lambda text: F.concat(F.lit("<"), text, F.lit(">")),
+    )
+    tx.register_skip(code, lambda text: F.contains(text, F.lit("peu")))
+    text = F.col("text")
+    kept = a.raw_texts(spark, sf).filter(~tx.is_skipped(text, code))
+    return kept.select("doc_id", tx.normalize(text, code).alias("sentence"))
+
+
+@query
+def q_csv_round_trip(spark, sf):
+    options = files.table_options("\t")
+    fields = "path string, sentence string, recording string, turn bigint"
+    line = F.to_csv(F.struct("path", "sentence", "recording", "turn"), options)
+    return a.clips(spark, sf).select(F.from_csv(line, fields, options).alias("r")).select("r.*")
+
+
 @query
 def q_skip_filter(spark, sf):
     kept = ~tx.is_skipped(F.col("text"), F.col("language"))
@@ -255,8 +278,8 @@ def q_vocab_json(spark, sf):
 
 @query
 def q_label_encode(spark, sf):
-    # the vocabulary of one half leaves unknown characters in the other texts
-    alphabet = vc.Alphabet.load(vc.vocabulary(_corpora(spark, sf)[0]))
+    # the marks appended to the texts hold characters that the turns lack
+    alphabet = vc.Alphabet.load(vc.vocabulary(*_corpora(spark, sf)))
     labels = alphabet.encode(F.col("text"))
     return a.raw_texts(spark, sf).select(
         "doc_id", F.array_join(labels.cast("array<string>"), " ").alias("labels")
@@ -265,8 +288,9 @@ def q_label_encode(spark, sf):
 
 @query
 def q_label_decode(spark, sf):
-    alphabet = vc.Alphabet.load(vc.vocabulary(_corpora(spark, sf)[0]))
-    padded = F.concat(alphabet.encode(F.col("sentence")), F.array_repeat(F.lit(-100), 5))
+    alphabet = vc.Alphabet.load(vc.vocabulary(*_corpora(spark, sf)))
+    marked = F.concat("sentence", F.lit("漢 @"))  # characters that no turn has
+    padded = F.concat(alphabet.encode(marked), F.array_repeat(F.lit(-100), 5))
     return a.clips(spark, sf).select("path", alphabet.decode(padded).alias("sentence"))
 
 
@@ -302,6 +326,23 @@ def q_pad_batches(spark, sf):
     )
 
 
+@query
+def q_padding_options(spark, sf):
+    made = batches.length_batches(a.encoded(spark, sf), "utt", F.size("input_values"))
+    padded = batches.pad_batches(
+        made, ["shard", "batch_no"], min_inputs=300, min_labels=40, labels_multiple=8
+    )
+    ignored = F.filter("labels", lambda i: i == vc.IGNORED_LABEL)
+    mask = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
+    return padded.select(
+        "utt",
+        F.size("input_values").cast("bigint").alias("n_values"),
+        mask.cast("bigint").alias("sum_mask"),
+        F.size("labels").cast("bigint").alias("n_labels"),
+        F.size(ignored).cast("bigint").alias("n_ignored"),
+    )
+
+
 # ------------------------------------------------------------ decode and score
 
 
@@ -390,6 +431,23 @@ def q_downmix(spark, sf):
     )
 
 
+@query
+def q_pcm_decode(spark, sf):
+    @F.arrow_udf("array<double>")
+    def decode(data: pa.Array) -> pa.Array:
+        return pa.array(
+            [audio.pcm_to_floats(d.as_py(), 2, 1)[:, 0] for d in data], pa.list_(pa.float64())
+        )
+
+    decoded = a.pcm_bytes(spark, sf).select(
+        "recording", "block_no", decode.asNondeterministic()(F.col("data")).alias("x")
+    )
+    rows = decoded.select("recording", "block_no", F.posexplode("x").alias("pos", "x"))
+    return rows.select(
+        "recording", (F.col("block_no") * a.BLOCK_SAMPLES + F.col("pos")).alias("pos"), "x"
+    )
+
+
 @query
 def q_frame_energy(spark, sf):
     return signal.frame_energy(signal.energy_blocks(a.blocks(spark, sf)), a.BLOCK_MS)
@@ -507,6 +565,24 @@ def q_plain_text(spark, sf):
     return documents.plain_text(a.chunk_lengths(spark, sf))
 
 
+@query
+def q_prediction_csv(spark, sf):
+    return documents.prediction_csv(_timed(spark, sf), _recordings(spark, sf))
+
+
+@query
+def q_document_files(spark, sf):
+    """What the document writer is given: the file of every part, and its bytes."""
+    parts = documents.plain_text(a.chunk_lengths(spark, sf))
+    path = F.concat(F.lit(f"{AUDIO_ROOT}/"), "recording", F.lit(".wav"))
+    return parts.select(
+        tl.result_path(path, AUDIO_ROOT, "txt").alias("file"),
+        "part_no",
+        F.octet_length("body").cast("bigint").alias("bytes"),
+        F.md5(F.col("body").cast("binary")).alias("md5"),
+    )
+
+
 @query
 def q_pangloss_rows(spark, sf):
     numbered = documents.sentences(_timed(spark, sf))

@@ -4,7 +4,7 @@
 to one task. Here positions are cut into fixed ranges of ``block`` positions:
 a window runs inside each (recording, block), so it never sees more than
 ``block`` rows, and the totals of the blocks before it (one row per block) are
-carried in through a join on the same key.
+carried in through a join on the same key, in two levels.
 
 Positions must be integers that are unique within their group. They may have
 gaps.
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import values as v
 
 BLOCK = 65_536
+WIDE = 4_096  # blocks that are carried over one by one
 
 _REDUCE = {"sum": F.sum, "min": F.min, "max": F.max}
 
@@ -40,6 +41,39 @@ def with_block(df: DataFrame, pos: str, block: int = BLOCK) -> DataFrame:
     return df.withColumn(block_col(block), v.div(F.col(pos), block))
 
 
+def _carried(
+    totals: DataFrame, keys: list[str], at: str, kinds: dict[str, str]
+) -> DataFrame:
+    """For each block the aggregates of the blocks before it, as ``_carried_*``.
+
+    Positions may be sparse, so that blocks are nearly as many as rows. Hence two
+    levels: a window inside each stretch of ``WIDE`` blocks, and one over the totals
+    of the stretches."""
+    stretch = totals.withColumn("_stretch", v.div(F.col(at), WIDE))
+
+    def over(rows: DataFrame, by: list[str], order: str, prefix: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(order)
+        earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
+        return rows.select(
+            *(c for c in rows.columns if c not in kinds),
+            *(_REDUCE[kind](n).over(earlier).alias(prefix + n) for n, kind in kinds.items()),
+        )
+
+    sums = stretch.groupBy(*keys, "_stretch").agg(
+        *(_REDUCE[kind](n).alias(n) for n, kind in kinds.items())
+    )
+    outer = over(sums, keys, "_stretch", "_outer_")
+    inner = over(stretch, [*keys, "_stretch"], at, "_inner_")
+    return inner.join(outer, [*keys, "_stretch"], "left").select(
+        *keys,
+        at,
+        *(
+            _combine(kind, F.col(f"_outer_{n}"), F.col(f"_inner_{n}")).alias(f"_carried_{n}")
+            for n, kind in kinds.items()
+        ),
+    )
+
+
 def before(
     df: DataFrame,
     keys: list[str],
@@ -60,18 +94,7 @@ def before(
     totals = blocked.groupBy(*block_keys).agg(
         *[_REDUCE[kind](expr).alias(name) for name, (kind, expr) in outputs.items()]
     )
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(block_col(block))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    carried = totals.select(
-        *block_keys,
-        *[
-            _REDUCE[kind](name).over(earlier).alias(f"_carried_{name}")
-            for name, (kind, _) in outputs.items()
-        ],
-    )
+    carried = _carried(totals, keys, block_col(block), {n: kind for n, (kind, _) in outputs.items()})
 
     inside = (
         Window.partitionBy(*block_keys)

@@ -77,18 +77,21 @@ def _with_stem(listed: DataFrame) -> DataFrame:
     return listed.select("path", v.stem(F.col("path")).alias("stem"), "length")
 
 
+def table_options(sep: str) -> dict[str, str]:
+    """How fields are written and read: only as much quoting as needed, white space
+    kept."""
+    return {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "multiLine": "true",
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    }
+
+
 def _read_table(spark: SparkSession, path: str, schema, sep: str, na_values: str | None) -> DataFrame:
-    reader = (
-        spark.read.schema(schema)
-        .option("sep", sep)
-        .option("header", True)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-    )
-    table = reader.csv(path)
+    table = spark.read.schema(schema).options(header=True, **table_options(sep)).csv(path)
     if na_values == "pandas":
         text = [f.name for f in schema if f.dataType.simpleString() == "string"]
         table = table.withColumns(

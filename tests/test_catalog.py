@@ -25,7 +25,8 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(all_queries()) == set(all_oracles())
-    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+    # further queries may have none, where SQL cannot express them
+    assert set(all_queries()) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_flagship(spark):
