@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from speechprep.session import shared_folder
+
 #: At most this many keys can hold more than one of this many parts of all rows,
 #: which is what bounds the broadcast of the heavy keys.
 HEAVY_KEYS = 1024
@@ -17,28 +19,19 @@ BROADCAST_KEYS = 1_000_000
 HEAVY_ROWS = 2000
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all nodes reach, from ``spark.checkpoint.dir``."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        context = spark.sparkContext
-        folder = context.getCheckpointDir() if context.master.startswith("local") else None
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all nodes can reach")
-    return folder.rstrip("/")
-
-
 def fresh_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
 def settled(df: DataFrame) -> DataFrame:
-    """The rows written to the shared folder, once: what follows does not compute
-    them again, and lost executors lose nothing."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    """The rows as a table in the shared folder, read from there: what follows does not
+    compute them again, lost executors lose nothing, and their true size is known to
+    the joins that follow. (``checkpoint()`` keeps the estimate of the plan it cuts,
+    and that estimate grows with every join of an iteration.) The table stays until the
+    folder is cleared."""
+    folder = fresh_folder(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
 def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int) -> DataFrame:
