@@ -20,6 +20,7 @@ from speechprep.llm import (
     warc,
 )
 from speechprep.llm.common import digest
+from speechprep.llm.oracles import all_oracles
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,4 +136,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    return {"op4_line_dedup": linededup.ORACLE, "op10_decontamination": decontam.ORACLE}
+    return all_oracles()
