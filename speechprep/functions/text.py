@@ -46,7 +46,7 @@ TDH_DELETED = '"=_/§X'
 # Characters deleted from nru transcripts.
 NRU_DELETED = "FD<>"
 # Characters deleted from jya transcripts.
-JYA_DELETED = "\"\u201c\u201d'=_/\\&#%|\u01c0+<>:\uff1a\uff08\uff09\uff0c\uff1f\ufeff\u200b\u200c\u200d"
+JYA_DELETED = "\"“”'=_/\\&#%|ǀ+<>:：（），？\ufeff\u200b\u200c\u200d"
 # Brackets deleted from jya transcripts once their contents are gone.
 JYA_BRACKETS = "()[]{}"
 # Private-use stand-in that carries an apostrophe through the jya deletions.
@@ -187,10 +187,6 @@ def register_skip(code: str, predicate: ColumnFn) -> None:
     _SKIPS[code] = predicate
 
 
-def languages() -> list[str]:
-    return sorted(_NORMALIZERS)
-
-
 def _by_language(language, table: dict[str, ColumnFn], value: Column, default: Column) -> Column:
     """Choose per run (``language`` is a code or None) or per row (a Column)."""
     if not isinstance(language, Column):

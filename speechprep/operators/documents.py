@@ -10,6 +10,8 @@ available as tables too.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,25 +24,48 @@ PART = 4_096  # chunk numbers per document part
 
 # ---------------------------------------------------------------- fixed values
 XML_DECLARATION = "<?xml version='1.0' encoding='utf-8'?>\n"
-EAF_DECLARATION = '<?xml version="1.0" encoding="UTF-8"?>'
-EAF_NAMESPACE = 'xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"'
-EAF_SCHEMA = 'xsi:noNamespaceSchemaLocation="http://www.mpi.nl/tools/elan/EAFv3.0.xsd"'
-EAF_TX_TYPE = (
-    '    <LINGUISTIC_TYPE GRAPHIC_REFERENCES="false" LINGUISTIC_TYPE_ID="tx"'
-    ' TIME_ALIGNABLE="true"/>'
-)
-EAF_WORD_TYPE = (
-    '    <LINGUISTIC_TYPE CONSTRAINTS="Symbolic_Subdivision" GRAPHIC_REFERENCES="false"'
-    ' LINGUISTIC_TYPE_ID="word" TIME_ALIGNABLE="false"/>'
-)
-EAF_WORD_TIER = (
-    '    <TIER LINGUISTIC_TYPE_REF="word" PARENT_REF="tx" TIER_ID="word">'
-)
-EAF_CONSTRAINT = (
-    '    <CONSTRAINT DESCRIPTION="Symbolic subdivision of a parent annotation.'
-    ' Annotations refering to the same parent are ordered"'
-    ' STEREOTYPE="Symbolic_Subdivision"/>'
-)
+EAF_OPENING = '''<?xml version="1.0" encoding="UTF-8"?>
+<ANNOTATION_DOCUMENT AUTHOR="" DATE="{date}" FORMAT="3.0" VERSION="3.0"
+    xmlns:xsi="http://www.w3.org/2001/XMLSchema-instance"
+    xsi:noNamespaceSchemaLocation="http://www.mpi.nl/tools/elan/EAFv3.0.xsd">
+    <HEADER MEDIA_FILE="" TIME_UNITS="milliseconds">
+{media}        <PROPERTY NAME="lastUsedAnnotationId">{last_id}</PROPERTY>
+    </HEADER>
+    <TIME_ORDER>
+'''
+EAF_MEDIA = '''        <MEDIA_DESCRIPTOR MEDIA_URL="file://{media}" MIME_TYPE="audio/x-wav"/>
+'''
+EAF_SLOT = '''        <TIME_SLOT TIME_SLOT_ID="{slot}" TIME_VALUE="{ms}"/>
+'''
+EAF_TX_TIER = '''    </TIME_ORDER>
+    <TIER{language} LINGUISTIC_TYPE_REF="tx" TIER_ID="tx">
+'''
+EAF_TIER_LANGUAGE = ' LANG_REF="{code}"'
+EAF_SENTENCE = '''        <ANNOTATION>
+            <ALIGNABLE_ANNOTATION ANNOTATION_ID="{id}" TIME_SLOT_REF1="{from_slot}" TIME_SLOT_REF2="{to_slot}">
+                <ANNOTATION_VALUE>{value}</ANNOTATION_VALUE>
+            </ALIGNABLE_ANNOTATION>
+        </ANNOTATION>
+'''
+EAF_TIER_END = "    </TIER>\n"
+EAF_WORD_TIER = '''    <TIER LINGUISTIC_TYPE_REF="word" PARENT_REF="tx" TIER_ID="word">
+'''
+EAF_WORD = '''        <ANNOTATION>
+            <REF_ANNOTATION ANNOTATION_ID="{id}" ANNOTATION_REF="{parent}"{previous}>
+                <ANNOTATION_VALUE>{value}</ANNOTATION_VALUE>
+            </REF_ANNOTATION>
+        </ANNOTATION>
+'''
+EAF_PREVIOUS = ' PREVIOUS_ANNOTATION="{id}"'
+EAF_TX_TYPE = '''    <LINGUISTIC_TYPE GRAPHIC_REFERENCES="false" LINGUISTIC_TYPE_ID="tx" TIME_ALIGNABLE="true"/>
+'''
+EAF_WORD_TYPE = '''    <LINGUISTIC_TYPE CONSTRAINTS="Symbolic_Subdivision" GRAPHIC_REFERENCES="false" LINGUISTIC_TYPE_ID="word" TIME_ALIGNABLE="false"/>
+'''
+EAF_LANGUAGE = '''    <LANGUAGE LANG_DEF="{code}" LANG_ID="{code}" LANG_LABEL="{code}"/>
+'''
+EAF_CONSTRAINT = '''    <CONSTRAINT DESCRIPTION="Symbolic subdivision of a parent annotation. Annotations refering to the same parent are ordered" STEREOTYPE="Symbolic_Subdivision"/>
+'''
+EAF_CLOSING = "</ANNOTATION_DOCUMENT>\n"
 # -----------------------------------------------------------------------------
 
 _WORDS = "_words"
@@ -50,6 +75,12 @@ def _text(*pieces: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in pieces])
 
 
+def _fill(form: str, **values: Column | str) -> Column:
+    """A form with columns, or texts, in its ``{places}``."""
+    pieces = re.split(r"\{(\w+)\}", form)
+    return _text(*(values[p] if i % 2 else p for i, p in enumerate(pieces) if i % 2 or p))
+
+
 def _corpus() -> Column:
     """A document is named after its recording, without folders."""
     return v.file_name(F.col("recording"))
@@ -258,42 +289,33 @@ def word_annotations(numbered: DataFrame) -> DataFrame:
     )
 
 
-def _annotation(tag: str, attributes: Column, value: Column) -> Column:
-    return _text(
-        "        <ANNOTATION>\n",
-        f"            <{tag} ", attributes, ">\n",
-        "                <ANNOTATION_VALUE>", tx.escape_text(value), "</ANNOTATION_VALUE>\n",
-        f"            </{tag}>\n",
-        "        </ANNOTATION>\n",
-    )
-
-
 def _slot_lines() -> Column:
-    line = lambda slot, ms: _text(
-        '        <TIME_SLOT TIME_SLOT_ID="', slot, '" TIME_VALUE="', ms.cast("string"), '"/>\n'
+    return F.concat(
+        *(
+            _fill(EAF_SLOT, slot=_slot(i), ms=F.col(bound).cast("string"))
+            for i, bound in enumerate(("start_ms", "end_ms"))
+        )
     )
-    return _text(line(_slot(0), F.col("start_ms")), line(_slot(1), F.col("end_ms")))
 
 
 def _sentence_lines() -> Column:
-    attributes = _text(
-        'ANNOTATION_ID="', _ann(F.col("ann_no")),
-        '" TIME_SLOT_REF1="', _slot(0), '" TIME_SLOT_REF2="', _slot(1), '"',
+    value = tx.escape_text(F.col("prediction"))
+    return _fill(
+        EAF_SENTENCE, id=_ann(F.col("ann_no")), from_slot=_slot(0), to_slot=_slot(1), value=value
     )
-    return _annotation("ALIGNABLE_ANNOTATION", attributes, F.col("prediction"))
 
 
 def _word_lines() -> Column:
     def lines(word: Column, pos: Column) -> Column:
         number = F.col("ann_no") + pos + 1
-        previous = F.when(
-            pos > 0, _text(' PREVIOUS_ANNOTATION="', _ann(number - 1), '"')
-        ).otherwise("")
-        attributes = _text(
-            'ANNOTATION_ID="', _ann(number),
-            '" ANNOTATION_REF="', _ann(F.col("ann_no")), '"', previous,
+        previous = F.when(pos > 0, _fill(EAF_PREVIOUS, id=_ann(number - 1))).otherwise("")
+        return _fill(
+            EAF_WORD,
+            id=_ann(number),
+            parent=_ann(F.col("ann_no")),
+            previous=previous,
+            value=tx.escape_text(word),
         )
-        return _annotation("REF_ANNOTATION", attributes, word)
 
     return F.array_join(F.transform(_WORDS, lines), "")
 
@@ -344,44 +366,21 @@ def tier_xml(
 
     media_line = F.lit("")
     if media:
-        media_line = F.when(
-            F.coalesce(F.col("media"), F.lit("")) != "",
-            _text(
-                '        <MEDIA_DESCRIPTOR MEDIA_URL="file://',
-                tx.escape_attribute(F.col("media")),
-                '" MIME_TYPE="audio/x-wav"/>\n',
-            ),
-        ).otherwise("")
-    header = _text(
-        f"{EAF_DECLARATION}\n",
-        f'<ANNOTATION_DOCUMENT AUTHOR="" DATE="{date}" FORMAT="3.0" VERSION="3.0"\n',
-        f"    {EAF_NAMESPACE}\n",
-        f"    {EAF_SCHEMA}>\n",
-        '    <HEADER MEDIA_FILE="" TIME_UNITS="milliseconds">\n',
-        media_line,
-        '        <PROPERTY NAME="lastUsedAnnotationId">',
-        F.coalesce(F.col("last_id"), F.lit(0)).cast("string"),
-        "</PROPERTY>\n    </HEADER>\n    <TIME_ORDER>\n",
-    )
-    reference = _text(' LANG_REF="', code, '"') if language else F.lit("")
-    tx_tier = _text(
-        "    </TIME_ORDER>\n    <TIER", reference, ' LINGUISTIC_TYPE_REF="tx" TIER_ID="tx">\n'
-    )
-    word_tier = _text(
-        "    </TIER>\n", F.when(has_words, f"{EAF_WORD_TIER}\n").otherwise("")
-    )
-    language_line = (
-        _text('    <LANGUAGE LANG_DEF="', code, '" LANG_ID="', code, '" LANG_LABEL="', code, '"/>\n')
-        if language
-        else F.lit("")
-    )
+        known = F.coalesce(F.col("media"), F.lit(""))
+        line = _fill(EAF_MEDIA, media=tx.escape_attribute(F.col("media")))
+        media_line = F.when(known != "", line).otherwise("")
+    with_words = lambda text: F.when(has_words, text).otherwise("")
+    last_id = F.coalesce(F.col("last_id"), F.lit(0)).cast("string")
+    header = _fill(EAF_OPENING, date=date, media=media_line, last_id=last_id)
+    tx_tier = _fill(EAF_TX_TIER, language=_fill(EAF_TIER_LANGUAGE, code=code) if language else "")
+    word_tier = _text(EAF_TIER_END, with_words(EAF_WORD_TIER))
     footer = _text(
-        F.when(has_words, "    </TIER>\n").otherwise(""),
-        f"{EAF_TX_TYPE}\n",
-        F.when(has_words, f"{EAF_WORD_TYPE}\n").otherwise(""),
-        language_line,
-        F.when(has_words, f"{EAF_CONSTRAINT}\n").otherwise(""),
-        "</ANNOTATION_DOCUMENT>\n",
+        with_words(EAF_TIER_END),
+        EAF_TX_TYPE,
+        with_words(EAF_WORD_TYPE),
+        _fill(EAF_LANGUAGE, code=code) if language else "",
+        with_words(EAF_CONSTRAINT),
+        EAF_CLOSING,
     )
     edges = [(0, header), (2, tx_tier), (4, word_tier), (6, footer)]
     # one row per edge from a single pass over the recordings

@@ -54,10 +54,6 @@ def truncate(samples: Column, rate: int = SAMPLE_RATE, seconds: int = CHUNK_SECO
     return F.slice(samples, 1, rate * seconds)
 
 
-def seconds_of(samples: Column, rate: int = SAMPLE_RATE) -> Column:
-    return F.size(samples) / F.lit(float(rate))
-
-
 # -------------------------------------------------------------------- loudness
 
 
@@ -197,6 +193,9 @@ def resampling_kernel(source: int, target: int) -> tuple[np.ndarray, int, int, i
 
 
 def _make_kernel(source: int, target: int) -> tuple[np.ndarray, int, int, int]:
+    """Windowed-sinc interpolation (Smith and Gossett, 1984) for a rational ratio, one
+    filter per output phase, with a squared-cosine (Hann) window over the zero
+    crossings kept."""
     common = gcd(source, target)
     source, target = source // common, target // common
     base = min(source, target) * FILTER_ROLLOFF

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import values as v
 from . import running
-
-# ---------------------------------------------------------------- fixed values
-CHUNK_SECONDS = 25  # longer chunks are cut before scoring
-# -----------------------------------------------------------------------------
+from .signal import CHUNK_SECONDS
 
 
 def cap_length(df: DataFrame, length: str, per_second: int, seconds: int = CHUNK_SECONDS) -> DataFrame:

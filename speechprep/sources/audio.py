@@ -23,6 +23,7 @@ from .. import schemas
 from ..functions import values as v
 from ..operators import silence
 from ..operators.lookup import lookup
+from ..operators.manifest import SAMPLE_RATE as TARGET_RATE
 from ..operators.signal import (
     loudness_of,
     millisecond_energies,
@@ -33,7 +34,6 @@ from ..session import settle, spread
 from .storage import resolve
 
 # ---------------------------------------------------------------- fixed values
-TARGET_RATE = 16_000
 _PCM, _FLOAT, _EXTENSIBLE = 1, 3, 0xFFFE
 _WIDTHS = {_PCM: (1, 2, 3, 4), _FLOAT: (4, 8)}  # bytes per sample
 _SUBFORMAT_TAIL = bytes.fromhex("000000001000800000aa00389b71")  # after the format code
