@@ -107,7 +107,7 @@ def test_error_rates_match_dynamic_programming(spark):
     assert everything.edits == sum(e for e, _ in wer.values())
 
 
-def test_running_aggregates_match_a_loop(spark):
+def test_running_aggregates_match_a_loop(spark, monkeypatch):
     rng = random.Random(9)
     rows = []
     for key in ("a", "b", "hot"):
@@ -124,7 +124,8 @@ def test_running_aggregates_match_a_loop(spark):
         for _, p, x in sorted(r for r in rows if r[0] == key):
             want[key, p] = (sum(seen), min(seen, default=None), max(seen, default=None), len(seen))
             seen.append(x)
-    for block in (1, 7, 64, 4096):
+    for block, wide in ((1, 4096), (1, 3), (7, 2), (64, 4096), (4096, 4096)):
+        monkeypatch.setattr(running, "WIDE", wide)
         got = running.before(df, ["k"], "p", outputs, block).collect()
         assert {(r.k, r.p): (r.s, r.lo, r.hi, r.n) for r in got} == want
 
