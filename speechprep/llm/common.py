@@ -16,7 +16,7 @@ HEAVY_KEYS = 1024
 #: Keys, of at most some ten bytes, that are broadcast at once.
 BROADCAST_KEYS = 1_000_000
 #: Below this many rows a key is no burden for one task.
-HEAVY_ROWS = 2000
+HEAVY_ROWS = 256
 
 
 def fresh_folder(spark: SparkSession, what: str) -> str:
@@ -84,11 +84,11 @@ def components(edges: DataFrame) -> DataFrame:
     an edge, ``root`` the component's smallest node.
 
     Each round hooks every node to its smallest neighbour and contracts the edges,
-    until none is left. Nodes are hashes, so that the number of rounds grows with
-    the logarithm of the longest path.
+    until none is left; at the end the hooks of all rounds are followed. Nodes are
+    hashes, so that the number of rounds grows with the logarithm of the longest path.
     """
     edges = settled(edges.select("a", "b").filter("a <> b").distinct())
-    names = None
+    rounds = []
     while (total := edges.count()) > 0:
         both = edges.union(edges.select("b", "a"))
         hooks = settled(
@@ -96,15 +96,7 @@ def components(edges: DataFrame) -> DataFrame:
             .agg(F.min("b").alias("least"), F.count("*").alias("degree"))
             .select(F.col("a").alias("node"), F.least("a", "least").alias("parent"), "degree")
         )
-        if names is None:
-            names = hooks.select("node", F.col("parent").alias("root"))
-        else:
-            sizes = names.groupBy("root").agg(F.count("*").alias("held"))
-            moved = hooks.select(F.col("node").alias("root"), "parent").join(sizes, "root")
-            names = join_facts(names, moved, "root", "held", names.count()).select(
-                "node", F.coalesce("parent", "root").alias("root")
-            )
-        names = settled(names)
+        rounds.append(hooks)
         for end in ("a", "b"):
             step = hooks.select(F.col("node").alias(end), "parent", "degree")
             other = "b" if end == "a" else "a"
@@ -116,6 +108,16 @@ def components(edges: DataFrame) -> DataFrame:
             .filter("a <> b")
             .distinct()
         )
-    if names is None:
+    if not rounds:
         return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    names = rounds[0].select("node", F.col("parent").alias("root"))
+    nodes = rounds[0].count()
+    for hooks in rounds[1:]:
+        sizes = names.groupBy("root").agg(F.count("*").alias("held"))
+        moved = hooks.select(F.col("node").alias("root"), "parent").join(sizes, "root")
+        names = settled(
+            join_facts(names, moved, "root", "held", nodes).select(
+                "node", F.coalesce("parent", "root").alias("root")
+            )
+        )
     return names

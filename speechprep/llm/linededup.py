@@ -94,8 +94,8 @@ def deduplicate(
 
 
 def _cleaned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    id_, text = F.col(f"_row.{id_col}"), F.col(f"_row.{text_col}")
-    rows = documents.select(F.struct(*documents.columns).alias("_row"))
+    id_, text = F.col("_row")[id_col], F.col("_row")[text_col]
+    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"))
     gone = _later_lines(
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     )

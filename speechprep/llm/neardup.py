@@ -6,11 +6,12 @@ serves for all. The sketch of a set is its ``keep`` smallest hashes.
 1. Texts with equal sets are one class, known by a digest of the set; from here on
    one text stands for its class.
 2. Inverted lists of the retained values generate overlaps. Two sets at the wanted
-   similarity share at least ``least`` retained values (for large sets six standard
-   deviations below the mean, for small ones exactly), hence two of each one's
-   rarest ``size - least + 2``; only these are listed. A short list gives its pairs,
-   and pairs met in two lists are joined. A long list joins its members to its first
-   one. Joined classes form a bundle.
+   similarity share at least ``least`` retained values (for large sets five standard
+   deviations below the mean, for small ones exactly), hence three of each one's
+   rarest ``size - least + 3``; only these are listed, by value and size class, so that
+   only sets of similar size meet. A short list gives its pairs, and pairs met in three
+   lists are joined. A long list joins its members to its first one. Joined classes form
+   a bundle.
 3. Within a bundle, in blocks of bounded size, overlaps of the sketches and the
    estimate from the union's sketch choose pairs, and their full sets decide.
    A large bundle is cut into blocks. Blocks are solved by themselves, then the
@@ -44,6 +45,8 @@ from speechprep.llm.spans import Texts, grams, mix, pieces
 
 #: Lists up to this length give their pairs.
 SHORT_LIST = 16
+#: Shared values in lists that make a pair a candidate, if its sets can share so many.
+SHARED_LISTED = 3
 #: Classes and shingles of one block.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
 #: Best linked members of a block that meet those of other blocks.
@@ -64,7 +67,12 @@ class Similarity:
     @property
     def spread(self) -> float:
         share = self.percent / 100
-        return 6 * math.sqrt(share * (1 - share) / self.keep)
+        return 5 * math.sqrt(share * (1 - share) / self.keep)
+
+    def size_class(self, size: Column) -> Column:
+        """Sets of a link are in the same size class or in neighbouring ones."""
+        step = -math.log(self.percent / 100) if self.percent < 100 else math.log(2)
+        return F.floor(F.log(size.cast("double")) / step + 1e-9).cast("int")
 
     @property
     def least(self) -> int:
@@ -170,7 +178,7 @@ def _bundles(sketched: DataFrame, classes: DataFrame, rows: int, how: Similarity
     size = F.least(F.col("n"), F.lit(how.keep))
     least = how.shared_at_least_column(F.col("n"))
     # values that no other class retains come first and need no list
-    take = size - least + F.least(F.lit(2), least) - (size - F.size("common"))
+    take = size - least + F.least(F.lit(SHARED_LISTED), least) - (size - F.size("common"))
     index = (
         common.groupBy("node", "n")
         .agg(F.sort_array(F.collect_set(F.struct("held", "value"))).alias("common"))
@@ -178,24 +186,34 @@ def _bundles(sketched: DataFrame, classes: DataFrame, rows: int, how: Similarity
         .filter("take > 0")
         .select("node", "n", F.explode(F.slice("common", 1, F.col("take"))["value"]).alias("value"))
     )
-    index = settled(index)
-    lengths = index.groupBy("value").agg(
-        F.count("*").alias("length"), F.min("node").alias("first")
-    ).filter("length > 1")
+    # a set is in the lists of its own size class and, as a guest, of the next one
+    own_class = how.size_class(F.col("n"))
+    classed = index.select(
+        "node", "n", "value", own_class.alias("class"), F.explode(F.array(F.lit(True), F.lit(False))).alias("own")
+    )
+    place = F.col("class") + F.when(F.col("own"), 0).otherwise(1)
+    index = settled(classed.select("node", "n", "own", F.xxhash64("value", place).alias("list")))
+    lengths = index.groupBy("list").agg(
+        F.count("*").alias("length"),
+        F.min("node").alias("first"),
+        F.count_if("own").alias("owners"),
+    ).filter("length > 1 and owners > 0")
     lengths = settled(lengths)
     all_listed = lengths.agg(F.sum("length")).first()[0] or 0
-    placed = join_facts(index, lengths, "value", "length", all_listed)
+    placed = join_facts(index, lengths, "list", "length", all_listed)
     short = (
         placed.filter(f"length <= {SHORT_LIST}")
-        .groupBy("value")
-        .agg(F.sort_array(F.collect_set(F.struct("node", "n"))).alias("members"))
+        .groupBy("list")
+        .agg(F.sort_array(F.collect_set(F.struct("node", "n", "own"))).alias("members"))
         .groupBy("members")
         .agg(F.count("*").alias("lists"))
     )
+    after = F.slice("members", F.col("at") + 2, F.size("members"))
     pair = (
-        short.select("lists", "members", F.explode("members").alias("x"))
-        .select("lists", "x", F.explode("members").alias("y"))
-        .filter("x.node < y.node")
+        short.select("lists", "members", F.posexplode("members").alias("at", "x"))
+        .select("lists", "x", F.explode(after).alias("y"))
+        # two guests meet in the lists of their own class
+        .filter("x.own or y.own")
         .filter(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * how.percent)
     )
     both = F.greatest(
@@ -203,7 +221,10 @@ def _bundles(sketched: DataFrame, classes: DataFrame, rows: int, how: Similarity
     )
     met = (
         pair.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .agg(F.sum("lists").alias("lists"), F.max(F.least(F.lit(2), both)).alias("wanted"))
+        .agg(
+            F.sum("lists").alias("lists"),
+            F.max(F.least(F.lit(SHARED_LISTED), both)).alias("wanted"),
+        )
         .filter("lists >= wanted")
         .select("a", "b")
     )
@@ -383,19 +404,24 @@ def _links(members: DataFrame, how: Similarity) -> DataFrame:
     large = members.filter("blocks > 1")
     if large.isEmpty():
         return links[0]
-    level = found
+    level, before = found, large.count()
     while True:
         hubs = level.filter("hub is not null").select("bundle", F.col("hub").alias("node"))
         chosen = large.drop("blocks", "block").join(hubs, ["bundle", "node"], "left_semi")
         chosen = settled(_blocks(chosen))
         level = settled(_solve_blocks(chosen, how))
         links.append(level.select("a", "b").filter("a is not null"))
-        if chosen.filter("blocks > 1").isEmpty():
+        # blocks of a few very large sets may have no fewer best members
+        now = chosen.count()
+        if now >= before or chosen.filter("blocks > 1").isEmpty():
             break
+        before = now
     groups = components(reduce(DataFrame.union, links))
+    # from here on without the sets, which are joined to what is left to compare
+    narrow = large.drop("set")
     rooted = settled(
-        large.join(groups.withColumnRenamed("root", "_root"), "node", "left").select(
-            *large.columns, F.coalesce("_root", "node").alias("root")
+        narrow.join(groups.withColumnRenamed("root", "_root"), "node", "left").select(
+            *narrow.columns, F.coalesce("_root", "node").alias("root")
         )
     )
     counted = rooted.groupBy("bundle", "root").agg(F.count("*").alias("size"))
@@ -413,7 +439,10 @@ def _links(members: DataFrame, how: Similarity) -> DataFrame:
     rest = placed.filter("root <> main").withColumn(
         "part", F.pmod(F.xxhash64("node", F.lit(1)), "parts").cast("int")
     )
-    last = settled(_solve_rest(placed, rest.drop("block"), how))
+    sets = large.select("node", "set")
+    unplaced = sets.join(rest.drop("block"), "node")
+    unplaced = unplaced.toDF(*unplaced.columns)  # columns of their own, for the cogroup
+    last = settled(_solve_rest(sets.join(placed, "node"), unplaced, how))
     return links[0].union(links[1]).union(
         reduce(DataFrame.union, [*links[2:], last.select("a", "b").filter("a is not null")])
     )

@@ -131,6 +131,15 @@ def test_near_duplicates(spark, monkeypatch, words, blocks):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
 
 
+def test_near_duplicates_in_blocks_of_one_set(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_SHINGLES", 1)
+    rows = list(enumerate(copies(random.Random(3))[:25]))
+    how = neardup.Similarity(words=2, percent=80)
+    got = neardup.near_duplicates(frame(spark, rows), how=how).collect()
+    want = plain.near_duplicates(rows, 2, 80)
+    assert {(r[0], *r[1:3]) for r in got} == {(i, *want[i, t]) for i, t in rows}
+
+
 def test_dropping_near_duplicates(spark):
     rows = [(i, t) for i, t in enumerate(copies(random.Random(1))) if i % 3 == 0]
     how = neardup.Similarity()
