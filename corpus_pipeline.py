@@ -49,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = vocabulary(VOCABULARY)
-    return bpe.decode(bpe.encode(docs, path), path).select(
+    return bpe.round_trip(docs, path).select(
         "doc_id",
         "ids",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -31,6 +31,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from speechprep.llm.spans import parts_of
+
 #: The splitting pattern of byte-level vocabularies of this family (fixed value).
 PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
@@ -44,11 +46,11 @@ WHITE = (
     + "\u2028\u2029\u202f\u205f\u3000"
 )
 #: Pieces kept per task, the longest piece kept, and compatible pairs kept.
-KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 300_000, 64, 1_000_000
+KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 200_000, 64, 500_000
 #: Characters of a pre-token that are matched in one go.
 LOOK_AHEAD = 512
-#: Bytes of text that one output batch is made of.
-BATCH_BYTES = 4 << 20
+#: Bytes of text that one output batch is made of; ids that are decoded at once.
+BATCH_BYTES, DECODED_IDS = 4 << 20, 1 << 18
 
 
 def byte_letters() -> dict[str, int]:
@@ -80,7 +82,7 @@ class Kept(dict):
 
 
 class Encoder:
-    """Encoder and decoder of one byte-level vocabulary file."""
+    """Encoder of one byte-level vocabulary file."""
 
     def __init__(self, path: str) -> None:
         import ahocorasick
@@ -139,7 +141,6 @@ class Encoder:
         self.cut = regex.compile(r"(?<=\P{White_Space}) (?=\P{White_Space})")
         self.first = Kept(self.piece)
         self.spaced = Kept(lambda word: self.piece(" " + word))
-        self._offsets: tuple[np.ndarray, np.ndarray] | None = None
 
     # encoding
 
@@ -270,32 +271,36 @@ class Encoder:
                 out.append(self._plain(part))
         return np.frombuffer(b"".join(out), np.int32)
 
-    # decoding
-
-    def offsets(self) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens' bytes one after the other, and where each begins."""
-        if self._offsets is None:
-            top = max([len(self.tokens) - 1, *self.special.values()])
-            tokens = self.tokens + [b""] * (top + 1 - len(self.tokens))
-            for content, number in self.special.items():
-                tokens[number] = content.encode()
-            starts = np.zeros(len(tokens) + 1, dtype=np.int64)
-            np.cumsum([len(t) for t in tokens], out=starts[1:])
-            self._offsets = np.frombuffer(b"".join(tokens), np.uint8), starts
-        return self._offsets
-
-    def decode_many(self, ids: np.ndarray, firsts: np.ndarray) -> list[str]:
+
+class Decoder:
+    """All tokens' bytes one after the other, and the offset at which each begins."""
+
+    def __init__(self, path: str) -> None:
+        with open(path, encoding="utf-8") as file:
+            spec = json.load(file)
+        letters = byte_letters()
+        tokens = {n: bytes(map(letters.get, t)) for t, n in spec["model"]["vocab"].items()}
+        tokens |= {t["id"]: t["content"].encode() for t in spec["added_tokens"]}
+        # one more, without bytes, for ids outside the vocabulary
+        parts = [tokens.get(i, b"") for i in range(max(tokens) + 2)]
+        self.starts = np.zeros(len(parts) + 1, dtype=np.int64)
+        np.cumsum([len(p) for p in parts], out=self.starts[1:])
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+
+    def decode(self, ids: np.ndarray, firsts: np.ndarray) -> list[str]:
         """Texts of many id sequences; sequence i is ``ids[firsts[i]:firsts[i + 1]]``.
         Ids outside the vocabulary give nothing; bytes that are no UTF-8 give U+FFFD."""
-        data, starts = self.offsets()
-        ids = np.where((ids >= 0) & (ids < len(starts) - 1), ids, len(starts) - 1)
-        sizes = np.append(np.diff(starts), 0)[ids]
-        begins = np.append(starts[:-1], 0)[ids]
-        ends = np.zeros(len(ids) + 1, dtype=np.int64)
-        np.cumsum(sizes, out=ends[1:])
-        places = np.arange(ends[-1]) + np.repeat(begins - ends[:-1], sizes)
-        out = data[places].tobytes()
-        cuts = ends[firsts]
+        none = len(self.starts) - 2
+        raw, ends = [], np.zeros(len(ids) + 1, dtype=np.int64)
+        for low in range(0, len(ids), DECODED_IDS):
+            part = ids[low : low + DECODED_IDS]
+            part = np.where((part >= 0) & (part < none), part, none)
+            begins, sizes = self.starts[part], self.starts[part + 1] - self.starts[part]
+            own = np.cumsum(sizes)
+            places = np.arange(own[-1]) + np.repeat(begins - own + sizes, sizes)
+            raw.append(self.data[places].tobytes())
+            ends[low + 1 : low + 1 + len(part)] = ends[low] + own
+        out, cuts = b"".join(raw), ends[firsts].tolist()
         return [
             out[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)
         ]
@@ -306,43 +311,59 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-def encode(
-    documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """``(id_col, ids array<int>)`` of every row. ``vocabulary`` is the path of a
-    tokeniser file that every node has."""
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(path)
+
 
+def _lists(ids: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    ends = np.zeros(len(ids) + 1, dtype=np.int32)
+    np.cumsum([len(x) for x in ids], out=ends[1:])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids))), ends
+
+
+def _encoded(documents: DataFrame, vocabulary: str, id_col: str, text_col: str, back: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
         for batch in batches:
-            first, held, size = 0, [], 0
-            for i, text in enumerate(pc.fill_null(batch.column(1), "")):
-                text = text.as_py()
-                held.append(own.encode(text))
-                size += len(text)
-                if size >= BATCH_BYTES or i + 1 == batch.num_rows:
-                    yield _rows(batch.column(0).slice(first, i + 1 - first), held)
-                    first, held, size = i + 1, [], 0
-
-    def _rows(numbers: pa.Array, held: list[np.ndarray]) -> pa.RecordBatch:
-        ends = np.zeros(len(held) + 1, dtype=np.int32)
-        np.cumsum([len(x) for x in held], out=ends[1:])
-        ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(held)))
-        return pa.RecordBatch.from_arrays([numbers, ids], names=["_id", "ids"])
+            for part in parts_of(batch, "_text", BATCH_BYTES):
+                texts = pc.fill_null(part.column(1), "").to_pylist()
+                ids, ends = _lists([own.encode(text) for text in texts])
+                columns = [part.column(0), ids]
+                if back:
+                    decoded = decoder(vocabulary).decode(ids.values.to_numpy(), ends)
+                    columns.append(pa.array(decoded, pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=["_id", "ids", "decoded"][: len(columns)])
 
     kind = documents.schema[id_col].dataType.simpleString()
     return (
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-        .mapInArrow(run, f"_id {kind}, ids array<int>")
+        .mapInArrow(run, f"_id {kind}, ids array<int>" + ", decoded string" * back)
         .withColumnRenamed("_id", id_col)
     )
 
 
+def encode(
+    documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``(id_col, ids array<int>)`` of every row. ``vocabulary`` is the path of a
+    tokeniser file that every node has."""
+    return _encoded(documents, vocabulary, id_col, text_col, False)
+
+
+def round_trip(
+    documents: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``encode`` and a column ``decoded``, the text decoded from the ids, in the same
+    task: a second Python worker beside the first would hold the vocabulary again."""
+    return _encoded(documents, vocabulary, id_col, text_col, True)
+
+
 def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with a column ``decoded``, the text of its ids; null ids, or none,
     give an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(vocabulary)
+        own = decoder(vocabulary)
         for batch in batches:
             column = batch.column(at)
             firsts = np.zeros(len(column) + 1, dtype=np.int64)
@@ -351,7 +372,7 @@ def decode(encoded: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFra
                 out=firsts[1:],
             )
             ids = pc.fill_null(column.flatten(), -1).to_numpy(zero_copy_only=False)
-            texts = own.decode_many(ids, firsts)
+            texts = own.decode(ids, firsts)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "d"]
             )

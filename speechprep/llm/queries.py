@@ -36,8 +36,7 @@ def vocabulary(name: str) -> str:
 
 def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("byte_bpe_50k.json")
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), path)
-    return bpe.decode(encoded, path).select(
+    return bpe.round_trip(_table(spark, sf_dir, "documents"), path).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         digest(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),

@@ -25,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechprep.llm.bpe import byte_letters
+from speechprep.llm.spans import parts_of
 
 #: Pieces between white space that are kept with their counts, per task (up to
 #: twice as many, the older half of which goes first), and the longest one kept.
 KEPT_PIECES, KEPT_LENGTH = 400_000, 64
-#: Characters of text whose new pieces are merged at once.
-BATCH_CHARS = 2 << 20
+#: Bytes of text whose new pieces are merged at once.
+BATCH_BYTES = 2 << 20
 
 _SPACES = str.maketrans(dict.fromkeys("\t\n\v\f\r", " "))
 
@@ -182,24 +183,18 @@ def token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = counter(vocabulary)
         for batch in batches:
-            column = pc.fill_null(batch.column(1), "")
-            ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
-            first = 0
-            while first < batch.num_rows:
-                base = ends[first - 1] if first else 0
-                last = max(int(np.searchsorted(ends, base + BATCH_CHARS, "right")), first + 1)
-                part = column.slice(first, last - first)
-                tokens = pa.array(own.counts(part.to_pylist()), pa.int64())
+            for part in parts_of(batch, "_text", BATCH_BYTES):
+                column = pc.fill_null(part.column(1), "")
+                tokens = pa.array(own.counts(column.to_pylist()), pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(first, last - first),
-                        pc.cast(pc.binary_length(part), pa.int64()),
+                        part.column(0),
+                        pc.cast(pc.binary_length(column), pa.int64()),
                         tokens,
                         pc.greater(tokens, limit),
                     ],
                     names=["_id", "n_bytes", "n_tokens", "over_limit"],
                 )
-                first = last
 
     kind = documents.schema[id_col].dataType.simpleString()
     return (

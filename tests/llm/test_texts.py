@@ -41,6 +41,7 @@ def test_encoding_is_the_librarys_and_decoding_inverts_it(rows, texts):
     encoded = bpe.encode(rows, BYTE)
     got = {r.doc_id: r for r in bpe.decode(encoded, BYTE).collect()}
     assert len(got) == len(texts) + 3
+    assert sorted(map(str, got.values())) == sorted(map(str, bpe.round_trip(rows, BYTE).collect()))
     for i, text in enumerate([*texts, "", "", texts[0]]):
         ids = own.encode(text, add_special_tokens=False).ids
         assert got[i].ids == ids, text[:50]
