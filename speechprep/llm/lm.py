@@ -43,9 +43,9 @@ from speechprep.llm.common import settled
 from speechprep.llm.spans import Texts, grams, mix, pieces, texts_of
 
 #: Bytes of text in a block; a longer text is a block by itself.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 3 << 20
 #: Bytes of text per part of the model, for each order of n-grams.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 BEGIN, END = mix(np.array([1, 2], dtype=np.uint64))
 
 

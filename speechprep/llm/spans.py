@@ -49,7 +49,7 @@ class _Powers:
 
     def upto(self, n: int) -> None:
         if len(self.up) <= n:
-            size = max(n + 1, 2 * len(self.up))
+            size = (n | 0xFFFFF) + 1  # in steps of a million
             self.up = self._run(self.factor, size)
             self.down = self._run(self.inverse, size)
 
@@ -139,22 +139,27 @@ def texts_of(column: pa.Array) -> Texts:
     return Texts(data, starts - starts[0])
 
 
+def parts_of(batch: pa.RecordBatch, text: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most ``limit`` bytes of text, or one row."""
+    column = batch.column(batch.schema.get_field_index(text))
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    first = 0
+    while first < len(sizes):
+        base = ends[first - 1] if first else 0
+        last = max(int(np.searchsorted(ends, base + limit, "right")), first + 1)
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def pieces(
     batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[pa.RecordBatch, Texts]]:
-    """Slices of the batches with at most ``limit`` bytes of text, or one row.
-    Null texts are empty."""
+    """Slices of the batches with their texts' bytes. Null texts are empty."""
     for batch in batches:
         at = batch.schema.get_field_index(text)
-        column = pc.fill_null(batch.column(at), "")
-        sizes = pc.binary_length(column).to_numpy(zero_copy_only=False)
-        ends = np.cumsum(sizes, dtype=np.int64)
-        first = 0
-        while first < len(sizes):
-            base = ends[first - 1] if first else 0
-            last = max(int(np.searchsorted(ends, base + limit, "right")), first + 1)
-            yield batch.slice(first, last - first), texts_of(column.slice(first, last - first))
-            first = last
+        for part in parts_of(batch, text, limit):
+            yield part, texts_of(pc.fill_null(part.column(at), ""))
 
 
 def grams(words: np.ndarray, owners: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
