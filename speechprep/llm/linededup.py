@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from speechprep.functions.values import once
 from speechprep.llm.common import join_facts, settled
 
 WINDOW = 3
@@ -35,15 +36,33 @@ def _places(lines: Column) -> Column:
     )
 
 
+def _hashes(text: Column) -> Column:
+    worded = F.filter(_lines(text), lambda line: line.rlike(HAS_WORD))
+    return F.transform(worded, lambda line: F.xxhash64(line))
+
+
+def _without(text: Column, gone: Column) -> Column:
+    """``text`` without the lines with a word numbered in ``gone``. Each step is bound
+    once; Spark would otherwise copy it into the loop that reads it."""
+
+    def joined(lines: Column, removed: Column) -> Column:
+        stays = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), removed)
+        return F.array_join(F.transform(stays, lambda i: F.get(lines, i)), "\n")
+
+    def cut(lines: Column) -> Column:
+        removed = once(_places(lines), lambda at: F.transform(gone, lambda j: F.get(at, j)))
+        return once(removed, lambda r: joined(lines, r))
+
+    return once(_lines(text), cut)
+
+
 def _later_lines(texts: DataFrame) -> DataFrame:
     """``(_id, _hash, gone)`` of ``(_id, _text)``: the numbers, among a text's lines
     with a word, of those to remove."""
     listed = (
         texts.withColumn("_hash", F.xxhash64("_text"))
-        .withColumn("lines", _lines(F.col("_text")))
-        .select("_id", "_hash", "lines", _places(F.col("lines")).alias("places"))
-        .filter(F.size("places") >= WINDOW)
-        .withColumn("hashes", F.transform("places", lambda i: F.xxhash64(F.get("lines", i))))
+        .select("_id", "_hash", _hashes(F.col("_text")).alias("hashes"))
+        .filter(F.size("hashes") >= WINDOW)
     )
     windows = listed.select(
         "_id",
@@ -87,8 +106,8 @@ def deduplicate(
     cleaned = _cleaned(documents, id_col, text_col)
     return cleaned.select(
         F.col("_row")[id_col].alias(id_col),
-        F.size("lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.size(_lines(F.col("_row")[text_col])).cast("long").alias("n_lines"),
+        F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         F.coalesce("left_text", F.col("_row")[text_col], F.lit("")).alias("text"),
     )
 
@@ -100,14 +119,9 @@ def _cleaned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
         documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     )
     same = id_.eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    joined = rows.join(gone.hint("shuffle_hash"), same, "left").withColumn("lines", _lines(text))
-    places = F.when(F.col("gone").isNotNull(), _places(F.col("lines")))
-    with_removed = joined.withColumn("places", places).withColumn(
-        "removed", F.transform("gone", lambda j: F.get("places", j))
-    )
-    stays = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("removed"))
-    left = F.array_join(F.transform(stays, lambda i: F.get("lines", i)), "\n")
-    return with_removed.withColumn("left_text", F.when(F.col("gone").isNotNull(), left))
+    joined = rows.join(gone.hint("shuffle_hash"), same, "left")
+    left = F.when(F.col("gone").isNotNull(), _without(text, F.col("gone")))
+    return joined.withColumn("left_text", left)
 
 
 def drop_repeats(

@@ -185,9 +185,9 @@ def leaks(rng):
     return rows, items
 
 
-@pytest.mark.parametrize("seed,most", [(1, 1_000_000), (2, 20)])
+@pytest.mark.parametrize("seed,most", [(1, 1_000_000), (2, 250)])
 def test_contamination(spark, monkeypatch, seed, most):
-    monkeypatch.setattr(decontam, "BROADCAST_SHINGLES", most)  # 20: in several passes
+    monkeypatch.setattr(decontam, "BROADCAST_SHINGLES", most)  # 250: in several passes
     monkeypatch.setattr(common, "HEAVY_ROWS", 20)
     rows, items = leaks(random.Random(seed))
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, words string")
