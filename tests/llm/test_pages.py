@@ -10,7 +10,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from speechprep.llm import urlrules, warc
+from speechprep.llm import common, urlrules, warc
 
 
 def sha1(data):
@@ -154,3 +154,40 @@ def test_mined_rules(spark):
         assert (got[number].verdict == "block") == (best is not None)
         held_out = "spam" in url and "/win/" in url
         assert (got[number].verdict == "block") == held_out
+
+
+DEEP = [
+    "http://{w}.b.c.d.e.f.example.com/p",
+    "http://www.example.com/en/2024/05/{w}/x",
+    "http://www.example.com/x?id=1&page=2&sort=3&{w}=4",
+    "http://www.example.com/" + "/".join("abcdefghijklmnopqrstuvwxyz") + "/{w}",
+]
+
+
+@pytest.mark.parametrize("form", DEEP)
+def test_mined_rules_see_all_of_a_url(spark, form):
+    rows = [(i, form.format(w=["casino", "about", "news"][i % 3]), i % 3 == 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "page_id int, url string, bad boolean")
+    labelled = df.filter("page_id < 150").select(F.col("url").alias("_url"), F.col("bad").alias("_bad"))
+    got = urlrules.judge(df, labelled, []).collect()
+    assert len(got) == 300
+    assert all((r.verdict, r.confidence) == (("block", 1.0) if r.page_id % 3 == 0 else ("allow", None)) for r in got)
+
+
+@pytest.mark.parametrize("at_once", [100_000, 0])  # 0: the index is shuffled
+def test_any_token_of_an_item_makes_a_rule(spark, monkeypatch, at_once):
+    monkeypatch.setattr(urlrules, "BROADCAST_RULES", at_once)
+    monkeypatch.setattr(urlrules, "LISTED_RULES", 2)
+    monkeypatch.setattr(common, "HEAVY_ROWS", 5)
+    rows = [(f"http://x.com/a/b?{'c' if i % 2 else 'd'}", i % 2 == 1) for i in range(40)]
+    rows += [("http://x.com/e/f/g", i < 36) for i in range(40)]
+    labelled = spark.createDataFrame(rows, "_url string, _bad boolean")
+    mined = urlrules.mine(labelled, urlrules.Mining()).collect()
+    urls = ["http://y.org/f", "http://y.org/q/e/g", "http://x.com/a?c", "http://c.com/", "http://y.org/a?d"]
+    pages = spark.createDataFrame(list(enumerate(urls * 30)), "page_id int, url string")
+    own = [{"path f"}, {"path e", "path g", "path q"}, {"host x", "host com", "path a", "query c"}]
+    own += [{"host com", "host c"}, {"path a", "query d"}]
+    for r in urlrules.judge(pages, labelled, []).collect():
+        known = own[r.page_id % 5]
+        best = max((m.confidence for m in mined if set(m.antecedent) <= known), default=None)
+        assert r.confidence == best == [0.9, 0.9, 1.0, None, None][r.page_id % 5]
