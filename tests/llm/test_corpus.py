@@ -1,5 +1,6 @@
 """Operators on the whole corpus, and the pipeline, against plain Python."""
 
+import math
 import random
 import sys
 from pathlib import Path
@@ -140,6 +141,16 @@ def test_near_duplicates_in_blocks_of_one_set(spark, monkeypatch):
     assert {(r[0], *r[1:3]) for r in got} == {(i, *want[i, t]) for i, t in rows}
 
 
+def test_margin_of_the_sketches():
+    how = neardup.Similarity(words=2, percent=80)
+    share, least = how.percent / 100, math.ceil(how.keep * (how.percent / 100 - how.spread))
+
+    def below(n):
+        return sum(math.comb(how.keep, k) * share**k * (1 - share) ** (how.keep - k) for k in range(n))
+
+    assert below(how.least) + below(least) < 4e-8
+
+
 def test_dropping_near_duplicates(spark):
     rows = [(i, t) for i, t in enumerate(copies(random.Random(1))) if i % 3 == 0]
     how = neardup.Similarity()
