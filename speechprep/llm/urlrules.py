@@ -56,9 +56,11 @@ class Rule:
 
 @dataclass(frozen=True)
 class Mining:
-    """Rules need ``least_support`` of the labelled urls and ``least_confidence``."""
+    """Rules need ``least_support`` of the labelled urls, ``least_count`` of them at
+    least whatever their number, and ``least_confidence``."""
 
     least_support: float = 0.005
+    least_count: int = 5
     least_confidence: float = 0.8
 
 
@@ -130,7 +132,7 @@ def _mine(labelled: DataFrame, how: Mining) -> tuple[DataFrame, DataFrame]:
         .withColumn("_n", F.monotonically_increasing_id())
     )
     total = transactions.count()
-    least = max(math.ceil(how.least_support * total), 1)
+    least = max(math.ceil(how.least_support * total), how.least_count, 1)
     items = _items(transactions, least)
     if items.isEmpty():
         none = items.select(

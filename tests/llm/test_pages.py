@@ -191,3 +191,10 @@ def test_any_token_of_an_item_makes_a_rule(spark, monkeypatch, at_once):
         known = own[r.page_id % 5]
         best = max((m.confidence for m in mined if set(m.antecedent) <= known), default=None)
         assert r.confidence == best == [0.9, 0.9, 1.0, None, None][r.page_id % 5]
+
+
+def test_few_urls_make_no_rule(spark):
+    rows = [(f"http://x.com/{'spam' if i < 5 else 'scam' if i < 9 else 'news'}", i < 9) for i in range(98)]
+    labelled = spark.createDataFrame(rows, "_url string, _bad boolean")
+    mined = urlrules.mine(labelled, urlrules.Mining()).collect()
+    assert mined and {t for r in mined for t in r.antecedent if t.startswith("path")} == {"path spam"}
