@@ -61,13 +61,13 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
     return joined.select(*rows.columns, *(fact[n].alias(n) for n in names))
 
 
-def without(rows: DataFrame, key: str, gone: DataFrame) -> DataFrame:
+def without(rows: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """``rows`` whose ``key`` is not in the one column of ``gone``; nulls are equal.
     Up to ``BROADCAST_KEYS`` keys are broadcast, more meet by shuffle."""
     gone = settled(gone.distinct().toDF("_gone"))
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    return rows.join(gone, F.col(key).eqNullSafe(F.col("_gone")), "left_anti")
+    return rows.join(gone, key.eqNullSafe(F.col("_gone")), "left_anti")
 
 
 def digest(text: Column) -> Column:

@@ -218,7 +218,7 @@ def drop_contaminated(
     """The rows of ``documents`` without a contaminated word, with all their columns.
     Rows with the same id stay or go together."""
     bad = contamination(documents, items, id_col, text_col).filter("n_hit > 0")
-    return without(documents, id_col, bad.select(id_col))
+    return without(documents, F.col(id_col), bad.select(id_col))
 
 
 ORACLE = r"""

@@ -123,7 +123,7 @@ def _class_of(values: np.ndarray) -> int:
 
 
 def _sketches(documents: DataFrame, how: Similarity) -> DataFrame:
-    """``(_id, n, node, sketch)`` of ``(_id, _text)``; node null without shingles."""
+    """``(_id, _hash, n, node, sketch)`` of ``(_id, _text, _hash)``; node null without shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches, "_text"):
@@ -133,15 +133,16 @@ def _sketches(documents: DataFrame, how: Similarity) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
+                    batch.column(2),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array(nodes, pa.int64()),
                     pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                names=["_id", "n", "node", "sketch"],
+                names=["_id", "_hash", "n", "node", "sketch"],
             )
 
     kind = documents.schema["_id"].dataType.simpleString()
-    return documents.mapInArrow(run, f"_id {kind}, n long, node long, sketch array<long>")
+    return documents.mapInArrow(run, f"_id {kind}, _hash long, n long, node long, sketch array<long>")
 
 
 def _full_sets(documents: DataFrame, how: Similarity) -> DataFrame:
@@ -455,7 +456,17 @@ def near_duplicates(
     how: Similarity = Similarity(),
 ) -> DataFrame:
     """``(id_col, n_shingles, component_id, kept)`` of every row."""
-    texts = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    return _judged(documents, id_col, text_col, how).select(
+        F.col("_id").alias(id_col), "n_shingles", "component_id", "kept"
+    )
+
+
+def _judged(documents: DataFrame, id_col: str, text_col: str, how: Similarity) -> DataFrame:
+    """The same with the id as ``_id`` and the text's hash as ``_hash``."""
+    text = F.col(text_col)
+    texts = documents.select(
+        F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash")
+    )
     sketched = settled(_sketches(texts, how))
     classes = settled(
         sketched.filter("node is not null")
@@ -484,7 +495,7 @@ def near_duplicates(
         joined.select("root", "node", "held"), names, "root", "classes", joined.count()
     )
     out = join_facts(
-        sketched.select("_id", "n", "node"),
+        sketched.select("_id", "_hash", "n", "node"),
         named.select("node", "component_id", "held"),
         "node",
         "held",
@@ -492,7 +503,8 @@ def near_duplicates(
     )
     component = F.when(F.col("node").isNull(), F.col("_id")).otherwise(F.col("component_id"))
     return out.select(
-        F.col("_id").alias(id_col),
+        "_id",
+        "_hash",
         F.col("n").alias("n_shingles"),
         component.alias("component_id"),
         F.col("_id").eqNullSafe(component).alias("kept"),
@@ -502,12 +514,10 @@ def near_duplicates(
 def drop_near_duplicates(
     documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", how: Similarity = Similarity()
 ) -> DataFrame:
-    """The rows of ``documents`` that are kept, with all their columns. Rows with the
-    same id stay or go together."""
-    gone = (
-        near_duplicates(documents, id_col, text_col, how)
-        .groupBy(id_col)
-        .agg(F.max("kept").alias("kept"))
-        .filter("not kept")
+    """The rows of ``documents`` that are kept, with all their columns. Rows with equal
+    ids and texts stay or go together."""
+    gone = _judged(documents, id_col, text_col, how).filter("not kept")
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    return without(
+        documents, key, gone.select(F.struct(F.col("_id").alias("id"), F.col("_hash").alias("hash")))
     )
-    return without(documents, id_col, gone.select(id_col))

@@ -162,6 +162,14 @@ def test_dropping_near_duplicates(spark):
     assert neardup.near_duplicates(frame(spark, [(1, ""), (2, None)]), how=how).count() == 2
 
 
+def test_dropping_near_duplicates_by_row(spark):
+    a, b = "one two three four five six", "seven eight nine ten eleven twelve"
+    rows = [(1, a), (None, a), (None, "alone"), (None, None), (2, b), (3, b), (3, "alone too"), (3, b)]
+    left = neardup.drop_near_duplicates(frame(spark, rows)).collect()
+    want = [(1, a), (2, b), (3, "alone too"), (None, "alone"), (None, None)]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left))) == sorted(map(str, want))
+
+
 def test_shingle_sets_of_many_texts_equal_those_of_each():
     import pyarrow as pa
 
