@@ -3,9 +3,10 @@
 A state is a seen context of up to ``order - 1`` tokens. It has an arc, with a
 log-probability, for every token seen behind it, and a failure arc, with a weight, to
 the state of its context without the oldest token; the root has an arc for every token
-and one for unknown ones. A text is scored by one walk from left to right that starts
+and one for unknown ones. A text's score is that of a walk from left to right that starts
 in the state of the text's begin, takes failure arcs until there is an arc for the next
-token, and adds up the weights.
+token, and adds up the weights. No state is carried in doing so: the tokens of a block are
+evaluated at once, each from the n-gram that ends at it.
 
 Probabilities are smoothed by the shorter context: with ``c`` the counts,
 ``p(w | h) = (c(h w) + mass * p(w | shorter h)) / (c(h) + mass)``, hence a failure arc
@@ -185,7 +186,7 @@ class Automaton:
         return out
 
     def walk(self) -> np.ndarray:
-        """The log10 probability of every token, from left to right in each text."""
+        """The log10 probability of every token, of all at once."""
         return np.log10(self._probability(self.model.order, np.arange(self.block.firsts[-1])))
 
 
