@@ -41,21 +41,22 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
     and ``total`` their sum. Keys with more than ``total / HEAVY_KEYS`` rows, of
     which there are at most ``HEAVY_KEYS``, are looked up in a broadcast table and
     then dealt out evenly; the others meet by shuffle. Rows without a key get nulls.
+    The salt of the facts is a zero that is computed from the key: a literal would be
+    folded, and the join would no longer shuffle by the salt.
     """
     names = [c for c in facts.columns if c != key]
     least = max(total // HEAVY_KEYS, HEAVY_ROWS)
     heavy = facts.filter(F.col(count) > least).select(
         F.col(key).alias("_heavy"), F.struct(*names).alias("_known")
     )
-    spread = F.when(
-        F.col("_heavy").isNotNull() | F.col(key).isNull(), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(1 << 20))
-    ).otherwise(0)
+    # equal rows are told apart by the task that holds them
+    salt = 1 + F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(1 << 20))
+    spread = F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), salt).otherwise(0)
     left = rows.join(F.broadcast(heavy), F.col(key) == F.col("_heavy"), "left").withColumn(
         "_spread", spread
     )
-    right = facts.select(
-        F.col(key), F.lit(0).cast("long").alias("_spread"), F.struct(*names).alias("_fact")
-    )
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    right = facts.select(F.col(key), zero.alias("_spread"), F.struct(*names).alias("_fact"))
     joined = left.join(right, [key, "_spread"], "left")
     fact = F.coalesce("_known", "_fact")
     return joined.select(*rows.columns, *(fact[n].alias(n) for n in names))
@@ -64,10 +65,13 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
 def without(rows: DataFrame, key: Column, gone: DataFrame) -> DataFrame:
     """``rows`` whose ``key`` is not in the one column of ``gone``; nulls are equal.
     Up to ``BROADCAST_KEYS`` keys are broadcast, more meet by shuffle."""
-    gone = settled(gone.distinct().toDF("_gone"))
+    gone = settled(gone.distinct().toDF("gone"))
     if gone.count() <= BROADCAST_KEYS:
         gone = F.broadcast(gone)
-    return rows.join(gone, key.eqNullSafe(F.col("_gone")), "left_anti")
+    # the rows within a struct, so that none of their columns can clash
+    inside = rows.select(F.struct(*(F.col(f"`{c}`") for c in rows.columns)).alias("row"), key.alias("key"))
+    left = inside.join(gone, F.col("key").eqNullSafe(F.col("gone")), "left_anti")
+    return left.select(*(F.col("row").getField(c).alias(c) for c in rows.columns))
 
 
 def digest(text: Column) -> Column:
