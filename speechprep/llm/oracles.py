@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from speechprep.llm import decontam, linededup
+from speechprep.llm import codes, decontam, linededup, mixing
 from speechprep.llm.chat import CONTROL
 from speechprep.llm.quality import DEFAULT
 
@@ -124,6 +124,33 @@ FROM measured
 """
 
 
+MIDDLE = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS ls,
+    sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT *, len(ls)::BIGINT AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(ls) + 1) AS h1,
+    ('0x' || substr(h, 9, 8))::BIGINT % (len(ls) + 1) AS h2,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+      OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 100 THEN 'plain'
+    WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM cut
+), parts AS (
+  SELECT doc_id, t, n, form, array_to_string(ls[1:least(h1, h2)], '') AS p,
+    array_to_string(ls[least(h1, h2) + 1:greatest(h1, h2)], '') AS m,
+    array_to_string(ls[greatest(h1, h2) + 1:], '') AS s
+  FROM drawn
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+    ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM parts
+"""
+
+
 def all_oracles() -> dict[str, str]:
     return {
         "op2_warc": WARC,
@@ -132,4 +159,7 @@ def all_oracles() -> dict[str, str]:
         "op7_near_duplicates": NEAR,
         "op8_quality": _quality(),
         "op10_decontamination": decontam.ORACLE,
+        "op11_mixing": mixing.oracle((1, 2, 3), 3, 7),
+        "op12_fill_in_middle": MIDDLE,
+        "op13_vector_codes": codes.oracle(4, 16, 256, 4, 1024),
     }

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from speechprep.llm import (
     bpe,
     chat,
+    codes,
     decontam,
+    fim,
     linededup,
     lm,
+    mixing,
     neardup,
     quality,
     tokencount,
@@ -118,6 +121,36 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.with_digest(found)
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources in order of their code points weigh 1, 2, 3, 1, .., and share the size
+    of the whole table."""
+    documents = _table(spark, sf_dir, "documents")
+    weights = mixing.cycled_weights(documents, "source", (1.0, 2.0, 3.0))
+    return mixing.mix(documents, weights, repeats=3)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fim.fill_in_middle(_table(spark, sf_dir, "documents"), unit="line", percent=100, spm_percent=50, seed=7)
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        digest(F.col("output")).alias("output_sha256"),
+        digest(fim.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codes.compress(
+        _table(spark, sf_dir, "embeddings"), parts=4, entries=256, rounds=4, scale=1024
+    )
+    return codes.with_label_errors(coded).select(
+        "vec_id", "code", "error", "label_error", F.lit(codes.books_digest(books)).alias("codebooks_sha256")
+    )
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = (
         op1_bpe,
@@ -130,6 +163,9 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality,
         op9_url_filters,
         op10_decontamination,
+        op11_mixing,
+        op12_fill_in_middle,
+        op13_vector_codes,
     )
     return {f.__name__: f for f in every}
 
