@@ -31,6 +31,22 @@ def in_ranges(df: DataFrame, order: list[Column], rows_per_range: int = ROWS_PER
     return tied.repartitionByRange(ranges, *by).sortWithinPartitions(*by).drop("_tie")
 
 
+def _placed(df: DataFrame, order: list[Column], rows_per_range: int) -> DataFrame:
+    """``df`` in ranges, stored, with ``_at``: the range and the place within it."""
+    ranged = in_ranges(df, order, rows_per_range)
+    return stored(ranged.withColumn("_at", F.monotonically_increasing_id()))
+
+
+def _offset(placed: DataFrame, weight: Column) -> DataFrame:
+    """``placed`` with ``_range`` and ``_before``, the weight of all ranges before."""
+    ranged = placed.withColumn("_range", F.shiftright("_at", _ROW_BITS))
+    sums = ranged.groupBy("_range").agg(F.sum(weight).alias("_weight"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: as many as the shuffle has partitions
+    before = sums.select("_range", F.coalesce(F.sum("_weight").over(earlier), F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(before), "_range")
+
+
 def numbered(
     df: DataFrame,
     order: list[Column],
@@ -39,17 +55,39 @@ def numbered(
 ) -> DataFrame:
     """Add ``name``, each row's place in ``order``, from 0 on, without gaps. The rows
     are shuffled once and written to the shared folder, ``df`` is read three times."""
-    placed = stored(
-        in_ranges(df, order, rows_per_range).withColumn("_at", F.monotonically_increasing_id())
-    )
-    number = F.shiftright("_at", _ROW_BITS)
-    sizes = placed.groupBy(number.alias("_range")).agg(F.count("*").alias("_rows"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per range: as many as the shuffle has partitions
-    offsets = sizes.select("_range", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = _offset(_placed(df, order, rows_per_range), F.lit(1))
     own = F.col("_at").bitwiseAND((1 << _ROW_BITS) - 1)
-    return (
-        placed.withColumn("_range", number)
-        .join(F.broadcast(offsets), "_range")
-        .select(*df.columns, (F.col("_before") + own).alias(name))
-    )
+    return placed.select(*df.columns, (F.col("_before") + own).alias(name))
+
+
+def summed_before(
+    df: DataFrame,
+    order: list[Column],
+    weight: Column,
+    name: str,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """Add ``name``, the sum of the whole numbers ``weight`` over all rows before each
+    one in ``order``."""
+    placed = _offset(_placed(df, order, rows_per_range), weight)
+    inside = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    return placed.withColumn(
+        name, F.col("_before") + F.coalesce(F.sum(weight).over(inside), F.lit(0))
+    ).select(*df.columns, name)
+
+
+def packed(
+    df: DataFrame,
+    order: list[Column],
+    weight: Column,
+    per_task: int,
+    rows_per_range: int = ROWS_PER_RANGE,
+) -> DataFrame:
+    """``df`` dealt to tasks in ``order``: each gets a stretch of rows whose weights sum
+    up to ``per_task``, and at most the last row's weight more. Rows are sorted within a
+    task."""
+    sums = stored(summed_before(df, order, weight, "_sum", rows_per_range))
+    top = sums.agg(F.max("_sum")).first()[0]
+    tasks = 1 + (top or 0) // per_task
+    task = F.call_function("div", F.col("_sum"), F.lit(per_task).cast("bigint")).cast("int")
+    return sums.repartitionById(tasks, task).sortWithinPartitions(*order).drop("_sum")

@@ -72,10 +72,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def saved(df: DataFrame) -> str:
+    """Write the rows as a table in the shared folder; returns its place."""
+    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return folder
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows as a table in the shared folder, read from there. Unlike a checkpoint,
     a table tells the plans that follow its true size, and the tasks that read it are
     made anew from the sizes of its files."""
-    folder = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(saved(df))

@@ -11,19 +11,20 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Callable, Iterable
+from contextlib import closing
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
-from ..functions import values as v
 from ..operators import silence
 from ..operators.lookup import lookup
 from ..operators.manifest import SAMPLE_RATE as TARGET_RATE
+from ..operators.ordering import packed
 from ..operators.signal import (
     loudness_of,
     millisecond_energies,
@@ -41,7 +42,9 @@ _SUBFORMAT_TAIL = bytes.fromhex("000000001000800000aa00389b71")  # after the for
 
 RANGE_SECONDS = 60  # audio per read
 HEADERS_PER_TASK = 500
-WINDOWS_PER_TASK = 60  # of up to that length: an hour of audio
+WINDOWS_PER_TASK = 60  # of a batch's clips
+BYTES_PER_TASK = 64 << 20  # of audio files, about half an hour of 16-bit mono
+OPENING_BYTES = 64 << 10  # what opening or seeking costs, as bytes read
 SAMPLES_PER_BATCH = 4 << 20  # what Python holds back before sending results on
 
 
@@ -136,7 +139,33 @@ def floats_to_pcm16(values: np.ndarray) -> np.ndarray:
     return np.clip(np.rint(values * 32_768), -32_768, 32_767).astype(np.int16)
 
 
-def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
+class ByteRanges:
+    """Reads ranges of bytes. The file read last stays open and its last bytes are kept,
+    because windows come in order: those that overlap share what was read."""
+
+    def __init__(self) -> None:
+        self.path, self.stream, self.begin, self.data = None, None, 0, b""
+
+    def read(self, path: str, low: int, high: int) -> bytes:
+        if path != self.path:
+            self.close()
+            files, name = resolve(path)
+            self.stream, self.path = files.open_input_file(name), path
+        behind = low - self.begin
+        kept = self.data[behind:] if 0 <= behind <= len(self.data) else b""
+        if len(kept) < high - low:
+            self.stream.seek(low + len(kept))
+            kept += self.stream.read(high - low - len(kept))
+        self.begin, self.data = low, kept
+        return kept[: high - low]
+
+    def close(self) -> None:
+        if self.stream is not None:
+            self.stream.close()
+        self.path, self.stream, self.data = None, None, b""
+
+
+def _read(ranges: ByteRanges, row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
     """16-bit mono samples ``first .. last - 1`` of a recording at ``rate``. At
     another rate, a few more frames are read on either side and filtered."""
     sr, channels, width, frames = row["sr"], row["channels"], row["sample_width"], row["frames"]
@@ -150,10 +179,8 @@ def _read(row: dict, first: int, last: int, mode: str, rate: int) -> np.ndarray:
     group = first // phases
     begin, end = group * step, min(-(-last // phases) * step, frames)
     low, high = max(begin - halo, 0), min(end + halo, frames)
-    files, name = resolve(row["path"])
-    with files.open_input_file(name) as stream:
-        stream.seek(row["data_offset"] + low * channels * width)
-        data = stream.read((high - low) * channels * width)
+    frame, offset = channels * width, row["data_offset"]
+    data = ranges.read(row["path"], offset + low * frame, offset + high * frame)
     values = pcm_to_floats(data, width, channels, row["floating"])
     mono = values[:, 0] if mode == "first" else values.mean(axis=1)
     own = mono[begin - low : end - low]
@@ -181,29 +208,42 @@ def map_windows(
     rows. A window has ``recording, start_sample, end_sample`` and the header
     fields of its recording.
 
-    Only bounds are shuffled, never audio: windows of one recording are spread
-    over all tasks, and each reads its own bytes. Results leave Python in small
-    batches.
+    Only bounds are shuffled, never audio. Windows are packed into tasks by the bytes
+    they read, in the order in which these lie in the files: a long recording is read by
+    many tasks, and a task opens a file once. Results leave Python in small batches.
     """
     to_arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            rows, weight = [], 0
-            for window in batch.to_pylist():
-                samples = _read(
-                    window, window["start_sample"], window["end_sample"], mode, rate
-                )
-                rows += reduce(samples, window)
-                weight += len(samples)
-                if weight >= SAMPLES_PER_BATCH:
+        with closing(ByteRanges()) as ranges:
+            for batch in batches:
+                rows, weight = [], 0
+                for window in batch.to_pylist():
+                    samples = _read(
+                        ranges, window, window["start_sample"], window["end_sample"], mode, rate
+                    )
+                    rows += reduce(samples, window)
+                    weight += len(samples)
+                    if weight >= SAMPLES_PER_BATCH:
+                        yield _batch(rows, to_arrow)
+                        rows, weight = [], 0
+                if rows:
                     yield _batch(rows, to_arrow)
-                    rows, weight = [], 0
-            if rows:
-                yield _batch(rows, to_arrow)
 
-    spaced = spread(windows, "recording", "start_sample", per_task=WINDOWS_PER_TASK)
-    return spaced.mapInArrow(run, schema)
+    return packed_windows(windows, rate).mapInArrow(run, schema)
+
+
+def window_bytes(rate: int) -> Column:
+    """Bytes that the task of a window reads, with its share of opening the file."""
+    seconds = F.greatest(F.col("end_sample") - F.col("start_sample"), F.lit(0)) / rate
+    frames = F.least(F.ceil(seconds * F.col("sr")), F.col("frames"))
+    return frames * F.col("channels") * F.col("sample_width") + OPENING_BYTES
+
+
+def packed_windows(windows: DataFrame, rate: int, per_task: int = BYTES_PER_TASK) -> DataFrame:
+    """Windows dealt to tasks by bytes, in the order of the files."""
+    order = [F.col(c) for c in ("path", "start_sample", "end_sample")]
+    return packed(windows, order, window_bytes(rate), per_task)
 
 
 def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -273,7 +313,8 @@ def read_batches(
     to_arrow = to_arrow_schema(schema)
 
     def whole(rows: list[dict]) -> pa.RecordBatch:
-        samples = [_read(w, w["start_sample"], w["end_sample"], mode, rate) for w in rows]
+        with closing(ByteRanges()) as ranges:
+            samples = [_read(ranges, w, w["start_sample"], w["end_sample"], mode, rate) for w in rows]
         full = [i for i, s in enumerate(samples) if len(s)]
         return _batch(list(make([rows[i] for i in full], [samples[i] for i in full])), to_arrow)
 
