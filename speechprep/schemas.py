@@ -11,7 +11,7 @@ def _schema(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
-LISTING = _schema(("path", _S), ("directory", T.BooleanType()), ("length", _L))
+ENTRIES = _schema(("path", _S), ("name", _S), ("directory", T.BooleanType()), ("length", _L))
 # One row per node of an annotation document; ``reason`` is null for spans.
 NODES = _schema(
     ("recording", _S), ("pos", _L), ("sent_id", _S), ("text", _S),
@@ -40,3 +40,6 @@ TRAINING_ROWS = _schema(
     ("labels", T.ArrayType(_I, False)), ("attention_mask", T.ArrayType(_I, False)),
 )
 WRITTEN = _schema(("file", _S), ("bytes", _L))
+# Files written under staged names, and the same after they were published.
+STAGED = _schema(("file", _S), ("staged", _S), ("bytes", _L), ("md5", _S))
+PUBLISHED = _schema(("file", _S), ("bytes", _L), ("md5", _S))

@@ -3,17 +3,14 @@
 from __future__ import annotations
 
 from functools import reduce
-from itertools import islice
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from .. import schemas
 from ..functions import values as v
-from ..session import settle, spread
-from .storage import list_directory
+from ..session import saved, stored
+from .listing import register
 
 # Strings that some CSV readers take for a missing value.
 NA_STRINGS = (
@@ -30,47 +27,46 @@ def is_recording(path, recursive: bool):
     return (F.lower(v.suffix(path)) == ".wav") & ~F.startswith(v.file_name(path), F.lit("_tmp"))
 
 
-def list_files(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
-    """``path, length`` of the files of a directory, hidden ones included (Spark's
-    file sources skip names that start with ``_`` or ``.``). A recursive listing goes
-    level by level: every folder of a level is listed in parallel, once."""
+def _level(spark: SparkSession, folders: DataFrame, suffix: str = "") -> DataFrame:
+    """The folders in folders, and the files whose names end in ``suffix``, as ``path,
+    name, directory, length``."""
+    register(spark)
+    options = {"folders": saved(folders.select("path")), "suffix": suffix}
+    return spark.read.format("folder_level").options(**options).load()
 
-    def entries(batches):
-        for batch in batches:
-            for folder in batch[0].to_pylist():
-                listed = list_directory(folder)
-                while rows := list(islice(listed, ENTRIES_PER_BATCH)):
-                    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), _LISTING)]
-                    yield pa.RecordBatch.from_arrays(columns, schema=_LISTING)
 
-    level = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
+def _root(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
+
+
+def list_files(
+    spark: SparkSession, directory: str, recursive: bool = False, suffix: str = ""
+) -> DataFrame:
+    """``path, length`` of the files of a directory whose names end in ``suffix``,
+    hidden ones included (Spark's file sources skip names that start with ``_`` or
+    ``.``). A recursive listing goes level by level: every folder of a level is listed
+    in parallel, once."""
+    level = _root(spark, directory)
     if not recursive:
-        found = level.mapInArrow(entries, schemas.LISTING)
-        return found.filter("not directory").select("path", "length")
+        return _level(spark, level, suffix).filter(~F.col("directory")).select("path", "length")
     levels = []
     while True:
-        found = settle(spread(level, "path", per_task=FOLDERS_PER_TASK).mapInArrow(entries, schemas.LISTING))
+        found = stored(_level(spark, level, suffix))
         levels.append(found.filter("not directory").select("path", "length"))
-        level = found.filter("directory").select("path")
+        level = found.filter("directory")
         if level.isEmpty():
             return reduce(DataFrame.union, levels)
 
 
-ENTRIES_PER_BATCH = 10_000
-FOLDERS_PER_TASK = 100
-
-_LISTING = to_arrow_schema(schemas.LISTING)
-
-
 def scan_recordings(spark: SparkSession, directory: str, recursive: bool = False) -> DataFrame:
     """``path, stem, length`` of the recordings in a directory."""
-    listed = list_files(spark, directory, recursive)
+    listed = list_files(spark, directory, recursive, ".wav" if recursive else "")
     return _with_stem(listed.filter(is_recording(F.col("path"), recursive)))
 
 
 def scan_annotations(spark: SparkSession, directory: str) -> DataFrame:
     """``path, stem, length`` of the annotation documents in a directory."""
-    return _with_stem(list_files(spark, directory).filter(F.endswith("path", F.lit(".xml"))))
+    return _with_stem(list_files(spark, directory, suffix=".xml"))
 
 
 def _with_stem(listed: DataFrame) -> DataFrame:
@@ -118,15 +114,6 @@ def read_predictions(spark: SparkSession, path: str, na_values: str | None = Non
 
 def list_checkpoints(spark: SparkSession, directory: str, run: str = "run") -> DataFrame:
     """``run, name`` of the checkpoint folders of a training output folder."""
-
-    def folders(batches):
-        for batch in batches:
-            for path in batch[0].to_pylist():
-                names = [p.rsplit("/", 1)[1] for p, is_folder, _ in list_directory(path) if is_folder]
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["name"])
-
-    root = spark.range(0, 1, 1, 1).select(F.lit(directory.rstrip("/")).alias("path"))
-    names = root.mapInArrow(folders, "name string")
-    return names.filter(F.startswith("name", F.lit("checkpoint-"))).select(
-        F.lit(run).alias("run"), "name"
-    )
+    entries = _level(spark, _root(spark, directory))
+    named = entries.filter("directory").filter(F.startswith("name", F.lit("checkpoint-")))
+    return named.select(F.lit(run).alias("run"), "name")
