@@ -159,6 +159,19 @@ def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``path, body`` of a tree with a file per customer: a top folder, one per market
+    segment and one per nation in it."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        """concat(case c_custkey % 5 when 0 then '' when 1 then concat(c_mktsegment, '/')
+             else concat(c_mktsegment, '/n', c_nationkey, '/') end,
+             case when c_custkey % 7 = 3 then '_tmp' else '' end, c_name,
+             case c_custkey % 4 when 0 then '.wav' when 1 then '.WAV' when 2 then '.xml'
+               else '.wav.txt' end) as path""",
+        "cast(repeat('x', int(c_custkey % 97)) as binary) as body",
+    )
+
+
 def wav_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clip headers with some rates and channel counts out of line."""
     return table(spark, sf_dir, "customer").selectExpr(
@@ -257,3 +270,14 @@ def encoded(spark: SparkSession, sf_dir: str) -> DataFrame:
              as input_values""",
         "transform(filter(split(text, ' '), w -> w <> ''), w -> length(w)) as labels",
     )
+
+
+def labelled_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clips of the sample blocks with a sentence: one starting in every block."""
+    named = table(spark, sf_dir, "embeddings").selectExpr(
+        "format_string('clip%07d.wav', vec_id) as path",
+        """concat(array('fin', 'mot à mot', 'so say')[int(vec_id % 3)], ' ', vec_id, ' ',
+             coalesce(label, -1)) as sentence""",
+    )
+    windows = mf.clip_windows(block_spans(spark, sf_dir), tail=0.002)
+    return named.join(windows.drop("start_s", "end_s"), "path")

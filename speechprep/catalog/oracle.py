@@ -275,6 +275,35 @@ FULL_VOCAB = _vocab(
     OR (SELECT count(*) FROM conversations WHERE turn % 2 = 1) >= 2""",
 )
 
+_WORD = "printf('%02x%02x', {0} & 255, ({0} >> 8) & 255)"
+_LONG = _WORD + " || printf('%02x%02x', ({0} >> 16) & 255, ({0} >> 24) & 255)"
+CLIP_BYTES = f"""spans AS (SELECT printf('clip%07d.wav', vec_id) AS file,
+  printf('rec%05d', vec_id // {RECORDING_BLOCKS}) AS recording,
+  trunc((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 0.5::double) / 1000 * 16000)::bigint AS a,
+  trunc(((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 5 + vec_id % 23) / 1000::double
+    + 0.002::double) * 16000)::bigint AS b FROM embeddings),
+bodies AS (SELECT file, count(*) AS n, string_agg({_WORD.format('x')}, '' ORDER BY pos) AS body
+  FROM spans s JOIN points p ON s.recording = p.recording AND pos >= a AND pos < b GROUP BY file),
+clip_bytes AS (SELECT file, n, body, '52494646' || {_LONG.format('(36 + 2 * n)')}
+  || '57415645666d74201000000001000100803e0000007d00000200100064617461' || {_LONG.format('(2 * n)')}
+  AS header FROM bodies)"""
+
+LABELLED = f"""clips AS (SELECT printf('clip%07d.wav', vec_id) AS path,
+  printf('rec%05d', vec_id // {RECORDING_BLOCKS}) AS recording, list_extract(['fin', 'mot à mot', 'so say'],
+    (vec_id % 3 + 1)::int) || ' ' || vec_id || ' ' || coalesce(label, -1) AS sentence,
+  trunc((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 0.5::double) / 1000 * 16000)::bigint AS a,
+  trunc(((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 5 + vec_id % 23) / 1000::double
+    + 0.002::double) * 16000)::bigint AS b FROM embeddings),
+alphabet AS (SELECT list(DISTINCT c ORDER BY c) AS chars FROM (SELECT
+  unnest(string_split(replace(sentence, ' ', '|'), '')) AS c FROM clips)),
+bounded AS (SELECT path, recording, a, least(b, n_samples) AS b, list_transform(
+  string_split(replace(sentence, ' ', '|'), ''), lambda c: list_position(chars, c) - 1) AS labels,
+  ('0x' || substr(md5(path), 1, 8))::bigint
+    % greatest(ceil((SELECT count(*) FROM clips) / 400)::bigint, 1) AS shard
+  FROM clips JOIN loud USING (recording), alphabet WHERE a < least(b, n_samples)),
+batched AS (SELECT *, (row_number() OVER (PARTITION BY shard ORDER BY b - a DESC, path) - 1) // 8
+  AS batch_no FROM bounded)"""
+
 ENCODED = """encoded AS (SELECT conv_id * 100000 + turn AS utt, text, length(text) AS n,
   list_transform(list_filter(string_split(text, ' '), lambda w: w <> ''), lambda w: length(w))
     AS labels FROM conversations),
@@ -564,6 +593,42 @@ def all_oracles() -> dict[str, str]:
             SELECT path, count(*) AS n, sum(x)::bigint AS total, min_by(x, pos) AS first,
             max_by(x, pos) AS last FROM spans s JOIN points p ON s.recording = p.recording
             AND pos >= a AND pos < b GROUP BY path""",
+        "q_wav_round_trip": f"""WITH {WAVE}, spans AS (SELECT printf('clip%07d.wav', vec_id) AS path,
+            printf('rec%05d', vec_id // {RECORDING_BLOCKS}) AS recording,
+            trunc((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 0.5::double) / 1000 * 16000)::bigint AS a,
+            trunc(((vec_id % {RECORDING_BLOCKS} * {BLOCK_MS} + 5 + vec_id % 23) / 1000::double
+              + 0.002::double) * 16000)::bigint AS b FROM embeddings)
+            SELECT path, count(*) AS n, sum(x)::bigint AS total, min_by(x, pos) AS first,
+            max_by(x, pos) AS last FROM spans s JOIN points p ON s.recording = p.recording
+            AND pos >= a AND pos < b GROUP BY path""",
+        "q_clip_files": f"""WITH {WAVE}, {CLIP_BYTES} SELECT file, (44 + 2 * n)::bigint AS bytes,
+            md5(from_hex(header || body)) AS md5 FROM clip_bytes""",
+        "q_ordered_scan": f"""WITH {FILES} SELECT path, stem, row_number() OVER (ORDER BY path) - 1
+            AS pos FROM files WHERE lower(suffix) = '.wav' AND NOT starts_with(stem, '_tmp')""",
+        "q_listing": """WITH named AS (SELECT c_custkey % 97 AS length, c_custkey % 5 = 0 AS top,
+            CASE WHEN c_custkey % 7 = 3 THEN '_tmp' ELSE '' END || c_name AS base,
+            CASE c_custkey % 4 WHEN 0 THEN '.wav' WHEN 1 THEN '.WAV' WHEN 2 THEN '.xml'
+              ELSE '.wav.txt' END AS ending,
+            CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment || '/'
+              ELSE c_mktsegment || '/n' || c_nationkey || '/' END AS folder FROM customer),
+            kinds AS (SELECT *, unnest(['deep', 'flat', 'annotation']) AS kind FROM named)
+            SELECT kind, folder || base || ending AS path, base AS stem, length FROM kinds
+            WHERE CASE kind WHEN 'deep' THEN ending = '.wav' WHEN 'flat' THEN top
+              AND lower(ending) = '.wav' AND NOT starts_with(base, '_tmp')
+              ELSE top AND ending = '.xml' END""",
+        "q_checkpoint_listing": """SELECT 'checkpoint-' || c_custkey * 50 AS name, 'checkpoint-'
+            || max(c_custkey * 50) OVER () AS checkpoint FROM customer WHERE c_custkey % 3 <> 0""",
+        "q_training_rows": f"""WITH {WAVE}, {LABELLED}, own AS (SELECT path, avg(x / 32768) AS mu,
+            var_pop(x / 32768) AS va, min_by(x, pos) AS x0, max_by(x, pos) AS x1 FROM batched s
+            JOIN points p ON s.recording = p.recording AND pos >= a AND pos < b GROUP BY path),
+            longest AS (SELECT *, max(b - a) OVER w AS n_values, max(len(labels)) OVER w AS n_lab
+            FROM batched WINDOW w AS (PARTITION BY shard, batch_no))
+            SELECT path, shard, batch_no, n_values, b - a AS n_own,
+            round(((x0 / 32768 - mu) / sqrt(va + 1e-7))::float::double, 4) + 0.0::double AS first,
+            round(((x1 / 32768 - mu) / sqrt(va + 1e-7))::float::double, 4) + 0.0::double AS last,
+            round(va / (va + 1e-7), 3) AS power, array_to_string(list_concat(labels,
+            list_transform(range(n_lab - len(labels)), lambda i: -100)), ' ') AS labels
+            FROM longest JOIN own USING (path)""",
         "q_resample": _resampled(),
         "q_timeline": f"""WITH {EVENTS} SELECT recording, chunk_no, (t1 - capped) / 1000 AS start_s,
             t1 / 1000 AS end_s, capped / 1000 AS duration_s FROM timed""",

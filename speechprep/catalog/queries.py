@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -10,10 +11,25 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions import values as v
-from ..operators import batches, ctc, documents, history, infer, manifest, metrics, signal, silence, split
+from ..operators import (
+    batches,
+    ctc,
+    documents,
+    history,
+    infer,
+    manifest,
+    metrics,
+    ordering,
+    signal,
+    silence,
+    split,
+)
 from ..operators import timeline as tl
 from ..operators import vocab as vc
-from ..sources import annotations, audio, files
+from ..session import shared_folder
+from ..sinks import files as sinks
+from ..sources import annotations, audio, files, tiles
+from ..sources.storage import plain_path
 from . import adapters as a
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,6 +140,41 @@ def q_recording_scan(spark, sf):
     ).filter("flat or recursive")
 
 
+@query
+def q_ordered_scan(spark, sf):
+    """Recordings with their place in the order of the paths."""
+    found = a.recording_files(spark, sf).filter(files.is_recording(F.col("path"), recursive=False))
+    return ordering.numbered(found.select("path", "stem"), [F.col("path")])
+
+
+@query
+def q_listing(spark, sf):
+    """Files of a tree of folders: all recordings in it, and those of its top folder."""
+    folder = _fresh(spark, "corpus")
+    sinks.write_bytes(a.small_files(spark, sf), folder)
+    start = F.lit(len(plain_path(folder)) + 2)
+    deep = files.scan_recordings(spark, folder, recursive=True).withColumn("kind", F.lit("deep"))
+    flat = files.scan_recordings(spark, folder).withColumn("kind", F.lit("flat"))
+    texts = files.scan_annotations(spark, folder).withColumn("kind", F.lit("annotation"))
+    listed = deep.union(flat).union(texts)
+    return listed.select("kind", F.substr("path", start).alias("path"), "stem", "length")
+
+
+@query
+def q_checkpoint_listing(spark, sf):
+    """Checkpoint folders of a run, and the one to resume from."""
+    folder = _fresh(spark, "run")
+    state = a.table(spark, sf, "customer").selectExpr(
+        "concat(case c_custkey % 3 when 0 then 'runs/' else 'checkpoint-' end, c_custkey * 50, "
+        "'/state') as path",
+        "cast(c_name as binary) as body",
+    )
+    sinks.write_bytes(state, folder)
+    names = files.list_checkpoints(spark, folder, "r")
+    latest = history.latest_checkpoint(names).select("run", "checkpoint")
+    return names.join(latest, "run").select("name", "checkpoint")
+
+
 @query
 def q_pair_join(spark, sf):
     paired = manifest.pair_annotations(a.recording_files(spark, sf), a.annotation_files(spark, sf))
@@ -512,6 +563,76 @@ def q_clip_samples(spark, sf):
     )
 
 
+@query
+def q_training_rows(spark, sf):
+    """Batches of labelled clips out of a table of tiles."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = tiles.write_tiles(
+        a.blocks(spark, sf), parts, a.BLOCK_SAMPLES, tile_blocks=32, longest=10 * a.BLOCK_SAMPLES
+    )
+    clips = a.labelled_clips(spark, sf)
+    alphabet = vc.Alphabet.load(vc.vocabulary(clips))
+    made = tiles.training_rows(clips, kept, alphabet)
+    own = F.aggregate("attention_mask", F.lit(0), lambda acc, x: acc + x)
+    value = lambda at: F.round(F.get("input_values", at).cast("double"), 4) + F.lit(0.0)
+    squares = F.aggregate("input_values", F.lit(0.0), lambda acc, x: acc + x.cast("double") * x)
+    return made.select(
+        "path",
+        "shard",
+        "batch_no",
+        F.size("input_values").cast("bigint").alias("n_values"),
+        own.cast("bigint").alias("n_own"),
+        value(F.lit(0)).alias("first"),
+        value(own - 1).alias("last"),
+        F.round(squares / own, 3).alias("power"),
+        F.array_join(F.col("labels").cast("array<string>"), " ").alias("labels"),
+    )
+
+
+def _fresh(spark, name):
+    """A folder of this run in the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def q_wav_round_trip(spark, sf):
+    """Recordings written as wav files of two kinds and rates, and windows of them read."""
+    number = F.substring("recording", 4, 9).cast("int")
+    slow = number % 2 == 1
+    blocks = a.blocks(spark, sf).select(
+        F.concat("recording", F.lit(".wav")).alias("path"),
+        "block_no",
+        F.when(slow, 8_000).otherwise(16_000).alias("rate"),
+        (number % 4 >= 2).alias("floating"),
+        "samples",
+    )
+    folder = _fresh(spark, "recordings")
+    sinks.write_recordings(blocks, folder)
+    headers = audio.read_headers(files.scan_recordings(spark, folder))
+    windows = manifest.clip_windows(a.block_spans(spark, sf), tail=0.002)
+    read = [
+        audio.read_windows(headers.filter(F.col("sr") == rate), windows, "path", rate=rate)
+        for rate in (8_000, 16_000)
+    ]
+    samples = F.col("samples")
+    return read[0].union(read[1]).select(
+        "path",
+        F.size(samples).cast("bigint").alias("n"),
+        F.aggregate(samples, F.lit(0).cast("bigint"), lambda acc, x: acc + x).alias("total"),
+        F.get(samples, F.lit(0)).cast("bigint").alias("first"),
+        F.element_at(samples, -1).cast("bigint").alias("last"),
+    )
+
+
+@query
+def q_clip_files(spark, sf):
+    """Clips written as files: their names, sizes and digests."""
+    cut = signal.cut_clips(a.block_spans(spark, sf), a.blocks(spark, sf), a.BLOCK_SAMPLES, tail=0.002)
+    folder = _fresh(spark, "clips")
+    written = sinks.write_clips(cut.select("path", "samples"), folder, 16_000)
+    return written.select(v.file_name(F.col("file")).alias("file"), "bytes", "md5")
+
+
 @query
 def q_resample(spark, sf):
     out = signal.resample(a.blocks(spark, sf), 8_000, 16_000, a.BLOCK_SAMPLES)
