@@ -28,7 +28,7 @@ from speechprep.llm.common import join_facts, settled
 from speechprep.operators.ordering import numbered
 
 #: Bits of a document's hash, and of one level of its histogram.
-HASH_BITS, LEVEL_BITS = 60, 15
+HASH_BITS, LEVEL_BITS = 60, 10
 WORD = r"[^\x20\x09-\x0D]+"
 
 
