@@ -160,15 +160,16 @@ def annotation_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``path, body`` of a tree with a file per customer: a top folder, one per market
-    segment and one per nation in it."""
-    return table(spark, sf_dir, "customer").selectExpr(
-        """concat(case c_custkey % 5 when 0 then '' when 1 then concat(c_mktsegment, '/')
-             else concat(c_mktsegment, '/n', c_nationkey, '/') end,
-             case when c_custkey % 7 = 3 then '_tmp' else '' end, c_name,
-             case c_custkey % 4 when 0 then '.wav' when 1 then '.WAV' when 2 then '.xml'
+    """``path, body`` of a tree with a file per 25 embeddings: a top folder, some in it
+    and some in those."""
+    groups = table(spark, sf_dir, "embeddings").selectExpr("vec_id div 25 as k").distinct()
+    return groups.selectExpr(
+        """concat(case k % 5 when 0 then '' when 1 then concat('d', k % 7, '/')
+             else concat('d', k % 7, '/n', k % 11, '/') end,
+             case when k % 7 = 3 then '_tmp' else '' end, 'take', k,
+             case k % 4 when 0 then '.wav' when 1 then '.WAV' when 2 then '.xml'
                else '.wav.txt' end) as path""",
-        "cast(repeat('x', int(c_custkey % 97)) as binary) as body",
+        "cast(repeat('x', int(k % 97)) as binary) as body",
     )
 
 

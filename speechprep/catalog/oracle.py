@@ -603,21 +603,23 @@ def all_oracles() -> dict[str, str]:
             AND pos >= a AND pos < b GROUP BY path""",
         "q_clip_files": f"""WITH {WAVE}, {CLIP_BYTES} SELECT file, (44 + 2 * n)::bigint AS bytes,
             md5(from_hex(header || body)) AS md5 FROM clip_bytes""",
-        "q_ordered_scan": f"""WITH {FILES} SELECT path, stem, row_number() OVER (ORDER BY path) - 1
-            AS pos FROM files WHERE lower(suffix) = '.wav' AND NOT starts_with(stem, '_tmp')""",
-        "q_listing": """WITH named AS (SELECT c_custkey % 97 AS length, c_custkey % 5 = 0 AS top,
-            CASE WHEN c_custkey % 7 = 3 THEN '_tmp' ELSE '' END || c_name AS base,
-            CASE c_custkey % 4 WHEN 0 THEN '.wav' WHEN 1 THEN '.WAV' WHEN 2 THEN '.xml'
+        "q_ordered_scan": f"""WITH {CLIPS} SELECT path, recording, row_number() OVER
+            (ORDER BY path, recording) - 1 AS pos FROM clips""",
+        "q_listing": """WITH groups AS (SELECT DISTINCT vec_id // 25 AS k FROM embeddings),
+            named AS (SELECT k % 97 AS length, k % 5 = 0 AS top,
+            CASE WHEN k % 7 = 3 THEN '_tmp' ELSE '' END || 'take' || k AS base,
+            CASE k % 4 WHEN 0 THEN '.wav' WHEN 1 THEN '.WAV' WHEN 2 THEN '.xml'
               ELSE '.wav.txt' END AS ending,
-            CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN c_mktsegment || '/'
-              ELSE c_mktsegment || '/n' || c_nationkey || '/' END AS folder FROM customer),
+            CASE k % 5 WHEN 0 THEN '' WHEN 1 THEN 'd' || k % 7 || '/'
+              ELSE 'd' || k % 7 || '/n' || k % 11 || '/' END AS folder FROM groups),
             kinds AS (SELECT *, unnest(['deep', 'flat', 'annotation']) AS kind FROM named)
             SELECT kind, folder || base || ending AS path, base AS stem, length FROM kinds
             WHERE CASE kind WHEN 'deep' THEN ending = '.wav' WHEN 'flat' THEN top
               AND lower(ending) = '.wav' AND NOT starts_with(base, '_tmp')
               ELSE top AND ending = '.xml' END""",
-        "q_checkpoint_listing": """SELECT 'checkpoint-' || c_custkey * 50 AS name, 'checkpoint-'
-            || max(c_custkey * 50) OVER () AS checkpoint FROM customer WHERE c_custkey % 3 <> 0""",
+        "q_checkpoint_listing": """WITH groups AS (SELECT DISTINCT vec_id // 25 AS k FROM embeddings)
+            SELECT 'checkpoint-' || k * 50 AS name, 'checkpoint-' || max(k * 50) OVER () AS checkpoint
+            FROM groups WHERE k % 3 <> 0""",
         "q_training_rows": f"""WITH {WAVE}, {LABELLED}, own AS (SELECT path, avg(x / 32768) AS mu,
             var_pop(x / 32768) AS va, min_by(x, pos) AS x0, max_by(x, pos) AS x1 FROM batched s
             JOIN points p ON s.recording = p.recording AND pos >= a AND pos < b GROUP BY path),

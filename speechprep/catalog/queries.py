@@ -142,9 +142,8 @@ def q_recording_scan(spark, sf):
 
 @query
 def q_ordered_scan(spark, sf):
-    """Recordings with their place in the order of the paths."""
-    found = a.recording_files(spark, sf).filter(files.is_recording(F.col("path"), recursive=False))
-    return ordering.numbered(found.select("path", "stem"), [F.col("path")])
+    """Turns with their place in the order of the clips' paths."""
+    return ordering.numbered(a.clips(spark, sf).select("path", "recording"), [F.col("path"), F.col("recording")])
 
 
 @query
@@ -164,10 +163,10 @@ def q_listing(spark, sf):
 def q_checkpoint_listing(spark, sf):
     """Checkpoint folders of a run, and the one to resume from."""
     folder = _fresh(spark, "run")
-    state = a.table(spark, sf, "customer").selectExpr(
-        "concat(case c_custkey % 3 when 0 then 'runs/' else 'checkpoint-' end, c_custkey * 50, "
-        "'/state') as path",
-        "cast(c_name as binary) as body",
+    groups = a.table(spark, sf, "embeddings").selectExpr("vec_id div 25 as k").distinct()
+    state = groups.selectExpr(
+        "concat(case k % 3 when 0 then 'runs/' else 'checkpoint-' end, k * 50, '/state') as path",
+        "cast(string(k) as binary) as body",
     )
     sinks.write_bytes(state, folder)
     names = files.list_checkpoints(spark, folder, "r")
