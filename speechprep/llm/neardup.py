@@ -5,13 +5,17 @@ serves for all. The sketch of a set is its ``keep`` smallest hashes.
 
 1. Texts with equal sets are one class, known by a digest of the set; from here on
    one text stands for its class.
-2. Inverted lists of the retained values generate overlaps. Two sets at the wanted
+2. Inverted lists of retained values generate overlaps. Two sets at the wanted
    similarity share at least ``least`` retained values (for large sets six standard
-   deviations below the mean, for small ones exactly), hence three of each one's
-   rarest ``size - least + 3``; only these are listed, by value and size class, so that
-   only sets of similar size meet. A short list gives its pairs, and pairs met in three
-   lists are joined. A long list joins its members to its first one. Joined classes form
-   a bundle.
+   deviations below the mean, for small ones exactly), hence ``SHARED_LISTED`` of the
+   ``size - least + SHARED_LISTED`` that each one lists, whatever the order by which
+   these are chosen. The order is rarity, as counted in a table of fixed size. A short
+   list gives its pairs. Two sets that meet in fewer than three short lists share
+   ``SHARED_LISTED - 2`` values of long ones, so that two of these have the same of
+   ``COLOURS`` colours; hence long lists are split by a second listed value of the same
+   colour. Short lists of such pairs of values give pairs again, long ones, of sets that
+   share two values many others share too, join their members to the first one. Joined
+   classes form a bundle.
 3. Within a bundle, in blocks of bounded size, overlaps of the sketches and the
    estimate from the union's sketch choose pairs, and their full sets decide.
    A large bundle is cut into blocks. Blocks are solved by themselves, then the
@@ -37,6 +41,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,9 +49,17 @@ from speechprep.llm.common import components, join_facts, settled, without
 from speechprep.llm.spans import Texts, grams, mix, pieces
 
 #: Lists up to this length give their pairs.
-SHORT_LIST = 16
-#: Shared values in lists that make a pair a candidate, if its sets can share so many.
-SHARED_LISTED = 3
+SHORT_LIST = 8
+#: Listed values that two sets of a link share, if they can share so many; meetings in
+#: short lists that make a pair a candidate; colours of values. By the pigeonhole
+#: principle there have to be fewer colours than values left for long lists.
+SHARED_LISTED, MEETINGS = 11, 3
+COLOURS = SHARED_LISTED - MEETINGS
+#: Places of the table in which retained values are counted to tell their rarity.
+COUNTED = 1 << 18
+#: A value with more than one of this many parts of all listed values, or this many
+#: rows, goes to no list of its own.
+HOT_PART, HOT_ROWS = 4096, 1 << 16
 #: Classes and shingles of one block.
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
 #: Best linked members of a block that meet those of other blocks.
@@ -69,11 +82,6 @@ class Similarity:
         share = self.percent / 100
         return 6 * math.sqrt(share * (1 - share) / self.keep)
 
-    def size_class(self, size: Column) -> Column:
-        """Sets of a link are in the same size class or in neighbouring ones."""
-        step = -math.log(self.percent / 100) if self.percent < 100 else math.log(2)
-        return F.floor(F.log(size.cast("double")) / step + 1e-9).cast("int")
-
     @property
     def least(self) -> int:
         """Fewest shared retained values of two sets that may be cut off."""
@@ -85,10 +93,6 @@ class Similarity:
         whole = -(-self.percent * size // 100)
         return np.where(100 * size <= self.keep * self.percent, whole, self.least)
 
-    def shared_at_least_column(self, size: Column) -> Column:
-        whole = F.ceil(size * self.percent / 100.0)
-        return F.when(size * 100 <= self.keep * self.percent, whole).otherwise(self.least)
-
 
 def shingle_sets(texts: Texts, words: int) -> list[np.ndarray]:
     """The sorted hashes of each text's distinct shingles; a text of fewer words has
@@ -162,77 +166,197 @@ def _full_sets(documents: DataFrame, how: Similarity) -> DataFrame:
     return documents.mapInArrow(run, "node long, set binary")
 
 
-def _bundles(sketched: DataFrame, classes: DataFrame, rows: int, how: Similarity) -> DataFrame:
-    """``(node, root)`` of the classes that may have a link: step 2 above."""
-    one_each = (
-        join_facts(
-            sketched.filter("node is not null"), classes.select("node", "first_id", "held"),
-            "node", "held", rows,
-        )
-        .filter(F.col("_id").eqNullSafe(F.col("first_id")))
-        .select("node", "n", "sketch")
-    )
-    listed = one_each.select("node", "n", F.explode("sketch").alias("value"))
-    counts = settled(listed.groupBy("value").agg(F.count("*").alias("held")).filter("held > 1"))
-    total = counts.agg(F.sum("held")).first()[0] or 0
-    common = join_facts(listed, counts, "value", "held", total).filter("held is not null")
-    size = F.least(F.col("n"), F.lit(how.keep))
-    least = how.shared_at_least_column(F.col("n"))
-    # values that no other class retains come first and need no list
-    take = size - least + F.least(F.lit(SHARED_LISTED), least) - (size - F.size("common"))
-    index = (
-        common.groupBy("node", "n")
-        .agg(F.sort_array(F.collect_set(F.struct("held", "value"))).alias("common"))
-        .withColumn("take", F.greatest(take, F.lit(0)).cast("int"))
-        .filter("take > 0")
-        .select("node", "n", F.explode(F.slice("common", 1, F.col("take"))["value"]).alias("value"))
-    )
-    # a set is in the lists of its own size class and, as a guest, of the next one
-    own_class = how.size_class(F.col("n"))
-    classed = index.select(
-        "node", "n", "value", own_class.alias("class"), F.explode(F.array(F.lit(True), F.lit(False))).alias("own")
-    )
-    place = F.col("class") + F.when(F.col("own"), 0).otherwise(1)
-    index = settled(classed.select("node", "n", "own", F.xxhash64("value", place).alias("list")))
-    lengths = index.groupBy("list").agg(
-        F.count("*").alias("length"),
-        F.min("node").alias("first"),
-        F.count_if("own").alias("owners"),
-    ).filter("length > 1 and owners > 0")
-    lengths = settled(lengths)
-    all_listed = lengths.agg(F.sum("length")).first()[0] or 0
-    placed = join_facts(index, lengths, "list", "length", all_listed)
-    short = (
-        placed.filter(f"length <= {SHORT_LIST}")
-        .groupBy("list")
-        .agg(F.sort_array(F.collect_set(F.struct("node", "n", "own"))).alias("members"))
-        .groupBy("members")
-        .agg(F.count("*").alias("lists"))
-    )
-    after = F.slice("members", F.col("at") + 2, F.size("members"))
-    pair = (
-        short.select("lists", "members", F.posexplode("members").alias("at", "x"))
-        .select("lists", "x", F.explode(after).alias("y"))
-        # two guests meet in the lists of their own class
-        .filter("x.own or y.own")
-        .filter(F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * how.percent)
-    )
-    both = F.greatest(
-        how.shared_at_least_column(F.col("x.n")), how.shared_at_least_column(F.col("y.n"))
+def _counts(sketched: DataFrame) -> np.ndarray:
+    """How often retained values fall into each of ``COUNTED`` places. Only the order
+    that it gives values counts, so it does not matter that values share places."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.zeros(COUNTED, dtype=np.int64)
+        for batch in batches:
+            # equal texts are one set
+            _, once = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
+            values = batch.column(1).take(pa.array(once)).flatten().to_numpy()
+            held += np.bincount(values & (COUNTED - 1), minlength=COUNTED)
+        used = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(held[used])], names=["at", "n"])
+
+    rows = sketched.filter("node is not null").select("node", "sketch")
+    summed = rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(COUNTED, dtype=np.int64)
+    out[summed.column("at").to_numpy()] = summed.column("n").to_numpy()
+    return out
+
+
+def _listed(sketched: DataFrame, counts: np.ndarray, how: Similarity) -> DataFrame:
+    """``sketched`` with the values each set lists: ``cold``, and ``hot`` ones, which
+    are too frequent for a list of their own."""
+    limit = max(HOT_ROWS, int(counts.sum()) // HOT_PART)
+    shared = sketched.sparkSession.sparkContext.broadcast(counts)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = shared.value
+        for batch in batches:
+            n = batch.column(2).to_numpy()
+            column = batch.column(4)
+            sizes = pc.list_value_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
+            values = column.flatten().to_numpy()
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            often = frequent[values & (COUNTED - 1)]
+            order = np.lexsort((values, often, of))
+            least = how.shared_at_least(n)
+            take = sizes - least + np.minimum(SHARED_LISTED, least)
+            rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            order = order[rank < np.repeat(take, sizes)]
+            hot = often[order] > limit
+            lists = []
+            for chosen in (order[~hot], order[hot]):
+                ends = np.searchsorted(of[chosen], np.arange(len(sizes) + 1)).astype(np.int32)
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values[chosen])))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:4], *lists], names=["_id", "_hash", "n", "node", "cold", "hot"]
+            )
+
+    kind = sketched.schema["_id"].dataType.simpleString()
+    schema = f"_id {kind}, _hash long, n long, node long, cold array<long>, hot array<long>"
+    return sketched.filter("node is not null").mapInArrow(run, schema)
+
+
+def _meetings(rows: DataFrame, how: Similarity) -> DataFrame:
+    """What meets in the lists of ``rows (value, node, n)``: pairs ``(a, b, wanted)`` of
+    short lists, and of long ones every member with the list's first, ``(a, b, n,
+    value)``. A list is read in the order of its members and never held as a whole."""
+
+    def pairs(value: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
+        least = how.shared_at_least(n)
+        found = []
+        for apart in range(1, SHORT_LIST):
+            i = np.flatnonzero(value[apart:] == value[:-apart])
+            j = i + apart
+            i, j = i[node[i] != node[j]], j[node[i] != node[j]]
+            similar = 100 * np.minimum(n[i], n[j]) >= how.percent * np.maximum(n[i], n[j])
+            i, j = i[similar], j[similar]
+            # sets that share too few values for the pigeonhole have to meet once only
+            wanted = np.where(np.maximum(least[i], least[j]) >= SHARED_LISTED, MEETINGS, 1)
+            found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), wanted]))
+        return np.concatenate(found, axis=1)
+
+    def out(pair: np.ndarray, long: list[np.ndarray]) -> pa.RecordBatch:
+        rest, k = len(long[0]), pair.shape[1]
+        of_pair = np.arange(k + rest) < k
+        columns = [
+            np.concatenate([pair[0], long[0]]),
+            np.concatenate([pair[1], long[1]]),
+            pa.array(np.concatenate([pair[2], np.zeros(rest, np.int64)]), mask=~of_pair),
+            pa.array(np.concatenate([np.zeros(k, np.int64), long[2]]), mask=of_pair),
+            pa.array(np.concatenate([np.zeros(k, np.int64), long[3]]), mask=of_pair),
+        ]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "wanted", "n", "value"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        none = np.zeros(0, np.int64)
+        held, open_ = [none] * 3, None  # the last list so far, or of a long one its value and first
+        for batch in _then_none(batches):
+            more = [none] * 3 if batch is None else [c.to_numpy() for c in batch.columns]
+            value, node, n = (np.concatenate(x) for x in zip(held, more, strict=True))
+            if len(value) == 0:
+                continue
+            begins = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
+            sizes = np.diff(np.append(begins, len(value)))
+            first, size = np.repeat(node[begins], sizes), np.repeat(sizes, sizes)
+            is_long = size > SHORT_LIST
+            if open_ is not None and open_[0] == value[0]:
+                first[: sizes[0]], is_long[: sizes[0]] = open_[1], True
+            last = np.arange(len(value)) >= begins[-1]
+            held = [none] * 3
+            if batch is not None:
+                if is_long[-1]:
+                    open_ = value[-1], first[-1]
+                else:
+                    held = [x[last] for x in (value, node, n)]
+                    is_long = is_long | last  # not yet: neither long nor short
+            is_short = ~is_long
+            listed = is_long & ~(last & (len(held[0]) > 0))
+            yield out(
+                pairs(value[is_short], node[is_short], n[is_short]),
+                [node[listed], first[listed], n[listed], value[listed]],
+            )
+
+    dealt = rows.select("value", "node", "n").repartition("value").sortWithinPartitions("value", "node")
+    return dealt.mapInArrow(run, "a long, b long, wanted long, n long, value long")
+
+
+def _then_none(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def _second_values(rows: DataFrame, how: Similarity) -> DataFrame:
+    """``(value, node, n, hot)`` of ``(node, n, cold, hot)``: the pairs of a set's values
+    that have the same colour, or all pairs if it may share too few values for that.
+    ``hot`` are those of which both values are hot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            cold, hot = batch.column(2), batch.column(3)
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), cold, hot)
+            for node, n, *lists in rows:
+                own = [x.values.to_numpy() for x in lists]
+                values = np.concatenate(own)
+                is_hot = np.arange(len(values)) >= len(own[0])
+                order = np.argsort(values)
+                values, is_hot = values[order], is_hot[order]
+                i, j = np.triu_indices(len(values), 1)
+                if how.shared_at_least(np.array([n]))[0] >= SHARED_LISTED:
+                    colour = (values >> 20) % COLOURS
+                    same = colour[i] == colour[j]
+                    i, j = i[same], j[same]
+                key = mix(values[i].view(np.uint64) * np.uint64(3) + mix(values[j].view(np.uint64)))
+                found.append((key.view(np.int64), np.full(len(i), node), np.full(len(i), n), is_hot[i] & is_hot[j]))
+            if found:
+                columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["value", "node", "n", "hot"])
+
+    return rows.select("node", "n", "cold", "hot").mapInArrow(
+        run, "value long, node long, n long, hot boolean"
     )
+
+
+def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
+    """``(node, root)`` of the classes that may have a link: step 2 above."""
+    # two different sets share all but one value at most
+    smallest = -(-how.percent // (100 - how.percent)) if how.percent < 100 else None
+    if smallest is None:
+        return components(classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
+    rows = classes.filter(F.col("n") >= smallest).select("node", "n", "cold", "hot")
+    single = settled(_meetings(rows.select(F.explode("cold").alias("value"), "node", "n"), how))
     met = (
-        pair.groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-        .agg(
-            F.sum("lists").alias("lists"),
-            F.max(F.least(F.lit(SHARED_LISTED), both)).alias("wanted"),
-        )
+        single.filter("wanted is not null")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("lists"), F.max("wanted").alias("wanted"))
         .filter("lists >= wanted")
         .select("a", "b")
     )
-    starred = placed.filter(f"length > {SHORT_LIST}").select(
+    long = single.filter("value is not null").select(F.col("a").alias("node"), "n", "value", F.lit(False).alias("hot"))
+    hot = rows.select("node", "n", F.explode("hot").alias("value"), F.lit(True).alias("hot"))
+    by_node = (
+        long.union(hot)
+        .groupBy("node", "n")
+        .agg(
+            F.collect_list(F.when(~F.col("hot"), F.col("value"))).alias("cold"),
+            F.collect_list(F.when(F.col("hot"), F.col("value"))).alias("hot"),
+        )
+        .filter(F.size("cold") + F.size("hot") > 1)
+    )
+    second = settled(_second_values(by_node, how))
+    double = _meetings(second.filter("not hot"), how).select("a", "b")
+    keyed = second.filter("hot").select("value", "node")
+    firsts = settled(keyed.groupBy("value").agg(F.min("node").alias("first"), F.count("*").alias("held")))
+    total = firsts.agg(F.sum("held")).first()[0] or 0
+    starred = join_facts(keyed, firsts, "value", "held", total).select(
         F.col("node").alias("a"), F.col("first").alias("b")
     )
-    return components(met.union(starred))
+    return components(met.union(double).union(starred))
 
 
 class _Block:
@@ -469,12 +593,19 @@ def _judged(documents: DataFrame, id_col: str, text_col: str, how: Similarity) -
     )
     sketched = settled(_sketches(texts, how))
     classes = settled(
-        sketched.filter("node is not null")
+        _listed(sketched, _counts(sketched), how)
         .groupBy("node")
-        .agg(F.min("_id").alias("first_id"), F.count("*").alias("held"), F.max("n").alias("n"))
+        .agg(
+            F.min("_id").alias("first_id"),
+            F.count("*").alias("held"),
+            F.max("n").alias("n"),
+            F.first("cold").alias("cold"),
+            F.first("hot").alias("hot"),
+        )
     )
     rows = classes.agg(F.sum("held")).first()[0] or 0
-    bundles = _bundles(sketched, classes, rows, how)
+    bundles = _bundles(classes, how)
+    classes = classes.drop("cold", "hot")
     wanted = settled(
         bundles.withColumnRenamed("root", "bundle").join(classes.drop("held"), "node")
     )
