@@ -4,6 +4,9 @@ joins on keys of which one may hold a third of all rows."""
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +26,41 @@ def fresh_folder(spark: SparkSession, what: str) -> str:
     return f"{shared_folder(spark)}/{what}-{uuid.uuid4().hex}"
 
 
-def settled(df: DataFrame) -> DataFrame:
+def discard(spark: SparkSession, folder: str) -> None:
+    """Delete a table of the shared folder."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: The tables that each open ``temporary`` is to delete, innermost last.
+_HELD: ContextVar[tuple[list[str], ...]] = ContextVar("held", default=())
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Tables that are settled inside are deleted at the end, but for those that are
+    kept for the context around. What leaves must not read them any more."""
+    own: list[str] = []
+    token = _HELD.set((*_HELD.get(), own))
+    try:
+        yield
+    finally:
+        _HELD.reset(token)
+        for folder in own:
+            discard(spark, folder)
+
+
+def settled(df: DataFrame, keep: bool = False) -> DataFrame:
     """The rows as a table in the shared folder, read from there: what follows does not
     compute them again, lost executors lose nothing, and their true size is known to
     the joins that follow. (``checkpoint()`` keeps the estimate of the plan it cuts,
     and that estimate grows with every join of an iteration.) The table stays until the
-    folder is cleared."""
+    ``temporary`` around ends, or with ``keep`` the one around that; without one, until
+    the folder is cleared."""
     folder = fresh_folder(df.sparkSession, "table")
+    open_ = _HELD.get()[: -1 if keep else None]
+    if open_:
+        open_[-1].append(folder)
     df.write.parquet(folder)
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
@@ -91,6 +122,11 @@ def components(edges: DataFrame) -> DataFrame:
     until none is left; at the end the hooks of all rounds are followed. Nodes are
     hashes, so that the number of rounds grows with the logarithm of the longest path.
     """
+    with temporary(edges.sparkSession):
+        return settled(_followed(edges), keep=True)
+
+
+def _followed(edges: DataFrame) -> DataFrame:
     edges = settled(edges.select("a", "b").filter("a <> b").distinct())
     rounds = []
     while (total := edges.count()) > 0:

@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from speechprep.llm.common import components, join_facts, settled, without
+from speechprep.llm.common import components, join_facts, settled, temporary, without
 from speechprep.llm.spans import Texts, grams, mix, pieces
 
 #: Lists up to this length give their pairs.
@@ -585,13 +585,10 @@ def near_duplicates(
     )
 
 
-def _judged(documents: DataFrame, id_col: str, text_col: str, how: Similarity) -> DataFrame:
-    """The same with the id as ``_id`` and the text's hash as ``_hash``."""
-    text = F.col(text_col)
-    texts = documents.select(
-        F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash")
-    )
-    sketched = settled(_sketches(texts, how))
+def _grouped(texts: DataFrame, how: Similarity) -> tuple[DataFrame, DataFrame, int]:
+    """``(_id, _hash, n, node, sketch)`` of all rows, ``(node, component_id, held)`` of all
+    classes, and the number of rows with a class."""
+    sketched = settled(_sketches(texts, how), keep=True)
     classes = settled(
         _listed(sketched, _counts(sketched), how)
         .groupBy("node")
@@ -625,9 +622,20 @@ def _judged(documents: DataFrame, id_col: str, text_col: str, how: Similarity) -
     named = join_facts(
         joined.select("root", "node", "held"), names, "root", "classes", joined.count()
     )
+    return sketched, settled(named.select("node", "component_id", "held"), keep=True), rows
+
+
+def _judged(documents: DataFrame, id_col: str, text_col: str, how: Similarity) -> DataFrame:
+    """The same with the id as ``_id`` and the text's hash as ``_hash``."""
+    text = F.col(text_col)
+    texts = documents.select(
+        F.col(id_col).alias("_id"), text.alias("_text"), F.xxhash64(text).alias("_hash")
+    )
+    with temporary(documents.sparkSession):
+        sketched, named, rows = _grouped(texts, how)
     out = join_facts(
         sketched.select("_id", "_hash", "n", "node"),
-        named.select("node", "component_id", "held"),
+        named,
         "node",
         "held",
         rows,
