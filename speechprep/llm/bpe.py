@@ -45,12 +45,13 @@ WHITE = (
     + "\u0085\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     + "\u2028\u2029\u202f\u205f\u3000"
 )
-#: Pieces kept per task, the longest piece kept, and compatible pairs kept.
-KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 200_000, 64, 500_000
+#: Pieces kept while a task runs (in each of two tables, up to twice as many), the
+#: longest piece kept, and compatible pairs kept.
+KEPT_PIECES, KEPT_LENGTH, KEPT_PAIRS = 20_000, 64, 200_000
 #: Characters of a pre-token that are matched in one go.
 LOOK_AHEAD = 512
 #: Bytes of text that one output batch is made of; ids that are decoded at once.
-BATCH_BYTES, DECODED_IDS = 4 << 20, 1 << 18
+BATCH_BYTES, DECODED_IDS = 2 << 20, 1 << 18
 
 
 def byte_letters() -> dict[str, int]:
@@ -81,6 +82,11 @@ class Kept(dict):
         return found
 
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
+
 class Encoder:
     """Encoder of one byte-level vocabulary file."""
 
@@ -142,6 +148,12 @@ class Encoder:
         self.first = Kept(self.piece)
         self.spaced = Kept(lambda word: self.piece(" " + word))
 
+    def forget(self) -> None:
+        """Give back what was kept of the texts. Workers outlive their tasks."""
+        self.first.forget()
+        self.spaced.forget()
+        self.pairs.clear()
+
     # encoding
 
     def compatible(self, left: int, right: int) -> bool:
@@ -306,12 +318,12 @@ class Decoder:
         ]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def decoder(path: str) -> Decoder:
     return Decoder(path)
 
@@ -325,15 +337,21 @@ def _lists(ids: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
 def _encoded(documents: DataFrame, vocabulary: str, id_col: str, text_col: str, back: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(vocabulary)
-        for batch in batches:
-            for part in parts_of(batch, "_text", BATCH_BYTES):
-                texts = pc.fill_null(part.column(1), "").to_pylist()
-                ids, ends = _lists([own.encode(text) for text in texts])
-                columns = [part.column(0), ids]
-                if back:
-                    decoded = decoder(vocabulary).decode(ids.values.to_numpy(), ends)
-                    columns.append(pa.array(decoded, pa.string()))
-                yield pa.RecordBatch.from_arrays(columns, names=["_id", "ids", "decoded"][: len(columns)])
+        try:
+            for batch in batches:
+                for part in parts_of(batch, "_text", BATCH_BYTES):
+                    yield made(own, part)
+        finally:
+            own.forget()
+
+    def made(own: Encoder, part: pa.RecordBatch) -> pa.RecordBatch:
+        texts = pc.fill_null(part.column(1), "").to_pylist()
+        ids, ends = _lists([own.encode(text) for text in texts])
+        columns = [part.column(0), ids]
+        if back:
+            decoded = decoder(vocabulary).decode(ids.values.to_numpy(), ends)
+            columns.append(pa.array(decoded, pa.string()))
+        return pa.RecordBatch.from_arrays(columns, names=["_id", "ids", "decoded"][: len(columns)])
 
     kind = documents.schema[id_col].dataType.simpleString()
     return (

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 IN_WORD = np.ones(256, dtype=bool)
 IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
