@@ -5,8 +5,10 @@ log-probability, for every token seen behind it, and a failure arc, with a weigh
 the state of its context without the oldest token; the root has an arc for every token
 and one for unknown ones. A text's score is that of a walk from left to right that starts
 in the state of the text's begin, takes failure arcs until there is an arc for the next
-token, and adds up the weights. No state is carried in doing so: the tokens of a block are
-evaluated at once, each from the n-gram that ends at it.
+token, goes on from the state that the arc leads to, and adds up the weights. All texts
+of a block are walked at the same time, one token each per step. A long text is walked
+in stretches side by side; a stretch begins ``order - 1`` tokens early at the root, which
+leads to the state that the walk from the text's begin is in.
 
 Probabilities are smoothed by the shorter context: with ``c`` the counts,
 ``p(w | h) = (c(h w) + mass * p(w | shorter h)) / (c(h) + mass)``, hence a failure arc
@@ -47,6 +49,8 @@ from speechprep.llm.spans import Texts, grams, mix, pieces, texts_of
 BLOCK_BYTES = 3 << 20
 #: Bytes of text per part of the model, for each order of n-grams.
 PART_BYTES = 8 << 20
+#: Tokens of a stretch of a text that is walked beside the others.
+STRETCH = 256
 BEGIN, END = mix(np.array([1, 2], dtype=np.uint64))
 
 
@@ -122,72 +126,121 @@ class Grams:
         chosen = np.repeat(texts, np.diff(self.firsts)) & (self.of[n] >= 0)
         return np.bincount(self.of[n][chosen], minlength=len(self.kinds[n]))
 
-    def context(self, n: int, counts: dict[int, np.ndarray], texts: int) -> np.ndarray:
-        """For each token, how often the ``n - 1`` tokens before it occur in training;
-        ``texts`` for a text's begin."""
-        out = np.zeros(self.firsts[-1], dtype=np.int64)
-        before = self.of[n - 1][:-1]
-        out[1:] = np.where(before >= 0, counts[n - 1][before], 0)
-        first = self.firsts[:-1]
-        out[first] = texts if n == 2 else 0
-        if n > 2:
-            # a context that starts with the begin is followed as often as it occurs
-            out[self.of[n] < 0] = 0
-        return out
-
 
 class Automaton:
-    """The part of the automaton that a block's texts can reach."""
+    """The part of the automaton that a block's texts can reach.
+
+    State 0 is the root and state 1 the begin of a text. The others are the block's
+    distinct n-grams of up to ``order - 1`` tokens, by order; those that training texts
+    do not have are never entered.
+    """
+
+    ROOT, START = 0, 1
 
     def __init__(
         self, block: Grams, counts: dict[int, np.ndarray], totals: Totals, model: Model
     ) -> None:
-        self.block, self.model = block, model
-        self.counts = counts
-        discount, tokens = totals.discount, totals.tokens
+        self.block, self.order = block, model.order
+        self.tokens = block.of[1]
+        self.width = np.int64(max(len(block.kinds[1]), 1))
+        discount, size = totals.discount, totals.tokens
         seen = counts[1] > 0
-        if tokens:
-            known = (counts[1] - discount) / tokens
-            root = np.where(seen, known, discount * totals.distinct / tokens)
+        if size:
+            known = (counts[1] - discount) / size
+            self.root = np.where(seen, known, discount * totals.distinct / size)
         else:
-            root = np.ones(len(seen))
-        #: For each order, the probability of every distinct n-gram's last token, and
-        #: whether the n-gram is an arc; a context's weight is that of its failure arc.
-        self.arcs = {1: (np.ones(len(seen), dtype=bool), root)}
-        self.failures: dict[int, np.ndarray] = {}
+            self.root = np.ones(len(seen))
+        # states
+        self.first = {n: 2 + sum(len(block.kinds[m]) for m in range(1, n)) for n in range(1, model.order)}
         end = np.searchsorted(block.kinds[1], END)
         texts = int(counts[1][end]) if len(seen) else 0
+        held = [np.array([0, texts]), *(counts[n] for n in self.first)]
+        self.held = np.concatenate(held)
+        self.weights = model.mass / (self.held + model.mass)
+        self.failure = np.zeros(len(self.held), dtype=np.int64)
+        self.after_root = self._state(1, np.arange(len(seen)))
+        # arcs, sorted by state and token, order by order
+        self.keys, self.values = np.zeros(0, np.int64), np.zeros(0)
+        self.targets = np.zeros(0, np.int64)
         for n in range(2, model.order + 1):
             at = np.flatnonzero(block.of[n] >= 0)
             # one token for each distinct n-gram stands for all of its tokens
             one = np.zeros(len(block.kinds[n]), dtype=np.int64)
             one[block.of[n][at]] = at
-            context = block.context(n, counts, texts)
-            self.failures[n] = model.mass / (context + model.mass)
-            lower = self._probability(n - 1, one)
-            value = (counts[n] + model.mass * lower) / (context[one] + model.mass)
-            self.arcs[n] = (counts[n] > 0, value)
-
-    def _probability(self, n: int, tokens: np.ndarray) -> np.ndarray:
-        """Walk one token from the state of ``n - 1`` tokens before it: failure arcs
-        until there is an arc."""
-        out = np.ones(len(tokens))
-        open_ = np.ones(len(tokens), dtype=bool)
-        for m in range(n, 0, -1):
-            gram = self.block.of[m][tokens]
-            is_arc, value = self.arcs[m]
-            takes = open_ & (gram >= 0)
-            takes[takes] = is_arc[gram[takes]]
-            out[takes] *= value[gram[takes]]
-            open_ &= ~takes
-            if m > 1:
-                fails = open_ & (gram >= 0)
-                out[fails] *= self.failures[m][tokens[fails]]
-        return out
+            one = one[counts[n] > 0]
+            state, token = self._before(n, one), self.tokens[one]
+            lower, _ = self.step(self.failure[state], token)
+            value = (counts[n][counts[n] > 0] + model.mass * lower) / (self.held[state] + model.mass)
+            own = block.of[n][one]
+            if n < model.order:
+                target = self.first[n] + own
+                self.failure[target] = self._state(n - 1, block.of[n - 1][one])
+            else:
+                target = self._state(n - 1, block.of[n - 1][one])
+            keys = np.concatenate([self.keys, state * self.width + token])
+            order = np.argsort(keys, kind="stable")
+            self.keys = keys[order]
+            self.values = np.concatenate([self.values, value])[order]
+            self.targets = np.concatenate([self.targets, target])[order]
+
+    def _state(self, n: int, kinds: np.ndarray) -> np.ndarray:
+        """States of n-grams that were seen; the root for others and without contexts."""
+        if n not in self.first:
+            return np.zeros(len(kinds), dtype=np.int64)
+        states = self.first[n] + kinds
+        return np.where(self.held[states] > 0, states, self.ROOT)
+
+    def _before(self, n: int, tokens: np.ndarray) -> np.ndarray:
+        """States of the ``n - 1`` tokens before each of ``tokens``."""
+        of = np.append(-1, self.block.of[n - 1])[tokens]
+        begins = np.zeros(self.block.firsts[-1] + 1, dtype=bool)
+        begins[self.block.firsts] = True
+        # only bigrams reach back to a text's begin alone
+        return np.where(begins[tokens], self.START, self.first[n - 1] + of)
+
+    def step(self, states: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Read one token from each state: probabilities, and the states reached."""
+        weight, target = np.ones(len(states)), np.empty(len(states), dtype=np.int64)
+        open_, state, token = np.arange(len(states)), states, tokens
+        while len(open_):
+            key = state * self.width + token
+            at = np.searchsorted(self.keys, key)
+            arc = np.zeros(len(key), dtype=bool)
+            inside = at < len(self.keys)
+            arc[inside] = self.keys[at[inside]] == key[inside]
+            weight[open_[arc]] *= self.values[at[arc]]
+            target[open_[arc]] = self.targets[at[arc]]
+            root = ~arc & (state == self.ROOT)
+            weight[open_[root]] *= self.root[token[root]]
+            target[open_[root]] = self.after_root[token[root]]
+            fails = ~arc & ~root
+            open_, state, token = open_[fails], state[fails], token[fails]
+            weight[open_] *= self.weights[state]
+            state = self.failure[state]
+        return weight, target
 
     def walk(self) -> np.ndarray:
-        """The log10 probability of every token, of all at once."""
-        return np.log10(self._probability(self.model.order, np.arange(self.block.firsts[-1])))
+        """The log10 probability of every token."""
+        firsts, sizes = self.block.firsts[:-1], np.diff(self.block.firsts)
+        per_text = -(-sizes // STRETCH)
+        text = np.repeat(np.arange(len(sizes)), per_text)
+        part = np.arange(len(text)) - np.repeat(np.cumsum(per_text) - per_text, per_text)
+        begin = firsts[text] + part * STRETCH
+        stop = np.minimum(begin + STRETCH, firsts[text] + sizes[text])
+        at = np.maximum(begin - (self.order - 1), firsts[text])
+        start = self.START if self.order > 1 else self.ROOT
+        state = np.where(at == firsts[text], start, self.ROOT)
+        # the longest first, so that those still being walked are in front
+        longest = np.argsort(at - stop, kind="stable")
+        at, stop, begin, state = at[longest], stop[longest], begin[longest], state[longest]
+        out = np.empty(self.block.firsts[-1])
+        while len(at):
+            weight, state = self.step(state, self.tokens[at])
+            counted = at >= begin
+            out[at[counted]] = weight[counted]
+            more = np.searchsorted(at + 1 - stop, 0)
+            at, stop, begin, state = at[:more] + 1, stop[:more], begin[:more], state[:more]
+        return np.log10(out)
 
 
 def scores(block: Grams, counts: dict[int, np.ndarray], totals: Totals, model: Model) -> dict:
