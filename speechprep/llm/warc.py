@@ -10,8 +10,7 @@ without target; of records with equal payloads that with the largest id is the
 response, a null id being the smallest; rows equal in id and payload are all
 responses; a table without rows gives no archive, and no archive gives no rows; of
 extra columns nothing is written. A record that cannot be read comes out as a row
-with an ``error``; if its length is wrong or its data broken, the rest of its archive
-cannot be framed and is named in that same row.
+with an ``error``, and the records behind it are read.
 """
 
 from __future__ import annotations
@@ -29,10 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechprep.llm.common import fresh_folder, join_facts, settled
+from speechprep.session import spread
 from speechprep.sources.storage import resolve
 
 #: Compressed bytes after which a task begins another archive.
 ARCHIVE_BYTES = 64 << 20
+#: Archives that one task reads.
+ARCHIVES_PER_TASK = 8
 #: Bytes of an archive read at once, and inflated at once.
 STEP = 256 << 10
 #: Bytes of rows sent on at once.
@@ -44,6 +46,8 @@ LONGEST_HEADER = 1 << 20
 VERSION = "WARC/1.1"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD_ID = "<urn:x-page:%s>"
+MEMBER_BEGIN = b"\x1f\x8b\x08"
+RECORD_END = b"\r\n\r\n"
 
 
 def sha1_base32(data: bytes) -> str:
@@ -84,7 +88,13 @@ def record(
 
 
 class BadRecord(ValueError):
-    pass
+    """A record that cannot be framed; ``headers`` as far as they are known."""
+
+    headers: dict[str, str] = {}
+
+
+class BrokenData(BadRecord):
+    """Data that cannot be inflated: where the member ends is not known."""
 
 
 @dataclass
@@ -98,26 +108,47 @@ class Record:
     errors: list[str] = field(default_factory=list)
 
 
-def members(stream) -> Iterator[Iterator[bytes]]:
-    """The gzip members of a stream, each as its inflated bytes in steps. A member
-    must be used up before the next one is asked for."""
-    raw = stream.read(STEP)
-    while raw:
-        inflate = zlib.decompressobj(wbits=31)
+class Members:
+    """The gzip members of a stream, each as its inflated bytes in steps. A member must
+    be used up, or skipped, before the next one is asked for."""
+
+    def __init__(self, stream) -> None:
+        self.stream, self.raw = stream, b""
+
+    def _more(self) -> bool:
+        self.raw = self.raw or self.stream.read(STEP)
+        return bool(self.raw)
 
-        def steps() -> Iterator[bytes]:
-            nonlocal raw
-            while not inflate.eof:
-                out = inflate.decompress(raw, STEP)
-                raw = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
-                if out:
-                    yield out
-                if not raw:
-                    raw = stream.read(STEP)
-                    if not raw and not inflate.eof:
-                        raise BadRecord("the archive ends within a record")
+    def __iter__(self) -> Iterator[Iterator[bytes]]:
+        while self._more():
+            yield self._steps()
 
-        yield steps()
+    def _steps(self) -> Iterator[bytes]:
+        inflate = zlib.decompressobj(wbits=31)
+        while not inflate.eof:
+            if not self._more():
+                raise BadRecord("the archive ends within a record")
+            begun = self.raw
+            try:
+                out = inflate.decompress(begun, STEP)
+            except zlib.error as error:
+                self.raw = begun[1:]
+                raise BrokenData(str(error)) from error
+            self.raw = inflate.unused_data if inflate.eof else inflate.unconsumed_tail
+            if out:
+                yield out
+
+    def find_next(self) -> None:
+        """Behind broken data: go on to what looks like the begin of a member."""
+        while self._more():
+            at = self.raw.find(MEMBER_BEGIN)
+            if at >= 0:
+                self.raw = self.raw[at:]
+                return
+            # the mark may be cut in two
+            rest = self.raw[1 - len(MEMBER_BEGIN) :]
+            more = self.stream.read(STEP)
+            self.raw = rest + more if more else b""
 
 
 def _headers(raw: bytes) -> dict[str, str]:
@@ -163,6 +194,14 @@ def _read_one(steps: Iterator[bytes], keep: bool) -> Record:
     if not head.startswith(b"WARC/"):
         raise BadRecord("no WARC record")
     found = Record(_headers(head))
+    try:
+        return _framed(found, rest, steps, keep)
+    except BadRecord as error:
+        error.headers = found.headers
+        raise
+
+
+def _framed(found: Record, rest: bytes, steps: Iterator[bytes], keep: bool) -> Record:
     length = found.headers.get("content-length", "")
     if not length.isdigit():
         raise BadRecord("no Content-Length")
@@ -174,8 +213,9 @@ def _read_one(steps: Iterator[bytes], keep: bool) -> Record:
                 raise BadRecord("shorter than its Content-Length")
         body.take(rest[:left])
         rest, left = rest[left:], max(left - len(rest), 0)
-    tail = rest + b"".join(steps)
-    if tail != b"\r\n\r\n":
+    while len(rest) <= len(RECORD_END) and (more := next(steps, None)) is not None:
+        rest += more
+    if rest != RECORD_END:
         raise BadRecord("longer than its Content-Length")
 
     def check(name: str, digest) -> str:
@@ -198,12 +238,32 @@ def _read_one(steps: Iterator[bytes], keep: bool) -> Record:
 
 
 def read_records(stream, keep: bool = False) -> Iterator[Record]:
-    """The records of one archive, in order."""
-    try:
-        for steps in members(stream):
-            yield _read_one(steps, keep)
-    except (BadRecord, zlib.error) as error:
-        yield Record({}, errors=[f"archive not read further: {error}"])
+    """The records of one archive, in order. A record that cannot be read is one row with
+    its error, and the next gzip member is read: it begins where the bad one ends, or,
+    behind data that cannot be inflated, where the next one that holds a record begins."""
+    members, lost = Members(stream), False
+    for steps in members:
+        try:
+            found = _read_one(steps, keep)
+            lost = False
+        except BrokenData as error:
+            members.find_next()
+            if lost:
+                continue  # still looking behind the same broken data
+            lost, found = True, Record(error.headers, errors=[f"record not read: {error}"])
+        except BadRecord as error:
+            if lost and not error.headers:
+                continue
+            found = Record(error.headers, errors=[f"record not read: {error}"])
+            try:
+                for _ in steps:
+                    pass
+            except BrokenData:
+                members.find_next()
+                lost = True
+            except BadRecord:
+                pass  # the archive ends here
+        yield found
 
 
 def _number(header: str | None) -> str | None:
@@ -290,7 +350,7 @@ def write_archives(
 def read_archives(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
     """The records of the archives ``(path, ..)``: ``id, url, payload_bytes,
     payload_digest, record_type, refers_to, error`` and, if wanted, ``payload``.
-    An archive is one task's work."""
+    A task reads several archives, one after the other."""
     schema = (
         "id string, url string, payload_bytes long, payload_digest string, "
         "record_type string, refers_to string, error string"
@@ -328,8 +388,7 @@ def read_archives(archives: DataFrame, keep_payload: bool = False) -> DataFrame:
         if rows:
             yield batch_of(rows)
 
-    paths = archives.select("path")
-    return paths.repartition(max(paths.count(), 1)).mapInArrow(read, schema)
+    return spread(archives.select("path"), "path", per_task=ARCHIVES_PER_TASK).mapInArrow(read, schema)
 
 
 def round_trip(

@@ -76,6 +76,8 @@ def test_broken_archives_are_named(spark, tmp_path):
         "nolength": gzip.compress(b"WARC/1.1\r\nA: b\r\n\r\n\r\n\r\n"),
         "empty": b"",
         "good": b"".join(good),
+        "bits": good[0] + good[1][:60] + b"\xff" * 9 + good[1][69:] + good[2],
+        "huge": gzip.compress(gzip.decompress(good[0]) + b"x" * (3 << 20)) + good[2] + b"tail",
     }
     for name, raw in bad.items():
         (tmp_path / name).write_bytes(raw)
@@ -83,9 +85,11 @@ def test_broken_archives_are_named(spark, tmp_path):
     rows = defaultdict(list)
     for r in warc.read_archives(listed).collect():
         rows[(r.error or "").split("/")[-1]].append(r)
-    assert {n for n in rows if n} == {"cut", "digest", "longer", "shorter", "junk", "nolength"}
+    assert {n for n in rows if n} == {"cut", "digest", "longer", "shorter", "junk", "nolength", "bits", "huge"}
     assert rows["digest"][0].id == "0" and "block" in rows["digest"][0].error
-    assert len(rows[""]) == 1 + 1 + 3
+    assert len(rows[""]) == 1 + 1 + 1 + 3 + 2 + 1  # those behind bad ones as well
+    assert [len(rows[n]) for n in ("cut", "longer", "shorter", "junk", "nolength", "bits", "huge")] == [1] * 6 + [2]
+    assert rows["longer"][0].id == rows["shorter"][0].id == "0"
 
 
 def test_no_pages(spark):
