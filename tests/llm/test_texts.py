@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -147,3 +148,14 @@ def test_spans():
     values, firsts = spans.grams(hashes, t.owners(starts), 2)
     assert firsts.tolist() == [0, 2]
     assert len(values) == 2 and np.all(values != 0)
+
+
+def test_counts_of_long_runs_without_space():
+    counter, library = tokencount.Counter(WORD), Tokenizer.from_file(WORD)
+    library.no_truncation()
+    rng = random.Random(8)
+    runs = ["".join(rng.choices(letters, k=n)) for n in (2047, 2049, 20_000) for letters in ("a", "ab", "thes", "éa漢", "xyz0")]
+    assert counter.counts(runs) == [len(library.encode(r, add_special_tokens=False).ids) for r in runs]
+    began = time.process_time()
+    counter.counts(["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=1_000_000))])
+    assert time.process_time() - began < 20
