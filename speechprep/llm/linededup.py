@@ -37,8 +37,12 @@ def _places(lines: Column) -> Column:
 
 
 def _hashes(text: Column) -> Column:
+    """Two independent hashes of each line with a word: lines are deleted by them, and of
+    10^12 windows some would share one hash of 64 bits."""
     worded = F.filter(_lines(text), lambda line: line.rlike(HAS_WORD))
-    return F.transform(worded, lambda line: F.xxhash64(line))
+    return F.transform(
+        worded, lambda line: F.struct(F.xxhash64(line).alias("a"), F.xxhash64(F.lit(1), line).alias("b"))
+    )
 
 
 def _without(text: Column, gone: Column) -> Column:
@@ -57,8 +61,8 @@ def _without(text: Column, gone: Column) -> Column:
 
 
 def _later_lines(texts: DataFrame) -> DataFrame:
-    """``(_id, _hash, gone)`` of ``(_id, _text)``: the numbers, among a text's lines
-    with a word, of those to remove."""
+    """``(_key, copies, gone)`` of ``(_id, _text)``: by id and text, the rows that have
+    it, and the numbers, among a text's lines with a word, of those to remove."""
     listed = (
         texts.withColumn("_hash", F.xxhash64("_text"))
         .select("_id", "_hash", _hashes(F.col("_text")).alias("hashes"))
@@ -73,7 +77,12 @@ def _later_lines(texts: DataFrame) -> DataFrame:
         "_id",
         "_hash",
         "at",
-        F.xxhash64(*(F.get("hashes", F.col("at") + k) for k in range(WINDOW))).alias("window"),
+        F.struct(
+            *(
+                F.xxhash64(*(F.get("hashes", F.col("at") + k)[half] for k in range(WINDOW))).alias(half)
+                for half in ("a", "b")
+            )
+        ).alias("window"),
     )
     order = F.struct(F.col("_id").isNull().alias("none"), "_id", "_hash", "at")
     repeated = settled(
@@ -85,10 +94,11 @@ def _later_lines(texts: DataFrame) -> DataFrame:
     later = join_facts(windows, repeated, "window", "held", total).filter(order > F.col("first"))
     return (
         later.groupBy("_id", "_hash")
-        .agg(F.collect_set("at").alias("starts"))
+        .agg(F.collect_set("at").alias("starts"), F.count("*").alias("later"))
         .select(
-            "_id",
-            "_hash",
+            F.struct(F.col("_id").alias("id"), F.col("_hash").alias("hash")).alias("_key"),
+            # every copy has each of these starts
+            F.floor(F.col("later") / F.size("starts")).alias("copies"),
             F.array_distinct(
                 F.flatten(
                     F.transform("starts", lambda s: F.sequence(s, s + F.lit(WINDOW - 1)))
@@ -113,13 +123,16 @@ def deduplicate(
 
 
 def _cleaned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    id_, text = F.col("_row")[id_col], F.col("_row")[text_col]
-    rows = documents.select(F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"))
-    gone = _later_lines(
-        documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    text = F.col("_row")[text_col]
+    rows = documents.select(
+        F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("_row"),
+        F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash")).alias("_key"),
+    )
+    gone = settled(
+        _later_lines(documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
     )
-    same = id_.eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    joined = rows.join(gone.hint("shuffle_hash"), same, "left")
+    total = gone.agg(F.sum("copies")).first()[0] or 0
+    joined = join_facts(rows, gone, "_key", "copies", total)
     left = F.when(F.col("gone").isNotNull(), _without(text, F.col("gone")))
     return joined.withColumn("left_text", left)
 
