@@ -17,6 +17,7 @@ fewer words than a window is one window, an item without words none; items with
 equal windows are all named; an item without id is named by an empty string. Every
 row of ``documents`` gives one row; rows with equal ids and texts give equal ones.
 Tables may be empty; of extra columns nothing is read.
+``drop_contaminated`` judges every row by its id and text.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ WINDOW = 10
 SHINGLE = 3
 #: Shingles of one broadcast table: 8 bytes each and the table's overhead.
 BROADCAST_SHINGLES = 1_000_000
+#: Windows, of at most some hundred bytes, that one row of anchors holds on average.
+ROW_WINDOWS = 64
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -119,6 +122,40 @@ def _occurrences(
     return settled(out)
 
 
+def _anchored(found: DataFrame, windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """``found`` with ``windows``, the windows whose rarest shingle is found there, a
+    bounded number per row: more windows of one shingle are further rows."""
+    total = counts.agg(F.sum("held")).first()[0] or 0
+    # a window with a shingle that never occurs cannot occur itself
+    rarest = F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "offset", "shingle"))
+    anchors = (
+        windows.join(counts, "shingle", "left")
+        .groupBy("words")
+        .agg(rarest.alias("rarest"), F.first("items").alias("items"))
+        .filter("rarest.held > 0")
+        .select("rarest.shingle", "rarest.held", F.struct("rarest.offset", "words", "items").alias("window"))
+    )
+    anchors = settled(anchors)
+    parts = anchors.groupBy("shingle").agg(
+        F.first("held").alias("held"), F.ceil(F.count("*") / ROW_WINDOWS).cast("int").alias("parts")
+    )
+    parts = settled(parts)
+    placed = join_facts(found.filter("at >= 0"), parts, "shingle", "held", total)
+    numbers = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    placed = placed.filter("parts is not null").withColumn("part", numbers)
+    placed = placed.withColumn("anchor", F.xxhash64("shingle", "part")).drop("part")
+    part = F.pmod(F.xxhash64("window.words"), "parts").cast("int")
+    listed = (
+        anchors.join(parts.drop("held"), "shingle")
+        .groupBy("shingle", part.alias("part"))
+        .agg(F.first("held").alias("held"), F.collect_list("window").alias("windows"))
+        .select(F.xxhash64("shingle", "part").alias("anchor"), "held", "windows")
+    )
+    placings = parts.agg(F.sum(F.col("held") * F.col("parts"))).first()[0] or 0
+    met = join_facts(placed.drop("held", "parts"), settled(listed), "anchor", "held", placings)
+    return met.filter("windows is not null")
+
+
 def contamination(
     documents: DataFrame,
     items: DataFrame,
@@ -130,32 +167,35 @@ def contamination(
 ) -> DataFrame:
     """``(id_col, n_words, n_hit, items array<string>)`` of every row of ``documents``:
     how many of its words lie in an occurrence of a window, and of which items."""
+    judged = _judged(documents, items, id_col, text_col, item_col, item_text_col, window)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))
+    return judged.withColumn("_copy", copies).select(
+        F.col("_id").alias(id_col), "n_words", "n_hit", "items"
+    )
+
+
+def _judged(
+    documents: DataFrame,
+    items: DataFrame,
+    id_col: str,
+    text_col: str,
+    item_col: str,
+    item_text_col: str,
+    window: int,
+) -> DataFrame:
+    """``(_id, _hash, copies, n_words, n_hit, items)`` of every id and text."""
     windows = _windows(items, item_col, item_text_col, window)
     shingles = settled(_window_shingles(windows))
     found = _occurrences(documents, id_col, text_col, shingles, window)
     counts = settled(
         found.filter("at >= 0").groupBy("shingle").agg(F.count("*").alias("held"))
     )
-    total = counts.agg(F.sum("held")).first()[0] or 0
-    # a window with a shingle that never occurs cannot occur itself
-    rarity = shingles.join(counts, "shingle", "left")
-    anchors = (
-        rarity.groupBy("words")
-        .agg(
-            F.min(F.struct(F.coalesce("held", F.lit(0)).alias("held"), "offset", "shingle")).alias("rarest"),
-            F.first("items").alias("items"),
-        )
-        .filter("rarest.held > 0")
-        .groupBy("rarest.shingle", "rarest.held")
-        .agg(F.collect_list(F.struct("rarest.offset", "words", "items")).alias("windows"))
-    )
-    met = join_facts(found.filter("at >= 0"), anchors, "shingle", "held", total)
+    met = _anchored(found, shingles, counts)
     start = F.col("at") - F.col("window.offset")
     size = F.size("window.words")
     same = F.slice("around", F.col("start") - F.col("first") + 1, size) == F.col("window.words")
     hits = (
-        met.filter("windows is not null")
-        .select("_id", "_hash", "n", "at", "first", "around", F.explode("windows").alias("window"))
+        met.select("_id", "_hash", "n", "at", "first", "around", F.explode("windows").alias("window"))
         .withColumn("start", start)
         .filter((F.col("start") >= 0) & (F.col("start") + size <= F.col("n")))
         .filter(same)
@@ -194,12 +234,8 @@ def contamination(
         lambda so: so.total,
     )
     return by_text.select(
-        F.col("_id").alias(id_col),
-        F.col("n").alias("n_words"),
-        covered.alias("n_hit"),
-        "items",
-        F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("_copy"),
-    ).drop("_copy")
+        "_id", "_hash", "copies", F.col("n").alias("n_words"), covered.alias("n_hit"), "items"
+    )
 
 
 def with_digest(found: DataFrame) -> DataFrame:
@@ -216,9 +252,12 @@ def drop_contaminated(
     documents: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The rows of ``documents`` without a contaminated word, with all their columns.
-    Rows with the same id stay or go together."""
-    bad = contamination(documents, items, id_col, text_col).filter("n_hit > 0")
-    return without(documents, F.col(id_col), bad.select(id_col))
+    Rows with equal ids and texts stay or go together."""
+    bad = _judged(documents, items, id_col, text_col, "item_id", "text", WINDOW).filter("n_hit > 0")
+    key = F.struct(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
+    return without(
+        documents, key, bad.select(F.struct(F.col("_id").alias("id"), F.col("_hash").alias("hash")))
+    )
 
 
 ORACLE = r"""
