@@ -11,11 +11,12 @@ serves for all. The sketch of a set is its ``keep`` smallest hashes.
    ``size - least + SHARED_LISTED`` that each one lists, whatever the order by which
    these are chosen. The order is rarity, as counted in a table of fixed size. A short
    list gives its pairs. Two sets that meet in fewer than three short lists share
-   ``SHARED_LISTED - 2`` values of long ones, so that two of these have the same of
-   ``COLOURS`` colours; hence long lists are split by a second listed value of the same
-   colour. Short lists of such pairs of values give pairs again, long ones, of sets that
-   share two values many others share too, join their members to the first one. Joined
-   classes form a bundle.
+   ``SHARED_LISTED - 2`` values of long ones, of which, as there are few colours of
+   values, several pairs are of one colour; hence long lists are split by a second
+   listed value of the same colour. Short lists of such pairs of values give pairs again,
+   that have to meet as often as follows from that; long ones, of sets that share two
+   values many others share too, join their members to the first one. Joined classes form
+   a bundle.
 3. Within a bundle, in blocks of bounded size, overlaps of the sketches and the
    estimate from the union's sketch choose pairs, and their full sets decide.
    A large bundle is cut into blocks. Blocks are solved by themselves, then the
@@ -42,6 +43,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,14 +51,13 @@ from speechprep.llm.common import components, join_facts, settled, temporary, wi
 from speechprep.llm.spans import Texts, grams, mix, pieces
 
 #: Lists up to this length give their pairs.
-SHORT_LIST = 8
+SHORT_LIST = 12
 #: Listed values that two sets of a link share, if they can share so many; meetings in
-#: short lists that make a pair a candidate; colours of values. By the pigeonhole
-#: principle there have to be fewer colours than values left for long lists.
-SHARED_LISTED, MEETINGS = 11, 3
-COLOURS = SHARED_LISTED - MEETINGS
+#: short lists that make a pair a candidate; colours of values, which have to be fewer
+#: than the values that are left for long lists.
+SHARED_LISTED, MEETINGS, COLOURS = 9, 3, 3
 #: Places of the table in which retained values are counted to tell their rarity.
-COUNTED = 1 << 18
+COUNTED, SLICE = 1 << 22, 1 << 16
 #: A value with more than one of this many parts of all listed values, or this many
 #: rows, goes to no list of its own.
 HOT_PART, HOT_ROWS = 4096, 1 << 16
@@ -166,31 +167,57 @@ def _full_sets(documents: DataFrame, how: Similarity) -> DataFrame:
     return documents.mapInArrow(run, "node long, set binary")
 
 
+def _least_second() -> int:
+    """In how many pairs of values of one colour two sets meet at least, if they meet in
+    fewer than ``MEETINGS`` short lists: when the colours are spread most evenly."""
+    left = SHARED_LISTED - MEETINGS + 1
+    sizes = [left // COLOURS + (k < left % COLOURS) for k in range(COLOURS)]
+    return sum(math.comb(size, 2) for size in sizes)
+
+
 def _counts(sketched: DataFrame) -> np.ndarray:
     """How often retained values fall into each of ``COUNTED`` places. Only the order
     that it gives values counts, so it does not matter that values share places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(COUNTED, dtype=np.int64)
+        held = np.zeros(COUNTED, dtype=np.int32)
         for batch in batches:
             # equal texts are one set
             _, once = np.unique(batch.column(0).to_numpy(zero_copy_only=False), return_index=True)
             values = batch.column(1).take(pa.array(once)).flatten().to_numpy()
-            held += np.bincount(values & (COUNTED - 1), minlength=COUNTED)
-        used = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(held[used])], names=["at", "n"])
+            places, often = np.unique(values & (COUNTED - 1), return_counts=True)
+            held[places] += often.astype(np.int32)
+        packed = [_packed(held[k : k + SLICE]) for k in range(0, COUNTED, SLICE)]
+        numbers = pa.array(range(len(packed)), pa.int32())
+        yield pa.RecordBatch.from_arrays([numbers, pa.array(packed, pa.binary())], names=["slice", "held"])
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        total = sum(_unpacked(x).astype(np.int64) for x in rows["held"])
+        total = np.minimum(total, np.iinfo(np.int32).max).astype(np.int32)
+        return pd.DataFrame({"slice": rows["slice"].iloc[:1], "held": [_packed(total)]})
 
     rows = sketched.filter("node is not null").select("node", "sketch")
-    summed = rows.mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(COUNTED, dtype=np.int64)
-    out[summed.column("at").to_numpy()] = summed.column("n").to_numpy()
+    counted = rows.mapInArrow(run, "slice int, held binary")
+    summed = counted.groupBy("slice").applyInPandas(add, "slice int, held binary").collect()
+    out = np.zeros(COUNTED, dtype=np.int32)
+    for row in summed:  # one per slice
+        out[row.slice * SLICE : (row.slice + 1) * SLICE] = _unpacked(row.held)
     return out
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    kind = next(k for k in ("<u1", "<u2", "<u4") if counts.max() <= np.iinfo(k).max)
+    return kind.encode() + zstandard.ZstdCompressor(level=1).compress(counts.astype(kind).tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data[3:]), data[:3].decode())
+
+
 def _listed(sketched: DataFrame, counts: np.ndarray, how: Similarity) -> DataFrame:
     """``sketched`` with the values each set lists: ``cold``, and ``hot`` ones, which
     are too frequent for a list of their own."""
-    limit = max(HOT_ROWS, int(counts.sum()) // HOT_PART)
+    limit = max(HOT_ROWS, int(counts.sum(dtype=np.int64)) // HOT_PART)
     shared = sketched.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,10 +248,11 @@ def _listed(sketched: DataFrame, counts: np.ndarray, how: Similarity) -> DataFra
     return sketched.filter("node is not null").mapInArrow(run, schema)
 
 
-def _meetings(rows: DataFrame, how: Similarity) -> DataFrame:
+def _meetings(rows: DataFrame, how: Similarity, meetings: int) -> DataFrame:
     """What meets in the lists of ``rows (value, node, n)``: pairs ``(a, b, wanted)`` of
     short lists, and of long ones every member with the list's first, ``(a, b, n,
-    value)``. A list is read in the order of its members and never held as a whole."""
+    value)``. A list is read in the order of its members and never held as a whole.
+    ``wanted`` is ``meetings``, or 1 for sets that may share too few values for that."""
 
     def pairs(value: np.ndarray, node: np.ndarray, n: np.ndarray) -> list[np.ndarray]:
         least = how.shared_at_least(n)
@@ -235,8 +263,7 @@ def _meetings(rows: DataFrame, how: Similarity) -> DataFrame:
             i, j = i[node[i] != node[j]], j[node[i] != node[j]]
             similar = 100 * np.minimum(n[i], n[j]) >= how.percent * np.maximum(n[i], n[j])
             i, j = i[similar], j[similar]
-            # sets that share too few values for the pigeonhole have to meet once only
-            wanted = np.where(np.maximum(least[i], least[j]) >= SHARED_LISTED, MEETINGS, 1)
+            wanted = np.where(np.maximum(least[i], least[j]) >= SHARED_LISTED, meetings, 1)
             found.append(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j]), wanted]))
         return np.concatenate(found, axis=1)
 
@@ -329,14 +356,13 @@ def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
     if smallest is None:
         return components(classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
     rows = classes.filter(F.col("n") >= smallest).select("node", "n", "cold", "hot")
-    single = settled(_meetings(rows.select(F.explode("cold").alias("value"), "node", "n"), how))
-    met = (
-        single.filter("wanted is not null")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("lists"), F.max("wanted").alias("wanted"))
-        .filter("lists >= wanted")
-        .select("a", "b")
-    )
+
+    def met(found: DataFrame) -> DataFrame:
+        pairs = found.filter("wanted is not null").groupBy("a", "b")
+        often = pairs.agg(F.count("*").alias("lists"), F.max("wanted").alias("wanted"))
+        return often.filter("lists >= wanted").select("a", "b")
+
+    single = settled(_meetings(rows.select(F.explode("cold").alias("value"), "node", "n"), how, MEETINGS))
     long = single.filter("value is not null").select(F.col("a").alias("node"), "n", "value", F.lit(False).alias("hot"))
     hot = rows.select("node", "n", F.explode("hot").alias("value"), F.lit(True).alias("hot"))
     by_node = (
@@ -349,14 +375,15 @@ def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
         .filter(F.size("cold") + F.size("hot") > 1)
     )
     second = settled(_second_values(by_node, how))
-    double = _meetings(second.filter("not hot"), how).select("a", "b")
+    double = settled(_meetings(second.filter("not hot"), how, _least_second()))
+    tied = double.filter("value is not null").select("a", "b")
     keyed = second.filter("hot").select("value", "node")
     firsts = settled(keyed.groupBy("value").agg(F.min("node").alias("first"), F.count("*").alias("held")))
     total = firsts.agg(F.sum("held")).first()[0] or 0
     starred = join_facts(keyed, firsts, "value", "held", total).select(
         F.col("node").alias("a"), F.col("first").alias("b")
     )
-    return components(met.union(double).union(starred))
+    return components(met(single).union(met(double)).union(tied).union(starred))
 
 
 class _Block:

@@ -20,8 +20,8 @@ NATIVE = ("Python", "Pandas", "Arrow")
 
 def frame(spark, rows, slices=3):
     """``(doc_id, text)`` rows with further columns that operators use themselves."""
-    schema = "doc_id long, text string, _id string, _hash int, node int, held int"
-    return spark.createDataFrame([(*r, "x", 1, 2, 3) for r in rows], schema).repartition(slices)
+    schema = "doc_id long, text string, _id string, _hash int, node int, held int, _gone int, gone int"
+    return spark.createDataFrame([(*r, "x", 1, 2, 3, 4, 5) for r in rows], schema).repartition(slices)
 
 
 def no_python(df):
@@ -44,6 +44,36 @@ def test_join_facts_with_heavy_and_null_keys(spark, monkeypatch):
     assert sorted((r.i, r.f) for r in got) == [(i, names.get(k)) for i, k in enumerate(keys)]
 
 
+def test_join_facts_spreads_heavy_keys(spark):
+    """A third of the rows, all equal, has one key: no task gets much more than the rest."""
+    settings = {
+        "spark.sql.adaptive.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, value in settings.items():
+        spark.conf.set(k, value)
+    try:
+        rows = spark.range(60_000).repartition(24).select(
+            F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 500).alias("k"),
+            F.when(F.col("id") % 3 > 0, F.col("id")).alias("i"),
+        )
+        facts = rows.groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("f"))
+        joined = common.join_facts(rows, facts, "k", "n", 60_000)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert any("Exchange hashpartitioning(k" in x and "_spread" in x for x in plan.splitlines())
+        needed = F.max(F.xxhash64(*joined.columns))  # or the join would be dropped
+        by_task = joined.groupBy(F.spark_partition_id()).agg(F.count("*").alias("rows"), needed)
+        sizes = [r.rows for r in by_task.collect()]
+        assert len(sizes) == 16 and max(sizes) <= 2 * sorted(sizes)[8]
+        got = joined.select("n").agg(F.count("n"), F.max("n")).first()
+        assert tuple(got) == (60_000, 20_000)
+    finally:
+        for k, value in before.items():
+            spark.conf.set(k, value)
+
+
 def test_components(spark):
     rng = random.Random(6)
     nodes = [rng.getrandbits(62) for _ in range(300)]
@@ -207,6 +237,7 @@ def leaks(rng):
 @pytest.mark.parametrize("seed,most", [(1, 1_000_000), (2, 250)])
 def test_contamination(spark, monkeypatch, seed, most):
     monkeypatch.setattr(decontam, "BROADCAST_SHINGLES", most)  # 250: in several passes
+    monkeypatch.setattr(decontam, "ROW_WINDOWS", 1 + seed)
     monkeypatch.setattr(common, "HEAVY_ROWS", 20)
     rows, items = leaks(random.Random(seed))
     bench = spark.createDataFrame([(*i, "x") for i in items], "item_id long, text string, words string")
@@ -216,8 +247,18 @@ def test_contamination(spark, monkeypatch, seed, most):
     have = sorted((str(r[0]), r[1], r[2], list(r[3])) for r in got.collect())
     assert have == sorted((str(i), *want[i, t]) for i, t in rows)
     clean = decontam.drop_contaminated(frame(spark, rows), bench).collect()
-    bad = {i for i, t in rows if want[i, t][1]}
-    assert sorted(str(r.doc_id) for r in clean) == sorted(str(i) for i, t in rows if i not in bad)
+    left = [(i, t) for i, t in rows if not want[i, t][1]]
+    assert sorted(map(str, ((r.doc_id, r.text) for r in clean))) == sorted(map(str, left))
+
+
+def test_contaminated_rows_without_id_take_no_others(spark):
+    items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    rows = [(None, "x a b c"), (None, "clean"), (None, None), (7, "a b"), (7, "a b c"), (7, "a b")]
+    left = decontam.drop_contaminated(frame(spark, rows), items).collect()
+    assert sorted(map(str, ((r.doc_id, r.text) for r in left))) == [
+        "(7, 'a b')", "(7, 'a b')", "(None, 'clean')", "(None, None)"
+    ]
+    assert left[0]._gone == 4
 
 
 def test_contamination_of_empty_tables(spark):
@@ -299,3 +340,45 @@ def test_stages_keep_the_columns_of_documents_and_take_empty_tables(spark, tmp_p
         assert out.dtypes == docs.dtypes and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == 0
     assert quality.keep_good(docs).count() == 0
+
+
+def test_unrelated_texts_over_few_words_make_no_large_bundles(spark):
+    """Texts of 80 of 300 words share values, but no two are similar."""
+    rng = random.Random(2)
+    vocabulary = [f"w{k}" for k in range(300)]
+    how = neardup.Similarity(words=2, percent=80)
+
+    def largest(count):
+        rows = [(i, " ".join(rng.choices(vocabulary, k=80))) for i in range(count)]
+        rows += [(count + i, text + " again") for i, (_, text) in enumerate(rows[:30])]
+        texts = spark.createDataFrame(rows, "_id long, _text string").withColumn("_hash", F.xxhash64("_text"))
+        sketched = common.settled(neardup._sketches(texts.repartition(4), how))
+        listed = neardup._listed(sketched, neardup._counts(sketched), how)
+        classes = listed.groupBy("node").agg(*(F.first(c).alias(c) for c in ("n", "cold", "hot")))
+        sizes = neardup._bundles(common.settled(classes), how).groupBy("root").count()
+        return sizes.agg(F.count("*").alias("bundles"), F.sum("count").alias("nodes"), F.max("count").alias("most")).first()
+
+    for count in (3_000, 12_000):
+        found = largest(count)
+        assert found.bundles >= 30 and found.nodes <= 60 + count / 20 and found.most <= 20
+
+
+def test_second_lists_find_what_short_lists_miss(spark, monkeypatch):
+    """Many more similar texts than a list may hold, among others that share their words."""
+    monkeypatch.setattr(neardup, "SHORT_LIST", 2)
+    rng = random.Random(9)
+    words = [f"w{k}" for k in range(60)]
+    base = [rng.choices(words, k=50) for _ in range(6)]
+    rows = []
+    for i in range(150):
+        text = list(base[i % 6])
+        for _ in range(rng.randint(0, 5)):
+            text[rng.randrange(50)] = rng.choice([*words, f"own{rng.random()}"])
+        rows.append((i, " ".join(text)))
+    rows += [(200 + i, " ".join(words[i : i + k])) for i in range(12) for k in (4, 5, 6, 9, 12, 15)]
+    for limit in (1 << 16, 5):  # with and without hot values
+        monkeypatch.setattr(neardup, "HOT_ROWS", limit)
+        how = neardup.Similarity(words=2, percent=80)
+        got = neardup.near_duplicates(frame(spark, rows), how=how).collect()
+        want = plain.near_duplicates(rows, 2, 80)
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i, t]) for i, t in rows)
