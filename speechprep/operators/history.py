@@ -27,23 +27,11 @@ def early_stop(
     """Step at which a run stops: the last of ``patience`` evaluations in a row
     that are not strictly better than the best before them. Null if none."""
     wer = F.col("wer")
-    seen = running.before(
-        history,
-        ["run"],
-        "step",
-        {"evals": ("sum", F.lit(1)), "best_before": ("min", wer)},
-        block,
-    ).withColumn("improved", F.col("best_before").isNull() | (wer < F.col("best_before")))
-    last = running.before(
-        seen,
-        ["run"],
-        "step",
-        {"last_improved": ("max", F.when(F.col("improved"), F.col("evals")))},
-        block,
-    )
-    idle = F.col("evals") - F.col("last_improved")
-    stops = ~F.col("improved") & (idle >= patience)
-    return last.groupBy("run").agg(
+    seen = running.first_least(history, ["run"], "step", wer, "evals", "best", block)
+    best = F.col("best")
+    improved = best.isNull() | (wer < best["value"])
+    stops = ~improved & (F.col("evals") - best["at"] >= patience)
+    return seen.groupBy("run").agg(
         F.count("*").alias("n_evals"),
         F.min(F.when(stops, F.col("step"))).alias("stop_step"),
     )

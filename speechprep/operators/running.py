@@ -115,3 +115,57 @@ def before(
             for name, (kind, _) in outputs.items()
         ],
     )
+
+
+def _shifted(least: Column, by: Column) -> Column:
+    """A least value found ``by`` rows further on."""
+    moved = F.struct(least["value"].alias("value"), (least["at"] + by).alias("at"))
+    return F.when(least.isNotNull(), moved)
+
+
+def first_least(
+    df: DataFrame, keys: list[str], pos: str, value: Column, number: str, least: str, block: int = BLOCK
+) -> DataFrame:
+    """Add, for every row, ``number``, how many rows of its group come before it, and
+    ``least``, the least of their values that are not null, as ``value``, with ``at``, the
+    number of the first row that has it; null where there is none.
+
+    One pass: what a block hands on is how many rows it has, and its least value with its
+    number within the block, which the rows before move. Rows are read twice, for the
+    blocks' totals and for themselves, and totals are carried over once.
+    """
+    blocked = with_block(df, pos, block)
+    at = block_col(block)
+    inside = Window.partitionBy(*keys, at).orderBy(pos)
+    before_ = inside.rowsBetween(Window.unboundedPreceding, -1)
+    own = F.struct(value.alias("value"), F.col("_n").alias("at"))
+    counted = blocked.withColumn("_n", (F.row_number().over(inside) - 1).cast("bigint")).withColumn(
+        "_own", F.when(value.isNotNull(), own)
+    )
+    local = counted.withColumn("_local", F.min("_own").over(before_))
+
+    def totals(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.groupBy(*keys, *by).agg(F.sum("_rows").alias("_rows"), F.min("_least").alias("_least"))
+
+    def carried(rows: DataFrame, by: list[str], order: str, prefix: str) -> DataFrame:
+        earlier = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        moved = rows.withColumn(f"{prefix}_rows", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+        moved = moved.withColumn("_least", _shifted(F.col("_least"), F.col(f"{prefix}_rows")))
+        return moved.withColumn(f"{prefix}_least", F.min("_least").over(earlier))
+
+    blocks = counted.groupBy(*keys, at).agg(F.count("*").alias("_rows"), F.min("_own").alias("_least"))
+    stretched = blocks.withColumn("_stretch", v.div(F.col(at), WIDE))
+    inner = carried(stretched, [*keys, "_stretch"], at, "_in")
+    outer = carried(totals(inner, ["_stretch"]), keys, "_stretch", "_out").drop("_rows", "_least")
+    known = inner.drop("_rows", "_least").join(outer, [*keys, "_stretch"], "left").select(
+        *keys,
+        at,
+        (F.col("_in_rows") + F.col("_out_rows")).alias("_offset"),
+        F.least("_out_least", _shifted(F.col("_in_least"), F.col("_out_rows"))).alias("_carried"),
+    )
+    joined = local.join(known, [*keys, at], "left")
+    return joined.select(
+        *(local[c] for c in blocked.columns),
+        (F.col("_offset") + F.col("_n")).alias(number),
+        F.least("_carried", _shifted(F.col("_local"), F.col("_offset"))).alias(least),
+    )

@@ -62,7 +62,7 @@ def prepare(
     # from here on a recording is known by a name of its own
     paired = settle(manifest.unique_names(manifest.pair_annotations(found, listed)))
     recordings = paired.drop("annotation")
-    nodes = settle(annotations.parse_annotations(annotations.read_documents(paired)))
+    nodes = settle(annotations.parse_files(paired))
     headers = settle(audio.read_headers(recordings))
     kept, past_end = manifest.within_recordings(
         manifest.build_manifest(nodes, language),
