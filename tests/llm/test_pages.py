@@ -4,8 +4,11 @@ import base64
 import gzip
 import hashlib
 import io
+import math
 import random
-from collections import defaultdict
+import re
+from collections import Counter, defaultdict
+from itertools import combinations
 
 import pytest
 from pyspark.sql import functions as F
@@ -202,3 +205,62 @@ def test_few_urls_make_no_rule(spark):
     labelled = spark.createDataFrame(rows, "_url string, _bad boolean")
     mined = urlrules.mine(labelled, urlrules.Mining()).collect()
     assert mined and {t for r in mined for t in r.antecedent if t.startswith("path")} == {"path spam"}
+
+
+def own_tokens(url):
+    """A url's tokens once more, in plain Python."""
+    if url is None or "://" not in url:
+        return frozenset()
+    rest = url.split("://", 1)[1].split("#", 1)[0]
+    rest, _, query = rest.partition("?")
+    host, _, path = rest.partition("/")
+    named = [("host ", host.lower().split(".")), ("path ", path.split("/"))]
+    named.append(("query ", [p.split("=", 1)[0] for p in query.split("&")]))
+    return frozenset(kind + re.sub(r"\d+", "0", part) for kind, parts in named for part in parts if part)
+
+
+def best_rules(labelled, pages, how):
+    """The best confidence of any set of tokens for each page, by trying them all."""
+    held, bad = Counter(), Counter()
+    for url, label in labelled:
+        found = sorted(own_tokens(url))
+        for size in range(1, len(found) + 1):
+            for chosen in combinations(found, size):
+                held[chosen] += 1
+                bad[chosen] += label
+    total = sum(bool(own_tokens(u)) or label for u, label in labelled)
+    least = max(math.ceil(how.least_support * total), how.least_count)
+    rules = {c: bad[c] / held[c] for c in held if bad[c] >= least and bad[c] / held[c] >= how.least_confidence}
+    return [
+        max((rules[c] for k in range(1, 8) for c in combinations(sorted(own_tokens(u)), k) if c in rules), default=None)
+        for u in pages
+    ]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_rules_are_those_of_trying_all_sets_of_tokens(spark, seed):
+    rng = random.Random(seed)
+
+    def url():
+        host = ".".join(rng.choices(["a", "b", "WWW", "shop"], k=rng.choice([1, 2])) + ["com"])
+        path = "".join("/" + rng.choice(["x", "y", "12", "z9", ""]) for _ in range(rng.choice([0, 1, 2])))
+        return f"http://{host}{path}" + rng.choice(["", "", "?q=1", "?p=2&q", "#f"])
+
+    urls = [url() for _ in range(250)] + [None, "no scheme", "http://", None]
+    bad = [("shop" in (u or "") and "x" in (u or "")) or rng.random() < 0.15 for u in urls]
+    pages = [url() for _ in range(150)] + urls
+    how = urlrules.Mining(least_support=0.01, least_count=4, least_confidence=0.7)
+    labelled = spark.createDataFrame(list(zip(urls, bad)), "_url string, _bad boolean")
+    df = spark.createDataFrame(list(enumerate(pages)), "page_id int, url string")
+    got = {r.page_id: r.confidence for r in urlrules.judge(df, labelled, [], how).collect()}
+    want = best_rules(list(zip(urls, bad)), pages, how)
+    assert [got[i] for i in range(len(pages))] == pytest.approx(want)
+    assert any(want) and not all(want)
+
+
+def test_labelled_urls_that_are_null_or_very_long(spark):
+    long = "http://x.com/" + "spam/" * 40_000 + "end"
+    labelled = spark.createDataFrame([(None, True)] * 5 + [(long, True)] * 6 + [("http://x.com/ok", False)] * 6, "_url string, _bad boolean")
+    pages = spark.createDataFrame([(1, long), (2, None), (3, "http://x.com/ok"), (4, "http://y.org/spam")], "page_id int, url string")
+    got = {r.page_id: r.confidence for r in urlrules.judge(pages, labelled, []).collect()}
+    assert got == {1: 1.0, 2: None, 3: None, 4: 1.0}
