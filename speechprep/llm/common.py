@@ -65,14 +65,17 @@ def settled(df: DataFrame, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: int) -> DataFrame:
+def join_facts(
+    rows: DataFrame, facts: DataFrame, key: str, count: str, total: int, merge: bool = False
+) -> DataFrame:
     """Left join of ``rows`` with ``facts``, one row of facts per ``key``.
 
     ``count`` is the column of ``facts`` with the key's number of rows in ``rows``
     and ``total`` their sum. Keys with more than ``total / HEAVY_KEYS`` rows, of
     which there are at most ``HEAVY_KEYS``, are looked up in a broadcast table and
     then dealt out evenly; the others meet by shuffle. Rows without a key get nulls.
-    The salt of the facts is a zero that is computed from the key: a literal would be
+    With ``merge`` they meet by a sorted merge, which spills, also where the facts would
+    fit into a broadcast. The salt of the facts is a zero that is computed from the key: a literal would be
     folded, and the join would no longer shuffle by the salt.
     """
     names = [c for c in facts.columns if c != key]
@@ -88,7 +91,7 @@ def join_facts(rows: DataFrame, facts: DataFrame, key: str, count: str, total: i
     )
     zero = F.pmod(F.xxhash64(key), F.lit(1))
     right = facts.select(F.col(key), zero.alias("_spread"), F.struct(*names).alias("_fact"))
-    joined = left.join(right, [key, "_spread"], "left")
+    joined = left.join(right.hint("merge") if merge else right, [key, "_spread"], "left")
     fact = F.coalesce("_known", "_fact")
     return joined.select(*rows.columns, *(fact[n].alias(n) for n in names))
 

@@ -132,7 +132,7 @@ def _cleaned(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
         _later_lines(documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")))
     )
     total = gone.agg(F.sum("copies")).first()[0] or 0
-    joined = join_facts(rows, gone, "_key", "copies", total)
+    joined = join_facts(rows, gone, "_key", "copies", total, merge=True)
     left = F.when(F.col("gone").isNotNull(), _without(text, F.col("gone")))
     return joined.withColumn("left_text", left)
 
