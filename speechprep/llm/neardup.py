@@ -65,8 +65,8 @@ HOT_PART, HOT_ROWS = 4096, 1 << 16
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
 #: Best linked members of a block that meet those of other blocks.
 HUBS = 2
-#: Ids that are looked up by broadcast; more meet by shuffle.
-BROADCAST_IDS = 500_000
+#: Classes that are looked up by broadcast; and bits of the bitmap that finds more.
+BROADCAST_IDS, BITMAP = 200_000, 1 << 27
 
 
 @dataclass(frozen=True)
@@ -150,21 +150,66 @@ def _sketches(documents: DataFrame, how: Similarity) -> DataFrame:
     return documents.mapInArrow(run, f"_id {kind}, _hash long, n long, node long, sketch array<long>")
 
 
-def _full_sets(documents: DataFrame, how: Similarity) -> DataFrame:
-    """``(node, set binary)`` of ``(_id, _text)``."""
+#: What a task knows of the class whose set it makes.
+_PLACED = ("node", "n", "bundle", "blocks", "block")
+
+
+def _members(texts: DataFrame, placed: DataFrame, how: Similarity) -> DataFrame:
+    """``placed (first_id, node, n, bundle, blocks, block)`` with ``set``, the classes'
+    full sets. One text of each class is read, that with ``first_id``.
+
+    Up to ``BROADCAST_IDS`` classes are looked up by broadcast, and their sets carry
+    where they belong. Beyond, a bitmap of ids, of a fixed size, leaves few other texts,
+    and the sets meet their places by shuffle.
+    """
+    known = F.broadcast(placed.withColumnRenamed("first_id", "_wanted"))
+    same = F.col("_id").eqNullSafe(F.col("_wanted"))
+    if placed.count() <= BROADCAST_IDS:
+        return _sets(texts.join(known, same).select("_text", *_PLACED), how, _PLACED)
+    place = F.pmod(F.xxhash64("first_id"), F.lit(BITMAP)) + 1
+    parts = (
+        placed.select(F.bitmap_bucket_number(place).alias("part"), F.bitmap_bit_position(place).alias("at"))
+        .groupBy("part")
+        .agg(F.bitmap_construct_agg("at").alias("bits"))
+    )
+    held = np.zeros(BITMAP // 8, dtype=np.uint8)
+    for row in parts.collect():  # as many bits as BITMAP, whatever the number of ids
+        held[(row.part - 1) * len(row.bits) : row.part * len(row.bits)] = np.frombuffer(row.bits, np.uint8)
+    shared = texts.sparkSession.sparkContext.broadcast(held)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in batches:
+            at = batch.column(1).to_numpy()
+            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8) & 1).astype(bool)))
+
+    numbered = texts.select("_text", F.pmod(F.xxhash64("_id"), F.lit(BITMAP)).alias("_at"))
+    few = numbered.mapInArrow(run, "_text string, _at long")
+    return _sets(few.select("_text"), how, ()).join(placed.drop("first_id"), "node")
+
+
+def _sets(texts: DataFrame, how: Similarity, placed: tuple[str, ...]) -> DataFrame:
+    """``(node, .., set binary)`` of ``(_text, ..)``, with the columns ``placed``. A text
+    that has the id but not the set of its class is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, texts in pieces(batches, "_text"):
-            sets = [s for s in shingle_sets(texts, how.words) if len(s)]
+        for batch, own in pieces(batches, "_text"):
+            sets = shingle_sets(own, how.words)
+            nodes = [_class_of(s) if len(s) else None for s in sets]
+            wanted = batch.column(1).to_pylist() if placed else nodes
+            kept = [i for i, node in enumerate(nodes) if node is not None and node == wanted[i]]
+            columns = batch.take(pa.array(kept, pa.int64())).columns[2:] if placed else []
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_class_of(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([nodes[i] for i in kept], pa.int64()),
+                    *columns,
+                    pa.array([sets[i].tobytes() for i in kept], pa.binary()),
                 ],
-                names=["node", "set"],
+                names=["node", *placed[1:], "set"],
             )
 
-    return documents.mapInArrow(run, "node long, set binary")
+    more = "".join(f"{c} {texts.schema[c].dataType.simpleString()}, " for c in placed[1:])
+    return texts.mapInArrow(run, f"node long, {more}set binary")
 
 
 def _least_second() -> int:
@@ -550,7 +595,6 @@ def _blocks(members: DataFrame) -> DataFrame:
 
 def _links(members: DataFrame, how: Similarity) -> DataFrame:
     """Links ``(a, b)`` that join all groups of every bundle: step 3 above."""
-    members = settled(_blocks(members))
     found = settled(_solve_blocks(members, how))
     links = [found.select("a", "b").filter("a is not null")]
     large = members.filter("blocks > 1")
@@ -630,14 +674,9 @@ def _grouped(texts: DataFrame, how: Similarity) -> tuple[DataFrame, DataFrame, i
     rows = classes.agg(F.sum("held")).first()[0] or 0
     bundles = _bundles(classes, how)
     classes = classes.drop("cold", "hot")
-    wanted = settled(
-        bundles.withColumnRenamed("root", "bundle").join(classes.drop("held"), "node")
-    )
-    ids = wanted.select(F.col("first_id").alias("_wanted"))
-    if wanted.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    chosen = texts.join(ids, F.col("_id").eqNullSafe(F.col("_wanted")), "left_semi")
-    members = _full_sets(chosen, how).join(wanted.drop("first_id"), "node")
+    # blocks are told apart before the sets are made, so that these move once
+    placed = settled(_blocks(bundles.withColumnRenamed("root", "bundle").join(classes.drop("held"), "node")))
+    members = settled(_members(texts.select("_id", "_text"), placed, how))
     groups = components(_links(members, how))
 
     joined = settled(
