@@ -652,6 +652,12 @@ def _timed(spark, sf):
     return tl.timeline(capped, "length_ms", 1000, documents.PART)
 
 
+def _annotated(spark, sf, words=True):
+    """The annotations of chunks that are timed on the way."""
+    capped = tl.cap_length(a.chunk_lengths(spark, sf), "length_ms", 1000)
+    return documents.timed_annotations(capped, "length_ms", 1000, words)
+
+
 def _recordings(spark, sf):
     return a.chunk_lengths(spark, sf).select("recording").distinct()
 
@@ -729,17 +735,17 @@ def q_pangloss_doc(spark, sf):
 
 @query
 def q_eaf_slots(spark, sf):
-    return documents.time_slots(documents.annotations(_timed(spark, sf)))
+    return documents.time_slots(_annotated(spark, sf))
 
 
 @query
 def q_eaf_phono(spark, sf):
-    return documents.sentence_annotations(documents.annotations(_timed(spark, sf)))
+    return documents.sentence_annotations(_annotated(spark, sf))
 
 
 @query
 def q_eaf_words(spark, sf):
-    return documents.word_annotations(documents.annotations(_timed(spark, sf)))
+    return documents.word_annotations(_annotated(spark, sf))
 
 
 def _media(spark, sf):
@@ -749,13 +755,20 @@ def _media(spark, sf):
 
 @query
 def q_eaf_doc(spark, sf):
-    return documents.tier_xml(_timed(spark, sf), _media(spark, sf), LANGUAGE, DATE)
+    return documents.tier_xml(
+        a.chunk_lengths(spark, sf), _media(spark, sf), LANGUAGE, DATE, numbered=_annotated(spark, sf)
+    )
 
 
 @query
 def q_eaf_doc_plain(spark, sf):
     return documents.tier_xml(
-        _timed(spark, sf), _recordings(spark, sf), None, DATE, words=False
+        a.chunk_lengths(spark, sf),
+        _recordings(spark, sf),
+        None,
+        DATE,
+        words=False,
+        numbered=_annotated(spark, sf, words=False),
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions import values as v
 from . import running
-from .timeline import chunk_file, non_empty
+from .timeline import chunk_file, non_empty, timed_by
 
 PART = 4_096  # chunk numbers per document part
 
@@ -248,6 +248,36 @@ def annotations(predictions: DataFrame, words: bool = True, part: int = PART) ->
     )
 
 
+def timed_annotations(
+    chunks: DataFrame, length: str, per_second: int, words: bool = True, part: int = PART
+) -> DataFrame:
+    """``annotations`` of chunks that are not timed yet: start, end and numbers come
+    from one running sum over ``recording, chunk_no`` with the chunks' lengths."""
+    split = tx.split_words(F.col("prediction")) if words else F.array().cast("array<string>")
+    has_text = F.coalesce(F.col("prediction") != "", F.lit(False))
+    listed = F.when(has_text, split).otherwise(F.array().cast("array<string>"))
+    summed = running.before(
+        chunks.withColumns({"_kept": has_text.cast("int"), _WORDS: listed}),
+        ["recording"],
+        "chunk_no",
+        {
+            "_offset": ("sum", F.col(length)),
+            "sentence_no": ("sum", F.col("_kept")),
+            "ann_no": ("sum", F.size(_WORDS) + F.col("_kept")),
+        },
+        part,
+    )
+    times = timed_by(summed.filter("_kept = 1"), "_offset", length, per_second)
+    return times.drop("_kept").withColumns(
+        {
+            "sentence_no": F.col("sentence_no") + 1,
+            "ann_no": F.col("ann_no") + 1,
+            "start_ms": v.to_millis(F.col("start_s")),
+            "end_ms": v.to_millis(F.col("end_s")),
+        }
+    )
+
+
 def _slot(offset: int) -> Column:
     return _text("ts", (2 * F.col("sentence_no") - 1 + offset).cast("string"))
 
@@ -327,11 +357,14 @@ def tier_xml(
     date: str,
     words: bool = True,
     part: int = PART,
+    numbered: DataFrame | None = None,
 ) -> DataFrame:
     """Tier documents as parts. ``recordings`` lists every recording that gets a
     document; a ``media`` column, if there, names its audio file. ``date`` is the
-    time stamp of the header, so output is repeatable."""
-    numbered = annotations(predictions, words, part)
+    time stamp of the header, so output is repeatable. ``numbered`` are the predictions'
+    annotations, if they are known."""
+    if numbered is None:
+        numbered = annotations(predictions, words, part)
     pieces = numbered.withColumns(
         {"_slots": _slot_lines(), "_tx": _sentence_lines(), "_word": _word_lines()}
     )

@@ -27,14 +27,19 @@ def timeline(
     summed = running.before(
         chunks, ["recording"], "chunk_no", {"_offset": ("sum", F.col(length))}, block
     )
+    return timed_by(summed, "_offset", length, per_second)
+
+
+def timed_by(chunks: DataFrame, offset: str, length: str, per_second: int) -> DataFrame:
+    """The three columns from ``offset``, the length of all chunks before."""
     per = F.lit(float(per_second))
-    return summed.withColumns(
+    return chunks.withColumns(
         {
-            "start_s": F.col("_offset") / per,
-            "end_s": (F.col("_offset") + F.col(length)) / per,
+            "start_s": F.col(offset) / per,
+            "end_s": (F.col(offset) + F.col(length)) / per,
             "duration_s": F.col(length) / per,
         }
-    ).drop("_offset")
+    ).drop(offset)
 
 
 def source_times(chunks: DataFrame) -> DataFrame:

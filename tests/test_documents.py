@@ -202,3 +202,15 @@ def test_tables_round_trip(spark, tmp_path):
     tables.write_predictions(table, str(tmp_path / "p"))
     back = files.read_predictions(spark, str(tmp_path / "p" / "recording=R"))
     assert back.count() == 60
+
+
+def test_annotations_timed_on_the_way(spark):
+    rows = [("a", i, 100 * i + 7, ["x y", "", None, " ", "w"][i % 5]) for i in range(0, 40, 2)]
+    rows += [("b", 3, 5, None), ("c", 900, 25_000, "z z z")]
+    chunks = spark.createDataFrame(rows, "recording string, chunk_no long, length_ms long, prediction string")
+    for words in (True, False):
+        once = documents.timed_annotations(chunks, "length_ms", 1000, words, part=8)
+        twice = documents.annotations(timeline.timeline(chunks, "length_ms", 1000), words, part=8)
+        columns = sorted(set(once.columns) & set(twice.columns))
+        assert {"ann_no", "sentence_no", "start_ms", "end_ms", "start_s"} <= set(columns)
+        assert sorted(map(str, once.select(*columns).collect())) == sorted(map(str, twice.select(*columns).collect()))
