@@ -101,16 +101,17 @@ def _where_any(text: Column, marks: tuple[str, ...], fix: ColumnFn) -> Column:
     return once(text, guarded)
 
 
-def strip_markup(text: Column) -> Column:
+def strip_markup(text: Column, punctuation: bool = True) -> Column:
     """Remove bracketed notes (within one line) and punctuation."""
     text = _where_any(text, ("]",), lambda t: F.regexp_replace(t, r"\[[^\n]*?\]", ""))
     text = _where_any(text, (")",), lambda t: F.regexp_replace(t, r"\([^\n]*?\)", ""))
-    return delete_chars(text, PUNCTUATION)
+    return delete_chars(text, PUNCTUATION) if punctuation else text
 
 
-def clean_markup(text: Column, compose: bool = True) -> Column:
-    """The cleanup every language shares. Not idempotent: apply it once."""
-    text = strip_markup(text)
+def clean_markup(text: Column, compose: bool = True, punctuation: bool = True) -> Column:
+    """The cleanup every language shares. Not idempotent: apply it once. Punctuation may
+    be gone already: it ends no bracketed note, so it can go before or after these."""
+    text = strip_markup(text, punctuation)
     return _composed(text) if compose else collapse_spaces(text)
 
 
@@ -118,13 +119,20 @@ def _replace(text: Column, old: str, new: str = "") -> Column:
     return F.replace(text, F.lit(old), F.lit(new))
 
 
+def _spaced_runs(text: Column, between: str = "") -> Column:
+    """Dashes in a row, and dots, become a space, which is collapsed later. Members of
+    the class ``between`` are about to be deleted and part no run; the deletion of all
+    else that goes, single dashes too, can then be one pass."""
+    gap = f"[{between}]*" if between else ""
+    runs = rf"-{gap}-[-{between}]*|[.…][.…{between}]*"
+    return _where_any(text, ("-", ".", "…"), lambda t: F.regexp_replace(t, runs, " "))
+
+
 def _before_tdh(text: Column) -> Column:
-    # dashes and dots leave white space, which is collapsed later
-    text = F.regexp_replace(text, "--+|[.…]+", " ")
-    text = _replace(text, "-")
+    text = _spaced_runs(text)
     text = _replace(text, ":", "\u02d0")
     text = _replace(text, "\u1dc9", "\u0303")
-    return delete_chars(text, "\u0335" + TDH_DELETED)
+    return delete_chars(text, "-\u0335" + TDH_DELETED + PUNCTUATION)
 
 
 def _before_nru(text: Column) -> Column:
@@ -142,11 +150,9 @@ def _before_jya(text: Column) -> Column:
     # @word followed by its gloss in ideographs: keep the word only
     word = F.regexp_replace(kept, rf"@([^{WS}]+)[{WS}]*{ideograph}+", "$1")
     text = F.when(F.contains(text, F.lit("@")), word).otherwise(text)
-    text = delete_chars(text, "@X", ideograph)
-    text = F.regexp_replace(text, "--+|[.…]+", " ")
-    text = _replace(text, "-")
+    text = _spaced_runs(text, f"@X{ideograph}")
     text = _replace(text, "\u0261", "g")
-    text = delete_chars(text, JYA_DELETED, r"\p{Nd}")
+    text = delete_chars(text, "-@X" + JYA_DELETED + PUNCTUATION, rf"\p{{Nd}}{ideograph}")
     return F.lower(text)
 
 
@@ -162,12 +168,13 @@ class Language:
 
     before: ColumnFn
     after: ColumnFn | None = None
+    bare: bool = False  # ``before`` has deleted the shared punctuation
 
 
 _NORMALIZERS: dict[str, Language] = {
-    "tdh": Language(_before_tdh),
+    "tdh": Language(_before_tdh, bare=True),
     "nru": Language(_before_nru),
-    "jya": Language(_before_jya, _after_jya),
+    "jya": Language(_before_jya, _after_jya, bare=True),
 }
 
 _SKIPS: dict[str, ColumnFn] = {
@@ -207,7 +214,8 @@ def normalize(text: Column, language: str | Column | None = None, compose: bool
         warnings.warn(f"no normalizer for {language!r}: shared cleanup only", stacklevel=2)
     before = {code: lang.before for code, lang in _NORMALIZERS.items()}
     after = {code: lang.after for code, lang in _NORMALIZERS.items() if lang.after}
-    text = clean_markup(_by_language(language, before, text, text), compose)
+    bare = isinstance(language, str) and language in _NORMALIZERS and _NORMALIZERS[language].bare
+    text = clean_markup(_by_language(language, before, text, text), compose, not bare)
     if not isinstance(language, Column):
         return _by_language(language, after, text, text)
     # the branches share one cleaned text

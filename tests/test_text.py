@@ -1,4 +1,5 @@
 import random
+import re
 import unicodedata
 
 import pytest
@@ -127,3 +128,49 @@ def test_text_goes_to_python_once(spark, language):
     cleaned = df.withColumn("r", tx.normalize(F.col("t"), code)).filter("r != ''")
     plan = cleaned._jdf.queryExecution().executedPlan().toString()
     assert plan.count("_compose_and_collapse(") == 1
+
+
+# The rules one after the other, as they are stated.
+def _one_by_one_tdh(t):
+    t = re.sub("--+|[.…]+", " ", t).replace("-", "").replace(":", "ː").replace("᷉", "̃")
+    return t.translate(dict.fromkeys(map(ord, "̵" + tx.TDH_DELETED)))
+
+
+def _one_by_one_jya(t):
+    han = "[㐀-䶿一-鿿豈-﫿\U00020000-\U0002fa1f]"
+    white = "[" + "".join(c for c in map(chr, range(0x3001)) if c.isspace()) + "]"
+
+    def kept(word):
+        at = word.find("@")
+        return word if at < 0 else word[: at + 1] + word[at + 1 :].replace("'", tx.JYA_APOSTROPHE)
+
+    t = "".join(kept(w) for w in re.split(f"({white}+)", t))
+    t = re.sub(f"@([^{white[1:-1]}]+){white}*{han}+", r"\1", t) if "@" in t else t
+    t = re.sub(f"{han}|[@X]", "", t)
+    t = re.sub("--+|[.…]+", " ", t).replace("-", "").replace("ɡ", "g")
+    t = re.sub(r"\d", "", t.translate(dict.fromkeys(map(ord, tx.JYA_DELETED))))
+    return t.lower()
+
+
+def _shared(t):
+    t = re.sub(r"\([^\n]*?\)", "", re.sub(r"\[[^\n]*?\]", "", t))
+    t = t.translate(dict.fromkeys(map(ord, tx.PUNCTUATION)))
+    return " ".join(unicodedata.normalize("NFC", t).split())
+
+
+def _finished_jya(t):
+    t = t.translate(dict.fromkeys(map(ord, tx.JYA_BRACKETS))).replace(tx.JYA_APOSTROPHE, "'")
+    return re.sub("  +", " ", t).strip(" ")
+
+
+@pytest.mark.parametrize("language", ["tdh", "jya"])
+def test_composed_rules_equal_the_rules_one_by_one(spark, language):
+    rng = random.Random(17)
+    marks = list("-.…@X,;!?[]()'\"=_/§: \n") + ["漢", "字", "ɡ", "̵", "᷉", "e", "́", "a", "7", "٣", "《", "<"]
+    texts = ["".join(rng.choices(marks, k=rng.randint(0, 14))) for _ in range(6_000)]
+    texts += ["a-漢-b", "-X.@.-", "--X.", ".漢…-字--", "[a,]b", "(,)", "-,-", "a,-漢"]
+    if language == "tdh":
+        want = [_shared(_one_by_one_tdh(t)) for t in texts]
+    else:
+        want = [_finished_jya(_shared(_one_by_one_jya(t))) for t in texts]
+    assert apply(spark, texts, lambda t: tx.normalize(t, language)) == want
