@@ -84,10 +84,11 @@ def packed(
     rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """``df`` dealt to tasks in ``order``: each gets a stretch of rows whose weights sum
-    up to ``per_task``, and at most the last row's weight more. Rows are sorted within a
-    task."""
+    up to ``per_task``, and at most the last row's weight more; to less, if that keeps
+    more cores busy. Rows are sorted within a task."""
     sums = stored(summed_before(df, order, weight, "_sum", rows_per_range))
-    top = sums.agg(F.max("_sum")).first()[0]
-    tasks = 1 + (top or 0) // per_task
+    top = sums.agg(F.max("_sum")).first()[0] or 0
+    per_task = min(per_task, top // df.sparkSession.sparkContext.defaultParallelism + 1)
+    tasks = 1 + top // per_task
     task = F.call_function("div", F.col("_sum"), F.lit(per_task).cast("bigint")).cast("int")
     return sums.repartitionById(tasks, task).sortWithinPartitions(*order).drop("_sum")
