@@ -169,9 +169,9 @@ def q_checkpoint_listing(spark, sf):
         "cast(string(k) as binary) as body",
     )
     sinks.write_bytes(state, folder)
-    names = files.list_checkpoints(spark, folder, "r")
-    latest = history.latest_checkpoint(names).select("run", "checkpoint")
-    return names.join(latest, "run").select("name", "checkpoint")
+    latest = history.latest_checkpoint(files.list_checkpoints(spark, folder, "r")).first()
+    names = files.list_checkpoints(spark, folder, "r").select("name")
+    return names.withColumn("checkpoint", F.lit(latest.checkpoint if latest else None).cast("string"))
 
 
 @query
