@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from speechprep.llm import bpe, decontam, linededup, neardup, quality  # noqa: E402
-from speechprep.llm.common import digest, fresh_folder  # noqa: E402
+from speechprep.llm.common import digest, discard, fresh_folder, temporary  # noqa: E402
 from speechprep.llm.queries import vocabulary  # noqa: E402
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -72,10 +72,14 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``. Each but the last is written as Parquet to the
-    shared folder and read back, so that nothing before it is computed again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    shared folder and read back, so that nothing before it is computed again. What a stage
+    has stored besides goes when it is written, and its result when the next one is."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         folder = fresh_folder(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(folder)
-        docs = spark.read.parquet(folder)
+        with temporary(spark):
+            stage(spark, docs, sf_dir).write.parquet(folder)
+        if before:
+            discard(spark, before)
+        docs, before = spark.read.parquet(folder), folder
     return STAGES[-1][1](spark, docs, sf_dir)
