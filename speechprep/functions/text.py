@@ -17,7 +17,7 @@ from __future__ import annotations
 import re
 import unicodedata
 import warnings
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -53,6 +53,8 @@ JYA_BRACKETS = "()[]{}"
 JYA_APOSTROPHE = "\ue000"
 # Raw nru transcripts holding one of these are not used.
 NRU_SKIPPED = ("fin peu audible", "BEGAIEMENT")
+# Bytes of texts that go through NFC, and back to Spark, together.
+COMPOSED_BYTES = 1 << 20
 # -----------------------------------------------------------------------------
 
 # The same white space for the JVM only: Latin members, then the rest in a range.
@@ -61,12 +63,18 @@ SPACES = (
 )
 
 
-def _compose_and_collapse(texts: pa.Array) -> pa.Array:
+def _compose_and_collapse(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Strings take several times the room of the batch they came in, so about
+    ``COMPOSED_BYTES`` of a batch are strings at a time."""
     normalize = unicodedata.normalize
-    return pa.array(
-        [None if t is None else " ".join(normalize("NFC", t).split()) for t in texts.to_pylist()],
-        pa.string(),
-    )
+    for batch in batches:
+        rows = max(1, len(batch) * COMPOSED_BYTES // max(1, batch.nbytes))
+        for start in range(0, len(batch), rows):
+            texts = batch.slice(start, rows).to_pylist()
+            yield pa.array(
+                [None if t is None else " ".join(normalize("NFC", t).split()) for t in texts],
+                pa.string(),
+            )
 
 
 # Declared non-deterministic so that Catalyst neither copies the call into filters

@@ -1,7 +1,10 @@
 import random
 import re
+import tracemalloc
 import unicodedata
 
+import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,6 +70,32 @@ def test_nfc_matches_unicodedata(spark):
     assert got == [t and unicodedata.normalize("NFC", t) for t in texts]
 
 
+def test_composing_holds_a_part_of_a_batch():
+    texts = [f"{i}  e\u0301 " + "x" * 20_000 for i in range(1999)] + [None, ""]
+    batch = pa.array(texts, pa.string())  # 40 MB
+    want = [t and f"{i} é " + "x" * 20_000 for i, t in enumerate(texts)]
+    want = want + want[7:]
+    tracemalloc.start()
+    try:
+        at = 0
+        for part in tx._compose_and_collapse(iter([batch, batch[:0], batch[7:]])):
+            for got in part:
+                assert got.as_py() == want[at]
+                at += 1
+        assert at == len(want)
+        assert tracemalloc.get_traced_memory()[1] < 10_000_000
+    finally:
+        tracemalloc.stop()
+
+
+def test_batches_that_leave_in_parts(spark):
+    rows = [f"{i}  [x]e\u0301 " + "y" * 10_000 if i % 5 else None for i in range(500)]
+    want = [t and f"{i} é " + "y" * 10_000 for i, t in enumerate(rows)]
+    assert apply(spark, rows, tx.clean_markup) == want
+    both = apply(spark, rows, lambda t: F.concat(tx.clean_markup(t), tx.normalize(t, "tdh")))
+    assert both == [t and t + t for t in want]
+
+
 def test_skip_markers_only_for_their_language(spark):
     texts = ["x fin peu audible", "BEGAIEMENT", "BEGAIMENT", "fine"]
     assert apply(spark, texts, lambda t: tx.is_skipped(t, "nru")) == [True, True, False, False]
@@ -84,6 +113,27 @@ def test_registered_language(spark):
         tx._SKIPS.pop("zz")
 
 
+def test_registered_functions_in_python(spark):
+    @F.pandas_udf("string")
+    def before(t: pd.Series) -> pd.Series:
+        return t + " [gone] e\u0301"
+
+    @F.arrow_udf("string")
+    def after(t: pa.Array) -> pa.Array:
+        return pa.array([x and x.upper() for x in t.to_pylist()], pa.string())
+
+    tx.register_normalizer("zz", before, after)
+    try:
+        rows = ["a  b", "", None]
+        assert apply(spark, rows, lambda t: tx.normalize(t, "zz")) == ["A B É", "É", None]
+        assert apply(spark, rows, lambda t: tx.normalize(after(t), "zz")) == ["A B É", "É", None]
+        tx.register_normalizer("zz", before)
+        by_row = F.when(F.col("i") == 0, "zz").otherwise("tdh")
+        assert apply(spark, rows, lambda t: tx.normalize(t, by_row)) == ["a b é", "", None]
+    finally:
+        tx._NORMALIZERS.pop("zz")
+
+
 def test_escapes_and_word_splits(spark):
     assert apply(spark, ['a<b & "c">'], tx.escape_text) == ['a&lt;b &amp; "c"&gt;']
     assert apply(spark, ['a<b & "c">'], tx.escape_attribute) == ["a&lt;b &amp; &quot;c&quot;&gt;"]
