@@ -16,7 +16,9 @@ serves for all. The sketch of a set is its ``keep`` smallest hashes.
    listed value of the same colour. Short lists of such pairs of values give pairs again,
    that have to meet as often as follows from that; long ones, of sets that share two
    values many others share too, join their members to the first one. Joined classes form
-   a bundle.
+   a bundle. A large bundle is formed anew, of pairs and of members of a long list whose
+   marks, bitmaps of the sketches, share as many bits as those of a link must: unrelated
+   sets meet in some long list, and the larger the corpus, the more they hold together.
 3. Within a bundle, in blocks of bounded size, overlaps of the sketches and the
    estimate from the union's sketch choose pairs, and their full sets decide.
    A large bundle is cut into blocks. Blocks are solved by themselves, then the
@@ -65,6 +67,11 @@ HOT_PART, HOT_ROWS = 4096, 1 << 16
 BLOCK_CLASSES, BLOCK_SHINGLES = 256, 400_000
 #: Best linked members of a block that meet those of other blocks.
 HUBS = 2
+#: A bundle of more classes than this is formed anew by marks.
+LARGE_BUNDLE = 1 << 13
+#: Bits of a mark; pairs of marks that are compared at once; members of a list that one
+#: task compares with each other.
+MARK_BITS, AT_ONCE, LIST_PART = 256, 1 << 17, 1 << 15
 #: Classes that are looked up by broadcast; and bits of the bitmap that finds more.
 BROADCAST_IDS, BITMAP = 200_000, 1 << 27
 
@@ -261,7 +268,7 @@ def _unpacked(data: bytes) -> np.ndarray:
 
 def _listed(sketched: DataFrame, counts: np.ndarray, how: Similarity) -> DataFrame:
     """``sketched`` with the values each set lists: ``cold``, and ``hot`` ones, which
-    are too frequent for a list of their own."""
+    are too frequent for a list of their own; and the ``mark`` of the sketch."""
     limit = max(HOT_ROWS, int(counts.sum(dtype=np.int64)) // HOT_PART)
     shared = sketched.sparkSession.sparkContext.broadcast(counts)
 
@@ -285,14 +292,128 @@ def _listed(sketched: DataFrame, counts: np.ndarray, how: Similarity) -> DataFra
                 ends = np.searchsorted(of[chosen], np.arange(len(sizes) + 1)).astype(np.int32)
                 lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(values[chosen])))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], *lists], names=["_id", "_hash", "n", "node", "cold", "hot"]
+                [*batch.columns[:4], *lists, _marks(values, of, len(sizes))],
+                names=["_id", "_hash", "n", "node", "cold", "hot", "mark"],
             )
 
     kind = sketched.schema["_id"].dataType.simpleString()
-    schema = f"_id {kind}, _hash long, n long, node long, cold array<long>, hot array<long>"
+    schema = f"_id {kind}, _hash long, n long, node long, cold array<long>, hot array<long>, mark binary"
     return sketched.filter("node is not null").mapInArrow(run, schema)
 
 
+def _marks(values: np.ndarray, of: np.ndarray, count: int) -> pa.Array:
+    """Bitmaps of the ``values`` of each of ``count`` sketches."""
+    bits = np.zeros((count, MARK_BITS), dtype=bool)
+    bits[of, (values >> 24) & (MARK_BITS - 1)] = True
+    size = MARK_BITS // 8
+    ends = pa.array(np.arange(count + 1, dtype=np.int32) * size)
+    return pa.Array.from_buffers(pa.binary(), count, [None, ends.buffers()[1], pa.py_buffer(np.packbits(bits, axis=1))])
+
+
+class _Marked:
+    """Classes that are compared by the marks of their sketches."""
+
+    def __init__(self, n: np.ndarray, marks: list[bytes], how: Similarity) -> None:
+        self.n, self.how = n, how
+        self.marks = np.frombuffer(b"".join(marks), np.uint64).reshape(len(n), MARK_BITS // 64)
+        self.least = how.shared_at_least(n)
+        # bits that values of the sketch have in common, less than none
+        self.spare = np.bitwise_count(self.marks).sum(axis=1, dtype=np.int64) - np.minimum(n, how.keep)
+
+    def alike(self, i: np.ndarray, other: _Marked, j: np.ndarray) -> np.ndarray:
+        """Whether the classes ``i`` may be linked with the ``j`` of the other ones. Sketches
+        of a link share ``least`` values; the other values of each can make no more bits of
+        its mark than there are of them, so that the rest of its bits is shared."""
+        small, large = np.minimum(self.n[i], other.n[j]), np.maximum(self.n[i], other.n[j])
+        least = np.maximum(self.least[i], other.least[j]) + np.maximum(self.spare[i], other.spare[j])
+        shared = np.zeros(least.shape, dtype=np.int64)
+        for k in range(self.marks.shape[1]):
+            shared += np.bitwise_count(self.marks[i, k] & other.marks[j, k])
+        return (shared >= least) & (100 * small >= self.how.percent * large)
+
+    def forest(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be linked and join all that such pairs join."""
+        rest, froms, tos = np.arange(len(self.n)), [], []
+        width = max(1, AT_ONCE // max(1, len(rest)))
+        while len(rest):
+            seeds = rest[:width]
+            met = self.alike(seeds[:, None], self, rest[None, :])
+            met[np.arange(len(seeds)), np.arange(len(seeds))] = False
+            some = np.flatnonzero(met.any(axis=1))
+            alone = np.ones(len(rest), dtype=bool)
+            alone[: len(seeds)] = met.any(axis=1)
+            if len(some) == 0:
+                rest = rest[alone]
+                continue
+            queue = [seeds[some[:1]]]  # everything that this one is joined with, breadth first
+            rest = rest[alone & (rest != seeds[some[0]])]
+            while queue:
+                wave = queue.pop()
+                for low in range(0, len(wave), width):
+                    part = wave[low : low + width]
+                    near = self.alike(part[:, None], self, rest[None, :])
+                    found = near.any(axis=0)
+                    if found.any():
+                        froms.append(part[near[:, found].argmax(axis=0)])
+                        tos.append(rest[found])
+                        queue.append(rest[found])
+                        rest = rest[~found]
+        none = np.zeros(0, np.int64)
+        return np.concatenate([none, *froms]), np.concatenate([none, *tos])
+
+
+def _alike_pairs(pairs: DataFrame, marks: DataFrame, how: Similarity) -> DataFrame:
+    """The ``pairs (a, b)`` that may be linked by ``marks (node, n, mark)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (
+                _Marked(batch.column(k).to_numpy(), batch.column(k + 1).to_pylist(), how) for k in (2, 4)
+            )
+            at = np.arange(batch.num_rows)
+            yield batch.filter(pa.array(left.alike(at, right, at))).select(["a", "b"])
+
+    both = pairs.select("a", "b").distinct()
+    for end in ("a", "b"):
+        both = both.join(marks.toDF(end, f"n_{end}", f"mark_{end}"), end)
+    return both.select("a", "b", "n_a", "mark_a", "n_b", "mark_b").mapInArrow(run, "a long, b long")
+
+
+def _alike_members(lists: DataFrame, marks: DataFrame, how: Similarity) -> DataFrame:
+    """Pairs ``(a, b)`` that join the members of each of the ``lists (value, node)`` that
+    may be linked, and those that such are linked with. Lists of more than ``LIST_PART``
+    members, of which there are few, are cut into parts, and any two parts are compared."""
+    sizes = lists.groupBy("value").agg(F.ceil(F.count("*") / LIST_PART).cast("int").alias("parts"))
+    cut = F.broadcast(sizes.filter("parts > 1").withColumnRenamed("value", "_value"))
+    rows = lists.join(cut, F.col("value") == F.col("_value"), "left").join(marks, "node")
+    rows = rows.withColumn("part", F.coalesce(F.pmod(F.xxhash64("node"), "parts").cast("int"), F.lit(0)))
+    others = F.sequence(F.lit(0), F.coalesce(F.col("parts"), F.lit(1)) - 1)
+    rows = rows.withColumn("other", F.explode(others)).filter("parts is null or other <> part")
+    cell = F.xxhash64("value", F.least("part", "other"), F.greatest("part", "other"))
+
+    def edges(rows: pa.Table) -> pa.RecordBatch:
+        nodes = rows["node"].to_numpy()
+        i, j = _Marked(rows["n"].to_numpy(), rows["mark"].to_pylist(), how).forest()
+        return pa.RecordBatch.from_arrays([pa.array(nodes[i]), pa.array(nodes[j])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_, held = None, []  # the list that may go on, and the pieces of it
+        for batch in batches:
+            cells = batch.column(0).to_numpy()
+            begins = np.flatnonzero(np.append(True, cells[1:] != cells[:-1]))[: len(cells)]
+            for low, high in zip(begins, np.append(begins[1:], len(cells)), strict=True):
+                if cells[low] != open_ and held:
+                    yield edges(pa.Table.from_batches(held))
+                    held = []
+                open_ = cells[low]
+                held.append(batch.slice(low, high - low))
+        if held:
+            yield edges(pa.Table.from_batches(held))
+
+    dealt = rows.select(cell.alias("cell"), "node", "n", "mark").repartition("cell").sortWithinPartitions("cell")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def _meetings(rows: DataFrame, how: Similarity, meetings: int) -> DataFrame:
     """What meets in the lists of ``rows (value, node, n)``: pairs ``(a, b, wanted)`` of
     short lists, and of long ones every member with the list's first, ``(a, b, n,
@@ -394,18 +515,20 @@ def _second_values(rows: DataFrame, how: Similarity) -> DataFrame:
     )
 
 
-def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
-    """``(node, root)`` of the classes that may have a link: step 2 above."""
+def _ties(classes: DataFrame, how: Similarity) -> DataFrame:
+    """``(a, b, value)`` of the classes that may have a link: step 2 above. Pairs that met
+    often enough have no ``value``; those of a long list have that of the list, and every
+    member, also its first one, comes with the first one as ``b``."""
     # two different sets share all but one value at most
     smallest = -(-how.percent // (100 - how.percent)) if how.percent < 100 else None
     if smallest is None:
-        return components(classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b")))
+        return classes.limit(0).select(F.col("node").alias("a"), F.col("node").alias("b"), F.col("n").alias("value"))
     rows = classes.filter(F.col("n") >= smallest).select("node", "n", "cold", "hot")
 
     def met(found: DataFrame) -> DataFrame:
         pairs = found.filter("wanted is not null").groupBy("a", "b")
         often = pairs.agg(F.count("*").alias("lists"), F.max("wanted").alias("wanted"))
-        return often.filter("lists >= wanted").select("a", "b")
+        return often.filter("lists >= wanted").select("a", "b", F.lit(None).cast("long").alias("value"))
 
     single = settled(_meetings(rows.select(F.explode("cold").alias("value"), "node", "n"), how, MEETINGS))
     long = single.filter("value is not null").select(F.col("a").alias("node"), "n", "value", F.lit(False).alias("hot"))
@@ -421,14 +544,35 @@ def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
     )
     second = settled(_second_values(by_node, how))
     double = settled(_meetings(second.filter("not hot"), how, _least_second()))
-    tied = double.filter("value is not null").select("a", "b")
+    tied = double.filter("value is not null").select("a", "b", "value")
     keyed = second.filter("hot").select("value", "node")
     firsts = settled(keyed.groupBy("value").agg(F.min("node").alias("first"), F.count("*").alias("held")))
     total = firsts.agg(F.sum("held")).first()[0] or 0
     starred = join_facts(keyed, firsts, "value", "held", total).select(
-        F.col("node").alias("a"), F.col("first").alias("b")
+        F.col("node").alias("a"), F.col("first").alias("b"), "value"
     )
-    return components(met(single).union(met(double)).union(tied).union(starred))
+    return met(single).union(met(double)).union(tied).union(starred)
+
+
+def _bundles(classes: DataFrame, how: Similarity) -> DataFrame:
+    """``(node, root)`` of the ``classes (node, n, cold, hot, mark)`` that may have a link.
+    The ``mark`` is needed only if bundles become large."""
+    ties = _ties(classes, how)
+    bundles = components(ties.select("a", "b"))
+    sizes = bundles.groupBy("root").agg(F.count("*").alias("held"))
+    large = sizes.filter(F.col("held") > LARGE_BUNDLE)
+    total = large.agg(F.sum("held")).first()[0]
+    if total is None or "mark" not in classes.columns:
+        return bundles
+    known = join_facts(bundles, settled(large), "root", "held", total)
+    known = settled(known.select("node", "root", F.col("held").isNotNull().alias("large")))
+    marks = classes.select("node", "n", "mark").join(known.filter("large").select("node"), "node", "left_semi")
+    inside = settled(ties.join(marks.select(F.col("node").alias("a")), "a", "left_semi"))
+    marks = settled(marks)
+    pairs = settled(_alike_pairs(inside.filter("value is null"), marks, how))
+    lists = inside.filter("value is not null").select("value", F.col("a").alias("node"))
+    members = settled(_alike_members(lists, marks, how).distinct())
+    return known.filter("not large").select("node", "root").union(components(pairs.union(members)))
 
 
 class _Block:
@@ -660,20 +804,20 @@ def _grouped(texts: DataFrame, how: Similarity) -> tuple[DataFrame, DataFrame, i
     """``(_id, _hash, n, node, sketch)`` of all rows, ``(node, component_id, held)`` of all
     classes, and the number of rows with a class."""
     sketched = settled(_sketches(texts, how), keep=True)
-    classes = settled(
-        _listed(sketched, _counts(sketched), how)
-        .groupBy("node")
-        .agg(
-            F.min("_id").alias("first_id"),
-            F.count("*").alias("held"),
-            F.max("n").alias("n"),
-            F.first("cold").alias("cold"),
-            F.first("hot").alias("hot"),
+    with temporary(texts.sparkSession):
+        listed = settled(
+            _listed(sketched, _counts(sketched), how)
+            .groupBy("node")
+            .agg(
+                F.min("_id").alias("first_id"),
+                F.count("*").alias("held"),
+                F.max("n").alias("n"),
+                *(F.first(c).alias(c) for c in ("cold", "hot", "mark")),
+            )
         )
-    )
-    rows = classes.agg(F.sum("held")).first()[0] or 0
-    bundles = _bundles(classes, how)
-    classes = classes.drop("cold", "hot")
+        classes = settled(listed.select("node", "first_id", "held", "n"), keep=True)
+        rows = classes.agg(F.sum("held")).first()[0] or 0
+        bundles = settled(_bundles(listed, how), keep=True)
     # blocks are told apart before the sets are made, so that these move once
     placed = settled(_blocks(bundles.withColumnRenamed("root", "bundle").join(classes.drop("held"), "node")))
     members = settled(_members(texts.select("_id", "_text"), placed, how))

@@ -382,3 +382,26 @@ def test_second_lists_find_what_short_lists_miss(spark, monkeypatch):
         got = neardup.near_duplicates(frame(spark, rows), how=how).collect()
         want = plain.near_duplicates(rows, 2, 80)
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i, t]) for i, t in rows)
+
+
+@pytest.mark.parametrize("part", [16, 1 << 15])
+def test_long_lists_hold_no_unrelated_texts_together(spark, monkeypatch, part):
+    """Texts of so few words that most pairs of values are in long lists."""
+    monkeypatch.setattr(neardup, "SHORT_LIST", 2)
+    monkeypatch.setattr(neardup, "LARGE_BUNDLE", 20, raising=False)
+    monkeypatch.setattr(neardup, "LIST_PART", part, raising=False)
+    rng = random.Random(4)
+    texts = [rng.choices([f"w{k}" for k in range(15)], k=60) for _ in range(300)]
+    texts += [edited(rng, texts[i % 10], rng.choice([0.02, 0.04])) for i in range(40)]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    held, members = [], neardup._members
+
+    def watched(texts, placed, how):
+        held.append(placed.groupBy("bundle").count().agg(F.max("count"), F.sum("count")).first())
+        return members(texts, placed, how)
+
+    monkeypatch.setattr(neardup, "_members", watched)
+    got = neardup.near_duplicates(frame(spark, rows), how=neardup.Similarity(words=2, percent=80)).collect()
+    want = plain.near_duplicates(rows, 2, 80)
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == sorted((i, *want[i, t]) for i, t in rows)
+    assert held[0][0] <= 10 and held[0][1] <= 100
